@@ -8,8 +8,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from wicketflow.operators import careers, features, match_stats
+from wicketflow import constants
+from wicketflow.operators import (
+    careers, consistency, features, identity, match_stats, profiling, quality, similarity, summaries, unnest,
+)
 from wicketflow.plans import oracles, projection
+from wicketflow.scratch import shared_folder, stage
+from wicketflow.sources import documents, reports, tables
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -127,5 +132,272 @@ def _mart_queries() -> dict[str, Query]:
     return out
 
 
+def _documents(build: Callable[[DataFrame], DataFrame], *columns: str) -> Query:
+    """A query on the projected match documents, stored once as the reader would."""
+
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        out = build(stage(spark, projection.documents(spark, sf_dir)))
+        return tidy(out.select(*columns) if columns else out)
+
+    return run
+
+
+def _raw(build: Callable[[DataFrame], DataFrame]) -> Query:
+    """A query on the JSON text of the projected documents."""
+    return _documents(lambda docs: build(projection.raw_documents(docs)))
+
+
+def _named(build: Callable[[DataFrame, DataFrame], DataFrame]) -> Query:
+    """A query on deliveries with names and ids, and a players table."""
+
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        return tidy(build(projection.table(spark, sf_dir, "nd"), projection.table(spark, sf_dir, "np")))
+
+    return run
+
+
+def _given(table: str, build: Callable[[DataFrame], DataFrame]) -> Query:
+    """A query on a given table."""
+    return lambda spark, sf_dir: tidy(build(spark.read.parquet(f"{sf_dir}/{table}.parquet")))
+
+
+def _gaps(docs):
+    return identity.gap_maps(identity.resolve_gaps(docs))
+
+
+def _unnested_matches(docs):
+    return unnest.matches(docs, _gaps(docs))
+
+
+def _unnested_deliveries(docs):
+    return unnest.deliveries(docs, _gaps(docs))
+
+
+def _unnested_players(docs):
+    return identity.players(_unnested_deliveries(docs), _unnested_matches(docs), docs)
+
+
+def _unnest_queries() -> dict[str, Query]:
+    return {
+        "u01_matches": _documents(_unnested_matches),
+        "u02_event": _documents(_unnested_matches, "match_id", "match_event_name", "match_event_id", "match_number"),
+        "u03_innings": _documents(unnest.innings),
+        "u04_powerplay": _documents(unnest.innings, "innings_id", "powerplay_start_over", "powerplay_end_over"),
+        "u05_bowling_team": _documents(unnest.innings, "innings_id", "bowling_team"),
+        "u06_overs": _documents(unnest.overs),
+        "u07_over_totals": _documents(unnest.overs, "over_id", "total_runs", "wickets", "num_deliveries"),
+        "u08_over_extras": _documents(
+            unnest.overs, "over_id", "total_extras", *[f"extras_{k}" for k in constants.EXTRAS_KINDS]
+        ),
+        "u09_deliveries": _documents(_unnested_deliveries),
+        "u10_first_extras": _documents(_unnested_deliveries, "delivery_id", "extras_type", "extras_value"),
+        "u11_first_wicket": _documents(
+            _unnested_deliveries, "delivery_id", "is_wicket", "wicket_player_out", "wicket_kind", "wicket_fielder"
+        ),
+        "u12_player_names": _documents(identity.player_names),
+        "u12_resolve_gaps": _documents(identity.resolve_gaps),
+        "u13_players": _documents(_unnested_players),
+        "u14_variant_stats": _documents(lambda docs: identity.player_variant_stats(_unnested_players(docs))),
+        "u15_synthetic_count": _documents(lambda docs: identity.synthetic_count(_unnested_players(docs))),
+    }
+
+
+def _on_meta(build, *columns):
+    return _documents(lambda docs: build(profiling.match_metadata(docs)), *columns)
+
+
+def _profile_summary(docs):
+    raw = projection.raw_documents(docs)
+    return profiling.profile_summary(docs, profiling.match_metadata(docs), documents.unparsable(raw))
+
+
+def _profile_queries() -> dict[str, Query]:
+    deliveries = lambda t: t["deliveries"]
+    return {
+        "p01_doc_structure": _documents(
+            lambda docs: profiling.doc_structure(projection.raw_documents(docs), docs)
+        ),
+        "p02_schema_variants": _raw(profiling.schema_profile),
+        "p02_schema_variants_props": _given(
+            "events", lambda e: profiling.schema_variants(e.select(F.col("props").alias("raw")), "top")
+        ),
+        "p03_top_variants": _raw(lambda raw: profiling.top_variants(profiling.schema_variants(raw, "info"))),
+        "p04_match_type_counts": _documents(profiling.match_type_counts),
+        "p05_reject_report": _given(
+            "documents",
+            lambda d: profiling.reject_report(
+                documents.unparsable(d.select(F.col("doc_id").cast("string").alias("match_id"), F.col("text").alias("raw")))
+                .withColumnRenamed("raw", "record")
+            ),
+        ),
+        "p06_field_presence": _raw(profiling.field_presence),
+        "p07_match_metadata": _on_meta(lambda meta: meta),
+        "p08_document_totals": _on_meta(lambda meta: meta, "match_id", "total_overs_recorded", "total_deliveries"),
+        "p09_describe_all": _flat(lambda t: summaries.describe_all(deliveries(t).select(*oracles.DESCRIBED))),
+        "p10_null_profile": _on_meta(lambda meta: summaries.null_profile({"metadata": meta}, only_nulls=True)),
+        "p11_empty_matches": _on_meta(
+            lambda meta: meta.agg(
+                F.count("*").alias("matches"), F.sum((~F.col("has_innings_data")).cast("int")).alias("empty")
+            )
+        ),
+        "p12_completeness_by_type": _on_meta(profiling.completeness_by_type),
+        "p13_matches_per_year": _on_meta(profiling.matches_per_year),
+        "p14_top_venues": _on_meta(lambda meta: summaries.value_counts(meta, "venue", 20)),
+        "p14_top_team_pairs": _on_meta(lambda meta: summaries.value_counts(meta, "teams", 20)),
+        "p15_similar_names": _given(
+            "customer", lambda c: similarity.similar_names(c, "c_name", 0.9, lower=True)
+        ),
+        "p15_similar_venues": _on_meta(lambda meta: similarity.similar_names(meta, "venue", 0.85, lower=True)),
+        "p16_registry_stats": _on_meta(profiling.registry_stats),
+        "p17_quality_issues": _on_meta(
+            profiling.quality_issues,
+            "match_id", "match_type", "total_deliveries", "team1_players", "team2_players", "registry_count",
+        ),
+        "p18_json_types": _raw(profiling.json_types),
+        "p19_describe_runs": _flat(lambda t: summaries.describe_runs(deliveries(t))),
+        "p20_suspicious_deliveries": _named(lambda d, p: profiling.suspicious_deliveries(d)),
+        "p21_run_share": _flat(lambda t: profiling.run_share(deliveries(t))),
+        "p22_runs_distribution": _flat(lambda t: profiling.runs_distribution_raw(deliveries(t))),
+        "p23_over_stats_by_type": _documents(profiling.over_stats_by_type),
+        "p24_outlier_overs": _documents(profiling.outlier_overs),
+        "p25_profile_summary": _documents(_profile_summary),
+    }
+
+
+def _schemas(spark, t):
+    before = tables.catalog_schema(spark, t)
+    after = tables.catalog_schema(spark, quality.retype_tables(t))
+    return quality.schema_diff(before, after)
+
+
+def _on_schemas(build) -> Query:
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        t = projection.flat_tables(spark, sf_dir)
+        return tidy(build(_schemas(spark, t), t))
+
+    return run
+
+
+def _changed_ranges(diff, t):
+    """Changed columns with the range of their values."""
+    ranges = summaries.column_ranges(quality.retype_tables(t), oracles.RANGES)
+    return diff.where("changed").join(ranges, ["table", "column"])
+
+
+def _quality_queries() -> dict[str, Query]:
+    d = lambda build: _flat(lambda t: build(t["deliveries"]))
+    mio = lambda build: _flat(lambda t: build(t["matches"], t["innings"], t["overs"]))
+    names = lambda n, p: consistency.player_names_seen(n)
+    issues = lambda n, p: consistency.player_id_issues(names(n, p), p)
+    small = {"over_number": "tinyint", "ball_number": "tinyint", "worth": "tinyint"}
+    worth = lambda x: x.withColumn("worth", F.col("total_runs") * 20)
+    reduced_issues = lambda n, p: consistency.player_id_issues(consistency.reduced_names_seen(n), p)
+    pairs = lambda n, p: consistency.id_name_pairs(n)
+    return {
+        "q01_table_shape": _flat(summaries.table_shape),
+        "q01_sample": d(lambda x: summaries.sample(x, 20, ("delivery_id",))),
+        "q02_column_ranges": _flat(lambda t: summaries.column_ranges(t, oracles.RANGES)),
+        "q03_retype": d(lambda x: quality.retype(worth(x), small).select("delivery_id", "worth", *list(small)[:2])),
+        "q03_retype_losses": d(lambda x: quality.retype_losses(worth(x), small)),
+        "q04_schema_diff": _on_schemas(_changed_ranges),
+        "q05_conversion_summary": _on_schemas(
+            lambda diff, t: quality.conversion_summary(diff, summaries.table_shape(t))
+        ),
+        "q06_storage_estimate": _on_schemas(
+            lambda diff, t: quality.storage_estimate(diff, summaries.table_shape(t))
+        ),
+        "q07_null_profile": _flat(summaries.null_profile),
+        "q08_venue_counts": _flat(lambda t: summaries.value_counts(t["matches"], "venue")),
+        "q09_similar_venues": _flat(lambda t: similarity.similar_names_with_counts(t["matches"], "venue", 0.8)),
+        "q09_similar_urls": _given("pages", lambda x: similarity.similar_names_with_counts(x, "url", 0.8)),
+        "q10_invalid_runs": _named(lambda n, p: quality.invalid_runs(n)),
+        "q10_invalid_runs_count": d(quality.invalid_runs_count),
+        "q11_seven_run_share": d(quality.seven_run_share),
+        "q12_match_overs_stats": mio(quality.match_overs_stats),
+        "q13_overs_exceeded": mio(quality.overs_exceeded),
+        "q13_overs_exceeded_count": mio(quality.overs_exceeded_count),
+        "q14_over_length_dist": _flat(lambda t: quality.over_length_dist(t["overs"])),
+        "q15_batter_run_dist": d(quality.batter_run_dist),
+        "q16_run_outliers": _named(lambda n, p: quality.run_outliers(n)),
+        "q17_extras_dist": d(quality.extras_dist),
+        "q18_high_totals": _named(lambda n, p: quality.high_totals(n)),
+        "q19_over_length_by_type": _flat(
+            lambda t: quality.over_length_by_type(t["overs"], t["innings"], t["matches"])
+        ),
+        "q20_long_overs": _flat(lambda t: quality.long_overs(t["overs"], t["innings"], t["matches"], above=5)),
+        "q21_over_length_factors": _flat(lambda t: quality.over_length_factors(t["overs"], t["deliveries"])),
+        "q22_names_seen": _named(names),
+        "q22_names_seen_reduced": _named(lambda n, p: consistency.reduced_names_seen(n)),
+        "q23_player_id_issues": _named(issues),
+        "q23_player_id_issues_reduced": _named(reduced_issues),
+        "q24_multiple_ids": _named(lambda n, p: consistency.multiple_ids(issues(n, p), p)),
+        "q25_missing_id_matches": _named(lambda n, p: consistency.missing_id_matches(n, issues(n, p))),
+        "q26_ids_with_many_names": _named(lambda n, p: consistency.ids_with_many_names(pairs(n, p))),
+        "q27_name_variant_counts": _named(lambda n, p: consistency.name_variant_counts(pairs(n, p))),
+        "q28_player_consistency": _named(consistency.player_consistency),
+        "q28_reduced_consistency": _named(consistency.reduced_consistency),
+        "q29_text_health": _given("documents", lambda x: consistency.text_health({"documents": x})),
+        "q30_text_health_issues": _given(
+            "documents", lambda x: consistency.text_health_issues(consistency.text_health({"documents": x}))
+        ),
+        "q31_summary": _flat(quality.summary),
+    }
+
+
+def _stored(build: Callable[[SparkSession, str, dict[str, DataFrame]], DataFrame]) -> Query:
+    """A query that writes projected tables to a fresh shared folder and reads them back."""
+
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        return tidy(build(spark, shared_folder(spark), projection.flat_tables(spark, sf_dir)))
+
+    return run
+
+
+def _written_twice(spark, folder, t):
+    """Duplicate rows go in, distinct rows come out; the first write does not survive."""
+    innings = t["innings"]
+    tables.write_tables({"innings": innings.limit(1)}, folder)
+    tables.write_tables({"innings": innings.unionAll(innings)}, folder)
+    return tables.read_tables(spark, folder, ("innings",))["innings"]
+
+
+def _written_if_absent(spark, folder, t):
+    innings = t["innings"]
+    tables.write_tables({"innings": innings}, folder, mode="ignore")
+    tables.write_tables({"innings": innings.where("innings_number = 1")}, folder, mode="ignore")
+    return tables.read_tables(spark, folder, ("innings",))["innings"]
+
+
+def _laid_out(spark, folder, t):
+    tables.write_tables({k: t[k] for k in ("deliveries", "matches")}, folder, layout=tables.LAYOUT)
+    stored = tables.read_tables(spark, folder, ("deliveries", "matches"))
+    tests = stored["matches"].where("match_type = 'Test'").select("match_id")
+    return stored["deliveries"].join(tests, "match_id", "left_semi").select("delivery_id", "total_runs")
+
+
+def _csv(spark, folder, t):
+    reports.write_csv(t["overs"].select("over_id", "total_runs", "wickets"), folder)
+    return spark.read.option("header", True).schema("over_id string, total_runs bigint, wickets bigint").csv(folder)
+
+
+def _report(spark, folder, t):
+    counts = summaries.table_shape(t)
+    reports.write_report(reports.report(counts, "rows", "table", "rows"), folder)
+    return spark.read.schema("section string, key string, value string").json(folder)
+
+
+def _sink_queries() -> dict[str, Query]:
+    return {
+        "s04_write_replace": _stored(_written_twice),
+        "s05_write_if_absent": _stored(_written_if_absent),
+        "s06_layout": _stored(_laid_out),
+        "s07_csv": _stored(_csv),
+        "s08_report": _stored(_report),
+    }
+
+
 def queries() -> dict[str, Query]:
-    return {**_feature_queries(), **_career_queries(), **_mart_queries()}
+    return {
+        **_feature_queries(), **_career_queries(), **_mart_queries(),
+        **_unnest_queries(), **_profile_queries(), **_quality_queries(), **_sink_queries(),
+    }

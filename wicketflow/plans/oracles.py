@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from wicketflow.constants import RANGE_SPEC, RETYPE_SPEC
 from wicketflow.operators.careers import GROUPS
 from wicketflow.plans.projection import ALL, FLAT
 
@@ -318,5 +319,306 @@ _F["f17_verify_features"] = _shape(
 )
 
 
+# ---------------------------------------------------------------- unnesting
+
+_DOCS = """,
+md AS (SELECT m.*, k, player_of_match,
+  CASE WHEN k%2=0 THEN 'male' ELSE 'female' END AS gender, concat('20', CAST(20+k%3 AS VARCHAR)) AS season,
+  CASE WHEN k%8<>1 THEN concat('City ', CAST(k%12 AS VARCHAR)) END AS city,
+  CASE WHEN k%11=4 THEN '2020-13-01' ELSE CAST(m.date AS VARCHAR) END AS date_raw,
+  CASE WHEN k%11=4 THEN NULL ELSE CAST(m.date AS VARCHAR) END AS parsed,
+  CASE k%3 WHEN 0 THEN 'Cup' WHEN 1 THEN 'Cup Series' END AS event_name, CASE WHEN k%3=0 THEN 'A' END AS event_group,
+  CASE WHEN k%3=0 THEN k END AS event_number, CASE WHEN k%2=0 THEN 'bat' ELSE 'field' END AS decision
+  FROM (SELECT *, CAST(substring(match_id,2) AS INT) AS k FROM m) m JOIN pom ON pom.match_id=m.match_id),
+um AS (SELECT md.match_id, parsed AS date, city, venue, match_type, gender, season, event_name AS match_event_name, event_group AS match_event_id,
+  event_number AS match_number, CAST(overs AS INT) AS overs, team1, team2, team2 AS toss_winner, decision AS toss_decision, outcome_winner,
+  outcome_by_runs, outcome_by_wickets, outcome_method, player_of_match, ids.player_id AS player_of_match_id, date_raw
+  FROM md LEFT JOIN ids ON ids.match_id=md.match_id AND ids.name=md.player_of_match),
+uo AS (SELECT over_id, innings_id, over_number, sum(total_runs) AS total_runs, sum(CASE WHEN is_wicket THEN 1 ELSE 0 END) AS wickets, count(*) AS num_deliveries,
+  sum(extras) AS total_extras, coalesce(sum(extras) FILTER (extras_type='wides'),0) AS extras_wides,
+  coalesce(sum(extras) FILTER (extras_type='noballs'),0)+count(*) FILTER (extras_type='legbyes' AND ball_number%2=1) AS extras_noballs,
+  coalesce(sum(extras) FILTER (extras_type='byes'),0) AS extras_byes, coalesce(sum(extras) FILTER (extras_type='legbyes'),0) AS extras_legbyes FROM n GROUP BY 1,2,3),
+ud AS (SELECT delivery_id, over_id, innings_id, match_id, over_number, ball_number, batter, batter_id, bowler, bowler_id, non_striker, non_striker_id,
+  batter_runs, extras, total_runs, extras_type, extras_value, CASE WHEN is_wicket THEN 1 ELSE 0 END AS is_wicket, wicket_player_out, wicket_player_out_id, wicket_kind, wicket_fielder, wicket_fielder_id FROM nd),
+pc AS (SELECT player_id, name, count(*) AS times FROM (SELECT batter_id AS player_id, batter AS name FROM nd UNION ALL SELECT bowler_id, bowler FROM nd UNION ALL SELECT non_striker_id, non_striker FROM nd
+  UNION ALL SELECT wicket_player_out_id, wicket_player_out FROM nd UNION ALL SELECT wicket_fielder_id, wicket_fielder FROM nd UNION ALL SELECT player_of_match_id, player_of_match FROM um
+  UNION ALL SELECT registered_id, name FROM roster WHERE registered_id IS NOT NULL) x WHERE player_id IS NOT NULL GROUP BY 1,2),
+pr AS (SELECT *, row_number() OVER (PARTITION BY player_id ORDER BY times DESC, name) AS rn FROM pc),
+up AS (SELECT player_id, max(CASE WHEN rn=1 THEN name END) AS player_name, string_agg(name, ';' ORDER BY rn) FILTER (rn>1) AS name_variations, count(*) AS variant_count FROM pr GROUP BY 1),
+meta AS (SELECT md.match_id, '1.0.0' AS data_version, '2024-01-01' AS created_date, k%3 AS revision, match_type, k AS match_type_number, gender, concat(team1,'|',team2) AS teams, 'international' AS team_type,
+  CAST(overs AS INT) AS overs, CASE WHEN k%3<>0 THEN 6 END AS balls_per_over, date_raw AS date, city, venue, season, event_name, event_group, 'U One|U Two' AS umpires, CASE WHEN k%2=0 THEN 'R One' END AS referees,
+  team2 AS toss_winner, decision AS toss_decision, outcome_winner, CASE WHEN outcome_winner IS NULL THEN 'no result' END AS outcome_result, outcome_method, outcome_by_runs, outcome_by_wickets,
+  coalesce(player_of_match,'') AS player_of_match,
+  (SELECT count(*) FROM roster r WHERE r.match_id=md.match_id AND r.team=md.team1) AS team1_players, (SELECT count(*) FROM roster r WHERE r.match_id=md.match_id AND r.team=md.team2) AS team2_players,
+  (SELECT count(*) FROM roster r WHERE r.match_id=md.match_id AND registered_id IS NOT NULL) AS registry_count,
+  CASE WHEN k%6=2 THEN 'umpires|toss' ELSE '' END AS missing_fields, true AS has_innings_data,
+  (SELECT count(*) FROM i WHERE i.match_id=md.match_id) AS innings_count, (SELECT count(*) FROM o JOIN i ON i.innings_id=o.innings_id WHERE i.match_id=md.match_id) AS total_overs_recorded,
+  (SELECT count(*) FROM d WHERE d.match_id=md.match_id) AS total_deliveries FROM md)"""
+
+
+def _docs(body: str, **types) -> str:
+    return _shape(body, ctes=ALL, extra=_DOCS, **types)
+
+
+def _named(body: str, **types) -> str:
+    return _shape(body, ctes=ALL, **types)
+
+
+_EXTRAS = "total_extras extras_wides extras_noballs extras_byes extras_legbyes"
+_U = {
+    "u01_matches": _docs("SELECT * FROM um", big="match_number overs outcome_by_runs outcome_by_wickets"),
+    "u02_event": _docs("SELECT match_id, match_event_name, match_event_id, match_number FROM um", big="match_number"),
+    "u03_innings": _docs("SELECT * FROM i", big="innings_number", dbl="powerplay_start_over powerplay_end_over"),
+    "u04_powerplay": _docs("SELECT innings_id, powerplay_start_over, powerplay_end_over FROM i", dbl="powerplay_start_over powerplay_end_over"),
+    "u05_bowling_team": _docs("SELECT innings_id, bowling_team FROM i"),
+    "u06_overs": _docs("SELECT * FROM uo", big="over_number total_runs wickets num_deliveries " + _EXTRAS),
+    "u07_over_totals": _docs("SELECT over_id, total_runs, wickets, num_deliveries FROM uo", big="total_runs wickets num_deliveries"),
+    "u08_over_extras": _docs(f"SELECT over_id, {', '.join(_EXTRAS.split())} FROM uo", big=_EXTRAS),
+    "u09_deliveries": _docs("SELECT * FROM ud", big="over_number ball_number batter_runs extras total_runs extras_value is_wicket"),
+    "u10_first_extras": _docs("SELECT delivery_id, extras_type, extras_value FROM ud", big="extras_value"),
+    "u11_first_wicket": _docs("SELECT delivery_id, is_wicket, wicket_player_out, wicket_kind, wicket_fielder FROM ud", big="is_wicket"),
+    "u12_player_names": _named("SELECT match_id, name, player_id FROM ids"),
+    "u12_resolve_gaps": _named("SELECT ids.match_id, ids.name, ids.player_id FROM ids JOIN roster ON roster.match_id=ids.match_id AND roster.name=ids.name WHERE registered_id IS NULL"),
+    "u13_players": _docs("SELECT * FROM up", big="variant_count"),
+    "u14_variant_stats": _docs("SELECT count(*) FILTER (variant_count>1) AS players_with_variants, max(variant_count) FILTER (variant_count>1) AS max_variants FROM up", big="players_with_variants max_variants"),
+    "u15_synthetic_count": _docs("SELECT count(*) FILTER (starts_with(player_id,'SYNTH_')) AS synthetic_ids FROM up", big="synthetic_ids"),
+}
+
+# ---------------------------------------------------------------- raw profiling
+
+DESCRIBED = ["match_id", "batter_id", "wicket_kind", "is_wicket", "batter_runs", "extras", "total_runs"]
+_TEXTS = ("match_id", "batter_id", "wicket_kind", "is_wicket")
+_META_COLUMNS = (
+    "match_id data_version created_date revision match_type match_type_number gender teams team_type overs balls_per_over date city venue "
+    "season event_name event_group umpires referees toss_winner toss_decision outcome_winner outcome_result outcome_method outcome_by_runs "
+    "outcome_by_wickets player_of_match team1_players team2_players registry_count missing_fields has_innings_data innings_count "
+    "total_overs_recorded total_deliveries"
+).split()
+_META_WHOLE = (
+    "revision match_type_number overs balls_per_over outcome_by_runs outcome_by_wickets team1_players team2_players registry_count "
+    "innings_count total_overs_recorded total_deliveries"
+)
+
+
+def _describe(column: str) -> str:
+    if column not in _TEXTS:
+        return (
+            f"SELECT '{column}' AS \"column\", count({column}) AS \"count\", CAST(NULL AS BIGINT) AS \"unique\", CAST(NULL AS VARCHAR) AS top, CAST(NULL AS BIGINT) AS freq,"
+            f" avg({column}) AS mean, stddev_samp({column}) AS std, min({column}) AS min, max({column}) AS max FROM d"
+        )
+    counts = f"(SELECT CAST({column} AS VARCHAR) AS v, count(*) AS n FROM d WHERE {column} IS NOT NULL GROUP BY 1)"
+    return (
+        f"SELECT '{column}', sum(n), count(*), (SELECT v FROM {counts} y ORDER BY n DESC, v LIMIT 1), max(n),"
+        f" NULL, NULL, NULL, NULL FROM {counts} x"
+    )
+
+
+def _nulls(source: str, table: str, columns) -> str:
+    return " UNION ALL ".join(
+        f"SELECT '{table}' AS \"table\", '{c}' AS \"column\", count(*)-count({c}) AS null_count, count(*) AS total_rows,"
+        f" CAST(count(*)-count({c}) AS DOUBLE)*100/count(*) AS null_percentage FROM {source}"
+        for c in columns
+    )
+
+
+_INFO_KEYS = """concat_ws(',', CASE WHEN k%3<>0 THEN 'balls_per_over' END, CASE WHEN city IS NOT NULL THEN 'city' END, 'dates', CASE WHEN event_name IS NOT NULL THEN 'event' END,
+  'gender,match_type,match_type_number', CASE WHEN k%6=2 THEN 'missing' END, 'officials,outcome', CASE WHEN overs IS NOT NULL THEN 'overs' END,
+  CASE WHEN player_of_match IS NOT NULL THEN 'player_of_match' END, 'players,registry,season,team_type,teams,toss,venue')"""
+_INFO_VARIANTS = f"SELECT 'info' AS level, {_INFO_KEYS} AS keys, count(*) AS count FROM md GROUP BY 2"
+_VARIANTS = f"""SELECT 'top' AS level, 'info,innings,meta' AS keys, count(*) AS count FROM md UNION ALL {_INFO_VARIANTS}
+  UNION ALL SELECT 'innings', CASE WHEN powerplay_start_over IS NULL THEN 'overs,team' ELSE 'overs,powerplays,team' END, count(*) FROM i GROUP BY 2
+  UNION ALL SELECT 'over', 'deliveries,over', count(*) FROM o
+  UNION ALL SELECT 'delivery', concat_ws(',', 'batter,bowler', CASE WHEN extras>0 THEN 'extras' END, 'non_striker,runs', CASE WHEN is_wicket THEN 'wickets' END), count(*) FROM d GROUP BY 2"""
+_PRESENCE = """SELECT field, n AS deliveries, CAST(n AS DOUBLE)*100/(SELECT count(*) FROM d) AS percentage, CAST(n AS DOUBLE)*100/(SELECT count(*) FROM m) AS files_percentage,
+  CAST(n AS DOUBLE)/(SELECT count(*) FROM d)>=0.95 AS required FROM (SELECT unnest(['batter','bowler','non_striker','runs']) AS field, count(*) AS n FROM d
+  UNION ALL SELECT 'extras', count(*) FROM d WHERE extras>0 UNION ALL SELECT 'wickets', count(*) FROM d WHERE is_wicket) x WHERE n>0"""
+
+
+def _types() -> str:
+    always = {
+        "match_type": "str", "match_type_number": "int", "gender": "str", "season": "str", "venue": "str", "team_type": "str",
+        "teams": "list", "dates": "list", "officials": "dict", "toss": "dict", "outcome": "dict", "players": "dict", "registry": "dict",
+    }
+    parts = [f"SELECT 'info' AS section, '{f}' AS field, '{t}' AS type, count(*) AS count FROM md" for f, t in always.items()]
+    sometimes = {
+        "city": ("str", "city IS NOT NULL"), "overs": ("int", "overs IS NOT NULL"), "balls_per_over": ("int", "k%3<>0"),
+        "player_of_match": ("list", "player_of_match IS NOT NULL"), "missing": ("list", "k%6=2"), "event": ("str", "event_name IS NOT NULL"),
+    }
+    parts += [f"SELECT 'info', '{f}', '{t}', count(*) FROM md WHERE {w}" for f, (t, w) in sometimes.items()]
+    balls = {
+        "batter": "str", "bowler": "str", "non_striker": "str", "runs": "dict", "runs.batter": "int", "runs.extras": "int", "runs.total": "int",
+    }
+    parts += [f"SELECT 'delivery', '{f}', '{t}', count(*) FROM d" for f, t in balls.items()]
+    parts += [
+        "SELECT 'delivery', 'extras', 'dict', count(*) FROM d WHERE extras>0",
+        "SELECT 'delivery', 'wickets', 'list', count(*) FROM d WHERE is_wicket",
+        "SELECT 'delivery', 'extras.noballs', 'int', count(*) FROM d WHERE extras>0 AND (extras_type='noballs' OR extras_type='legbyes' AND ball_number%2=1)",
+    ]
+    parts += [f"SELECT 'delivery', 'extras.{t}', 'int', count(*) FROM d WHERE extras>0 AND extras_type='{t}'" for t in ("wides", "byes", "legbyes")]
+    return f"SELECT * FROM ({' UNION ALL '.join(parts)}) x WHERE count>0"
+
+
+def _similar(source: str, column: str, threshold: float, lower: bool, strict: bool = False, counts: bool = False) -> str:
+    text = f"lower({column})" if lower else column
+    names = f"(SELECT {column} AS name, {text} AS t, count(*) AS n FROM {source} WHERE {column} IS NOT NULL GROUP BY 1,2)"
+    test = f"similarity>{threshold} AND similarity<1.0" if strict else f"similarity>={threshold}"
+    extra = ", count1, count2" if counts else ""
+    return f"""SELECT name1, name2, similarity{extra} FROM (SELECT a.name AS name1, b.name AS name2, a.n AS count1, b.n AS count2,
+      1.0-CAST(levenshtein(a.t,b.t) AS DOUBLE)/greatest(length(a.t),length(b.t)) AS similarity FROM {names} a JOIN {names} b ON a.name<b.name) s WHERE {test}"""
+
+
+_P = {
+    "p01_doc_structure": _docs("""SELECT md.match_id, 'meta,info,innings' AS top_level_keys, '{"data_version":"1.0.0","created":"2024-01-01","revision":'||CAST(k%3 AS VARCHAR)||'}' AS meta, true AS has_innings,
+      (SELECT count(*) FROM i WHERE i.match_id=md.match_id) AS innings_count, f.batting_team AS first_innings_team, (SELECT count(*) FROM o WHERE o.innings_id=f.innings_id) AS first_innings_overs
+      FROM md JOIN (SELECT *, row_number() OVER (PARTITION BY match_id ORDER BY innings_number) AS rn FROM i) f ON f.match_id=md.match_id AND rn=1""", big="innings_count first_innings_overs"),
+    "p02_schema_variants": _docs(_VARIANTS, big="count"),
+    "p02_schema_variants_props": _shape("SELECT 'top' AS level, array_to_string(list_sort(json_keys(props)), ',') AS keys, count(*) AS count FROM events GROUP BY 2", ctes="", big="count"),
+    "p03_top_variants": _docs(f"SELECT * FROM ({_INFO_VARIANTS}) v ORDER BY count DESC, level, keys LIMIT 5", big="count"),
+    "p04_match_type_counts": _docs("SELECT match_type, count(*) AS count FROM md GROUP BY 1", big="count"),
+    "p05_reject_report": _shape("""SELECT 'error_count' AS key, CAST(count(*) AS VARCHAR) AS value FROM documents WHERE NOT json_valid(text)
+      UNION ALL SELECT * FROM (SELECT CAST(doc_id AS VARCHAR) AS k, substring(text,1,200) FROM documents WHERE NOT json_valid(text) ORDER BY 1 LIMIT 10) x""", ctes=""),
+    "p06_field_presence": _docs(_PRESENCE, big="deliveries", dbl="percentage files_percentage"),
+    "p07_match_metadata": _docs("SELECT * FROM meta", big=_META_WHOLE),
+    "p08_document_totals": _docs("SELECT match_id, total_overs_recorded, total_deliveries FROM meta", big="total_overs_recorded total_deliveries"),
+    "p09_describe_all": _shape(" UNION ALL ".join(_describe(c) for c in sorted(DESCRIBED, key=lambda c: c in _TEXTS)), big='"count" "unique" freq', dbl="mean std min max"),
+    "p10_null_profile": _docs(f"SELECT * FROM ({_nulls('meta', 'metadata', _META_COLUMNS)}) x WHERE null_count>0", big="null_count total_rows", dbl="null_percentage"),
+    "p11_empty_matches": _docs("SELECT count(*) AS matches, count(*) FILTER (NOT has_innings_data) AS empty FROM meta", big="matches empty"),
+    "p12_completeness_by_type": _docs("""SELECT match_type, count(*) AS count, sum(total_deliveries) AS total_deliveries, avg(innings_count) AS avg_innings,
+      avg(CASE WHEN city IS NULL THEN 100.0 ELSE 0 END) AS pct_null_city, avg(CASE WHEN venue IS NULL THEN 100.0 ELSE 0 END) AS pct_null_venue,
+      avg(CASE WHEN outcome_winner IS NULL THEN 0 ELSE 100.0 END) AS pct_with_winner, avg(CASE WHEN outcome_result IS NULL THEN 0 ELSE 100.0 END) AS pct_with_result,
+      avg(CASE WHEN player_of_match='' THEN 0 ELSE 100.0 END) AS pct_with_pom, avg(CASE WHEN missing_fields='' THEN 0 ELSE 100.0 END) AS pct_with_missing_fields FROM meta GROUP BY 1""",
+      big="count total_deliveries", dbl="avg_innings pct_null_city pct_null_venue pct_with_winner pct_with_result pct_with_pom pct_with_missing_fields"),
+    "p13_matches_per_year": _docs("SELECT year(try_cast(date AS DATE)) AS year, count(*) AS matches FROM meta WHERE try_cast(date AS DATE) IS NOT NULL GROUP BY 1", big="year matches"),
+    "p14_top_venues": _docs("SELECT venue, count(*) AS count FROM meta GROUP BY 1 ORDER BY 2 DESC, 1 LIMIT 20", big="count"),
+    "p14_top_team_pairs": _docs("SELECT teams, count(*) AS count FROM meta GROUP BY 1 ORDER BY 2 DESC, 1 LIMIT 20", big="count"),
+    "p15_similar_names": _shape(_similar("customer", "c_name", 0.9, True), ctes="", dbl="similarity"),
+    "p15_similar_venues": _docs(_similar("meta", "venue", 0.85, True), dbl="similarity"),
+    "p16_registry_stats": _docs("SELECT avg(registry_count) AS avg_players, min(registry_count) AS min_players, max(registry_count) AS max_players FROM meta", dbl="avg_players", big="min_players max_players"),
+    "p17_quality_issues": _docs("SELECT match_id, match_type, total_deliveries, team1_players, team2_players, registry_count FROM meta WHERE total_deliveries<10 OR team1_players<11 OR team2_players<11 OR registry_count<22",
+      big="total_deliveries team1_players team2_players registry_count"),
+    "p18_json_types": _docs(_types(), big="count"),
+    "p19_describe_runs": _shape(" UNION ALL ".join(
+        f"""SELECT '{c}' AS "column", count({c}) AS "count", avg({c}) AS mean, stddev_samp({c}) AS std, min({c}) AS min, quantile_cont({c},0.25) AS p25, quantile_cont({c},0.5) AS p50, quantile_cont({c},0.75) AS p75, max({c}) AS max FROM d"""
+        for c in ("batter_runs", "extras", "total_runs")), big='"count" min max', dbl="mean std p25 p50 p75"),
+    "p20_suspicious_deliveries": _named("SELECT match_id, coalesce(batter,'unknown') AS batter, coalesce(bowler,'unknown') AS bowler, batter_runs, extras, total_runs FROM nd WHERE total_runs>7", big="batter_runs extras total_runs"),
+    "p21_run_share": _shape("SELECT v AS total_runs, (SELECT avg(CASE WHEN total_runs=v THEN 100.0 ELSE 0 END) FROM d) AS percentage FROM (SELECT unnest(generate_series(0,7)) AS v) x", big="total_runs", dbl="percentage"),
+    "p22_runs_distribution": _shape("SELECT total_runs, count(*) AS count FROM d GROUP BY 1 ORDER BY 2 DESC, 1 LIMIT 5", big="total_runs count"),
+    "p23_over_stats_by_type": _shape("SELECT match_type, count(*) AS count, avg(num_deliveries) AS mean, stddev_pop(num_deliveries) AS std, min(num_deliveries) AS min, max(num_deliveries) AS max FROM o JOIN i ON i.innings_id=o.innings_id JOIN m ON m.match_id=i.match_id GROUP BY 1",
+      big="count min max", dbl="mean std"),
+    "p24_outlier_overs": _shape("SELECT m.match_id, match_type, 6 AS expected, over_number, num_deliveries AS deliveries FROM o JOIN i ON i.innings_id=o.innings_id JOIN m ON m.match_id=i.match_id WHERE num_deliveries>8", big="expected over_number deliveries"),
+    "p25_profile_summary": _docs("""SELECT 'total_files' AS key, count(*) AS value FROM meta UNION ALL SELECT 'files_processed', count(*) FROM meta UNION ALL SELECT 'files_rejected', 0
+      UNION ALL SELECT 'match_types', count(DISTINCT match_type) FROM meta UNION ALL SELECT 'matches_with_data', count(*) FROM meta UNION ALL SELECT 'matches_with_innings', count(*) FILTER (innings_count>0) FROM meta""", big="value"),
+}
+
+# ---------------------------------------------------------------- table quality
+
+RANGES = RANGE_SPEC
+_SOURCES = {"deliveries": "d", "matches": "m", "innings": "i", "overs": "o", "players": "p"}
+_COLUMNS = {
+    "deliveries": "delivery_id over_id innings_id match_id over_number ball_number batter_id bowler_id non_striker_id batter_runs extras total_runs extras_type extras_value is_wicket wicket_kind wicket_player_out_id wicket_fielder_id".split(),
+    "matches": "match_id date venue match_type overs team1 team2 outcome_winner outcome_by_runs outcome_by_wickets outcome_method player_of_match_id".split(),
+    "innings": "innings_id match_id innings_number batting_team bowling_team powerplay_start_over powerplay_end_over".split(),
+    "overs": "over_id innings_id over_number total_runs wickets num_deliveries total_extras".split(),
+    "players": "player_id player_name".split(),
+}
+# Columns whose type changes: all whole numbers here start as INT, sums and counts as BIGINT.
+_CHANGED = [
+    (t, c, "bigint" if t == "overs" and c != "over_number" else "int", kind)
+    for t, spec in RETYPE_SPEC.items() for c, kind in spec.items() if kind in ("tinyint", "smallint")
+]
+
+
+def _ranges(table: str, column: str, cast: str = "") -> str:
+    value = f"TRY_CAST({column} AS {cast})" if cast else column
+    return (
+        f"SELECT '{table}' AS \"table\", '{column}' AS \"column\", CAST(min({value}) AS VARCHAR) AS min_value,"
+        f" CAST(max({value}) AS VARCHAR) AS max_value FROM {_SOURCES[table]}"
+    )
+
+
+_CHANGED_VALUES = ", ".join(f"('{t}','{c}','{a}','{b}')" for t, c, a, b in _CHANGED)
+_CHANGED_ROWS = f'SELECT * FROM (VALUES {_CHANGED_VALUES}) v("table", "column", type_before, type_after)'
+_ROWS = " UNION ALL ".join(f"SELECT '{t}' AS \"table\", count(*) AS n FROM {s}" for t, s in _SOURCES.items())
+_WIDTHS = "SELECT * FROM (VALUES ('deliveries',225,184),('innings',88,81),('matches',152,139),('overs',72,45),('players',32,32)) v(\"table\", b, a)"
+_MATCH_OVERS = """SELECT m.match_id, m.match_type, m.overs AS declared_overs, max(o.over_number)+1 AS max_over_number, count(DISTINCT o.over_id) AS actual_overs_count, m.outcome_winner
+  FROM m JOIN i ON m.match_id=i.match_id JOIN o ON i.innings_id=o.innings_id GROUP BY 1,2,3,6"""
+_SEEN = """SELECT DISTINCT batter AS player_name FROM nd UNION SELECT bowler FROM nd UNION SELECT non_striker FROM nd UNION SELECT wicket_player_out FROM nd WHERE wicket_player_out IS NOT NULL"""
+_SEEN_ALL = _SEEN + " UNION SELECT wicket_fielder FROM nd WHERE wicket_fielder IS NOT NULL"
+
+
+def _issues(seen: str) -> str:
+    return f"""SELECT s.player_name, count(DISTINCT np.player_id) AS id_count FROM ({seen}) s LEFT JOIN np ON np.player_name=s.player_name GROUP BY 1 HAVING count(DISTINCT np.player_id)<>1"""
+
+
+_PAIRS = "SELECT batter_id AS player_id, batter AS player_name FROM nd UNION ALL SELECT bowler_id, bowler FROM nd UNION ALL SELECT non_striker_id, non_striker FROM nd UNION ALL SELECT wicket_player_out_id, wicket_player_out FROM nd WHERE wicket_player_out_id IS NOT NULL UNION ALL SELECT wicket_fielder_id, wicket_fielder FROM nd WHERE wicket_fielder_id IS NOT NULL"
+_MANY = f"SELECT player_id, count(DISTINCT player_name) AS name_count, string_agg(DISTINCT player_name, ', ' ORDER BY player_name) AS names FROM ({_PAIRS}) x GROUP BY 1 HAVING count(DISTINCT player_name)>1"
+_HEALTH = r"""SELECT 'documents' AS "table", c AS "column", cls AS class, n AS values, CAST(n AS DOUBLE)*100/sum(n) OVER (PARTITION BY c) AS percentage FROM (SELECT c, CASE WHEN contains(v, chr(65533)) THEN 'replacement_char'
+  WHEN regexp_matches(v, 'Ã[\x{80}-\x{BF}]|Â[\x{80}-\x{BF}]|â€') THEN 'mojibake' WHEN regexp_matches(v, '[^\x00-\x7F]') THEN 'non_ascii' ELSE 'ascii' END AS cls, count(*) AS n
+  FROM (SELECT 'text' AS c, text AS v FROM documents UNION ALL SELECT 'lang', lang FROM documents UNION ALL SELECT 'source', source FROM documents) x WHERE v IS NOT NULL GROUP BY 1,2) y"""
+_BALL = "delivery_id, match_id, batter, bowler, batter_runs, extras, total_runs"
+
+_Q = {
+    "q01_table_shape": _shape(" UNION ALL ".join(f"SELECT '{t}' AS \"table\", count(*) AS rows, {len(_COLUMNS[t])} AS columns FROM {s}" for t, s in _SOURCES.items()), big="rows columns"),
+    "q01_sample": _shape("SELECT * FROM d ORDER BY delivery_id LIMIT 20", big="over_number ball_number batter_runs extras total_runs extras_value"),
+    "q02_column_ranges": _shape(" UNION ALL ".join(_ranges(t, c) for t, cs in RANGES.items() for c in cs)),
+    "q03_retype": _shape("SELECT delivery_id, TRY_CAST(total_runs*20 AS TINYINT) AS worth, over_number, ball_number FROM d", big="worth over_number ball_number"),
+    "q03_retype_losses": _shape("SELECT 'over_number' AS \"column\", 'tinyint' AS type, count(*) FILTER (over_number>127) AS lost FROM d UNION ALL SELECT 'ball_number', 'tinyint', count(*) FILTER (ball_number>127) FROM d UNION ALL SELECT 'worth', 'tinyint', count(*) FILTER (total_runs*20>127) FROM d", big="lost"),
+    "q04_schema_diff": _shape(f"SELECT v.\"table\", v.\"column\", type_before, type_after, true AS changed, min_value, max_value FROM ({_CHANGED_ROWS}) v JOIN ({' UNION ALL '.join(_ranges(t, c, k) for t, c, _, k in _CHANGED)}) r ON r.\"table\"=v.\"table\" AND r.\"column\"=v.\"column\""),
+    "q05_conversion_summary": _shape(f"SELECT type_before, type_after, count(*) AS columns, sum(n) AS values, CAST(count(*) AS DOUBLE)*100/{sum(len(c) for c in _COLUMNS.values())} AS column_share FROM ({_CHANGED_ROWS}) v JOIN ({_ROWS}) r ON r.\"table\"=v.\"table\" GROUP BY 1,2", big="columns values", dbl="column_share"),
+    "q06_storage_estimate": _shape(f"SELECT w.\"table\", n AS row_count, b*n AS bytes_before, a*n AS bytes_after, (b-a)*n AS savings, CAST((b-a)*n AS DOUBLE)*100/(b*n) AS savings_pct FROM ({_WIDTHS}) w JOIN ({_ROWS}) r ON r.\"table\"=w.\"table\"", big="row_count bytes_before bytes_after savings", dbl="savings_pct"),
+    "q07_null_profile": _shape(" UNION ALL ".join(_nulls(s, t, _COLUMNS[t]) for t, s in _SOURCES.items()), big="null_count total_rows", dbl="null_percentage"),
+    "q08_venue_counts": _shape("SELECT venue, count(*) AS count FROM m WHERE venue IS NOT NULL GROUP BY 1", big="count"),
+    "q09_similar_venues": _shape(_similar("m", "venue", 0.8, False, True, True), dbl="similarity", big="count1 count2"),
+    "q09_similar_urls": _shape(_similar("pages", "url", 0.8, False, True, True), ctes="", dbl="similarity", big="count1 count2"),
+    "q10_invalid_runs": _named("SELECT delivery_id, batter, bowler, match_id, batter_runs FROM nd WHERE batter_runs>7 ORDER BY batter_runs DESC, delivery_id LIMIT 10", big="batter_runs"),
+    "q10_invalid_runs_count": _shape("SELECT count(*) AS count_invalid FROM d WHERE batter_runs>7", big="count_invalid"),
+    "q11_seven_run_share": _shape("SELECT count(*) AS count_7_runs, (SELECT count(*) FROM d) AS total_deliveries, CAST(count(*) AS DOUBLE)*100/(SELECT count(*) FROM d) AS percentage FROM d WHERE batter_runs=7", big="count_7_runs total_deliveries", dbl="percentage"),
+    "q12_match_overs_stats": _shape(f"""SELECT match_type, count(*) AS matches, avg(CAST(declared_overs AS DOUBLE)) AS avg_declared_overs, avg(max_over_number) AS avg_max_over, avg(actual_overs_count) AS avg_actual_overs,
+      count(*) FILTER (outcome_winner IS NULL) AS no_result_matches, count(*) FILTER (actual_overs_count<CAST(declared_overs AS DOUBLE)*0.7 AND outcome_winner IS NOT NULL) AS shortened_with_result
+      FROM ({_MATCH_OVERS}) x WHERE declared_overs IS NOT NULL AND match_type IN {_LIMITED} GROUP BY 1""", big="matches no_result_matches shortened_with_result", dbl="avg_declared_overs avg_max_over avg_actual_overs"),
+    "q13_overs_exceeded": _shape(f"""SELECT * FROM ({_MATCH_OVERS}) x WHERE declared_overs IS NOT NULL AND match_type IN {_LIMITED} AND max_over_number>CAST(declared_overs AS DOUBLE)*1.1
+      ORDER BY max_over_number-declared_overs DESC, match_id LIMIT 10""", big="max_over_number actual_overs_count", dbl="declared_overs"),
+    "q13_overs_exceeded_count": _shape(f"SELECT count(*) AS matches_exceeded FROM ({_MATCH_OVERS}) x WHERE declared_overs IS NOT NULL AND match_type IN {_LIMITED} AND max_over_number>CAST(declared_overs AS DOUBLE)*1.1", big="matches_exceeded"),
+    "q14_over_length_dist": _shape("SELECT num_deliveries, count(*) AS over_count, CAST(count(*) AS DOUBLE)*100/(SELECT count(*) FROM o) AS percentage FROM o GROUP BY 1", big="num_deliveries over_count", dbl="percentage"),
+    "q15_batter_run_dist": _shape("SELECT batter_runs, count(*) AS frequency FROM d GROUP BY 1", big="batter_runs frequency"),
+    "q16_run_outliers": _named(f"SELECT {_BALL} FROM nd WHERE batter_runs>6 ORDER BY batter_runs DESC, delivery_id LIMIT 100", big="batter_runs extras total_runs"),
+    "q17_extras_dist": _shape("SELECT extras_type, count(*) AS frequency, avg(extras_value) AS avg_value, max(extras_value) AS max_value FROM d WHERE extras>0 GROUP BY 1", big="frequency max_value", dbl="avg_value"),
+    "q18_high_totals": _named(f"SELECT {_BALL} FROM nd WHERE total_runs>7 ORDER BY total_runs DESC, delivery_id LIMIT 100", big="batter_runs extras total_runs"),
+    "q19_over_length_by_type": _shape("SELECT match_type, avg(num_deliveries) AS avg_deliveries_per_over, min(num_deliveries) AS min_deliveries, max(num_deliveries) AS max_deliveries, count(*) AS over_count FROM o JOIN i ON i.innings_id=o.innings_id JOIN m ON m.match_id=i.match_id GROUP BY 1", dbl="avg_deliveries_per_over", big="min_deliveries max_deliveries over_count"),
+    "q20_long_overs": _shape("SELECT over_id, m.match_id, match_type, batting_team, bowling_team, over_number, num_deliveries, total_runs, wickets FROM o JOIN i ON i.innings_id=o.innings_id JOIN m ON m.match_id=i.match_id WHERE num_deliveries>5 ORDER BY num_deliveries DESC, over_id LIMIT 100", big="over_number num_deliveries total_runs wickets"),
+    "q21_over_length_factors": _shape("""SELECT num_deliveries, count(*) AS over_count, avg(e) AS avg_extras, avg(w) AS avg_wickets, avg(r) AS avg_runs FROM (SELECT o.over_id, o.num_deliveries, count(CASE WHEN d.extras>0 THEN 1 END) AS e, count(CASE WHEN d.is_wicket THEN 1 END) AS w, sum(d.total_runs) AS r
+      FROM o JOIN d ON d.over_id=o.over_id GROUP BY 1,2) x GROUP BY 1""", big="num_deliveries over_count", dbl="avg_extras avg_wickets avg_runs"),
+    "q22_names_seen": _named(_SEEN_ALL),
+    "q22_names_seen_reduced": _named(_SEEN),
+    "q23_player_id_issues": _named(_issues(_SEEN_ALL), big="id_count"),
+    "q23_player_id_issues_reduced": _named(_issues(_SEEN), big="id_count"),
+    "q24_multiple_ids": _named(f"SELECT s.player_name, id_count, (SELECT string_agg(player_id, ', ' ORDER BY player_id) FROM np WHERE np.player_name=s.player_name) AS player_ids FROM ({_issues(_SEEN_ALL)}) s WHERE id_count>1", big="id_count"),
+    "q25_missing_id_matches": _named(f"SELECT player_name, greatest((SELECT count(DISTINCT match_id) FROM nd WHERE batter=s.player_name), (SELECT count(DISTINCT match_id) FROM nd WHERE bowler=s.player_name)) AS matches_played FROM ({_issues(_SEEN_ALL)}) s WHERE id_count=0", big="matches_played"),
+    "q26_ids_with_many_names": _named(_MANY, big="name_count"),
+    "q27_name_variant_counts": _named(f"SELECT player_id, player_name, count(*) AS occurrence_count FROM ({_PAIRS}) x WHERE player_id IN (SELECT player_id FROM ({_MANY}) z) GROUP BY 1,2", big="occurrence_count"),
+    "q28_player_consistency": _named(f"""SELECT 'total_unique_players' AS key, CAST((SELECT count(DISTINCT player_name) FROM ({_SEEN_ALL}) s) AS DOUBLE) AS value UNION ALL SELECT 'total_players_with_ids', (SELECT count(DISTINCT player_name) FROM np)
+      UNION ALL SELECT 'players_missing_ids', (SELECT count(*) FROM ({_issues(_SEEN_ALL)}) s WHERE id_count=0) UNION ALL SELECT 'players_with_multiple_ids', (SELECT count(*) FROM ({_issues(_SEEN_ALL)}) s WHERE id_count>1)
+      UNION ALL SELECT 'ids_with_multiple_names', 0 UNION ALL SELECT 'missing_ids_pct', (SELECT CAST(count(*) AS DOUBLE)*100 FROM ({_issues(_SEEN_ALL)}) s WHERE id_count=0)/(SELECT count(DISTINCT player_name) FROM ({_SEEN_ALL}) s)
+      UNION ALL SELECT 'multiple_ids_pct', (SELECT CAST(count(*) AS DOUBLE)*100 FROM ({_issues(_SEEN_ALL)}) s WHERE id_count>1)/(SELECT count(DISTINCT player_name) FROM ({_SEEN_ALL}) s)""", dbl="value"),
+    "q28_reduced_consistency": _named(f"""SELECT 'players_missing_ids' AS key, (SELECT count(*) FROM ({_SEEN}) s WHERE player_name NOT IN (SELECT player_name FROM np)) AS value
+      UNION ALL SELECT 'players_with_multiple_ids', (SELECT count(*) FROM (SELECT player_name FROM np GROUP BY 1 HAVING count(DISTINCT player_id)>1) z) UNION ALL SELECT 'synthetic_player_ids', (SELECT count(*) FROM np WHERE starts_with(player_id,'SYNTH_'))""", big="value"),
+    "q29_text_health": _shape(_HEALTH, ctes="", big="values", dbl="percentage"),
+    "q30_text_health_issues": _shape(f"SELECT \"table\", \"column\", count(*) AS classes FROM ({_HEALTH}) z GROUP BY 1,2 HAVING count(*)>1", ctes="", big="classes"),
+    "q31_summary": _shape(" UNION ALL ".join(f"SELECT 'rows' AS section, '{t}' AS key, CAST(count(*) AS VARCHAR) AS value FROM {s}" for t, s in _SOURCES.items())
+      + " UNION ALL SELECT 'match_types', match_type, CAST(count(*) AS VARCHAR) FROM m GROUP BY 2 UNION ALL SELECT 'date_range', 'earliest', CAST(min(date) AS VARCHAR) FROM m UNION ALL SELECT 'date_range', 'latest', CAST(max(date) AS VARCHAR) FROM m"),
+}
+
+# ---------------------------------------------------------------- sinks
+
+_INNINGS_TYPES = {"big": "innings_number", "dbl": "powerplay_start_over powerplay_end_over"}
+_S = {
+    "s04_write_replace": _shape("SELECT * FROM i", **_INNINGS_TYPES),
+    "s05_write_if_absent": _shape("SELECT * FROM i", **_INNINGS_TYPES),
+    "s06_layout": _shape("SELECT delivery_id, total_runs FROM d JOIN m ON m.match_id=d.match_id WHERE match_type='Test'", big="total_runs"),
+    "s07_csv": _shape("SELECT over_id, total_runs, wickets FROM o", big="total_runs wickets"),
+    "s08_report": _shape(" UNION ALL ".join(f"SELECT 'rows' AS section, '{t}.rows' AS key, CAST(count(*) AS VARCHAR) AS value FROM {s}" for t, s in _SOURCES.items())),
+}
+
+
 def oracles() -> dict[str, str]:
-    return {**_F, **_L, **_M}
+    return {**_F, **_L, **_M, **_U, **_P, **_Q, **_S}

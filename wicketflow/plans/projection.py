@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from wicketflow.schema import document_schema
+from wicketflow.scratch import stage
 
 FLAT = """
 WITH l0 AS (
@@ -79,17 +80,33 @@ roster0 AS (SELECT match_id, mnum, batter_id AS player_id FROM n0 UNION SELECT m
   UNION SELECT match_id, mnum, player_of_match_id FROM pom WHERE player_of_match_id IS NOT NULL),
 roster AS (SELECT match_id, mnum, split_part(player_id,'_',1) AS team, {_name('player_id', 'mnum')} AS name,
   CASE WHEN split_part(player_id,'_',2)='10' OR (mnum%5=0 AND split_part(player_id,'_',2)='2') OR (mnum%7=2 AND split_part(player_id,'_',2)='3') THEN NULL
-       WHEN split_part(player_id,'_',2)='3' AND mnum%2=1 THEN concat(player_id, 'x') ELSE player_id END AS registered_id FROM roster0)
+       WHEN split_part(player_id,'_',2)='3' AND mnum%2=1 THEN concat(player_id, 'x') ELSE player_id END AS registered_id FROM roster0),
+dates AS (SELECT match_id, CASE WHEN CAST(substring(match_id,2) AS INT)%11=4 THEN NULL ELSE date END AS date FROM m),
+listed AS (SELECT roster.match_id, dates.date, name, registered_id FROM roster JOIN dates ON dates.match_id=roster.match_id WHERE registered_id IS NOT NULL),
+latest AS (SELECT name, registered_id AS latest_id FROM (SELECT name, registered_id, row_number() OVER (PARTITION BY name ORDER BY date DESC NULLS LAST, match_id DESC) AS rn FROM listed) x WHERE rn=1),
+unknown AS (SELECT DISTINCT roster.name FROM roster LEFT JOIN latest ON latest.name=roster.name WHERE registered_id IS NULL AND latest_id IS NULL),
+numbered AS (SELECT name, concat('SYNTH_', CAST(999999+row_number() OVER (ORDER BY md5(name), name) AS STRING)) AS number_id FROM unknown),
+ids AS (SELECT roster.match_id, roster.name, coalesce(registered_id, latest_id, number_id) AS player_id FROM roster
+  LEFT JOIN latest ON latest.name=roster.name LEFT JOIN numbered ON numbered.name=roster.name),
+nd AS (SELECT n.*, i1.player_id AS batter_id, i2.player_id AS bowler_id, i3.player_id AS non_striker_id, i4.player_id AS wicket_player_out_id, i5.player_id AS wicket_fielder_id FROM n
+  LEFT JOIN ids i1 ON i1.match_id=n.match_id AND i1.name=n.batter LEFT JOIN ids i2 ON i2.match_id=n.match_id AND i2.name=n.bowler
+  LEFT JOIN ids i3 ON i3.match_id=n.match_id AND i3.name=n.non_striker LEFT JOIN ids i4 ON i4.match_id=n.match_id AND i4.name=n.wicket_player_out
+  LEFT JOIN ids i5 ON i5.match_id=n.match_id AND i5.name=n.wicket_fielder),
+np AS (SELECT registered_id AS player_id, max(name) AS player_name FROM roster WHERE registered_id IS NOT NULL GROUP BY registered_id)
 """
 
 ALL = FLAT.rstrip() + NAMED
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """One of the projected tables ``d m i o p`` (flat) or ``n pom roster`` (with names)."""
+    """One of the projected tables ``d m i o p`` (flat) or ``n nd np pom roster`` (with names)."""
     text = (FLAT if name in ("d", "m", "i", "o", "p") else ALL) + f"SELECT * FROM {name}"
-    lineitem = spark.read.parquet(f"{sf_dir}/lineitem.parquet")
-    return spark.sql(text.replace("FROM lineitem", "FROM {lineitem}"), lineitem=lineitem)
+    inputs = {"lineitem": spark.read.parquet(f"{sf_dir}/lineitem.parquet")}
+    if name == "nd":
+        # The names with their ids are joined five times: stored once, they are read five times.
+        inputs["ids"] = stage(spark, table(spark, sf_dir, "ids"))
+        text = text.replace("JOIN ids ", "JOIN {ids} ")
+    return spark.sql(text.replace("FROM lineitem", "FROM {lineitem}"), **inputs)
 
 
 def flat_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
@@ -226,3 +243,8 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     casts = [F.col(f.name).cast(f.dataType).alias(f.name) for f in document_schema().fields]
     return docs.select(*casts, "match_id")
+
+
+def raw_documents(docs: DataFrame) -> DataFrame:
+    """Documents as JSON text; fields that are NULL are left out."""
+    return docs.select("match_id", F.to_json(F.struct("meta", "info", "innings")).alias("raw"))
