@@ -148,10 +148,11 @@ def _raw(build: Callable[[DataFrame], DataFrame]) -> Query:
 
 
 def _named(build: Callable[[DataFrame, DataFrame], DataFrame]) -> Query:
-    """A query on deliveries with names and ids, and a players table."""
+    """A query on stored deliveries with names and ids, and a stored players table."""
 
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        return tidy(build(projection.table(spark, sf_dir, "nd"), projection.table(spark, sf_dir, "np")))
+        deliveries, players = (stage(spark, projection.table(spark, sf_dir, n)) for n in ("nd", "np"))
+        return tidy(build(deliveries, players))
 
     return run
 

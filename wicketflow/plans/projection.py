@@ -63,49 +63,75 @@ def _name(player: str, match: str) -> str:
     )
 
 
-# Names and the registry of each match. Some players are missing from the registry of a match,
-# some from all, and some carry another id in every second match.
-NAMED = f"""
+# Deliveries with names instead of ids, and the player of each match.
+_NAMES = f"""
 , n0 AS (SELECT *, CAST(substring(match_id,2) AS INT) AS mnum FROM d),
 n AS (SELECT delivery_id, over_id, innings_id, match_id, mnum, over_number, ball_number,
   {_name('batter_id', 'mnum')} AS batter, {_name('bowler_id', 'mnum')} AS bowler,
   {_name('non_striker_id', 'mnum')} AS non_striker, batter_runs, extras, total_runs, extras_type, extras_value, is_wicket, wicket_kind,
   {_name('wicket_player_out_id', 'mnum')} AS wicket_player_out, {_name('wicket_fielder_id', 'mnum')} AS wicket_fielder FROM n0),
 pom AS (SELECT match_id, mnum, {_name('player_of_match_id', 'mnum')} AS player_of_match, player_of_match_id
-  FROM (SELECT match_id, player_of_match_id, CAST(substring(match_id,2) AS INT) AS mnum FROM m) x),
-roster0 AS (SELECT match_id, mnum, batter_id AS player_id FROM n0 UNION SELECT match_id, mnum, bowler_id FROM n0
+  FROM (SELECT match_id, player_of_match_id, CAST(substring(match_id,2) AS INT) AS mnum FROM m) x)
+"""
+
+# The registry of each match. Some players are missing from the registry of a match, some from
+# all, and some carry another id in every second match.
+_ROSTER = f"""
+, roster0 AS (SELECT match_id, mnum, batter_id AS player_id FROM n0 UNION SELECT match_id, mnum, bowler_id FROM n0
   UNION SELECT match_id, mnum, non_striker_id FROM n0
   UNION SELECT match_id, mnum, wicket_player_out_id FROM n0 WHERE wicket_player_out_id IS NOT NULL
   UNION SELECT match_id, mnum, wicket_fielder_id FROM n0 WHERE wicket_fielder_id IS NOT NULL
   UNION SELECT match_id, mnum, player_of_match_id FROM pom WHERE player_of_match_id IS NOT NULL),
 roster AS (SELECT match_id, mnum, split_part(player_id,'_',1) AS team, {_name('player_id', 'mnum')} AS name,
   CASE WHEN split_part(player_id,'_',2)='10' OR (mnum%5=0 AND split_part(player_id,'_',2)='2') OR (mnum%7=2 AND split_part(player_id,'_',2)='3') THEN NULL
-       WHEN split_part(player_id,'_',2)='3' AND mnum%2=1 THEN concat(player_id, 'x') ELSE player_id END AS registered_id FROM roster0),
-dates AS (SELECT match_id, CASE WHEN CAST(substring(match_id,2) AS INT)%11=4 THEN NULL ELSE date END AS date FROM m),
+       WHEN split_part(player_id,'_',2)='3' AND mnum%2=1 THEN concat(player_id, 'x') ELSE player_id END AS registered_id FROM roster0)
+"""
+
+# The id of each name in each match.
+_IDS = """
+, dates AS (SELECT match_id, CASE WHEN CAST(substring(match_id,2) AS INT)%11=4 THEN NULL ELSE date END AS date FROM m),
 listed AS (SELECT roster.match_id, dates.date, name, registered_id FROM roster JOIN dates ON dates.match_id=roster.match_id WHERE registered_id IS NOT NULL),
 latest AS (SELECT name, registered_id AS latest_id FROM (SELECT name, registered_id, row_number() OVER (PARTITION BY name ORDER BY date DESC NULLS LAST, match_id DESC) AS rn FROM listed) x WHERE rn=1),
 unknown AS (SELECT DISTINCT roster.name FROM roster LEFT JOIN latest ON latest.name=roster.name WHERE registered_id IS NULL AND latest_id IS NULL),
 numbered AS (SELECT name, concat('SYNTH_', CAST(999999+row_number() OVER (ORDER BY md5(name), name) AS STRING)) AS number_id FROM unknown),
 ids AS (SELECT roster.match_id, roster.name, coalesce(registered_id, latest_id, number_id) AS player_id FROM roster
-  LEFT JOIN latest ON latest.name=roster.name LEFT JOIN numbered ON numbered.name=roster.name),
-nd AS (SELECT n.*, i1.player_id AS batter_id, i2.player_id AS bowler_id, i3.player_id AS non_striker_id, i4.player_id AS wicket_player_out_id, i5.player_id AS wicket_fielder_id FROM n
+  LEFT JOIN latest ON latest.name=roster.name LEFT JOIN numbered ON numbered.name=roster.name)
+"""
+
+# Deliveries with names and ids, and a table of players.
+_IDENTIFIED = """
+, nd AS (SELECT n.*, i1.player_id AS batter_id, i2.player_id AS bowler_id, i3.player_id AS non_striker_id, i4.player_id AS wicket_player_out_id, i5.player_id AS wicket_fielder_id FROM n
   LEFT JOIN ids i1 ON i1.match_id=n.match_id AND i1.name=n.batter LEFT JOIN ids i2 ON i2.match_id=n.match_id AND i2.name=n.bowler
   LEFT JOIN ids i3 ON i3.match_id=n.match_id AND i3.name=n.non_striker LEFT JOIN ids i4 ON i4.match_id=n.match_id AND i4.name=n.wicket_player_out
-  LEFT JOIN ids i5 ON i5.match_id=n.match_id AND i5.name=n.wicket_fielder),
-np AS (SELECT registered_id AS player_id, max(name) AS player_name FROM roster WHERE registered_id IS NOT NULL GROUP BY registered_id)
+  LEFT JOIN ids i5 ON i5.match_id=n.match_id AND i5.name=n.wicket_fielder)
+"""
+_PLAYERS = """
+, np AS (SELECT registered_id AS player_id, max(name) AS player_name FROM roster WHERE registered_id IS NOT NULL GROUP BY registered_id)
 """
 
-ALL = FLAT.rstrip() + NAMED
+ALL = "".join(part.rstrip() for part in (FLAT, _NAMES, _ROSTER, _IDS, _IDENTIFIED, _PLAYERS)) + "\n"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """One of the projected tables ``d m i o p`` (flat) or ``n nd np pom roster`` (with names)."""
-    text = (FLAT if name in ("d", "m", "i", "o", "p") else ALL) + f"SELECT * FROM {name}"
+    """One of the projected tables ``d m i o p`` (flat) or ``n nd np ids pom roster`` (with names).
+
+    ``roster`` and ``ids`` are small and used many times over, so they are stored before the
+    tables that need them.
+    """
     inputs = {"lineitem": spark.read.parquet(f"{sf_dir}/lineitem.parquet")}
-    if name == "nd":
-        # The names with their ids are joined five times: stored once, they are read five times.
+    if name in ("d", "m", "i", "o", "p"):
+        parts = [FLAT]
+    elif name in ("n", "pom"):
+        parts = [FLAT, _NAMES]
+    elif name == "roster":
+        parts = [FLAT, _NAMES, _ROSTER]
+    elif name == "nd":
         inputs["ids"] = stage(spark, table(spark, sf_dir, "ids"))
-        text = text.replace("JOIN ids ", "JOIN {ids} ")
+        parts = [FLAT, _NAMES, ", ids AS (SELECT * FROM {ids})", _IDENTIFIED]
+    else:
+        inputs["roster"] = stage(spark, table(spark, sf_dir, "roster"))
+        parts = [FLAT, ", roster AS (SELECT * FROM {roster})", _IDS, _PLAYERS]
+    text = "\n".join([*parts, f"SELECT * FROM {name}"])
     return spark.sql(text.replace("FROM lineitem", "FROM {lineitem}"), **inputs)
 
 
