@@ -116,25 +116,28 @@ def similar_names(
     names = names.select("name", (F.lower("name") if lower else F.col("name")).alias("text"))
     signatures = _signatures(names, limit, kind, q)
 
-    left, right = signatures.alias("a"), signatures.alias("b")
+    # A merge join: signatures are many more than names, so the planner's estimate from the
+    # names must not lead to a broadcast, and a hot key can be split at run time.
+    left, right = signatures.alias("a").hint("merge"), signatures.alias("b")
     a, b = (lambda c: F.col(f"a.{c}")), (lambda c: F.col(f"b.{c}"))
     met = (
         (a("low") == b("low")) & (a("high") == b("high")) & (a("token") == b("token"))
         & (a("len") == a("low")) & (b("len") == b("high"))
         & F.when(a("low") == a("high"), a("name") < b("name")).otherwise(F.lit(True))
         & (F.abs(a("at") - b("at")) <= a("edits"))
-        & (F.expr("levenshtein(a.text, b.text, a.edits)") >= 0)
     )
-    ordered = lambda f, g: F.when(a("name") < b("name"), f).otherwise(g)
-    pairs = left.join(right, met).select(
-        ordered(a("name"), b("name")).alias("name1"), ordered(b("name"), a("name")).alias("name2"),
-        ordered(a("text"), b("text")).alias("text1"), ordered(b("text"), a("text")).alias("text2"),
-    ).distinct()
-
+    # The bounded distance stops early and is -1 beyond the bound.
+    distance = F.expr("levenshtein(a.text, b.text, a.edits)")
+    ordered = lambda c: [
+        F.when(a("name") < b("name"), a(c)).otherwise(b(c)).alias(f"{c}1"),
+        F.when(a("name") < b("name"), b(c)).otherwise(a(c)).alias(f"{c}2"),
+    ]
+    near = left.join(right, met).withColumn("distance", distance).where(F.col("distance") >= 0)
     if kind == "edit":
-        longer = F.greatest(F.length("text1"), F.length("text2"))
-        similarity = F.lit(1.0) - F.levenshtein("text1", "text2").cast("double") / longer
+        pairs = near.select(*ordered("name"), "distance", a("high").alias("longer")).distinct()
+        similarity = F.lit(1.0) - F.col("distance").cast("double") / F.col("longer")
     else:
+        pairs = near.select(*ordered("name"), *ordered("text")).distinct()
         similarity = _sequence_ratio("text1", "text2")
         if measure == "rounded":
             similarity = F.bround(similarity * 100, 0) / 100
