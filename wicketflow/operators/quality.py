@@ -37,6 +37,15 @@ def retype_losses(df: DataFrame, spec: dict[str, str]) -> DataFrame:
     return row.select(F.inline(F.array(*entries)))
 
 
+def fitting_spec(df: DataFrame, spec: dict[str, str]) -> dict[str, str]:
+    """The part of ``spec`` by which no value would be lost. One pass; a row per listed column."""
+    wanted = {c: t for c, t in spec.items() if c in df.columns}
+    if not wanted:
+        return {}
+    fits = {row["column"] for row in retype_losses(df, wanted).collect() if row["lost"] == 0}
+    return {c: t for c, t in wanted.items() if c in fits}
+
+
 def schema_diff(before: DataFrame, after: DataFrame) -> DataFrame:
     """Types of each column in two schema listings, and whether they differ."""
     joined = before.select("table", "column", F.col("type").alias("type_before")).join(

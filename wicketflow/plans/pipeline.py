@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wicketflow.constants import RANGE_SPEC, TABLES
+from wicketflow.constants import RANGE_SPEC, RETYPE_SPEC, TABLES
 from wicketflow.operators import (
     careers, consistency, features, identity, match_stats, profiling, quality, similarity, summaries, unnest,
 )
@@ -43,7 +43,7 @@ def profile(spark: SparkSession, out: str) -> None:
 
 
 def unnest_tables(spark: SparkSession, out: str) -> dict[str, DataFrame]:
-    """The five tables, retyped and laid out for lookups.
+    """The five tables as they come from the documents.
 
     The ids of unregistered names are stored first: the planner then knows how large they are
     when it joins them with the documents.
@@ -57,13 +57,30 @@ def unnest_tables(spark: SparkSession, out: str) -> dict[str, DataFrame]:
         "overs": unnest.overs(docs),
         "deliveries": unnest.deliveries(docs, gaps),
     }
-    before = catalog_schema(spark, raw)
-    typed = quality.retype_tables(raw)
-    write_tables(typed, f"{out}/tables", layout=LAYOUT)
-    stored = read_tables(spark, f"{out}/tables", tuple(raw))
+    write_tables(raw, f"{out}/unnested")
+    stored = read_tables(spark, f"{out}/unnested", tuple(raw))
     people = identity.players(stored["deliveries"], stored["matches"], docs)
-    write_tables({"players": people}, f"{out}/tables", layout=LAYOUT)
-    diff = quality.schema_diff(before, catalog_schema(spark, typed))
+    write_tables({"players": people}, f"{out}/unnested")
+    return read_tables(spark, f"{out}/unnested")
+
+
+def retype_stored(spark: SparkSession, out: str) -> dict[str, DataFrame]:
+    """The tables with narrow types, laid out for lookups.
+
+    A column keeps its type when a value would not fit; the losses that would have been are
+    reported.
+    """
+    raw = read_tables(spark, f"{out}/unnested")
+    losses = [
+        quality.retype_losses(raw[name], spec).select(F.lit(name).alias("table"), "*")
+        for name, spec in RETYPE_SPEC.items()
+    ]
+    _store(spark, summaries.union_all(losses), f"{out}/quality/retype_losses")
+    fitting = {name: quality.fitting_spec(raw[name], spec) for name, spec in RETYPE_SPEC.items()}
+    typed = quality.retype_tables(raw, fitting)
+    # Rows are already distinct; a second pass over them would only shuffle them again.
+    write_tables(typed, f"{out}/tables", layout=LAYOUT, distinct=False)
+    diff = quality.schema_diff(catalog_schema(spark, raw), catalog_schema(spark, typed))
     _store(spark, diff, f"{out}/quality/schema_diff")
     return read_tables(spark, f"{out}/tables")
 
@@ -84,6 +101,11 @@ def check_tables(spark: SparkSession, out: str) -> None:
             "nulls", "at", "null_count", "null_percentage",
         ),
         reports.single_row_report(diff.agg(F.count_if("changed").alias("type_conversions")), "conversions"),
+        reports.report(
+            spark.read.parquet(f"{out}/quality/retype_losses").where("lost > 0")
+            .withColumn("at", F.concat_ws(".", "table", "column")),
+            "kept_types", "at", "type", "lost",
+        ),
         reports.report(quality.storage_estimate(diff, shape), "storage", "table", "bytes_before", "bytes_after", "savings_pct"),
         reports.single_row_report(quality.invalid_runs_count(t["deliveries"]), "validation"),
         reports.single_row_report(quality.seven_run_share(t["deliveries"]), "validation"),
@@ -113,7 +135,7 @@ def build_features(spark: SparkSession, out: str, variant: str = "full") -> dict
         "players": careers.player_features(p, d, m, century_cap=variant == "full"),
         "player_match_stats": match_stats.player_match_stats(d, m, i, p, variant=variant),
     }
-    write_tables(built, f"{out}/features", layout=LAYOUT)
+    write_tables(built, f"{out}/features", layout=LAYOUT, distinct=False)
     stored = read_tables(spark, f"{out}/features", (*TABLES, "player_match_stats"))
     checks = features.verify_features(stored)
     reports.write_report(reports.report(checks, "features", "feature", "rows"), f"{out}/features/report")
@@ -125,5 +147,6 @@ def run(spark: SparkSession, source: str, out: str, variant: str = "full", limit
     ingest(spark, source, out, limit)
     profile(spark, out)
     unnest_tables(spark, out)
+    retype_stored(spark, out)
     check_tables(spark, out)
     return build_features(spark, out, variant)

@@ -33,17 +33,25 @@ def _read(spark: SparkSession, path: str, limit: int | None) -> DataFrame:
     return reader.json(paths).withColumn("match_id", _match_id(F.col("_metadata.file_name")))
 
 
+def _whole():
+    """Always true, but uses every column: a file is judged by all of its fields, whichever of
+    them are asked for later."""
+    used = [F.length("meta.created"), F.length("info.match_type"), F.size("innings")]
+    return F.greatest(*[F.coalesce(c, F.lit(0)) for c in used]) >= 0
+
+
 def read_matches(spark: SparkSession, path: str, limit: int | None = None) -> DataFrame:
     """One row per readable file of a directory; ``match_id`` is the file name up to the dot.
 
     ``limit`` reads only the first files by match id.
     """
-    return _read(spark, path, limit).where(F.col(CORRUPT).isNull()).drop(CORRUPT)
+    rows = _read(spark, path, limit)
+    return rows.where(F.col(CORRUPT).isNull() & _whole()).drop(CORRUPT)
 
 
 def read_rejects(spark: SparkSession, path: str, limit: int | None = None) -> DataFrame:
     """Files that could not be read as a match document, with their text."""
-    rows = _read(spark, path, limit).where(F.col(CORRUPT).isNotNull())
+    rows = _read(spark, path, limit).where(F.col(CORRUPT).isNotNull() & _whole())
     return rows.select(
         "match_id", F.col(CORRUPT).alias("record"), F.col("info").isNotNull().alias("has_info")
     )

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import DataFrame, SparkSession
 
 from wicketflow.constants import TABLES
@@ -21,16 +19,22 @@ LAYOUT = {
 
 
 def write_tables(
-    tables: dict[str, DataFrame], path: str, mode: str = "overwrite", layout: dict | None = None
+    tables: dict[str, DataFrame],
+    path: str,
+    mode: str = "overwrite",
+    layout: dict | None = None,
+    distinct: bool = True,
 ) -> None:
     """Write each table without duplicate rows as Parquet under ``path``.
 
+    ``distinct=False`` spares the shuffle that finds duplicates when there are none.
+
     ``mode="overwrite"`` replaces a table, ``"ignore"`` keeps one that is there. ``layout`` maps
     a table to ``partition_by`` and ``order_by`` columns.
     """
     for name, df in tables.items():
         plan = (layout or {}).get(name, {})
-        out = df.dropDuplicates()
+        out = df.dropDuplicates() if distinct else df
         order = plan.get("order_by")
         if order:
             out = out.repartitionByRange(*order).sortWithinPartitions(*order)
@@ -63,7 +67,3 @@ def catalog_schema(spark: SparkSession, tables: dict[str, DataFrame]) -> DataFra
 def catalog_tables(spark: SparkSession, database: str = "default") -> dict[str, DataFrame]:
     """The tables of a catalog database."""
     return {t.name: spark.table(f"{database}.{t.name}") for t in spark.catalog.listTables(database)}
-
-
-def union_all(frames: list[DataFrame]) -> DataFrame:
-    return reduce(DataFrame.unionByName, frames)
