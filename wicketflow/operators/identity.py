@@ -85,9 +85,13 @@ def number_names(names: DataFrame) -> DataFrame:
     )
 
 
-def resolve_gaps(docs: DataFrame) -> DataFrame:
-    """Ids for unregistered names: ``match_id, name, player_id``."""
-    missing = unregistered(docs)
+def resolve_gaps(docs: DataFrame, missing: DataFrame | None = None) -> DataFrame:
+    """Ids for unregistered names: ``match_id, name, player_id``.
+
+    ``missing`` takes a stored result of :func:`unregistered`, to look through the documents once.
+    """
+    if missing is None:
+        missing = unregistered(docs)
     names = missing.select("name").distinct()
     known = known_ids(docs)
     found = names.join(known, "name")

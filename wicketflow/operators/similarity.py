@@ -4,18 +4,23 @@ Comparing all pairs is avoided by a prefix filter on q-grams. If two strings dif
 edits, all but a few of their q-grams survive, so among the rarest q-grams of each (as many as
 the edits can destroy, plus one) at least one is shared. Strings meet only on such rare
 q-grams, on their two lengths and on nearby positions, and the edit distance is tested inside
-the join, so no unchecked pair is ever written out. The filter loses no pair.
+the join, so no unchecked pair is ever written out. Two bit masks, of the q-grams and of the
+characters of a name, turn most pairs away before their distance is computed. No filter loses a
+pair.
 """
 
 from __future__ import annotations
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 _SLACK = 1e-9
 
+# Lengths from here on count as one when asking whether a length occurs at all.
+_LONGEST = (1 << 16) - 1
+
 
 def _edits(low: Column, high: Column, threshold: float, measure: str) -> Column:
     """Most edits between strings of these lengths that still reach the threshold."""
@@ -50,44 +55,64 @@ def _partner_lengths(length: Column, threshold: float, measure: str) -> Column:
     return F.sequence(F.least(low, length), F.greatest(high, length))
 
 
+def _mask(numbers: Column, how: str) -> Column:
+    """64 bits of a list of numbers: which ones occur (``or``), or occur an odd number of times.
+
+    An edit changes a bounded number of q-grams and at most two characters, so masks of similar
+    strings differ in few bits.
+    """
+    bit = lambda n: F.call_function("shiftleft", F.lit(1).cast("bigint"), F.pmod(n, F.lit(64)))
+    join = (lambda m, b: m.bitwiseOR(b)) if how == "or" else (lambda m, b: m.bitwiseXOR(b))
+    return F.aggregate(F.transform(numbers, bit), F.lit(0).cast("bigint"), join)
+
+
 def _signatures(names: DataFrame, threshold: float, measure: str, q: int) -> DataFrame:
     """Rare q-grams of each name for each length a partner can have: the keys to meet on."""
+    length = F.length("text")
+    starts = F.sequence(F.lit(1), F.greatest(length - (q - 1), F.lit(1)))
     grams = names.select(
-        "name", "text",
-        F.posexplode(
-            F.transform(
-                F.sequence(F.lit(1), F.greatest(F.length("text") - (q - 1), F.lit(1))),
-                lambda k: F.substring("text", k, q),
-            )
-        ).alias("at", "gram"),
+        "name", "text", F.posexplode(F.transform(starts, lambda k: F.substring("text", k, q))).alias("at", "gram")
     )
     # A q-gram is replaced by one of 65536 numbers, which bounds the table of frequencies.
     # Two q-grams with one number can only add candidates, which are tested anyway.
-    numbered = grams.withColumn("token", F.pmod(F.xxhash64("gram"), F.lit(1 << 16)).cast("int"))
+    numbered = grams.select(
+        "name", "text", "at", F.pmod(F.xxhash64("gram"), F.lit(1 << 16)).cast("int").alias("token")
+    )
     frequency = numbered.groupBy("token").agg(F.count("*").alias("uses"))
-    rarest = Window.partitionBy("name").orderBy("uses", "token", "at")
     ranked = (
         numbered.join(F.broadcast(frequency), "token")
-        .select("name", "text", "token", "at", F.row_number().over(rarest).alias("rank"))
+        .groupBy("name", "text")
+        .agg(F.sort_array(F.collect_list(F.struct("uses", "token", "at"))).alias("grams"))
     )
-    length = F.length("text")
-    spread = ranked.select(
-        "*", length.alias("len"), F.explode(_partner_lengths(length, threshold, measure)).alias("other")
+    # Lengths that no name has need no keys. At most 65536 lengths are told apart.
+    lengths = names.select(F.least(length, F.lit(_LONGEST)).alias("there")).distinct()
+    spread = (
+        ranked.select("*", length.alias("len"), F.explode(_partner_lengths(length, threshold, measure)).alias("other"))
+        .withColumn("there", F.least("other", F.lit(_LONGEST)))
+        .join(F.broadcast(lengths), "there", "left_semi")
     )
     low, high = F.least("len", "other"), F.greatest("len", "other")
     keyed = spread.select(
-        "name", "text", "token", "at", "rank", "len", "other",
-        low.alias("low"), high.alias("high"),
+        "name", "text", "grams", "len", "other", low.alias("low"), high.alias("high"),
         _edits(low, high, threshold, measure).alias("edits"),
     )
     lost = lambda length, other: _destroyed(F.col(length), F.col(other), F.col("edits"), q, measure)
+    keyed = keyed.select(
+        "*", lost("len", "other").alias("lost"),
+        (lost("low", "high") + lost("high", "low")).alias("differing"),
+        F.least(
+            F.col("low") - (q - 1) - lost("low", "high"), F.col("high") - (q - 1) - lost("high", "low")
+        ).alias("left_over"),
+    )
+    key = lambda token, at: F.struct(token.cast("int").alias("token"), at.cast("int").alias("at"))
+    rare = F.transform(F.slice("grams", 1, F.col("lost") + 1), lambda x: key(x["token"], x["at"]))
     # Too short for a q-gram to survive for sure: all strings of these lengths meet on one key.
-    unsure = (F.col("low") - (q - 1) <= lost("low", "high")) | (F.col("high") - (q - 1) <= lost("high", "low"))
-    kept = keyed.where(F.when(unsure, F.col("rank") == 1).otherwise(F.col("rank") <= lost("len", "other") + 1))
-    return kept.select(
-        "name", "text", "low", "high", "edits", "len",
-        F.when(unsure, -1).otherwise(F.col("token")).alias("token"),
-        F.when(unsure, 0).otherwise(F.col("at")).alias("at"),
+    keys = F.when(F.col("left_over") <= 0, F.array(key(F.lit(-1), F.lit(0)))).otherwise(rare)
+    return keyed.select(
+        "name", "text", "low", "high", "edits", "len", "differing",
+        _mask(F.transform("grams", lambda g: g["token"]), "or").alias("gram_mask"),
+        _mask(F.transform(F.split("text", ""), lambda c: F.pmod(F.xxhash64(c), F.lit(64)).cast("int")), "xor").alias("char_mask"),
+        F.inline(keys),
     )
 
 
@@ -123,11 +148,16 @@ def similar_names(
     met = (
         (a("low") == b("low")) & (a("high") == b("high")) & (a("token") == b("token"))
         & (a("len") == a("low")) & (b("len") == b("high"))
-        & F.when(a("low") == a("high"), a("name") < b("name")).otherwise(F.lit(True))
+    )
+    likely = (
+        F.when(a("low") == a("high"), a("name") < b("name")).otherwise(F.lit(True))
         & (F.abs(a("at") - b("at")) <= a("edits"))
+        & (F.bit_count(a("char_mask").bitwiseXOR(b("char_mask"))) <= 2 * a("edits"))
+        & (F.bit_count(a("gram_mask").bitwiseXOR(b("gram_mask"))) <= a("differing"))
     )
-    # The bounded distance stops early and is -1 beyond the bound.
-    distance = F.expr("levenshtein(a.text, b.text, a.edits)")
+    # The bounded distance stops early and is -1 beyond the bound. It sits behind the cheap tests
+    # in one expression: as separate conditions, the optimizer would be free to put it first.
+    distance = F.when(likely, F.expr("levenshtein(a.text, b.text, a.edits)"))
     ordered = lambda c: [
         F.when(a("name") < b("name"), a(c)).otherwise(b(c)).alias(f"{c}1"),
         F.when(a("name") < b("name"), b(c)).otherwise(a(c)).alias(f"{c}2"),

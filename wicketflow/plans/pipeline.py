@@ -15,7 +15,7 @@ from wicketflow.operators import (
 )
 from wicketflow.sources import reports
 from wicketflow.sources.documents import read_matches, read_rejects
-from wicketflow.sources.tables import LAYOUT, catalog_schema, read_tables, write_tables
+from wicketflow.sources.tables import FEATURE_LAYOUT, LAYOUT, catalog_schema, read_tables, write_tables
 
 
 def _store(spark: SparkSession, df: DataFrame, path: str) -> DataFrame:
@@ -49,7 +49,8 @@ def unnest_tables(spark: SparkSession, out: str) -> dict[str, DataFrame]:
     when it joins them with the documents.
     """
     docs = spark.read.parquet(f"{out}/documents")
-    resolved = _store(spark, identity.resolve_gaps(docs), f"{out}/name_gaps")
+    missing = _store(spark, identity.unregistered(docs), f"{out}/unregistered_names")
+    resolved = _store(spark, identity.resolve_gaps(docs, missing), f"{out}/name_gaps")
     gaps = _store(spark, identity.gap_maps(resolved), f"{out}/name_gap_maps")
     raw = {
         "matches": unnest.matches(docs, gaps),
@@ -135,7 +136,7 @@ def build_features(spark: SparkSession, out: str, variant: str = "full") -> dict
         "players": careers.player_features(p, d, m, century_cap=variant == "full"),
         "player_match_stats": match_stats.player_match_stats(d, m, i, p, variant=variant),
     }
-    write_tables(built, f"{out}/features", layout=LAYOUT, distinct=False)
+    write_tables(built, f"{out}/features", layout=FEATURE_LAYOUT, distinct=False)
     stored = read_tables(spark, f"{out}/features", (*TABLES, "player_match_stats"))
     checks = features.verify_features(stored)
     reports.write_report(reports.report(checks, "features", "feature", "rows"), f"{out}/features/report")

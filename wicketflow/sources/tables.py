@@ -9,7 +9,7 @@ from wicketflow.constants import TABLES
 # How each table is laid out for lookups on its usual keys. Ranges over several columns also
 # cut a long innings or match into more than one file.
 LAYOUT = {
-    "matches": {"partition_by": ["match_type"], "order_by": ["date", "match_id"]},
+    "matches": {"partition_by": ["match_type"], "order_by": ["match_type", "date", "match_id"]},
     "players": {"order_by": ["player_id"]},
     "innings": {"order_by": ["match_id", "innings_id"]},
     "overs": {"order_by": ["innings_id", "over_number"]},
@@ -17,6 +17,10 @@ LAYOUT = {
     "player_match_stats": {"order_by": ["match_id", "player_team", "player_id"]},
 }
 
+# Feature tables keep the order they are computed in: dividing the large ones into ranges would
+# compute their last step twice, once for the sample. The mart is laid out for its lookups.
+FEATURE_LAYOUT = {k: LAYOUT[k] for k in ("matches", "player_match_stats")}
+
 
 def write_tables(
     tables: dict[str, DataFrame],
