@@ -12,13 +12,11 @@ import __spark_entry__ as registry
 
 SF_DIR = os.environ.get("ORACLE_SF_DIR", "/root/testdata/sf0.001")
 SOME = (
-    "f_scorecard", "f03_cumulative_runs", "f04_ball_in_over", "f09_powerplay_runs", "f12_chasing_setting_team",
-    "f16_over_cumulatives", "l_player_features", "l10_centuries_uncapped", "m01_player_match_stats",
-    "m01_role_join_reduced", "m22_notable_performances", "u01_matches", "u03_innings", "u06_overs", "u09_deliveries",
-    "u13_players", "p02_schema_variants", "p06_field_presence", "p07_match_metadata", "p09_describe_all",
-    "p15_similar_names", "p18_json_types", "p19_describe_runs", "q02_column_ranges", "q04_schema_diff",
-    "q06_storage_estimate", "q07_null_profile", "q12_match_overs_stats", "q13_overs_exceeded", "q21_over_length_factors",
-    "q23_player_id_issues", "q28_player_consistency", "q29_text_health", "s04_write_replace", "s06_layout",
+    "f_scorecard", "f03_cumulative_runs", "f09_powerplay_runs", "f12_chasing_setting_team", "f16_over_cumulatives",
+    "l_player_features", "m01_player_match_stats", "m22_notable_performances", "u01_matches", "u06_overs",
+    "u09_deliveries", "u13_players", "p02_schema_variants", "p06_field_presence", "p07_match_metadata",
+    "p15_similar_names", "p18_json_types", "p19_describe_runs", "q06_storage_estimate", "q12_match_overs_stats",
+    "q21_over_length_factors", "q28_player_consistency", "q29_text_health", "s06_layout",
 )
 QUERIES, ORACLES = registry.queries(), registry.oracle_sql()
 NAMES = sorted(QUERIES) if os.environ.get("ALL_QUERIES") else SOME

@@ -96,6 +96,9 @@ def _feature_queries() -> dict[str, Query]:
         "f16_over_cumulatives": _flat(
             _overs, "over_id", "cumulative_runs_in_innings", "cumulative_wickets_in_innings"
         ),
+        "f18_feature_sample": _flat(
+            lambda t: summaries.sample(_innings(t), 10, ("innings_id",)), *oracles.INNINGS_SAMPLE
+        ),
         "f17_verify_features": _flat(lambda t: features.verify_features(_featured(t))),
     }
 
@@ -126,6 +129,7 @@ def _mart_queries() -> dict[str, Query]:
     out["m01_role_join_reduced"] = _flat(reduced)
     out["m04_player_team_reduced"] = _flat(reduced, "match_id", "player_id", "player_team")
     out["m02_group_sizes"] = _flat(lambda t: _mart(t).groupBy("match_id").agg(F.count("*").alias("players")))
+    out["m21_columns"] = _flat(lambda t: summaries.null_profile({"player_match_stats": _mart(t)}))
     out["m22_notable_performances"] = _flat(
         lambda t: match_stats.notable_performances(_mart(t)), *oracles._NOTABLE
     )
@@ -178,6 +182,13 @@ def _unnested_players(docs):
     return identity.players(_unnested_deliveries(docs), _unnested_matches(docs), docs)
 
 
+def _resolved_batters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Batters of all deliveries by name, with their ids looked up in the names of the documents."""
+    docs = stage(spark, projection.documents(spark, sf_dir))
+    balls = projection.table(spark, sf_dir, "n").select("delivery_id", "match_id", F.col("batter").alias("name"))
+    return tidy(identity.resolve_ids(balls, identity.player_names(docs)))
+
+
 def _unnest_queries() -> dict[str, Query]:
     return {
         "u01_matches": _documents(_unnested_matches),
@@ -197,6 +208,7 @@ def _unnest_queries() -> dict[str, Query]:
         ),
         "u12_player_names": _documents(identity.player_names),
         "u12_resolve_gaps": _documents(identity.resolve_gaps),
+        "u12_resolve_ids": _resolved_batters,
         "u13_players": _documents(_unnested_players),
         "u14_variant_stats": _documents(lambda docs: identity.player_variant_stats(_unnested_players(docs))),
         "u15_synthetic_count": _documents(lambda docs: identity.synthetic_count(_unnested_players(docs))),
@@ -233,6 +245,7 @@ def _profile_queries() -> dict[str, Query]:
         ),
         "p06_field_presence": _raw(profiling.field_presence),
         "p07_match_metadata": _on_meta(lambda meta: meta),
+        "p07_short_metadata": _on_meta(profiling.short_metadata),
         "p08_document_totals": _on_meta(lambda meta: meta, "match_id", "total_overs_recorded", "total_deliveries"),
         "p09_describe_all": _flat(lambda t: summaries.describe_all(deliveries(t).select(*oracles.DESCRIBED))),
         "p10_null_profile": _on_meta(lambda meta: summaries.null_profile({"metadata": meta}, only_nulls=True)),
@@ -376,6 +389,20 @@ def _laid_out(spark, folder, t):
     return stored["deliveries"].join(tests, "match_id", "left_semi").select("delivery_id", "total_runs")
 
 
+def _mart_laid_out(spark, folder, t):
+    tables.write_tables({"player_match_stats": _mart(t)}, folder, layout=tables.LAYOUT, distinct=False)
+    mart = tables.read_tables(spark, folder, ("player_match_stats",))["player_match_stats"]
+    return mart.where("player_team = 'T0'").select("match_id", "player_id", "runs_scored")
+
+
+def _schema_listing(spark, folder, t):
+    """The columns of stored tables with the rows behind them."""
+    tables.write_tables(t, folder, distinct=False)
+    stored = tables.read_tables(spark, folder)
+    rows = summaries.table_shape(stored).select("table", "rows")
+    return tables.catalog_schema(spark, stored).join(rows, "table")
+
+
 def _csv(spark, folder, t):
     reports.write_csv(t["overs"].select("over_id", "total_runs", "wickets"), folder)
     return spark.read.option("header", True).schema("over_id string, total_runs bigint, wickets bigint").csv(folder)
@@ -392,6 +419,8 @@ def _sink_queries() -> dict[str, Query]:
         "s04_write_replace": _stored(_written_twice),
         "s05_write_if_absent": _stored(_written_if_absent),
         "s06_layout": _stored(_laid_out),
+        "m23_mart_layout": _stored(_mart_laid_out),
+        "s10_catalog_schema": _stored(_schema_listing),
         "s07_csv": _stored(_csv),
         "s08_report": _stored(_report),
     }

@@ -75,6 +75,15 @@ _F = {
     "f_scorecard": _shape(_pick("innings_id, batting_team, total_runs, total_wickets, run_rate", _INNINGS), dbl="run_rate", big="total_runs total_wickets"),
 }
 
+INNINGS_SAMPLE = [
+    "innings_id", "batting_team", "total_runs", "total_wickets", "run_rate", "boundary_count",
+    "dot_ball_percentage", "powerplay_runs",
+]
+_F["f18_feature_sample"] = _shape(
+    f"SELECT {', '.join(INNINGS_SAMPLE)} FROM ({_INNINGS}) z ORDER BY innings_id LIMIT 10",
+    big="total_runs total_wickets boundary_count powerplay_runs", dbl="run_rate dot_ball_percentage",
+)
+
 # ---------------------------------------------------------------- careers
 
 _CAREERS = f""",
@@ -379,6 +388,7 @@ _U = {
     "u11_first_wicket": _docs("SELECT delivery_id, is_wicket, wicket_player_out, wicket_kind, wicket_fielder FROM ud", big="is_wicket"),
     "u12_player_names": _named("SELECT match_id, name, player_id FROM ids"),
     "u12_resolve_gaps": _named("SELECT ids.match_id, ids.name, ids.player_id FROM ids JOIN roster ON roster.match_id=ids.match_id AND roster.name=ids.name WHERE registered_id IS NULL"),
+    "u12_resolve_ids": _named("SELECT match_id, batter AS name, delivery_id, batter_id AS player_id FROM nd"),
     "u13_players": _docs("SELECT * FROM up", big="variant_count"),
     "u14_variant_stats": _docs("SELECT count(*) FILTER (variant_count>1) AS players_with_variants, max(variant_count) FILTER (variant_count>1) AS max_variants FROM up", big="players_with_variants max_variants"),
     "u15_synthetic_count": _docs("SELECT count(*) FILTER (starts_with(player_id,'SYNTH_')) AS synthetic_ids FROM up", big="synthetic_ids"),
@@ -479,6 +489,7 @@ _P = {
       UNION ALL SELECT * FROM (SELECT CAST(doc_id AS VARCHAR) AS k, substring(text,1,200) FROM documents WHERE NOT json_valid(text) ORDER BY 1 LIMIT 10) x""", ctes=""),
     "p06_field_presence": _docs(_PRESENCE, big="deliveries", dbl="percentage files_percentage"),
     "p07_match_metadata": _docs("SELECT * FROM meta", big=_META_WHOLE),
+    "p07_short_metadata": _docs("SELECT match_id, match_type, teams, date, city, venue, has_innings_data, innings_count, total_deliveries FROM meta", big="innings_count total_deliveries"),
     "p08_document_totals": _docs("SELECT match_id, total_overs_recorded, total_deliveries FROM meta", big="total_overs_recorded total_deliveries"),
     "p09_describe_all": _shape(" UNION ALL ".join(_describe(c) for c in sorted(DESCRIBED, key=lambda c: c in _TEXTS)), big='"count" "unique" freq', dbl="mean std min max"),
     "p10_null_profile": _docs(f"SELECT * FROM ({_nulls('meta', 'metadata', _META_COLUMNS)}) x WHERE null_count>0", big="null_count total_rows", dbl="null_percentage"),
@@ -619,6 +630,24 @@ _S = {
     "s08_report": _shape(" UNION ALL ".join(f"SELECT 'rows' AS section, '{t}.rows' AS key, CAST(count(*) AS VARCHAR) AS value FROM {s}" for t, s in _SOURCES.items())),
 }
 
+_M["m21_columns"] = _shape(_nulls("mart", "player_match_stats", MART_COLUMNS), extra=_mart(True), big="null_count total_rows", dbl="null_percentage")
+_S["m23_mart_layout"] = _mart_query(["match_id", "player_id", "runs_scored"], tail="WHERE player_team='T0'")
+
+_TYPES = {
+    "deliveries": {"over_number": "int", "ball_number": "int", "batter_runs": "int", "extras": "int", "total_runs": "int", "extras_value": "int", "is_wicket": "boolean"},
+    "matches": {"date": "date", "overs": "decimal(4,1)", "outcome_by_runs": "int", "outcome_by_wickets": "int"},
+    "innings": {"innings_number": "int", "powerplay_start_over": "double", "powerplay_end_over": "double"},
+    "overs": {"over_number": "int", "total_runs": "bigint", "wickets": "bigint", "num_deliveries": "bigint", "total_extras": "bigint"},
+    "players": {},
+}
+_LISTING = ", ".join(
+    f"('{t}',{at},'{c}','{_TYPES[t].get(c, 'string')}')" for t, cs in _COLUMNS.items() for at, c in enumerate(cs, 1)
+)
+_S["s10_catalog_schema"] = _shape(
+    f'SELECT v."table", v.position, v."column", v.type, r.n AS rows FROM (VALUES {_LISTING}) v("table", position, "column", type) JOIN ({_ROWS}) r ON r."table"=v."table"',
+    big="position rows",
+)
+
 
 def oracles() -> dict[str, str]:
     return {**_F, **_L, **_M, **_U, **_P, **_Q, **_S}

@@ -1,17 +1,23 @@
 """A fresh folder for written tables."""
 
+import functools
 import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
 
+_SETTING = "spark.checkpoint.dir"
+
+
+@functools.cache
+def _local_folder() -> str:
+    return tempfile.mkdtemp(prefix="wicketflow-")
+
+
 def shared_folder(spark: SparkSession) -> str:
-    """The folder the cluster names in ``spark.checkpoint.dir``; a local one only where unset."""
-    base = spark.conf.get("spark.checkpoint.dir", None)
-    if not base:
-        base = tempfile.mkdtemp(prefix="wicketflow-")
-        spark.conf.set("spark.checkpoint.dir", base)
+    """A new name in the folder the cluster names in its settings; in a local one only where unset."""
+    base = spark.conf.get(_SETTING, None) or _local_folder()
     return f"{base.rstrip('/')}/{uuid.uuid4().hex}"
 
 
