@@ -338,7 +338,7 @@ def _quality_queries() -> dict[str, Query]:
         "q19_over_length_by_type": _flat(
             lambda t: quality.over_length_by_type(t["overs"], t["innings"], t["matches"])
         ),
-        "q20_long_overs": _flat(lambda t: quality.long_overs(t["overs"], t["innings"], t["matches"], above=5)),
+        "q20_long_overs": _flat(lambda t: quality.long_overs(t["overs"], t["innings"], t["matches"])),
         "q21_over_length_factors": _flat(lambda t: quality.over_length_factors(t["overs"], t["deliveries"])),
         "q22_names_seen": _named(names),
         "q22_names_seen_reduced": _named(lambda n, p: consistency.reduced_names_seen(n)),

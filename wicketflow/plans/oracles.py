@@ -596,7 +596,7 @@ _Q = {
     "q17_extras_dist": _shape("SELECT extras_type, count(*) AS frequency, avg(extras_value) AS avg_value, max(extras_value) AS max_value FROM d WHERE extras>0 GROUP BY 1", big="frequency max_value", dbl="avg_value"),
     "q18_high_totals": _named(f"SELECT {_BALL} FROM nd WHERE total_runs>7 ORDER BY total_runs DESC, delivery_id LIMIT 100", big="batter_runs extras total_runs"),
     "q19_over_length_by_type": _shape("SELECT match_type, avg(num_deliveries) AS avg_deliveries_per_over, min(num_deliveries) AS min_deliveries, max(num_deliveries) AS max_deliveries, count(*) AS over_count FROM o JOIN i ON i.innings_id=o.innings_id JOIN m ON m.match_id=i.match_id GROUP BY 1", dbl="avg_deliveries_per_over", big="min_deliveries max_deliveries over_count"),
-    "q20_long_overs": _shape("SELECT over_id, m.match_id, match_type, batting_team, bowling_team, over_number, num_deliveries, total_runs, wickets FROM o JOIN i ON i.innings_id=o.innings_id JOIN m ON m.match_id=i.match_id WHERE num_deliveries>5 ORDER BY num_deliveries DESC, over_id LIMIT 100", big="over_number num_deliveries total_runs wickets"),
+    "q20_long_overs": _shape("SELECT over_id, m.match_id, match_type, batting_team, bowling_team, over_number, num_deliveries, total_runs, wickets FROM o JOIN i ON i.innings_id=o.innings_id JOIN m ON m.match_id=i.match_id WHERE num_deliveries>8 ORDER BY num_deliveries DESC, over_id LIMIT 100", big="over_number num_deliveries total_runs wickets"),
     "q21_over_length_factors": _shape("""SELECT num_deliveries, count(*) AS over_count, avg(e) AS avg_extras, avg(w) AS avg_wickets, avg(r) AS avg_runs FROM (SELECT o.over_id, o.num_deliveries, count(CASE WHEN d.extras>0 THEN 1 END) AS e, count(CASE WHEN d.is_wicket THEN 1 END) AS w, sum(d.total_runs) AS r
       FROM o JOIN d ON d.over_id=o.over_id GROUP BY 1,2) x GROUP BY 1""", big="num_deliveries over_count", dbl="avg_extras avg_wickets avg_runs"),
     "q22_names_seen": _named(_SEEN_ALL),
