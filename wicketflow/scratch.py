@@ -6,7 +6,6 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
-
 _SETTING = "spark.checkpoint.dir"
 
 
@@ -15,10 +14,31 @@ def _local_folder() -> str:
     return tempfile.mkdtemp(prefix="wicketflow-")
 
 
+def _is_one_machine(master: str) -> bool:
+    return master == "local" or master.startswith("local[")
+
+
+def base_folder(setting: str | None, master: str) -> str:
+    """The folder the cluster names; a machine's own one only where driver and executors are one process.
+
+    Elsewhere each executor would write to its own disk and a later read would miss those files.
+    """
+    if setting:
+        return setting.rstrip("/")
+    if _is_one_machine(master):
+        return _local_folder()
+    raise ValueError(f"set {_SETTING} to a folder that all executors of {master} share")
+
+
 def shared_folder(spark: SparkSession) -> str:
-    """A new name in the folder the cluster names in its settings; in a local one only where unset."""
-    base = spark.conf.get(_SETTING, None) or _local_folder()
-    return f"{base.rstrip('/')}/{uuid.uuid4().hex}"
+    """A new name in the shared folder; what is written there goes when the session ends."""
+    base = base_folder(spark.conf.get(_SETTING, None), spark.sparkContext.master)
+    folder = f"{base}/{uuid.uuid4().hex}"
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    files = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    files.mkdirs(path)
+    files.deleteOnExit(path)
+    return folder
 
 
 def stage(spark: SparkSession, df: DataFrame) -> DataFrame:
@@ -27,6 +47,6 @@ def stage(spark: SparkSession, df: DataFrame) -> DataFrame:
     What follows starts from the stored files: it survives lost executors, is not computed again
     for every use, and is planned with the true size.
     """
-    folder = shared_folder(spark)
+    folder = f"{shared_folder(spark)}/t"
     df.write.parquet(folder)
     return spark.read.parquet(folder)
