@@ -145,8 +145,10 @@ def duplicate_groups(keyed: DataFrame, salts: int = 16) -> DataFrame:
     narrow = keyed.select(ROW, F.col("doc_id").cast("bigint").alias("doc_id"), "text")
     rows = narrow.mapInArrow(_local_rows, _ROWS)
     bearers = narrow.mapInArrow(_local_bearers, _BEARERS).withColumn("salt", F.pmod(F.xxhash64("bearer"), F.lit(salts)))
+    # Sorted by bearer too: both uses of `salted` must name the same leader, in whatever order blocks arrive.
     salted = (
-        bearers.repartition("digest", "salt").sortWithinPartitions("digest", "salt").mapInArrow(_merge_salted, _SALTED)
+        bearers.repartition("digest", "salt").sortWithinPartitions("digest", "salt", "bearer")
+        .mapInArrow(_merge_salted, _SALTED)
     )
     totals = (
         salted.filter("packed IS NOT NULL").select("leader", "digest", "packed", "best_id", "best_row", "size")
