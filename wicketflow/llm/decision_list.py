@@ -65,34 +65,40 @@ END)[0] END
 
 
 def with_statistics(docs: DataFrame) -> DataFrame:
-    """`docs` with the five base statistics, base_failed and the features that rules are learned on."""
-    words = docs.withColumn("w", F.coalesce(F.regexp_extract_all("text", F.lit(WORD), F.lit(0)), F.array().cast("array<string>")))
+    """`docs` with the five base statistics, base_failed and the features that rules are learned on.
+
+    The counts come out of an `explode` of one struct: the optimizer doesn't push later filters below
+    it, where each use of a count would compute that count again.
+    """
     text = F.coalesce("text", F.lit(""))
-    lines = F.filter(F.split(text, "\n"), lambda x: x.rlike(WORD))
-    counted = words.select(
+    split = docs.select(
         *[F.col(f"`{c}`") for c in docs.columns],
+        F.regexp_extract_all(text, F.lit(WORD), F.lit(0)).alias("w"),
+        F.filter(F.split(text, "\n"), lambda x: x.rlike(WORD)).alias("lines"),
+    )
+    counts = F.struct(
         F.size("w").cast("bigint").alias("n_words"),
         (F.length(text) - F.regexp_count(text, F.lit(SPACE))).cast("bigint").alias("word_chars"),
         F.regexp_count(text, F.lit(r"[#*$%&|<>]")).cast("bigint").alias("n_symbols"),
         F.expr(_REPEATED).cast("bigint").alias("n_repeat_words"),
-        lines.alias("lines"),
+        F.size("lines").alias("n_lines"),
+        (F.size("lines") - F.size(F.array_distinct("lines"))).cast("bigint").alias("n_dup_lines"),
         F.regexp_count(text, F.lit("[A-ZÀ-ÖØ-Þ]")).alias("n_upper"),
         F.regexp_count(text, F.lit("!")).alias("n_bangs"),
     )
-    a_word, a_char = F.greatest("n_words", F.lit(1)), F.greatest("word_chars", F.lit(1))
-    n_lines = F.greatest("n_lines", F.lit(1))
-    return (
-        counted.withColumn("n_lines", F.size("lines"))
-        .withColumn("n_dup_lines", (F.col("n_lines") - F.size(F.array_distinct("lines"))).cast("bigint"))
-        .withColumn("base_failed", (F.col("n_words") < 50) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words")))
-        .withColumn("word_length", F.col("word_chars") / a_word)
-        .withColumn("symbol_rate", F.col("n_symbols") / a_word)
-        .withColumn("dup_line_share", F.col("n_dup_lines") / n_lines)
-        .withColumn("repeat_share", F.col("n_repeat_words") / a_word)
-        .withColumn("upper_share", F.col("n_upper") / a_char)
-        .withColumn("bang_rate", F.col("n_bangs") / a_word)
-        .withColumn("line_words", F.col("n_words") / n_lines)
-        .drop("lines", "n_upper", "n_bangs", "n_lines")
+    counted = split.select(*[F.col(f"`{c}`") for c in docs.columns], F.explode(F.array(counts)).alias("counts"))
+    a_word, a_char, a_line = (F.greatest(f"counts.{c}", F.lit(1)) for c in ("n_words", "word_chars", "n_lines"))
+    return counted.select(
+        *[F.col(f"`{c}`") for c in docs.columns],
+        *[f"counts.{c}" for c in BASE],
+        ((F.col("counts.n_words") < 50) | (100 * F.col("counts.n_repeat_words") > 50 * F.col("counts.n_words"))).alias("base_failed"),
+        (F.col("counts.word_chars") / a_word).alias("word_length"),
+        (F.col("counts.n_symbols") / a_word).alias("symbol_rate"),
+        (F.col("counts.n_dup_lines") / a_line).alias("dup_line_share"),
+        (F.col("counts.n_repeat_words") / a_word).alias("repeat_share"),
+        (F.col("counts.n_upper") / a_char).alias("upper_share"),
+        (F.col("counts.n_bangs") / a_word).alias("bang_rate"),
+        (F.col("counts.n_words") / a_line).alias("line_words"),
     )
 
 
