@@ -138,13 +138,15 @@ def labelled_statistics(docs: DataFrame, labels: DataFrame, rows: int = SAMPLE_R
 
 
 def _cuts(values: list[float], most: int = 24) -> list[float]:
-    """Thresholds between neighbouring quantiles."""
-    ordered = sorted(values)
-    picked = sorted({ordered[k * (len(ordered) - 1) // most] for k in range(most + 1)})
-    return [(a + b) / 2 for a, b in zip(picked, picked[1:])]
+    """Thresholds between neighbouring quantiles of the rows, and of the distinct values (for features that are mostly 0)."""
+    cuts = set()
+    for ordered in (sorted(values), sorted(set(values))):
+        picked = sorted({ordered[k * (len(ordered) - 1) // most] for k in range(most + 1)})
+        cuts |= {(a + b) / 2 for a, b in zip(picked, picked[1:])}
+    return sorted(cuts)
 
 
-def learn(rows: list, most_rules: int = 12, most_conditions: int = 4, least_precision: float = 0.8, least_rows: int = 5) -> list[Rule]:
+def learn(rows: list, most_rules: int = 12, most_conditions: int = 4, least_precision: float = 0.9, least_rows: int = 5) -> list[Rule]:
     """Ordered rules for rejecting, from rows of (doc_id, label, *FEATURES)."""
     if not rows:
         return []
