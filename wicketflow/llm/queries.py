@@ -6,10 +6,14 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from wicketflow.llm import decision_list, exact_dedup, mixing
+from wicketflow.llm import decision_list, exact_dedup, mixing, simhash
 from wicketflow.llm.common import table
 
 
+def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.mark_near_duplicates(table(spark, sf_dir, "documents"))
+
+
 def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decision_list.judge(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -23,7 +27,7 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op6_quality_rules, op8_mix_sources, op10_exact_dedup)}
+    return {f.__name__: f for f in (op5_simhash, op6_quality_rules, op8_mix_sources, op10_exact_dedup)}
 
 
 _EXACT = """
