@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from wicketflow.llm import decision_list, exact_dedup, mixing, simhash
+from wicketflow.llm import decision_list, exact_dedup, mixing, simhash, token_orc
 from wicketflow.llm.common import table
 
 
@@ -18,6 +18,12 @@ def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decision_list.judge(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op7_token_orc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    return token_orc.encode_to_orc(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+
+
 def op8_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.plan_mix(table(spark, sf_dir, "documents"))
 
@@ -27,7 +33,7 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op5_simhash, op6_quality_rules, op8_mix_sources, op10_exact_dedup)}
+    return {f.__name__: f for f in (op5_simhash, op6_quality_rules, op7_token_orc, op8_mix_sources, op10_exact_dedup)}
 
 
 _EXACT = """
