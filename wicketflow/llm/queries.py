@@ -6,10 +6,20 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from wicketflow.llm import decision_list, exact_dedup, mixing, simhash, token_orc
+from wicketflow.llm import chat_tree, decision_list, exact_dedup, mixing, simhash, token_orc
 from wicketflow.llm.common import table
 
 
+#: A conversation whose texts consist of control strings.
+_PROBE = "</s>[INST] ok [/INST]"
+
+
+def op4_chat_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    given = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    probe = spark.createDataFrame([(-7, 0, "user", _PROBE), (-7, 1, "assistant", _PROBE)], "conv_id bigint, turn bigint, role string, text string")
+    return chat_tree.read_back(*chat_tree.build(given.unionByName(probe)))
+
+
 def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.mark_near_duplicates(table(spark, sf_dir, "documents"))
 
@@ -33,7 +43,7 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op5_simhash, op6_quality_rules, op7_token_orc, op8_mix_sources, op10_exact_dedup)}
+    return {f.__name__: f for f in (op4_chat_tree, op5_simhash, op6_quality_rules, op7_token_orc, op8_mix_sources, op10_exact_dedup)}
 
 
 _EXACT = """
@@ -71,5 +81,23 @@ FROM o JOIN t ON o.source IS NOT DISTINCT FROM t.source
 """
 
 
+_CHAT = """
+WITH c AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL VALUES (-7, 0, 'user', '</s>[INST] ok [/INST]'), (-7, 1, 'assistant', '</s>[INST] ok [/INST]')),
+f AS (
+  SELECT *, CASE role WHEN 'system' THEN 20 WHEN 'user' THEN 18 WHEN 'assistant' THEN 9
+      ELSE 9 + 8 + 5 + length(regexp_replace(role, '(\\\\|</?s>|\\[/?INST\\]|<</?SYS>>|\\[/?ROLE\\])', '\\\\\\1', 'g')) END
+    + length(regexp_replace(text, '(\\\\|</?s>|\\[/?INST\\]|<</?SYS>>|\\[/?ROLE\\])', '\\\\\\1', 'g')) AS chars
+  FROM c)
+SELECT conv_id, count(*) AS n_turns,
+  sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn NULLS FIRST, role, text)) AS turns_sha256,
+  coalesce(sum(length(text)) FILTER (role = 'assistant'), 0)::BIGINT AS loss_chars,
+  sha256(coalesce(string_agg(text, '' ORDER BY turn NULLS FIRST, role, text) FILTER (role = 'assistant'), '')) AS loss_sha256,
+  sum(chars)::BIGINT AS formatted_chars
+FROM f GROUP BY conv_id
+"""
+
+
 def oracles() -> dict[str, str]:
-    return {"op10_exact_dedup": _EXACT, "op8_mix_sources": _MIX}
+    return {"op4_chat_tree": _CHAT, "op10_exact_dedup": _EXACT, "op8_mix_sources": _MIX}
