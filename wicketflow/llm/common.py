@@ -45,3 +45,25 @@ def held_out(doc_id: Column) -> Column:
 def is_held_out(doc_id: int | None) -> bool:
     """`held_out` for one id."""
     return doc_id is not None and zlib.crc32(str(doc_id).encode()) % 3 == 1
+
+
+class Recent(dict):
+    """A table that forgets: of at most about twice `most` entries, those used lately."""
+
+    def __init__(self, most: int):
+        super().__init__()
+        self.old: dict = {}
+        self.most = most
+
+    def recall(self, key):
+        """The value of a key that is not in the table itself, from before the last turn, or None."""
+        found = self.old.get(key)
+        if found is not None:
+            self[key] = found
+        return found
+
+    def turn(self) -> None:
+        """Start anew when full; called only where no look-up relies on the entries."""
+        if len(self) >= self.most:
+            self.old = dict(self)
+            self.clear()

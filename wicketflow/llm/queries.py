@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from wicketflow.llm import chat_tree, decision_list, exact_dedup, mixing, simhash, token_orc
+from wicketflow.llm import chat_tree, decision_list, exact_dedup, mixing, sentence_lattice, simhash, token_orc
 from wicketflow.llm.common import table
 
 
@@ -38,12 +38,18 @@ def op8_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.plan_mix(table(spark, sf_dir, "documents"))
 
 
+def op9_piece_lattice(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    return sentence_lattice.summarise(table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
+
+
 def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.mark_duplicates(table(spark, sf_dir, "documents"))
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op4_chat_tree, op5_simhash, op6_quality_rules, op7_token_orc, op8_mix_sources, op10_exact_dedup)}
+    return {f.__name__: f for f in (op4_chat_tree, op5_simhash, op6_quality_rules, op7_token_orc, op8_mix_sources, op9_piece_lattice, op10_exact_dedup)}
 
 
 _EXACT = """

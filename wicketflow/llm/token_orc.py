@@ -24,7 +24,6 @@ import re
 import zlib
 from collections.abc import Iterator
 from functools import cache
-from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -32,6 +31,7 @@ import zstandard
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from wicketflow.llm.common import Recent
 from wicketflow.scratch import shared_folder
 
 END_ID = 1
@@ -53,7 +53,10 @@ _TIES = re.compile("[\x00-\x08\x0e-\x1f\x7f-\xa0̀-ͯ ᠎ -‏ -  -⁯
 
 
 class ChunkEncoder:
-    """Ids of texts by a `tokenizers` file, with a bounded table of chunks seen before."""
+    """Ids of texts by a `tokenizers` file, with bounded tables of chunks and pieces seen lately.
+
+    Ids are kept and joined as bytes of little-endian 32-bit integers.
+    """
 
     def __init__(self, path: str, cached: int = _CACHED):
         from tokenizers import Tokenizer
@@ -65,52 +68,45 @@ class ChunkEncoder:
         setting["normalizer"] = None
         setting["pre_tokenizer"] = {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False}
         self.pieces = Tokenizer.from_str(json.dumps(setting))
-        self.chunks: dict[str, tuple[int, ...]] = {}
-        self.parts: dict[str, tuple[int, ...]] = {}
-        self.cached = cached
+        self.chunks, self.parts = Recent(cached), Recent(cached)
 
     def _encode_parts(self, parts: list[str]) -> None:
         if not parts:
             return
         encoded = self.pieces.encode(parts, is_pretokenized=True, add_special_tokens=False)
-        found: list[list[int]] = [[] for _ in parts]
-        for i, w in zip(encoded.ids, encoded.word_ids):
-            found[w].append(i)
-        self.parts.update(zip(parts, map(tuple, found)))
-
-    def _learn(self, chunks: set[str]) -> None:
-        if len(self.parts) > self.cached:
-            self.parts.clear()
-        plain, odd = {}, []
+        ids = np.array(encoded.ids, "<i4").tobytes()
+        # Every piece gives an id at least, so the words' numbers rise without a gap.
+        ends = np.cumsum(np.bincount(np.array(encoded.word_ids), minlength=len(parts))) * 4
+        for part, a, b in zip(parts, [0, *ends[:-1].tolist()], ends.tolist()):
+            self.parts[part] = ids[a:b]
+
+    def _learn(self, chunks: list[str]) -> None:
+        self.parts.turn()
+        known, plain, odd, new = self.parts, [], [], set()
         for c in chunks:
             if "<|" not in c and _PLAIN.fullmatch(c):
-                plain[c] = _PIECES.findall(c.lower())
+                parts = _PIECES.findall(c.lower())
+                plain.append((c, parts))
+                new.update(p for p in parts if p not in known and known.recall(p) is None)
             else:
                 odd.append(c)
-        self._encode_parts(list({p for parts in plain.values() for p in parts if p not in self.parts}))
-        known = self.parts
-        for c, parts in plain.items():
-            self.chunks[c] = known[parts[0]] if len(parts) == 1 else tuple(chain.from_iterable(known[p] for p in parts))
+        self._encode_parts(list(new))
+        for c, parts in plain:
+            self.chunks[c] = known[parts[0]] if len(parts) == 1 else b"".join([known[p] for p in parts])
         for c, e in zip(odd, self.whole.encode_batch(odd, add_special_tokens=False)):
-            self.chunks[c] = tuple(e.ids)
-
-    def encode(self, texts: list[str]) -> Iterator[list[int]]:
-        for text in texts:
-            if _TIES.search(text.translate(_ASCII_SPACE)):
-                yield self.whole.encode(text, add_special_tokens=False).ids
-                continue
-            chunks = text.split()
-            new = set(chunks).difference(self.chunks)
-            if new:
-                if len(self.chunks) > self.cached:
-                    self.chunks.clear()
-                    new = set(chunks)
-                self._learn(new)
-            yield list(chain.from_iterable(map(self.chunks.__getitem__, chunks)))
-
+            self.chunks[c] = np.array(e.ids, "<i4").tobytes()
 
-#: The six characters that `str.split` and the tokenizer both take for white space.
-_ASCII_SPACE = {c: " " for c in (9, 10, 11, 12, 13)}
+    def encode(self, texts: list[str]) -> list[bytes]:
+        table = self.chunks
+        table.turn()
+        cut = [None if _TIES.search(t) else t.split() for t in texts]
+        met = set().union(*[c for c in cut if c])
+        self._learn([c for c in met if c not in table and table.recall(c) is None])
+        find = table.__getitem__
+        return [
+            np.array(self.whole.encode(t, add_special_tokens=False).ids, "<i4").tobytes() if c is None else b"".join(map(find, c))
+            for t, c in zip(texts, cut)
+        ]
 
 
 @cache
@@ -129,15 +125,15 @@ def _pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def _encode(path: str, end_id: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         unpack = zstandard.ZstdDecompressor().decompress
-        tool = encoder(path)
+        tool, end = encoder(path), end_id.to_bytes(4, "little")
         for batch in batches:
             # A few documents at a time: ids take several times the room of packed texts.
             for k in range(0, batch.num_rows, 256):
                 part = batch.slice(k, 256)
                 texts = [unpack(p).decode() for p in part.column("packed").to_pylist()]
-                ids = [np.array([*i, end_id], np.int32) for i in tool.encode(texts)]
-                offsets = np.concatenate([[0], np.cumsum([len(i) for i in ids])]).astype(np.int32)
-                tokens = pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate(ids)))
+                ids = [i + end for i in tool.encode(texts)]
+                offsets = np.concatenate([[0], np.cumsum([len(i) // 4 for i in ids])]).astype(np.int32)
+                tokens = pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.frombuffer(b"".join(ids), "<i4")))
                 yield pa.RecordBatch.from_arrays([part.column("doc_id"), tokens], names=["doc_id", "tokens"])
 
     return run
