@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from wicketflow.llm.common import Recent
-from wicketflow.scratch import shared_folder
+from wicketflow.scratch import shared_folder, stage
 
 END_ID = 1
 _CACHED = 300_000
@@ -128,8 +128,8 @@ def _encode(path: str, end_id: int):
         tool, end = encoder(path), end_id.to_bytes(4, "little")
         for batch in batches:
             # A few documents at a time: ids take several times the room of packed texts.
-            for k in range(0, batch.num_rows, 256):
-                part = batch.slice(k, 256)
+            for k in range(0, batch.num_rows, 1024):
+                part = batch.slice(k, 1024)
                 texts = [unpack(p).decode() for p in part.column("packed").to_pylist()]
                 ids = [i + end for i in tool.encode(texts)]
                 offsets = np.concatenate([[0], np.cumsum([len(i) // 4 for i in ids])]).astype(np.int32)
@@ -178,7 +178,8 @@ def token_index(spark: SparkSession, folder: str) -> DataFrame:
     Starts are summed up inside each file, whose size is bounded, and over the files' totals.
     """
     read = read_tokens(spark, folder).select("doc_id", "tokens", F.element_at(F.split("_metadata.file_name", "-"), 2).alias("file"))
-    docs = read.mapInArrow(_summary, "doc_id bigint, file string, n_tokens bigint, ids_crc32 bigint")
+    # Stored, for the ids are read once for both uses.
+    docs = stage(spark, read.mapInArrow(_summary, "doc_id bigint, file string, n_tokens bigint, ids_crc32 bigint"))
     totals = docs.groupBy("file").agg(F.sum("n_tokens").alias("n"))
     earlier = Window.orderBy("file").rowsBetween(Window.unboundedPreceding, -1)
     starts = totals.select("file", F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("base"))
