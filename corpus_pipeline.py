@@ -10,7 +10,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from wicketflow.llm import decision_list, exact_dedup, mixing
+from wicketflow.llm import decision_list, exact_dedup, mixing, sentence_lattice, simhash
 from wicketflow.llm.common import table
 from wicketflow.scratch import stage
 
@@ -27,15 +27,29 @@ def exact_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
     return exact_dedup.drop_duplicates(docs)
 
 
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each component of near-duplicates, that with the smallest id."""
+    return simhash.drop_near_duplicates(docs)
+
+
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents as often as the mix takes them."""
     return mixing.mix(docs)
 
 
+def encode_pieces(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Piece ids of each document of the mix, scores of the n best segmentations, the ids read back as text."""
+    import public_tokenizers
+
+    return sentence_lattice.encode_nbest(docs, public_tokenizers.path("piece_bpe_32k.model"))
+
+
 STAGES: list[tuple[str, Stage]] = [
     ("quality_rules", quality_rules),
     ("exact_dedup", exact_duplicates),
+    ("simhash_near_dedup", near_duplicates),
     ("mix_sources", mix_sources),
+    ("encode_pieces", encode_pieces),
 ]
 
 #: Learned rules and fingerprints have no SQL form; the stages are tested against plain versions.
