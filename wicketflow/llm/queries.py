@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from wicketflow.llm import chat_tree, decision_list, exact_dedup, html_extract, mixing, sentence_lattice, simhash, token_orc, toxicity
+from wicketflow.llm import chat_tree, decision_list, exact_dedup, html_extract, mixing, sentence_lattice, simhash, suffix_dedup, token_orc, toxicity
 from wicketflow.llm.common import table
 
 
@@ -18,6 +18,10 @@ def op2_html_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_extract.extract_pages(table(spark, sf_dir, "pages"))
 
 
+def op3_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.remove_repeats(table(spark, sf_dir, "documents")).drop("removed")
+
+
 #: A conversation whose texts consist of control strings.
 _PROBE = "</s>[INST] ok [/INST]"
 
@@ -57,7 +61,7 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_toxicity, op2_html_extract, op4_chat_tree, op5_simhash, op6_quality_rules, op7_token_orc, op8_mix_sources, op9_piece_lattice, op10_exact_dedup)}
+    return {f.__name__: f for f in (op1_toxicity, op2_html_extract, op3_suffix_dedup, op4_chat_tree, op5_simhash, op6_quality_rules, op7_token_orc, op8_mix_sources, op9_piece_lattice, op10_exact_dedup)}
 
 
 _EXACT = """
