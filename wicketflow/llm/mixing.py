@@ -112,6 +112,8 @@ def plan_mix(docs: DataFrame, most: int = 3, seed: int = 7) -> DataFrame:
 
 def mix(docs: DataFrame, most: int = 3, seed: int = 7) -> DataFrame:
     """The mix itself: each document as often as it is taken, with its own columns."""
-    mixed = with_copies(docs, most, seed)
+    # No column of the input can clash with those that are added.
+    names = [c if c in ("doc_id", "source", "text") else f"c{k}" for k, c in enumerate(docs.columns)]
+    mixed = with_copies(docs.toDF(*names), most, seed)
     again = mixed.withColumn("__copy__", F.explode(F.array_repeat(F.lit(1), F.col("copies").cast("int"))))
-    return again.select(*[F.col(f"`{c}`") for c in docs.columns])
+    return again.select(*[F.col(a).alias(b) for a, b in zip(names, docs.columns)])
