@@ -1,5 +1,6 @@
 """Stored tables, catalog listings and reports."""
 
+import pytest
 import uuid
 
 from pyspark.sql import functions as F
@@ -61,7 +62,8 @@ def test_values_that_do_not_fit(spark):
     df = spark.createDataFrame([(5,), (300,), (None,)], "n int")
     assert [r.n for r in quality.retype(df, {"n": "tinyint"}).collect()] == [5, None, None]
     assert quality.retype_losses(df, {"n": "tinyint"}).collect()[0].lost == 1
-    assert quality.fitting_spec(df, {"n": "tinyint"}) == {} and quality.fitting_spec(df, {"n": "smallint"}) == {"n": "smallint"}
+    assert [tuple(r) for r in quality.unfit_values(df, {"n": "tinyint"}).collect()] == [("n", "tinyint", "300")]
+    assert quality.unfit_values(df, {"n": "smallint"}, "n").collect() == []
 
 
 def test_report_rows(spark, tmp_path):
@@ -96,6 +98,16 @@ def test_staged_tables_lie_in_the_named_folder(spark, tmp_path):
         class conf:
             get = staticmethod(lambda key, default=None: str(tmp_path) if key == "spark.checkpoint.dir" else default)
 
-        read = spark.read
+        read, sparkContext, _jvm = spark.read, spark.sparkContext, spark._jvm
 
     assert str(tmp_path) in stage(Session, spark.range(3)).inputFiles()[0]
+
+
+def test_no_machine_local_folder_on_a_cluster():
+    from wicketflow.scratch import base_folder
+
+    for master in ("yarn", "spark://host:7077", "k8s://https://host", "local-cluster[3,2,1024]"):
+        with pytest.raises(ValueError, match="checkpoint"):
+            base_folder(None, master)
+        assert base_folder("hdfs://shared/x/", master) == "hdfs://shared/x"
+    assert base_folder(None, "local[4]") == base_folder(None, "local")

@@ -50,6 +50,11 @@ RETYPE_SPEC = {
     },
 }
 
+# Keys by which a value of a table is found again.
+TABLE_KEYS = {
+    "deliveries": ("delivery_id",), "innings": ("innings_id",), "matches": ("match_id",), "overs": ("over_id",),
+}
+
 # Columns whose smallest and largest value are reported.
 RANGE_SPEC = {
     "deliveries": (

@@ -71,15 +71,14 @@ def match_type_counts(docs: DataFrame) -> DataFrame:
     return value_counts(docs.select(F.col("info.match_type").alias("match_type")), "match_type")
 
 
-def reject_report(rejects: DataFrame, n: int = 10) -> DataFrame:
-    """The first ``n`` rejected files, each with the number of all rejected files."""
+def reject_report(rejects: DataFrame) -> DataFrame:
+    """The number of rejected files, and for each the reason with length and digest of its text."""
     count = rejects.agg(F.count("*").alias("error_count"))
-    shown = rejects.select("match_id", F.substring("record", 1, 200).alias("record_start"))
-    listed = shown.orderBy("match_id").limit(n)
+    account = F.concat_ws(", ", "reason", F.concat(F.length("record"), F.lit(" characters")), F.md5(F.col("record").cast("binary")))
     return union_all(
         [
             count.select(F.lit("error_count").alias("key"), F.col("error_count").cast("string").alias("value")),
-            listed.select(F.col("match_id").alias("key"), F.col("record_start").alias("value")),
+            rejects.select(F.col("match_id").alias("key"), account.alias("value")),
         ]
     )
 

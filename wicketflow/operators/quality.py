@@ -37,13 +37,18 @@ def retype_losses(df: DataFrame, spec: dict[str, str]) -> DataFrame:
     return row.select(F.inline(F.array(*entries)))
 
 
-def fitting_spec(df: DataFrame, spec: dict[str, str]) -> dict[str, str]:
-    """The part of ``spec`` by which no value would be lost. One pass; a row per listed column."""
-    wanted = {c: t for c, t in spec.items() if c in df.columns}
-    if not wanted:
-        return {}
-    fits = {row["column"] for row in retype_losses(df, wanted).collect() if row["lost"] == 0}
-    return {c: t for c, t in wanted.items() if c in fits}
+def unfit_values(df: DataFrame, spec: dict[str, str], *keys: str) -> DataFrame:
+    """Every value that does not fit its new type, with the row's keys: ``keys, column, type, value``."""
+    columns = [c for c in spec if c in df.columns]
+    entries = [
+        F.when(
+            F.col(c).isNotNull() & F.col(c).try_cast(spec[c]).isNull(),
+            F.struct(F.lit(c).alias("column"), F.lit(spec[c]).alias("type"), F.col(c).cast("string").alias("value")),
+        )
+        for c in columns
+    ]
+    kept = F.filter(F.array(*entries), lambda x: x.isNotNull())
+    return df.select(*keys, F.inline(kept))
 
 
 def schema_diff(before: DataFrame, after: DataFrame) -> DataFrame:

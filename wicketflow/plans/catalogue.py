@@ -221,7 +221,7 @@ def _on_meta(build, *columns):
 
 def _profile_summary(docs):
     raw = projection.raw_documents(docs)
-    return profiling.profile_summary(docs, profiling.match_metadata(docs), documents.unparsable(raw))
+    return profiling.profile_summary(docs, profiling.match_metadata(docs), documents.rejects_of(documents.parse(raw)))
 
 
 def _profile_queries() -> dict[str, Query]:
@@ -239,8 +239,7 @@ def _profile_queries() -> dict[str, Query]:
         "p05_reject_report": _given(
             "documents",
             lambda d: profiling.reject_report(
-                documents.unparsable(d.select(F.col("doc_id").cast("string").alias("match_id"), F.col("text").alias("raw")))
-                .withColumnRenamed("raw", "record")
+                documents.rejects_of(documents.parse(d.select(F.col("doc_id").cast("string").alias("match_id"), F.col("text").alias("raw"))))
             ),
         ),
         "p06_field_presence": _raw(profiling.field_presence),
@@ -249,10 +248,10 @@ def _profile_queries() -> dict[str, Query]:
         "p08_document_totals": _on_meta(lambda meta: meta, "match_id", "total_overs_recorded", "total_deliveries"),
         "p09_describe_all": _flat(lambda t: summaries.describe_all(deliveries(t).select(*oracles.DESCRIBED))),
         "p10_null_profile": _on_meta(lambda meta: summaries.null_profile({"metadata": meta}, only_nulls=True)),
-        "p11_empty_matches": _on_meta(
-            lambda meta: meta.agg(
-                F.count("*").alias("matches"), F.sum((~F.col("has_innings_data")).cast("int")).alias("empty")
-            )
+        "p11_empty_matches": _raw(
+            lambda raw: profiling.empty_matches(
+                profiling.match_metadata(documents.documents_of(documents.parse(_with_odd(raw))))
+            ).select("match_id", "match_type")
         ),
         "p12_completeness_by_type": _on_meta(profiling.completeness_by_type),
         "p13_matches_per_year": _on_meta(profiling.matches_per_year),
@@ -414,6 +413,36 @@ def _report(spark, folder, t):
     return spark.read.schema("section string, key string, value string").json(folder)
 
 
+def _with_odd(raw: DataFrame) -> DataFrame:
+    """The texts of the documents, numbers written in other ways; for each fourth match a text without
+    innings, for each fifth one that is broken and one that is no object."""
+    odd = F.regexp_replace("raw", '"overs":([0-9]+)', '"overs":$1.0')
+    odd = F.regexp_replace(odd, '"match_type_number":([0-9]+)', '"match_type_number":"$1"')
+    number = F.regexp_extract("match_id", "([0-9]+)", 1).cast("bigint")
+    named = lambda mark: F.concat("match_id", F.lit(mark)).alias("match_id")
+    kind = F.regexp_extract("raw", '"match_type":"([^"]*)"', 1)
+    no_balls = F.concat(F.lit('{"info":{"match_type":"'), kind, F.lit('","overs":"20.0"},"innings":[]}'))
+    fourth, fifth = raw.where(number % 4 == 0), raw.where(number % 5 == 0)
+    return summaries.union_all(
+        [
+            raw.select("match_id", odd.alias("raw")),
+            fourth.select(named("-empty"), no_balls.alias("raw")),
+            fifth.select(named("-broken"), F.concat(F.lit("{"), "raw").alias("raw")),
+            fifth.select(named("-list"), F.concat(F.lit("["), "raw", F.lit("]")).alias("raw")),
+        ]
+    )
+
+
+def _reader_queries() -> dict[str, Query]:
+    read = lambda raw: documents.parse(_with_odd(raw))
+    return {
+        "s01_read_matches": _raw(lambda raw: profiling.match_metadata(documents.documents_of(read(raw)).where("NOT endswith(match_id, '-empty')"))),
+        "s02_read_raw": _raw(
+            lambda raw: read(raw).groupBy(F.coalesce("reason", F.lit("read")).alias("outcome")).agg(F.count("*").alias("files"))
+        ),
+    }
+
+
 def _sink_queries() -> dict[str, Query]:
     return {
         "s04_write_replace": _stored(_written_twice),
@@ -429,5 +458,5 @@ def _sink_queries() -> dict[str, Query]:
 def queries() -> dict[str, Query]:
     return {
         **_feature_queries(), **_career_queries(), **_mart_queries(),
-        **_unnest_queries(), **_profile_queries(), **_quality_queries(), **_sink_queries(),
+        **_unnest_queries(), **_profile_queries(), **_quality_queries(), **_reader_queries(), **_sink_queries(),
     }

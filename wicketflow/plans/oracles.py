@@ -485,15 +485,19 @@ _P = {
     "p02_schema_variants_props": _shape("SELECT 'top' AS level, array_to_string(list_sort(json_keys(props)), ',') AS keys, count(*) AS count FROM events GROUP BY 2", ctes="", big="count"),
     "p03_top_variants": _docs(f"SELECT * FROM ({_INFO_VARIANTS}) v ORDER BY count DESC, level, keys LIMIT 5", big="count"),
     "p04_match_type_counts": _docs("SELECT match_type, count(*) AS count FROM md GROUP BY 1", big="count"),
-    "p05_reject_report": _shape("""SELECT 'error_count' AS key, CAST(count(*) AS VARCHAR) AS value FROM documents WHERE NOT json_valid(text)
-      UNION ALL SELECT * FROM (SELECT CAST(doc_id AS VARCHAR) AS k, substring(text,1,200) FROM documents WHERE NOT json_valid(text) ORDER BY 1 LIMIT 10) x""", ctes=""),
+    "p05_reject_report": _shape("""SELECT 'error_count' AS key, CAST(count(*) AS VARCHAR) AS value FROM documents WHERE NOT json_valid(text) OR NOT starts_with(ltrim(text),'{')
+      UNION ALL SELECT CAST(doc_id AS VARCHAR), concat(CASE WHEN json_valid(text) THEN 'not a JSON object' ELSE 'not JSON' END, ', ', length(text), ' characters, ', md5(text))
+      FROM documents WHERE NOT json_valid(text) OR NOT starts_with(ltrim(text),'{')""", ctes=""),
     "p06_field_presence": _docs(_PRESENCE, big="deliveries", dbl="percentage files_percentage"),
     "p07_match_metadata": _docs("SELECT * FROM meta", big=_META_WHOLE),
     "p07_short_metadata": _docs("SELECT match_id, match_type, teams, date, city, venue, has_innings_data, innings_count, total_deliveries FROM meta", big="innings_count total_deliveries"),
     "p08_document_totals": _docs("SELECT match_id, total_overs_recorded, total_deliveries FROM meta", big="total_overs_recorded total_deliveries"),
     "p09_describe_all": _shape(" UNION ALL ".join(_describe(c) for c in sorted(DESCRIBED, key=lambda c: c in _TEXTS)), big='"count" "unique" freq', dbl="mean std min max"),
     "p10_null_profile": _docs(f"SELECT * FROM ({_nulls('meta', 'metadata', _META_COLUMNS)}) x WHERE null_count>0", big="null_count total_rows", dbl="null_percentage"),
-    "p11_empty_matches": _docs("SELECT count(*) AS matches, count(*) FILTER (NOT has_innings_data) AS empty FROM meta", big="matches empty"),
+    "p11_empty_matches": _docs("SELECT concat(match_id, '-empty') AS match_id, match_type FROM meta WHERE CAST(regexp_extract(match_id,'[0-9]+') AS BIGINT)%4=0"),
+    "s01_read_matches": _docs("SELECT * FROM meta", big=_META_WHOLE),
+    "s02_read_raw": _docs("""SELECT 'read' AS outcome, count(*) + count(*) FILTER (CAST(regexp_extract(match_id,'[0-9]+') AS BIGINT)%4=0) AS files FROM meta
+      UNION ALL SELECT unnest(['not JSON','not a JSON object']), count(*) FILTER (CAST(regexp_extract(match_id,'[0-9]+') AS BIGINT)%5=0) FROM meta""", big="files"),
     "p12_completeness_by_type": _docs("""SELECT match_type, count(*) AS count, sum(total_deliveries) AS total_deliveries, avg(innings_count) AS avg_innings,
       avg(CASE WHEN city IS NULL THEN 100.0 ELSE 0 END) AS pct_null_city, avg(CASE WHEN venue IS NULL THEN 100.0 ELSE 0 END) AS pct_null_venue,
       avg(CASE WHEN outcome_winner IS NULL THEN 0 ELSE 100.0 END) AS pct_with_winner, avg(CASE WHEN outcome_result IS NULL THEN 0 ELSE 100.0 END) AS pct_with_result,

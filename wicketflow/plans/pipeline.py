@@ -9,12 +9,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wicketflow.constants import RANGE_SPEC, RETYPE_SPEC, TABLES
+from wicketflow.constants import RANGE_SPEC, RETYPE_SPEC, TABLE_KEYS, TABLES
 from wicketflow.operators import (
     careers, consistency, features, identity, match_stats, profiling, quality, similarity, summaries, unnest,
 )
 from wicketflow.sources import reports
-from wicketflow.sources.documents import read_matches, read_rejects
+from wicketflow.sources.documents import documents_of, parse, read_raw, rejects_of
 from wicketflow.sources.tables import FEATURE_LAYOUT, LAYOUT, catalog_schema, read_tables, write_tables
 
 
@@ -23,23 +23,49 @@ def _store(spark: SparkSession, df: DataFrame, path: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
-def ingest(spark: SparkSession, source: str, out: str, limit: int | None = None) -> DataFrame:
-    """Parse the JSON files once; documents and rejected files are stored."""
-    _store(spark, read_rejects(spark, source, limit), f"{out}/rejects")
-    return _store(spark, read_matches(spark, source, limit), f"{out}/documents")
+def ingest(spark: SparkSession, source: str, out: str) -> DataFrame:
+    """Parse the JSON files once; one write holds the documents and the rejected files.
+
+    Equal files of one match come once, so the tables made from documents need no search for
+    duplicates.
+    """
+    parsed = parse(read_raw(spark, source)).dropDuplicates(["match_id", "raw"])
+    split = parsed.select("match_id", "doc", "reason", F.when(F.col("reason").isNotNull(), F.col("raw")).alias("raw"))
+    split.withColumn("ok", F.col("reason").isNull()).write.mode("overwrite").partitionBy("ok").parquet(f"{out}/files")
+    return read_documents(spark, out)
+
+
+def _read_files(spark: SparkSession, out: str, ok: bool) -> DataFrame:
+    return spark.read.parquet(f"{out}/files").where(F.col("ok") == ok)
+
+
+def read_documents(spark: SparkSession, out: str) -> DataFrame:
+    return documents_of(_read_files(spark, out, True))
+
+
+def read_rejected(spark: SparkSession, out: str) -> DataFrame:
+    return rejects_of(_read_files(spark, out, False))
 
 
 def profile(spark: SparkSession, out: str) -> None:
     """CSV outputs on the documents: metadata, similar venues, matches with issues."""
-    docs = spark.read.parquet(f"{out}/documents")
+    docs = read_documents(spark, out)
     meta = _store(spark, profiling.match_metadata(docs), f"{out}/profile/metadata")
     venues = similarity.similar_names(meta, "venue", 0.9, lower=True)
     reports.write_csv(meta, f"{out}/profile/metadata_csv")
     reports.write_csv(venues.orderBy(F.desc("similarity"), "name1", "name2"), f"{out}/profile/similar_venues_csv")
     reports.write_csv(profiling.quality_issues(meta), f"{out}/profile/matches_with_issues_csv")
-    rejects = spark.read.parquet(f"{out}/rejects")
-    summary = profiling.profile_summary(docs, meta, rejects)
-    reports.write_report(reports.report(summary, "profile", "key", "value"), f"{out}/profile/report")
+    rejects = read_rejected(spark, out)
+    sections = [
+        reports.report(profiling.profile_summary(docs, meta, rejects), "profile", "key", "value"),
+        reports.report(profiling.reject_report(rejects), "rejects", "key", "value"),
+        reports.report(profiling.empty_matches(meta), "empty_matches", "match_id", "match_type"),
+        reports.report(summaries.null_profile({"metadata": meta}, only_nulls=True), "nulls", "column", "null_count", "null_percentage"),
+        reports.report(profiling.matches_per_year(meta), "years", "year", "matches"),
+        reports.report(summaries.value_counts(meta, "venue", 20), "top_venues", "venue", "count"),
+        reports.report(summaries.value_counts(meta, "teams", 20), "top_teams", "teams", "count"),
+    ]
+    reports.write_report(summaries.union_all(sections), f"{out}/profile/report")
 
 
 def unnest_tables(spark: SparkSession, out: str) -> dict[str, DataFrame]:
@@ -48,7 +74,7 @@ def unnest_tables(spark: SparkSession, out: str) -> dict[str, DataFrame]:
     The ids of unregistered names are stored first: the planner then knows how large they are
     when it joins them with the documents.
     """
-    docs = spark.read.parquet(f"{out}/documents")
+    docs = read_documents(spark, out)
     missing = _store(spark, identity.unregistered(docs), f"{out}/unregistered_names")
     resolved = _store(spark, identity.resolve_gaps(docs, missing), f"{out}/name_gaps")
     gaps = _store(spark, identity.gap_maps(resolved), f"{out}/name_gap_maps")
@@ -58,7 +84,7 @@ def unnest_tables(spark: SparkSession, out: str) -> dict[str, DataFrame]:
         "overs": unnest.overs(docs),
         "deliveries": unnest.deliveries(docs, gaps),
     }
-    write_tables(raw, f"{out}/unnested")
+    write_tables(raw, f"{out}/unnested", distinct=False)
     stored = read_tables(spark, f"{out}/unnested", tuple(raw))
     people = identity.players(stored["deliveries"], stored["matches"], docs)
     write_tables({"players": people}, f"{out}/unnested")
@@ -68,17 +94,17 @@ def unnest_tables(spark: SparkSession, out: str) -> dict[str, DataFrame]:
 def retype_stored(spark: SparkSession, out: str) -> dict[str, DataFrame]:
     """The tables with narrow types, laid out for lookups.
 
-    A column keeps its type when a value would not fit; the losses that would have been are
-    reported.
+    The types are the same in every run. A value that does not fit becomes NULL and is kept, with
+    its key, in a table of its own.
     """
     raw = read_tables(spark, f"{out}/unnested")
-    losses = [
-        quality.retype_losses(raw[name], spec).select(F.lit(name).alias("table"), "*")
+    unfit = [
+        quality.unfit_values(raw[name], spec, *TABLE_KEYS[name])
+        .select(F.lit(name).alias("table"), F.concat_ws(",", *TABLE_KEYS[name]).alias("key"), "column", "type", "value")
         for name, spec in RETYPE_SPEC.items()
     ]
-    _store(spark, summaries.union_all(losses), f"{out}/quality/retype_losses")
-    fitting = {name: quality.fitting_spec(raw[name], spec) for name, spec in RETYPE_SPEC.items()}
-    typed = quality.retype_tables(raw, fitting)
+    _store(spark, summaries.union_all(unfit), f"{out}/quality/unfit_values")
+    typed = quality.retype_tables(raw)
     # Rows are already distinct; a second pass over them would only shuffle them again.
     write_tables(typed, f"{out}/tables", layout=LAYOUT, distinct=False)
     diff = quality.schema_diff(catalog_schema(spark, raw), catalog_schema(spark, typed))
@@ -103,9 +129,9 @@ def check_tables(spark: SparkSession, out: str) -> None:
         ),
         reports.single_row_report(diff.agg(F.count_if("changed").alias("type_conversions")), "conversions"),
         reports.report(
-            spark.read.parquet(f"{out}/quality/retype_losses").where("lost > 0")
+            spark.read.parquet(f"{out}/quality/unfit_values").groupBy("table", "column", "type").agg(F.count("*").alias("lost"))
             .withColumn("at", F.concat_ws(".", "table", "column")),
-            "kept_types", "at", "type", "lost",
+            "unfit_values", "at", "type", "lost",
         ),
         reports.report(quality.storage_estimate(diff, shape), "storage", "table", "bytes_before", "bytes_after", "savings_pct"),
         reports.single_row_report(quality.invalid_runs_count(t["deliveries"]), "validation"),
@@ -143,9 +169,9 @@ def build_features(spark: SparkSession, out: str, variant: str = "full") -> dict
     return stored
 
 
-def run(spark: SparkSession, source: str, out: str, variant: str = "full", limit: int | None = None) -> dict[str, DataFrame]:
+def run(spark: SparkSession, source: str, out: str, variant: str = "full") -> dict[str, DataFrame]:
     """From a folder of match files to features and mart under ``out``."""
-    ingest(spark, source, out, limit)
+    ingest(spark, source, out)
     profile(spark, out)
     unnest_tables(spark, out)
     retype_stored(spark, out)

@@ -31,14 +31,6 @@ DOCUMENT_DDL = f"""
                     fielders:array<struct<name:string>>>>>>>>>>
 """
 
-CORRUPT = "_corrupt_record"
-
-
 def document_schema() -> T.StructType:
     """The parsed schema; needs an active session."""
     return T.StructType.fromDDL(DOCUMENT_DDL)
-
-
-def read_schema() -> T.StructType:
-    """Schema for reading JSON: the document plus the column for unreadable text."""
-    return T.StructType(document_schema().fields + [T.StructField(CORRUPT, T.StringType())])

@@ -33,12 +33,12 @@ def base_folder(setting: str | None, master: str) -> str:
 def shared_folder(spark: SparkSession) -> str:
     """A new name in the shared folder; what is written there goes when the session ends."""
     base = base_folder(spark.conf.get(_SETTING, None), spark.sparkContext.master)
-    folder = f"{base}/{uuid.uuid4().hex}"
-    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    own = f"{base}/{uuid.uuid4().hex}"
+    path = spark._jvm.org.apache.hadoop.fs.Path(own)
     files = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
     files.mkdirs(path)
     files.deleteOnExit(path)
-    return folder
+    return f"{own}/data"
 
 
 def stage(spark: SparkSession, df: DataFrame) -> DataFrame:
@@ -47,6 +47,6 @@ def stage(spark: SparkSession, df: DataFrame) -> DataFrame:
     What follows starts from the stored files: it survives lost executors, is not computed again
     for every use, and is planned with the true size.
     """
-    folder = f"{shared_folder(spark)}/t"
+    folder = shared_folder(spark)
     df.write.parquet(folder)
     return spark.read.parquet(folder)

@@ -1,78 +1,87 @@
-"""Reading match documents."""
+"""Reading match documents: one scan of the files as text, one parse, nothing lost."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from wicketflow.schema import CORRUPT, document_schema, read_schema
+from wicketflow.schema import document_schema
 
+_NUMBERS = (T.IntegerType, T.LongType, T.DoubleType)
+
+
+def _as_text(kind: T.DataType) -> T.DataType:
+    """The same type with every number as text, so that no way of writing a number fails to parse."""
+    if isinstance(kind, _NUMBERS):
+        return T.StringType()
+    if isinstance(kind, T.ArrayType):
+        return T.ArrayType(_as_text(kind.elementType))
+    if isinstance(kind, T.MapType):
+        return T.MapType(kind.keyType, _as_text(kind.valueType))
+    if isinstance(kind, T.StructType):
+        return T.StructType([T.StructField(f.name, _as_text(f.dataType)) for f in kind.fields])
+    return kind
 
-def _match_id(file_name):
-    return F.regexp_extract(file_name, r"^([^.]*)", 1)
 
+def _has_number(kind: T.DataType) -> bool:
+    return _as_text(kind) != kind
 
-def _first_paths(spark: SparkSession, path: str, limit: int) -> list[str]:
-    """Paths of the first ``limit`` files by match id; file contents are not read."""
-    listed = (
-        spark.read.format("binaryFile").option("pathGlobFilter", "*.json").load(path)
-        .select("path", _match_id(F.col("_metadata.file_name")).alias("match_id"))
-    )
-    return [row.path for row in listed.orderBy("match_id", "path").limit(limit).collect()]
 
+def _typed(value: Column, kind: T.DataType) -> Column:
+    """Text back to numbers: 50, 50.0 and "50" alike; what is no number becomes NULL."""
+    if isinstance(kind, T.DoubleType):
+        return value.try_cast("double")
+    if isinstance(kind, _NUMBERS):
+        return F.coalesce(value.try_cast(kind), value.try_cast("double").try_cast(kind))
+    if not _has_number(kind):
+        return value
+    if isinstance(kind, T.ArrayType):
+        return F.transform(value, lambda x: _typed(x, kind.elementType))
+    if isinstance(kind, T.MapType):
+        return F.transform_values(value, lambda _, x: _typed(x, kind.valueType))
+    fields = [_typed(value[f.name], f.dataType).alias(f.name) for f in kind.fields]
+    return F.when(value.isNotNull(), F.struct(*fields))
 
-def _read(spark: SparkSession, path: str, limit: int | None) -> DataFrame:
-    reader = (
-        spark.read.schema(read_schema())
-        .option("multiLine", True)
-        .option("mode", "PERMISSIVE")
-        .option("columnNameOfCorruptRecord", CORRUPT)
-        .option("pathGlobFilter", "*.json")
-    )
-    paths = path if limit is None else _first_paths(spark, path, limit)
-    return reader.json(paths).withColumn("match_id", _match_id(F.col("_metadata.file_name")))
+
+def _match_id(file_name: Column) -> Column:
+    return F.regexp_extract(file_name, r"^([^.]*)", 1)
 
 
-def _whole():
-    """Always true, but uses every column: a file is judged by all of its fields, whichever of
-    them are asked for later."""
-    used = [F.length("meta.created"), F.length("info.match_type"), F.size("innings")]
-    return F.greatest(*[F.coalesce(c, F.lit(0)) for c in used]) >= 0
+def read_raw(spark: SparkSession, path: str) -> DataFrame:
+    """Whole files of a directory as text: ``match_id, raw``; ``match_id`` is the file name up to the dot."""
+    files = spark.read.option("wholetext", True).option("pathGlobFilter", "*.json").text(path)
+    return files.select(_match_id(F.col("_metadata.file_name")).alias("match_id"), F.col("value").alias("raw"))
 
 
-def read_matches(spark: SparkSession, path: str, limit: int | None = None) -> DataFrame:
-    """One row per readable file of a directory; ``match_id`` is the file name up to the dot.
+def parse(raw: DataFrame) -> DataFrame:
+    """``match_id, raw, doc, reason``: the document, or why the text is none.
 
-    ``limit`` reads only the first files by match id.
+    Only text that is not JSON, or not a JSON object, is rejected. A field of an unexpected type
+    costs at most that field.
     """
-    rows = _read(spark, path, limit)
-    return rows.where(F.col(CORRUPT).isNull() & _whole()).drop(CORRUPT)
+    value = F.try_parse_json("raw")
+    reason = F.when(value.isNull(), "not JSON").when(~F.ltrim("raw").startswith("{"), "not a JSON object")
+    parsed = raw.select("match_id", "raw", F.from_json("raw", _as_text(document_schema())).alias("text"), reason.alias("reason"))
+    doc = F.when(F.col("reason").isNull(), _typed(F.col("text"), document_schema()))
+    return parsed.select("match_id", "raw", doc.alias("doc"), "reason")
 
 
-def read_rejects(spark: SparkSession, path: str, limit: int | None = None) -> DataFrame:
-    """Files that could not be read as a match document, with their text."""
-    rows = _read(spark, path, limit).where(F.col(CORRUPT).isNotNull() & _whole())
-    return rows.select(
-        "match_id", F.col(CORRUPT).alias("record"), F.col("info").isNotNull().alias("has_info")
-    )
+def documents_of(parsed: DataFrame) -> DataFrame:
+    """The documents of ``parse``: one row per readable text."""
+    return parsed.where("reason IS NULL").select("doc.*", "match_id")
 
 
-def read_raw(spark: SparkSession, path: str, limit: int | None = None) -> DataFrame:
-    """Whole files as text, for profiling the structure: ``match_id, raw``."""
-    reader = spark.read.option("wholetext", True).option("pathGlobFilter", "*.json")
-    paths = path if limit is None else _first_paths(spark, path, limit)
-    return reader.text(paths).select(
-        _match_id(F.col("_metadata.file_name")).alias("match_id"), F.col("value").alias("raw")
-    )
+def rejects_of(parsed: DataFrame) -> DataFrame:
+    """The texts of ``parse`` that are no documents, with the reason: ``match_id, record, reason``."""
+    return parsed.where("reason IS NOT NULL").select("match_id", F.col("raw").alias("record"), "reason")
 
 
-def parse_raw(raw: DataFrame) -> DataFrame:
-    """Documents from raw text; text that is not a JSON object is dropped."""
-    parsed = F.from_json("raw", document_schema())
-    usable = F.try_parse_json("raw").isNotNull() & F.ltrim("raw").startswith("{")
-    return raw.where(usable).select("match_id", parsed.alias("doc")).select("doc.*", "match_id")
+def read_matches(spark: SparkSession, path: str) -> DataFrame:
+    """One row per readable file of a directory."""
+    return documents_of(parse(read_raw(spark, path)))
 
 
-def unparsable(raw: DataFrame) -> DataFrame:
-    """Raw rows whose text is not JSON."""
-    return raw.where(F.try_parse_json("raw").isNull())
+def read_rejects(spark: SparkSession, path: str) -> DataFrame:
+    """Files that are no match document, with their text and the reason."""
+    return rejects_of(parse(read_raw(spark, path)))
