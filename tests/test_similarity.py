@@ -1,6 +1,5 @@
 """Similar pairs against a comparison of all pairs on small lists."""
 
-import difflib
 import itertools
 import random
 
@@ -28,21 +27,18 @@ def _names(seed, letters="abc", count=120, longest=14):
     return sorted(n for n in names if n)
 
 
-def _score(measure, a, b):
-    if measure == "edit":
-        return 1.0 - _levenshtein(a, b) / max(len(a), len(b))
-    ratio = difflib.SequenceMatcher(None, a, b).ratio()
-    return round(100 * ratio) / 100 if measure == "rounded" else ratio
+def _score(a, b):
+    return 1.0 - _levenshtein(a, b) / max(len(a), len(b))
 
 
-@pytest.mark.parametrize("measure,threshold", [("edit", 0.9), ("edit", 0.8), ("edit", 0.6), ("sequence", 0.8), ("rounded", 0.9), ("sequence", 0.6)])
-def test_same_pairs_as_all_pairs(spark, measure, threshold):
+@pytest.mark.parametrize("threshold", [0.9, 0.8, 0.7, 0.6, 0.51])
+def test_same_pairs_as_all_pairs(spark, threshold):
     names = _names(int(threshold * 100)) + ["Central Ground, North Town", "Central Ground, South Town", "central ground, north town"]
     df = spark.createDataFrame([(n,) for n in names * 2] + [(None,)], "venue string")
-    found = {(r.name1, r.name2): r.similarity for r in similar_names(df, "venue", threshold, measure=measure).collect()}
+    found = {(r.name1, r.name2): r.similarity for r in similar_names(df, "venue", threshold).collect()}
     wanted = {}
     for a, b in itertools.combinations(sorted(set(names)), 2):
-        score = _score(measure, a, b)
+        score = _score(a, b)
         if score >= threshold:
             wanted[(a, b)] = score
     assert found.keys() == wanted.keys()
@@ -70,3 +66,20 @@ def test_threshold_is_checked(spark):
     df = spark.createDataFrame([("a",)], "name string")
     with pytest.raises(ValueError):
         similar_names(df, "name", 0.4)
+
+
+@pytest.mark.parametrize("size,threshold", [(5, 0.8), (20, 0.6)])
+def test_no_hot_key(spark, size, threshold):
+    """Short names and low thresholds: pairs that meet stay far below all pairs."""
+    from pyspark.sql import functions as F
+
+    from wicketflow.operators.similarity import _signatures
+
+    rng = random.Random(size)
+    names = sorted({"".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(size)) for _ in range(4000)})
+    df = spark.createDataFrame([(n, n) for n in names], "name string, text string")
+    keys = _signatures(df, threshold, 3).where("len = low AND len = high").groupBy("low", "high", "token").agg(
+        F.sum(F.when(F.col("side") != 1, 1).otherwise(0)).alias("a"), F.sum(F.when(F.col("side") != 0, 1).otherwise(0)).alias("b")
+    )
+    met, largest = keys.agg(F.sum(F.col("a") * F.col("b")), F.max("b")).first()
+    assert largest < 0.1 * len(names) and met < 0.35 * len(names) ** 2

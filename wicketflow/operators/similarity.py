@@ -7,14 +7,16 @@ q-grams, on their two lengths and on nearby positions, and the edit distance is
 the join, so no unchecked pair is ever written out. Two bit masks, of the q-grams and of the
 characters of a name, turn most pairs away before their distance is computed. No filter loses a
 pair.
+
+Where the allowed edits could destroy every q-gram (short strings, low thresholds) strings meet on
+segments instead: the shorter one is cut into one segment more than there are edits, so one segment
+is left whole and stands in the longer one, moved by no more places than there are edits.
 """
 
 from __future__ import annotations
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 _SLACK = 1e-9
 
@@ -22,39 +24,31 @@ _SLACK = 1e-9
 _LONGEST = (1 << 16) - 1
 
 
-def _edits(low: Column, high: Column, threshold: float, measure: str) -> Column:
-    """Most edits between strings of these lengths that still reach the threshold."""
-    size = low + high if measure == "sequence" else F.greatest(low, high)
-    return F.floor(F.lit(1.0 - threshold) * size + F.lit(_SLACK)).cast("int")
-
-
-def _destroyed(length: Column, other: Column, edits: Column, q: int, measure: str) -> Column:
-    """Most q-grams of a string that the edits towards one of another length can change."""
-    if measure != "sequence":
-        return edits * q
-    # Only deletions (q each) and insertions (q - 1 each), whose difference is that of the lengths.
-    return F.floor((q * (edits + length - other) + (q - 1) * (edits - length + other)) / 2).cast("int")
-
-
-@F.pandas_udf(T.DoubleType())
-def _sequence_ratio(left: pd.Series, right: pd.Series) -> pd.Series:
-    from difflib import SequenceMatcher
+def _edits(high: Column, threshold: float) -> Column:
+    """Most edits between strings, the longer of this length, that still reach the threshold."""
+    return F.floor(F.lit(1.0 - threshold) * high + F.lit(_SLACK)).cast("int")
 
-    return pd.Series([SequenceMatcher(None, a, b).ratio() for a, b in zip(left, right)])
 
-
-def _partner_lengths(length: Column, threshold: float, measure: str) -> Column:
+def _partner_lengths(length: Column, threshold: float) -> Column:
     """Lengths a partner can have."""
-    if measure == "sequence":
-        low = F.ceil(length * (threshold / (2 - threshold)) - _SLACK)
-        high = F.floor(length * ((2 - threshold) / threshold) + _SLACK)
-    else:
-        low = F.ceil(length * threshold - _SLACK)
-        high = F.floor(length / threshold + _SLACK)
-    low, high = low.cast("int"), high.cast("int")
+    low = F.ceil(length * threshold - _SLACK).cast("int")
+    high = F.floor(length / threshold + _SLACK).cast("int")
     return F.sequence(F.least(low, length), F.greatest(high, length))
 
 
+# Keys on segments. Of a string of length low there are edits + 1 segments, the last ones one
+# character longer where the length doesn't divide; side 0 marks the shorter string's segments,
+# side 1 the places of the longer string where they can stand.
+_SIZE = "(low DIV (edits + 1) + int(k >= edits + 1 - low % (edits + 1)))"
+_START = "(k * (low DIV (edits + 1)) + greatest(0, k - (edits + 1 - low % (edits + 1))))"
+_KEY = "named_struct('token', xxhash64('segment', k, substring(text, {at} + 1, {size})), 'at', 0, 'side', {side})"
+_SEGMENTS = f"transform(sequence(0, edits), k -> {_KEY.format(at=_START, size=_SIZE, side=0)})"
+_PLACES = (
+    f"flatten(transform(sequence(0, edits), k -> transform(filter(sequence({_START} - edits, {_START} + edits), "
+    f"p -> p >= 0 AND p + {_SIZE} <= high), p -> {_KEY.format(at='p', size=_SIZE, side=1)})))"
+)
+
+
 def _mask(numbers: Column, how: str) -> Column:
     """64 bits of a list of numbers: which ones occur (``or``), or occur an odd number of times.
 
@@ -66,8 +60,8 @@ def _mask(numbers: Column, how: str) -> Column:
     return F.aggregate(F.transform(numbers, bit), F.lit(0).cast("bigint"), join)
 
 
-def _signatures(names: DataFrame, threshold: float, measure: str, q: int) -> DataFrame:
-    """Rare q-grams of each name for each length a partner can have: the keys to meet on."""
+def _signatures(names: DataFrame, threshold: float, q: int) -> DataFrame:
+    """Rare q-grams, or segments, of each name for each length a partner can have: the keys to meet on."""
     length = F.length("text")
     starts = F.sequence(F.lit(1), F.greatest(length - (q - 1), F.lit(1)))
     grams = names.select(
@@ -87,27 +81,27 @@ def _signatures(names: DataFrame, threshold: float, measure: str, q: int) -> Dat
     # Lengths that no name has need no keys. At most 65536 lengths are told apart.
     lengths = names.select(F.least(length, F.lit(_LONGEST)).alias("there")).distinct()
     spread = (
-        ranked.select("*", length.alias("len"), F.explode(_partner_lengths(length, threshold, measure)).alias("other"))
+        ranked.select("*", length.alias("len"), F.explode(_partner_lengths(length, threshold)).alias("other"))
         .withColumn("there", F.least("other", F.lit(_LONGEST)))
         .join(F.broadcast(lengths), "there", "left_semi")
     )
     low, high = F.least("len", "other"), F.greatest("len", "other")
     keyed = spread.select(
         "name", "text", "grams", "len", "other", low.alias("low"), high.alias("high"),
-        _edits(low, high, threshold, measure).alias("edits"),
+        _edits(high, threshold).alias("edits"),
     )
-    lost = lambda length, other: _destroyed(F.col(length), F.col(other), F.col("edits"), q, measure)
     keyed = keyed.select(
-        "*", lost("len", "other").alias("lost"),
-        (lost("low", "high") + lost("high", "low")).alias("differing"),
-        F.least(
-            F.col("low") - (q - 1) - lost("low", "high"), F.col("high") - (q - 1) - lost("high", "low")
-        ).alias("left_over"),
+        "*", (F.col("edits") * q).alias("lost"), (2 * F.col("edits") * q).alias("differing"),
+        (F.col("low") - (q - 1) - F.col("edits") * q).alias("left_over"),
     )
-    key = lambda token, at: F.struct(token.cast("int").alias("token"), at.cast("int").alias("at"))
+    key = lambda token, at: F.struct(token.cast("bigint").alias("token"), at.cast("int").alias("at"), F.lit(2).alias("side"))
     rare = F.transform(F.slice("grams", 1, F.col("lost") + 1), lambda x: key(x["token"], x["at"]))
-    # Too short for a q-gram to survive for sure: all strings of these lengths meet on one key.
-    keys = F.when(F.col("left_over") <= 0, F.array(key(F.lit(-1), F.lit(0)))).otherwise(rare)
+    none = F.array().cast("array<struct<token:bigint,at:int,side:int>>")
+    segments = F.concat(
+        F.when(F.col("len") == F.col("low"), F.expr(_SEGMENTS)).otherwise(none),
+        F.when(F.col("len") == F.col("high"), F.expr(_PLACES)).otherwise(none),
+    )
+    keys = F.when(F.col("left_over") <= 0, F.array_distinct(segments)).otherwise(rare)
     return keyed.select(
         "name", "text", "low", "high", "edits", "len", "differing",
         _mask(F.transform("grams", lambda g: g["token"]), "or").alias("gram_mask"),
@@ -121,25 +115,19 @@ def similar_names(
     column: str,
     threshold: float = 0.9,
     lower: bool = False,
-    measure: str = "edit",
     strict: bool = False,
-    q: int | None = None,
+    q: int = 3,
 ) -> DataFrame:
     """Pairs of distinct values of a column that are similar: ``name1, name2, similarity``.
 
-    ``measure="edit"`` is ``1 - levenshtein / longer length``. ``measure="sequence"`` is the
-    ratio of matching blocks, ``"rounded"`` the same as a percentage rounded to a whole number
-    over 100. ``lower`` compares in lower case. ``strict`` wants the similarity above the
-    threshold and below 1, otherwise it may equal the threshold.
+    The similarity is ``1 - edit distance / longer length``. ``lower`` compares in lower case.
+    ``strict`` wants it above the threshold and below 1, otherwise it may equal the threshold.
     """
     if not 0.5 < threshold <= 1.0:
         raise ValueError("threshold must be above 0.5 and at most 1")
-    kind = "edit" if measure == "edit" else "sequence"
-    limit = threshold - 0.005 if measure == "rounded" else threshold
-    q = q or (3 if kind == "edit" else 2)
     names = df.where(F.col(column).isNotNull()).select(F.col(column).alias("name")).distinct()
     names = names.select("name", (F.lower("name") if lower else F.col("name")).alias("text"))
-    signatures = _signatures(names, limit, kind, q)
+    signatures = _signatures(names, threshold, q)
 
     # A merge join: signatures are many more than names, so the planner's estimate from the
     # names must not lead to a broadcast, and a hot key can be split at run time.
@@ -147,7 +135,7 @@ def similar_names(
     a, b = (lambda c: F.col(f"a.{c}")), (lambda c: F.col(f"b.{c}"))
     met = (
         (a("low") == b("low")) & (a("high") == b("high")) & (a("token") == b("token"))
-        & (a("len") == a("low")) & (b("len") == b("high"))
+        & (a("len") == a("low")) & (b("len") == b("high")) & (a("side") != 1) & (b("side") != 0)
     )
     likely = (
         F.when(a("low") == a("high"), a("name") < b("name")).otherwise(F.lit(True))
@@ -163,22 +151,16 @@ def similar_names(
         F.when(a("name") < b("name"), b(c)).otherwise(a(c)).alias(f"{c}2"),
     ]
     near = left.join(right, met).withColumn("distance", distance).where(F.col("distance") >= 0)
-    if kind == "edit":
-        pairs = near.select(*ordered("name"), "distance", a("high").alias("longer")).distinct()
-        similarity = F.lit(1.0) - F.col("distance").cast("double") / F.col("longer")
-    else:
-        pairs = near.select(*ordered("name"), *ordered("text")).distinct()
-        similarity = _sequence_ratio("text1", "text2")
-        if measure == "rounded":
-            similarity = F.bround(similarity * 100, 0) / 100
+    pairs = near.select(*ordered("name"), "distance", a("high").alias("longer")).distinct()
+    similarity = F.lit(1.0) - F.col("distance").cast("double") / F.col("longer")
     scored = pairs.select("name1", "name2", similarity.alias("similarity"))
     s = F.col("similarity")
     return scored.where((s > threshold) & (s < 1.0) if strict else s >= threshold)
 
 
-def similar_names_with_counts(df: DataFrame, column: str, threshold: float = 0.8, measure: str = "edit") -> DataFrame:
+def similar_names_with_counts(df: DataFrame, column: str, threshold: float = 0.8) -> DataFrame:
     """Similar but not equal values, each with its number of rows."""
-    pairs = similar_names(df, column, threshold, measure=measure, strict=True)
+    pairs = similar_names(df, column, threshold, strict=True)
     counts = df.where(F.col(column).isNotNull()).groupBy(column).agg(F.count("*").alias("n"))
     for k in ("1", "2"):
         side = counts.select(F.col(column).alias(f"name{k}"), F.col("n").alias(f"count{k}"))
