@@ -9,6 +9,7 @@ import compare
 import pytest
 
 import __spark_entry__ as registry
+from wicketflow.plans import catalogue, oracles
 
 SF_DIR = os.environ.get("ORACLE_SF_DIR", "/root/testdata/sf0.001")
 SOME = (
@@ -17,9 +18,10 @@ SOME = (
     "u09_deliveries", "u13_players", "p02_schema_variants", "p06_field_presence", "p07_match_metadata",
     "p15_similar_names", "p18_json_types", "p19_describe_runs", "q06_storage_estimate", "q12_match_overs_stats",
     "q21_over_length_factors", "q28_player_consistency", "q29_text_health", "s06_layout",
+    "s01_read_matches", "s02_read_raw", "p05_reject_report", "p11_empty_matches",
 )
 QUERIES, ORACLES = registry.queries(), registry.oracle_sql()
-NAMES = sorted(QUERIES) if os.environ.get("ALL_QUERIES") else SOME
+NAMES = sorted(catalogue.queries()) if os.environ.get("ALL_QUERIES") else SOME
 
 
 @pytest.fixture(scope="module")
@@ -28,7 +30,9 @@ def con():
 
 
 def test_every_query_has_a_sql_form():
-    assert set(QUERIES) == set(ORACLES)
+    """Those of the pipeline operators, which are checked in their own tests, aside."""
+    assert set(catalogue.queries()) == set(oracles.oracles())
+    assert set(QUERIES) >= set(ORACLES)
 
 
 @pytest.mark.skipif(not os.path.isdir(SF_DIR), reason="no test tables")
