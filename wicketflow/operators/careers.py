@@ -9,6 +9,7 @@ from wicketflow.constants import FIELD_ROLES, FORMATS
 from wicketflow.functions.columns import credited, flag, per, percent, total
 from wicketflow.operators.player_innings import player_innings
 
+# Names of the output columns.
 GROUPS = {
     "basic": (
         "total_matches_played", "total_runs_scored", "batting_strike_rate", "total_wickets_taken",

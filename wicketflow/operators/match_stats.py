@@ -9,6 +9,7 @@ from wicketflow.constants import ALL_ROLES, FIELD_ROLES
 from wicketflow.functions.columns import flag, per, percent, total
 from wicketflow.operators.player_innings import player_innings
 
+# Names of the output columns.
 REDUCED_COLUMNS = (
     "match_id", "date", "venue", "match_type", "team1", "team2", "player_id", "player_name",
     "player_team", "innings_batted", "balls_faced", "runs_scored", "fours", "sixes",

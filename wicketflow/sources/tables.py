@@ -48,8 +48,11 @@ def write_tables(
         writer.parquet(f"{path}/{name}")
 
 
-def save_bucketed(df: DataFrame, table: str, path: str, column: str = "innings_id", buckets: int = 8) -> None:
-    """Save as a catalog table bucketed on a join key, so that joins on it need no shuffle."""
+def save_bucketed(df: DataFrame, table: str, path: str, buckets: int, column: str = "innings_id") -> None:
+    """Save as a catalog table bucketed on a join key, so that joins on it need no shuffle.
+
+    ``buckets`` is the number of tasks that a later join can use; take it from the table's size.
+    """
     writer = df.write.mode("overwrite").bucketBy(buckets, column).sortBy(column)
     writer.option("path", path).saveAsTable(table)
 
