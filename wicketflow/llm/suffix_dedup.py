@@ -15,7 +15,9 @@ or another. Each start of such a string ("window") is dealt to one place where a
    finds the boundaries with the next common prefix length, and rounds stop at `length`. Neighbours without
    a boundary by then share a window.
 4. An anchor with more than `_HOT` different contexts is not gathered in one task: its windows are counted
-   by digest with map-side combine.
+   by digest with map-side combine. Equal windows stand alike to their anchor, so the bytes that
+   `_STRIDE` neighbouring windows share are counted first; only windows whose shared bytes repeat are counted
+   one by one.
 
 What was found for a context goes to all its documents, and the spans are united in each document. Texts
 cross the network twice, compressed.
@@ -45,6 +47,7 @@ LENGTH = 400
 _GRAM = 64
 _HOT = 500
 _BLOCK = 1 << 20
+_STRIDE = 32
 #: An odd multiplier and the constants of a mixing step; any would do.
 _BASE = 0x9E3779B97F4A7C15
 _MIX = 0xD6E8FEB86659FD93
@@ -129,10 +132,17 @@ def _pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([batch.column(ROW), batch.column("doc_id"), pa.array(packed, pa.binary())], names=["row", "doc_id", "packed"])
 
 
+def _groups(many: int, place: int) -> list[tuple[int, int]]:
+    """A context's windows in groups [from, to) that lie alike to the anchor, whatever the context."""
+    cuts = sorted({0, many, *range(place % _STRIDE, many, _STRIDE)})
+    return list(zip(cuts, cuts[1:]))
+
+
 def _cut(length: int):
-    """Bytes of the wanted contexts; of those with a hot anchor a row per window with its digest."""
+    """Bytes of the wanted contexts; of those with a hot anchor a row per group of windows, with the digest of
+    the bytes that all windows a group can have would share."""
     schema = pa.schema([("anchor", pa.int64()), ("row", pa.int64()), ("first", pa.int64()), ("bytes", pa.binary()),
-                        ("w1", pa.int64()), ("w2", pa.int64()), ("at", pa.int64())])
+                        ("w1", pa.int64()), ("w2", pa.int64()), ("at", pa.int64()), ("many", pa.int32())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         unpack = zstandard.ZstdDecompressor().decompress
@@ -142,11 +152,16 @@ def _cut(length: int):
                 data = unpack(packed)
                 for x in wanted:
                     first, many = x["first"], x["many"]
+                    part = data[first : first + many + length - 1]
                     if not x["hot"]:
-                        out.append((x["anchor"], row, first, data[first : first + many + length - 1], None, None, None))
+                        out.append((x["anchor"], row, first, part, None, None, None, None))
                         continue
-                    for at in range(first, first + many):
-                        out.append((x["anchor"], row, first, None, *_digest(data[at : at + length]), at))
+                    place = _anchor_place(part, length)
+                    for a, b in _groups(many, place):
+                        # The whole group of this place begins at a multiple of the stride before the anchor.
+                        low = a - (a - place) % _STRIDE
+                        core = part[low + _STRIDE - 1 : low + length]
+                        out.append((x["anchor"], row, first, part[a : b - 1 + length], *_digest(core), a, b - a))
                 if len(out) > 20_000:
                     yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*out), schema)], schema=schema)
                     out = []
@@ -156,6 +171,26 @@ def _cut(length: int):
     return run
 
 
+def _anchor_place(part: bytes, length: int) -> int:
+    """Where the anchor of a context stands in it."""
+    h = _hashes(np.frombuffer(part, np.uint8), _GRAM)[: length - _GRAM + 1]
+    return int(np.argmin(h >> np.uint64(32)))
+
+
+def _windows(length: int):
+    """A row for each window of a group, with its digest."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            out = []
+            for row, first, data, at, many in zip(*[batch.column(n).to_pylist() for n in ("row", "first", "bytes", "at", "many")]):
+                out += [(row, first, at + k, *_digest(data[k : k + length])) for k in range(many)]
+            if out:
+                yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*out)], names=["row", "first", "at", "w1", "w2"])
+
+    return run
+
+
 def sort_suffixes(text: np.ndarray, depth: int) -> np.ndarray:
     """Starts of the rotations of `text` (small codes) in the order of their first `depth` codes or more."""
     n = len(text)
@@ -294,18 +329,19 @@ def repeated_spans(docs: DataFrame, packed: DataFrame, length: int = LENGTH) ->
         F.collect_list(F.struct("first", "many", "anchor", (F.col("kinds") > _HOT).alias("hot"))).alias("wanted")
     )
     cut = stage(spark, packed.join(wanted, "row").select("row", "packed", "wanted").mapInArrow(
-        _cut(length), "anchor bigint, row bigint, first bigint, bytes binary, w1 bigint, w2 bigint, at bigint"
+        _cut(length), "anchor bigint, row bigint, first bigint, bytes binary, w1 bigint, w2 bigint, at bigint, many int"
     ))
     ordered = (
-        cut.filter("bytes IS NOT NULL").select("anchor", "row", "first", "bytes")
+        cut.filter("w1 IS NULL").select("anchor", "row", "first", "bytes")
         .repartition("anchor").sortWithinPartitions("anchor", "row", "first")
     )
     found = ordered.mapInArrow(_expand(length), "row bigint, first bigint, found array<array<bigint>>")
-    windows = cut.filter("bytes IS NULL").select("row", "first", "w1", "w2", "at")
-    twice = windows.groupBy("w1", "w2").agg(F.count("*").alias("n")).filter("n > 1").select("w1", "w2")
-    hot = (
-        windows.join(twice, ["w1", "w2"], "left_semi").groupBy("row", "first")
-        .agg(F.collect_list(F.array(F.col("at") - F.col("first"), F.col("at") - F.col("first") + 1)).alias("found"))
+    groups = cut.filter("w1 IS NOT NULL")
+    twice = lambda df, *keys: df.join(df.groupBy(*keys).agg(F.count("*").alias("n")).filter("n > 1").select(*keys), list(keys), "left_semi")
+    alike = twice(groups, "anchor", "w1", "w2").select("row", "first", "bytes", "at", "many")
+    windows = alike.mapInArrow(_windows(length), "row bigint, first bigint, at bigint, w1 bigint, w2 bigint")
+    hot = twice(windows, "w1", "w2").groupBy("row", "first").agg(
+        F.collect_list(F.array(F.col("at"), F.col("at") + 1)).alias("found")
     )
     verdicts = kinds.join(found.unionByName(hot), ["row", "first"], "left").select(
         "anchor", "c1", "c2",
