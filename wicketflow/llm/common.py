@@ -62,6 +62,14 @@ class Recent(dict):
             self[key] = found
         return found
 
+    def missing(self, keys: set) -> list:
+        """Those of the keys that neither the table nor its past has; those of the past are brought back."""
+        gone = keys.difference(self)
+        past = gone.intersection(self.old)
+        for key in past:
+            self[key] = self.old[key]
+        return list(gone.difference(past))
+
     def turn(self) -> None:
         """Start anew when full; called only where no look-up relies on the entries."""
         if len(self) >= self.most:

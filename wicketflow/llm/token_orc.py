@@ -1,7 +1,7 @@
 """Token ids in ORC files.
 
-Texts are brought into ascending doc_id order by range partitions (compressed, and before they are
-turned into ids, which are larger), encoded in the task that writes them, and written as ORC: integer
+Texts are brought into ascending doc_id order by range partitions (before they are turned into ids,
+which are larger), encoded in the task that writes them, and written as ORC: integer
 columns are stored in run-length encoded streams, each file has row indexes, and doc_id has a Bloom
 filter and min/max statistics per row group, so that a lookup reads single row groups and a scan can
 read stripes in parallel. `read_tokens` and `find_document` read the files back.
@@ -27,7 +27,6 @@ from functools import cache
 
 import numpy as np
 import pyarrow as pa
-import zstandard
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -35,7 +34,7 @@ from wicketflow.llm.common import Recent
 from wicketflow.scratch import shared_folder, stage
 
 END_ID = 1
-_CACHED = 300_000
+_CACHED = 400_000
 _ORC = {
     "orc.create.index": "true",
     "orc.row.index.stride": "1000",
@@ -82,16 +81,12 @@ class ChunkEncoder:
 
     def _learn(self, chunks: list[str]) -> None:
         self.parts.turn()
-        known, plain, odd, new = self.parts, [], [], set()
-        for c in chunks:
-            if "<|" not in c and _PLAIN.fullmatch(c):
-                parts = _PIECES.findall(c.lower())
-                plain.append((c, parts))
-                new.update(p for p in parts if p not in known and known.recall(p) is None)
-            else:
-                odd.append(c)
-        self._encode_parts(list(new))
-        for c, parts in plain:
+        known, odd = self.parts, [c for c in chunks if "<|" in c or not _PLAIN.fullmatch(c)]
+        apart = set(odd)
+        plain = [c for c in chunks if c not in apart] if odd else chunks
+        cut = [_PIECES.findall(c.lower()) for c in plain]
+        self._encode_parts(known.missing(set().union(*cut)))
+        for c, parts in zip(plain, cut):
             self.chunks[c] = known[parts[0]] if len(parts) == 1 else b"".join([known[p] for p in parts])
         for c, e in zip(odd, self.whole.encode_batch(odd, add_special_tokens=False)):
             self.chunks[c] = np.array(e.ids, "<i4").tobytes()
@@ -101,7 +96,7 @@ class ChunkEncoder:
         table.turn()
         cut = [None if _TIES.search(t) else t.split() for t in texts]
         met = set().union(*[c for c in cut if c])
-        self._learn([c for c in met if c not in table and table.recall(c) is None])
+        self._learn(table.missing(met))
         find = table.__getitem__
         return [
             np.array(self.whole.encode(t, add_special_tokens=False).ids, "<i4").tobytes() if c is None else b"".join(map(find, c))
@@ -115,22 +110,14 @@ def encoder(path: str) -> ChunkEncoder:
     return ChunkEncoder(path)
 
 
-def _pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    pack = zstandard.ZstdCompressor(level=1).compress
-    for batch in batches:
-        texts = [pack((t or "").encode()) for t in batch.column("text").to_pylist()]
-        yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(texts, pa.binary())], names=["doc_id", "packed"])
-
-
 def _encode(path: str, end_id: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        unpack = zstandard.ZstdDecompressor().decompress
         tool, end = encoder(path), end_id.to_bytes(4, "little")
         for batch in batches:
-            # A few documents at a time: ids take several times the room of packed texts.
+            # Some documents at a time, which bounds the room of texts and ids.
             for k in range(0, batch.num_rows, 1024):
                 part = batch.slice(k, 1024)
-                texts = [unpack(p).decode() for p in part.column("packed").to_pylist()]
+                texts = [t or "" for t in part.column("text").to_pylist()]
                 ids = [i + end for i in tool.encode(texts)]
                 offsets = np.concatenate([[0], np.cumsum([len(i) // 4 for i in ids])]).astype(np.int32)
                 tokens = pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.frombuffer(b"".join(ids), "<i4")))
@@ -142,12 +129,11 @@ def _encode(path: str, end_id: int):
 def write_tokens(docs: DataFrame, folder: str, tokenizer: str, end_id: int = END_ID, partitions: int | None = None) -> None:
     """Write doc_id and tokens of each document, in ascending doc_id order over the files."""
     narrow = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text")
-    packed = narrow.mapInArrow(_pack, "doc_id bigint, packed binary")
-    # Null ids and repeated ids may be many: the digest lets a range end inside them.
-    keyed = packed.withColumn("tie", F.xxhash64("packed"))
+    # Null ids and repeated ids may be many: the hash of the text lets a range end inside them.
+    keyed = narrow.withColumn("tie", F.xxhash64("text"))
     order = ["doc_id", "tie"]
     n = partitions or int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    placed = keyed.repartitionByRange(n, *order).sortWithinPartitions(*order).select("doc_id", "packed")
+    placed = keyed.repartitionByRange(n, *order).sortWithinPartitions(*order).select("doc_id", "text")
     encoded = placed.mapInArrow(_encode(tokenizer, end_id), "doc_id bigint, tokens array<int>")
     encoded.write.options(**_ORC).orc(folder)
 
