@@ -32,6 +32,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from wicketflow.llm.common import ROW, with_row
+
 SAMPLE_PAGES = 300
 #: Element names of HTML by what they do.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -438,9 +440,18 @@ def _extract(model: BoostedTrees):
 
 
 def fit(pages: DataFrame, rows: int = SAMPLE_PAGES) -> BoostedTrees | None:
-    """Train on at most `rows` pages, taken in hash order."""
-    sample = pages.select("page_id", "html").filter("html IS NOT NULL").orderBy(F.xxhash64("page_id"), "page_id", F.length("html")).limit(rows)
-    return train([r["html"] for r in sample.select("html").collect()])
+    """Train on at most `rows` pages, those with the smallest hashes.
+
+    Row numbers are picked first, from hashes below a bound that leaves some three times as many, so
+    tasks send a few numbers to the driver, however many tasks there are; then the pages are fetched.
+    """
+    span = 1 << 40
+    keyed = with_row(pages.select("page_id", "html"))
+    most = min(span, 3 * rows * span // max(1, pages.count()) + 1)
+    hashed = keyed.select(ROW, F.pmod(F.xxhash64("page_id", ROW), F.lit(span)).alias("hash"))
+    picked = hashed.filter(F.col("hash") < most).orderBy("hash", ROW).limit(rows)
+    found = keyed.join(F.broadcast(picked), ROW).select("hash", ROW, "html").collect()
+    return train([r["html"] for r in sorted(found, key=lambda r: (r["hash"], r[ROW]))])
 
 
 def extract_pages(pages: DataFrame, model: BoostedTrees | None = None) -> DataFrame:
