@@ -16,7 +16,7 @@ or another. Each start of such a string ("window") is dealt to one place where a
    a boundary by then share a window.
 4. An anchor with more than `_HOT` different contexts is not gathered in one task: its windows are counted
    by digest with map-side combine. Equal windows stand alike to their anchor, so the bytes that
-   `_STRIDE` neighbouring windows share are counted first; only windows whose shared bytes repeat are counted
+   32, then 4 neighbouring windows share are counted first; only windows whose shared bytes repeat are counted
    one by one.
 
 What was found for a context goes to all its documents, and the spans are united in each document. Texts
@@ -47,7 +47,9 @@ LENGTH = 400
 _GRAM = 64
 _HOT = 500
 _BLOCK = 1 << 20
-_STRIDE = 32
+#: Windows counted together at first, and then.
+_STRIDES = (32, 4, 1)
+_STRIDE = _STRIDES[0]
 #: An odd multiplier and the constants of a mixing step; any would do.
 _BASE = 0x9E3779B97F4A7C15
 _MIX = 0xD6E8FEB86659FD93
@@ -142,7 +144,7 @@ def _cut(length: int):
     """Bytes of the wanted contexts; of those with a hot anchor a row per group of windows, with the digest of
     the bytes that all windows a group can have would share."""
     schema = pa.schema([("anchor", pa.int64()), ("row", pa.int64()), ("first", pa.int64()), ("bytes", pa.binary()),
-                        ("w1", pa.int64()), ("w2", pa.int64()), ("at", pa.int64()), ("many", pa.int32())])
+                        ("w1", pa.int64()), ("w2", pa.int64()), ("at", pa.int64()), ("many", pa.int32()), ("low", pa.int64())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         unpack = zstandard.ZstdDecompressor().decompress
@@ -154,14 +156,14 @@ def _cut(length: int):
                     first, many = x["first"], x["many"]
                     part = data[first : first + many + length - 1]
                     if not x["hot"]:
-                        out.append((x["anchor"], row, first, part, None, None, None, None))
+                        out.append((x["anchor"], row, first, part, None, None, None, None, None))
                         continue
                     place = _anchor_place(part, length)
                     for a, b in _groups(many, place):
                         # The whole group of this place begins at a multiple of the stride before the anchor.
                         low = a - (a - place) % _STRIDE
                         core = part[low + _STRIDE - 1 : low + length]
-                        out.append((x["anchor"], row, first, part[a : b - 1 + length], *_digest(core), a, b - a))
+                        out.append((x["anchor"], row, first, part[a : b - 1 + length], *_digest(core), a, b - a, low))
                 if len(out) > 20_000:
                     yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*out), schema)], schema=schema)
                     out = []
@@ -177,16 +179,26 @@ def _anchor_place(part: bytes, length: int) -> int:
     return int(np.argmin(h >> np.uint64(32)))
 
 
-def _windows(length: int):
-    """A row for each window of a group, with its digest."""
+def _split(length: int, stride: int):
+    """Groups of windows cut to smaller ones, likewise; with a stride of 1 to the windows themselves."""
+    schema = pa.schema([("anchor", pa.int64()), ("row", pa.int64()), ("first", pa.int64()), ("bytes", pa.binary()),
+                        ("w1", pa.int64()), ("w2", pa.int64()), ("at", pa.int64()), ("many", pa.int32()), ("low", pa.int64())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             out = []
-            for row, first, data, at, many in zip(*[batch.column(n).to_pylist() for n in ("row", "first", "bytes", "at", "many")]):
-                out += [(row, first, at + k, *_digest(data[k : k + length])) for k in range(many)]
+            names = ("anchor", "row", "first", "bytes", "at", "many", "low")
+            for anchor, row, first, data, at, many, low in zip(*[batch.column(n).to_pylist() for n in names]):
+                a = at
+                while a < at + many:
+                    start = a - (a - low) % stride
+                    b = min(start + stride, at + many)
+                    core = data[start + stride - 1 - at : start + length - at]
+                    kept = data[a - at : b - 1 + length - at] if stride > 1 else None
+                    out.append((anchor, row, first, kept, *_digest(core), a, b - a, start))
+                    a = b
             if out:
-                yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*out)], names=["row", "first", "at", "w1", "w2"])
+                yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*out), schema)], schema=schema)
 
     return run
 
@@ -329,7 +341,7 @@ def repeated_spans(docs: DataFrame, packed: DataFrame, length: int = LENGTH) ->
         F.collect_list(F.struct("first", "many", "anchor", (F.col("kinds") > _HOT).alias("hot"))).alias("wanted")
     )
     cut = stage(spark, packed.join(wanted, "row").select("row", "packed", "wanted").mapInArrow(
-        _cut(length), "anchor bigint, row bigint, first bigint, bytes binary, w1 bigint, w2 bigint, at bigint, many int"
+        _cut(length), "anchor bigint, row bigint, first bigint, bytes binary, w1 bigint, w2 bigint, at bigint, many int, low bigint"
     ))
     ordered = (
         cut.filter("w1 IS NULL").select("anchor", "row", "first", "bytes")
@@ -338,9 +350,11 @@ def repeated_spans(docs: DataFrame, packed: DataFrame, length: int = LENGTH) ->
     found = ordered.mapInArrow(_expand(length), "row bigint, first bigint, found array<array<bigint>>")
     groups = cut.filter("w1 IS NOT NULL")
     twice = lambda df, *keys: df.join(df.groupBy(*keys).agg(F.count("*").alias("n")).filter("n > 1").select(*keys), list(keys), "left_semi")
-    alike = twice(groups, "anchor", "w1", "w2").select("row", "first", "bytes", "at", "many")
-    windows = alike.mapInArrow(_windows(length), "row bigint, first bigint, at bigint, w1 bigint, w2 bigint")
-    hot = twice(windows, "w1", "w2").groupBy("row", "first").agg(
+    kind = "anchor bigint, row bigint, first bigint, bytes binary, w1 bigint, w2 bigint, at bigint, many int, low bigint"
+    windows = groups
+    for stride in _STRIDES[1:]:
+        windows = twice(windows, "anchor", "w1", "w2").drop("w1", "w2").mapInArrow(_split(length, stride), kind)
+    hot = twice(windows, "anchor", "w1", "w2").groupBy("row", "first").agg(
         F.collect_list(F.array(F.col("at"), F.col("at") + 1)).alias("found")
     )
     verdicts = kinds.join(found.unionByName(hot), ["row", "first"], "left").select(
