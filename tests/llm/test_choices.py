@@ -257,6 +257,17 @@ def test_broken_pages_parse(page):
     assert "no" not in html_extract.main_text(nodes, [x.tag not in html_extract.NO_TEXT for x in nodes])
 
 
+@pytest.mark.parametrize("page", [
+    "<script>for(i=0;i<n;i++){f(i)}</script><article>k</article>", "<script>if (a<b) '</p>'</script>k", "<SCRIPT>a<b</Script >k",
+    "<style>a::after{content:'<b'}</style>k", "<title>no <b</title>k", "<textarea><p>no</textarea>k", "<svg><path d='no'><p>no</svg>k",
+    "<noscript><img alt='it's no'>no</noscript>k", "<template>k", "<noscript>k", "<svg>k", "<script>'</scripts>no'</script>k",
+    "<script><!-- w('<script>no</script>no') --></script>k", "<script><!-- no\n</script>k",
+])
+def test_text_after_raw_elements_is_kept(page):
+    nodes = html_extract.parse(page)
+    assert html_extract.main_text(nodes, [x.tag not in html_extract.NO_TEXT for x in nodes]) == "k"
+
+
 def test_text_of_blocks():
     nodes = html_extract.parse("<div>a<b>b</b>c<p>d&amp;amp; &eacute;&nbsp;\n e<br>f</p>g<style>x</style></div>")
     assert html_extract.main_text(nodes, [x.tag not in html_extract.NO_TEXT for x in nodes]) == "abc d&amp; é e f g"

@@ -38,6 +38,8 @@ SAMPLE_PAGES = 300
 #: Element names of HTML by what they do.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 RAW = frozenset(["script", "style", "textarea", "title", "noscript", "template", "iframe", "svg"])
+#: Of these, elements that hold markup: one that is never closed holds nothing.
+RAW_MARKUP = frozenset(["noscript", "template", "svg"])
 NO_TEXT = RAW | frozenset(["head", "select", "option", "button", "input", "object", "canvas"])
 INLINE = frozenset("a abbr b bdi bdo cite code data del dfn em font i ins kbd label mark q s samp small span strong sub sup time tt u var".split())
 CLOSED_BY = {
@@ -51,6 +53,8 @@ _NAME = re.compile(r"</?([A-Za-z][^\s/>]*)")
 _ATTRIBUTE = re.compile(r"([^\s=\"'/<>]+)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))")
 _ATTRIBUTE_WORD = re.compile(r"[A-Za-z]+")
 _BLANK = re.compile(r"\s+")
+_RAW_END = {t: re.compile(rf"</{t}(?=[\s/>])", re.I) for t in RAW}
+_SCRIPT_MARK = re.compile(r"<!--(?!-*>)|-->|<(/?)script(?=[\s/>])", re.I)
 
 
 @dataclass(slots=True)
@@ -73,26 +77,45 @@ def _plain(text: str) -> str:
     return html.unescape(text)
 
 
+def _after_raw(page: str, tag: str, at: int) -> int:
+    """Where the closing tag of a RAW element begins whose content begins at `at`.
+
+    As in HTML, a script inside a comment inside a script has a closing tag of its own.
+    """
+    if tag == "script":
+        comment = inner = False
+        for mark in _SCRIPT_MARK.finditer(page, at):
+            if mark[1] is None:
+                comment, inner = mark[0] == "<!--", inner and mark[0] == "<!--"
+            elif not mark[1]:
+                inner = comment
+            elif inner:
+                inner = False
+            else:
+                return mark.start()
+        return len(page)
+    found = _RAW_END[tag].search(page, at)
+    if found:
+        return found.start()
+    return at if tag in RAW_MARKUP else len(page)
+
+
 def parse(page: str) -> list[Node]:
     """Nodes in page order; node 0 is the root. Never fails."""
     nodes = [Node("#root", -1, 0)]
     open_ = [0]
-    skip = ""
-    for found in _TOKEN.finditer(page):
+    rest = _TOKEN.finditer(page)
+    while found := next(rest, None):
         token = found[0]
         if token[0] != "<" or len(token) == 1 or (token[1] not in "/!?" and not token[1].isalpha()):
-            if not skip:
-                nodes[open_[-1]].children.append(_plain(token))
+            nodes[open_[-1]].children.append(_plain(token))
             continue
         if token[1] in "!?":
-            if token.startswith("<![CDATA[") and not skip:
+            if token.startswith("<![CDATA["):
                 nodes[open_[-1]].children.append(token[9:].removesuffix("]]>"))
             continue
         tag = _NAME.match(token)[1].lower()
         if token[1] == "/":
-            if skip and tag != skip:
-                continue
-            skip = ""
             for k in range(len(open_) - 1, 0, -1):
                 name = nodes[open_[k]].tag
                 if name == tag:
@@ -101,8 +124,6 @@ def parse(page: str) -> list[Node]:
                 if name in SCOPES and tag in INLINE:
                     break
             continue
-        if skip:
-            continue
         for k in range(len(open_) - 1, 0, -1):
             name = nodes[open_[k]].tag
             if tag in CLOSED_BY.get(name, ()):
@@ -121,7 +142,7 @@ def parse(page: str) -> list[Node]:
         if tag in VOID or token.endswith("/>"):
             continue
         if tag in RAW:
-            skip = tag
+            rest = _TOKEN.finditer(page, _after_raw(page, tag, found.end()))
         else:
             open_.append(len(nodes) - 1)
     return nodes
