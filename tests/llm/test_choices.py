@@ -268,6 +268,12 @@ def test_text_after_raw_elements_is_kept(page):
     assert html_extract.main_text(nodes, [x.tag not in html_extract.NO_TEXT for x in nodes]) == "k"
 
 
+def test_long_articles_are_laid_out_whole():
+    page = "<article>" + "".join(f"<p>Part number {k} of the text.</p>" for k in range(100)) + "</article>"
+    anew = html_extract.training_nodes([page])[1:]
+    assert any("Part number 99 of the text." in x.children for nodes in anew for x in nodes if x.label)
+
+
 def test_text_of_blocks():
     nodes = html_extract.parse("<div>a<b>b</b>c<p>d&amp;amp; &eacute;&nbsp;\n e<br>f</p>g<style>x</style></div>")
     assert html_extract.main_text(nodes, [x.tag not in html_extract.NO_TEXT for x in nodes]) == "abc d&amp; é e f g"

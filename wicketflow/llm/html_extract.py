@@ -415,7 +415,7 @@ def training_nodes(pages: list[str], layouts: int = 3, seed: int = 5) -> list[li
                 if text:
                     blocks.append(text)
         if blocks:
-            texts.append(blocks[:60])
+            texts.append(blocks)
     pool = [" ".join(b) for b in texts]
     out = list(labelled)
     for blocks in texts:
