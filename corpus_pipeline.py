@@ -38,10 +38,10 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def encode_pieces(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Piece ids of each document of the mix, scores of the n best segmentations, the ids read back as text."""
+    """Piece ids and scores of the n best segmentations of each document of the mix, the ids of the best read back as text."""
     import public_tokenizers
 
-    return sentence_lattice.encode_nbest(docs, public_tokenizers.path("piece_bpe_32k.model"))
+    return sentence_lattice.encode_nbest(docs, public_tokenizers.path("piece_bpe_32k.model"), alternatives=True)
 
 
 STAGES: list[tuple[str, Stage]] = [

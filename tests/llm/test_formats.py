@@ -189,3 +189,28 @@ def test_pieces_of_a_table(docs, clashing, no_docs):
         assert sorted(map(str, ((g.doc_id, g.decoded) for g in got))) == sorted(map(str, ((r.doc_id, r.text or "") for r in rows)))
         assert all(g.scores == sorted(g.scores, reverse=True) and len(g.alternatives) == len(g.scores) - 1 for g in got)
     assert sentence_lattice.summarise(no_docs, PIECES).collect() == []
+
+
+def test_summary_has_every_rank(spark, model, docs):
+    import hashlib
+
+    from pyspark.sql import functions as F
+
+    sha = lambda ids: hashlib.sha256(" ".join(map(str, ids)).encode()).hexdigest()
+    key = lambda *x: sorted(map(str, x[0]))
+    rows = docs.collect()
+    got = sentence_lattice.summarise(docs, PIECES, n=3).collect()
+    want = [(r.doc_id, [(s, len(i), sha(i), True) for s, i in model.nbest(r.text, 3)]) for r in rows]
+    assert key((g.doc_id, [tuple(x) for x in g.segmentations]) for g in got) == key(want)
+    plain = sentence_lattice.encode_nbest(docs, PIECES, n=3).select(
+        "doc_id", F.size("ids").cast("bigint"), "score", "scores", F.sha2(F.array_join("ids", " "), 256), F.sha2("decoded", 256), F.length("decoded").cast("bigint")
+    )
+    assert key(tuple(g)[:7] for g in got) == key(tuple(p) for p in plain.collect())
+
+
+def test_pipeline_returns_all_segmentations(spark, model):
+    import corpus_pipeline
+
+    table = spark.createDataFrame([(1, "several pieces here", "en", "a", 1)], "doc_id bigint, text string, lang string, source string, n_chars bigint")
+    (got,) = corpus_pipeline.encode_pieces(spark, table, "").collect()
+    assert [tuple(got.ids), *map(tuple, got.alternatives)] == [i for _, i in model.nbest("several pieces here", 3)]

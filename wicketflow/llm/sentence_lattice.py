@@ -20,6 +20,7 @@ empty result; other columns are not looked at.
 
 from __future__ import annotations
 
+import hashlib
 import heapq
 from collections.abc import Iterator
 from functools import cache
@@ -118,6 +119,7 @@ class PieceModel:
                 self.near[x, y] = True
         self.far = np.array(sorted((x << 21) | y for x, y in pairs), np.int64)
         self.byte_ids = [byte_ids[k] for k in range(256)]
+        self.names = [b"%d" % k for k in range(len(self.octets))]
         self.fallback = min(s for _, s in self.pieces.values()) - 10
         self.cached = cached
         self.tables: dict[tuple[int, bool], Recent] = {}
@@ -223,6 +225,26 @@ class PieceModel:
         parts = self.cuts(text, n, False)
         return joined(parts, {}), [s for s, _ in choices(parts, n)]
 
+    def nbest_digests(self, text: str | None, n: int = NBEST) -> list[tuple[float, int, str, bytes]]:
+        """Of the n best: score, number of ids, SHA-256 of the ids joined by spaces, the text that the ids decode to.
+
+        The ids of the best are looked up once; the others are the best with the parts that depart put in.
+        """
+        parts = self.cuts(text, n, True) if text else []
+        best = list(chain.from_iterable([p.ids for p in parts]))
+        names, octets = [list(map(found.__getitem__, best)) for found in (self.names, self.octets)]
+        out = []
+        for score, departs in choices(parts, n) if text else [(0.0, {})]:
+            own, read = names, octets
+            if departs:
+                own, read = names.copy(), octets.copy()
+                for k in sorted(departs, reverse=True):
+                    a = sum([len(p.ids) for p in parts[:k]])
+                    b, ids = a + len(parts[k].ids), parts[k].others[departs[k] - 1]
+                    own[a:b], read[a:b] = map(self.names.__getitem__, ids), map(self.octets.__getitem__, ids)
+            out.append((score, len(own), hashlib.sha256(b" ".join(own)).hexdigest(), b"".join(read)[1:]))
+        return out
+
     def decode(self, ids) -> str:
         return b"".join(map(self.octets.__getitem__, ids))[1:].decode()
 
@@ -278,11 +300,38 @@ def encode_nbest(docs: DataFrame, model: str, n: int = NBEST, alternatives: bool
     return out if alternatives else out.drop("alternatives")
 
 
+_RANK = "score double, n_pieces bigint, ids_sha256 string, decodes boolean"
+
+
+def _summarise(path: str, n: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        model = piece_model(path)
+        rank = pa.struct([("score", pa.float64()), ("n_pieces", pa.int64()), ("ids_sha256", pa.string()), ("decodes", pa.bool_())])
+        for batch in batches:
+            for k in range(0, batch.num_rows, 128):
+                part = batch.slice(k, 128)
+                ranks, digests, lengths = [], [], []
+                for text in part.column("text").to_pylist():
+                    found, given = model.nbest_digests(text, n), (text or "").encode()
+                    ranks.append([(*rest, read == given) for *rest, read in found])
+                    digests.append(hashlib.sha256(found[0][3]).hexdigest())
+                    lengths.append(len(found[0][3].decode()))
+                columns = [part.column("doc_id"), pa.array(ranks, pa.list_(rank)), pa.array(digests), pa.array(lengths, pa.int64())]
+                yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "segmentations", "decoded_sha256", "decoded_chars"])
+
+    return run
+
+
 def summarise(docs: DataFrame, model: str, n: int = NBEST) -> DataFrame:
-    """Per document: doc_id, n_pieces, score, scores, ids_sha256 (ids joined by spaces), decoded_sha256, n_chars of the decoded text."""
-    done = encode_nbest(docs, model, n)
+    """Per document: doc_id; n_pieces, score and ids_sha256 (ids joined by spaces) of the best segmentation; scores of the
+    n best; decoded_sha256, n_chars of the decoded text; segmentations: for each of the n best, in order, score, n_pieces,
+    ids_sha256, and whether its ids decode to the text."""
+    narrow = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text")
+    done = narrow.mapInArrow(
+        _summarise(model, n), f"doc_id bigint, segmentations array<struct<{_RANK}>>, decoded_sha256 string, decoded_chars bigint"
+    )
+    best = F.col("segmentations")[0]
     return done.select(
-        "doc_id", F.size("ids").cast("bigint").alias("n_pieces"), "score", "scores",
-        F.sha2(F.array_join("ids", " "), 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"),
-        F.length("decoded").cast("bigint").alias("decoded_chars"),
+        "doc_id", best["n_pieces"].alias("n_pieces"), best["score"].alias("score"), F.col("segmentations.score").alias("scores"),
+        best["ids_sha256"].alias("ids_sha256"), "decoded_sha256", "decoded_chars", "segmentations",
     )
