@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from wicketflow.llm import chat_tree, decision_list, exact_dedup, html_extract, mixing, sentence_lattice, simhash, suffix_dedup, token_orc, toxicity
+from wicketflow.llm import chat_tree, decision_list, exact_dedup, html_extract, mixing, sentence_lattice, sharding, simhash, suffix_dedup, token_orc, toxicity
 from wicketflow.llm.common import table
 
 
@@ -60,8 +60,12 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.mark_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op13_sampled_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sharding.plan_shards(table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_toxicity, op2_html_extract, op3_suffix_dedup, op4_chat_tree, op5_simhash, op6_quality_rules, op7_token_orc, op8_mix_sources, op9_piece_lattice, op10_exact_dedup)}
+    return {f.__name__: f for f in (op1_toxicity, op2_html_extract, op3_suffix_dedup, op4_chat_tree, op5_simhash, op6_quality_rules, op7_token_orc, op8_mix_sources, op9_piece_lattice, op10_exact_dedup, op13_sampled_shards)}
 
 
 _EXACT = """
@@ -117,5 +121,29 @@ FROM f GROUP BY conv_id
 """
 
 
+#: The order behind the ranges decides alone where a record goes, so the sample isn't needed here.
+_SHARDS = """
+WITH RECURSIVE b AS (
+  SELECT range AS b, range::UBIGINT AS c, 0 AS k FROM range(256)
+  UNION ALL SELECT b, CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384::UBIGINT) ELSE c >> 1 END, k + 1 FROM b WHERE k < 8),
+l AS (SELECT list(c ORDER BY b) AS l FROM b WHERE k = 8),
+d AS (
+  SELECT doc_id, ('0x' || substr(md5(coalesce(text, '')), 1, 15))::BIGINT AS k, octet_length(encode(coalesce(text, ''))) + 16 AS size,
+    xor(list_reduce(
+      list_prepend(4294967295::UBIGINT, list_transform(regexp_extract_all(hex(encode(coalesce(text, ''))), '..'), lambda p: ('0x' || p)::UBIGINT)),
+      lambda c, x: xor(c >> 8, l[(xor(c, x) & 255)::BIGINT + 1])), 4294967295::UBIGINT)::BIGINT AS text_crc32
+  FROM documents, l),
+o AS (
+  SELECT *, sum(size) OVER (ORDER BY k, doc_id NULLS FIRST ROWS UNBOUNDED PRECEDING) - size AS start,
+    row_number() OVER (ORDER BY k, doc_id NULLS FIRST) AS number, sum(size) OVER () AS total, sum(size) OVER (PARTITION BY k) AS held
+  FROM d),
+g AS (SELECT *, min(start) OVER (PARTITION BY k) AS group_start, held * 40 <= 0.02 * total AS whole FROM o),
+s AS (
+  SELECT *, least(39, (CASE WHEN whole THEN 2 * group_start + held ELSE 2 * start + size END * 40) // (2 * total))::BIGINT AS shard FROM g)
+SELECT doc_id, size::BIGINT AS size, text_crc32, 'bytes' AS law, shard,
+  row_number() OVER (PARTITION BY shard ORDER BY number) - 1 AS slot, NULL::BIGINT AS grown_shard FROM s
+"""
+
+
 def oracles() -> dict[str, str]:
-    return {"op4_chat_tree": _CHAT, "op10_exact_dedup": _EXACT, "op8_mix_sources": _MIX}
+    return {"op4_chat_tree": _CHAT, "op10_exact_dedup": _EXACT, "op8_mix_sources": _MIX, "op13_sampled_shards": _SHARDS}
