@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from wicketflow.llm import chat_tree, decision_list, exact_dedup, html_extract, mixing, sentence_lattice, sharding, simhash, suffix_dedup, token_orc, toxicity
+from wicketflow.llm import chat_tree, decision_list, exact_dedup, html_extract, lexical_search, mixing, sentence_lattice, sharding, simhash, suffix_dedup, token_orc, toxicity
 from wicketflow.llm.common import table
 
 
@@ -60,12 +60,16 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.mark_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op12_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical_search.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op13_sampled_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.plan_shards(table(spark, sf_dir, "documents"))
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_toxicity, op2_html_extract, op3_suffix_dedup, op4_chat_tree, op5_simhash, op6_quality_rules, op7_token_orc, op8_mix_sources, op9_piece_lattice, op10_exact_dedup, op13_sampled_shards)}
+    return {f.__name__: f for f in (op1_toxicity, op2_html_extract, op3_suffix_dedup, op4_chat_tree, op5_simhash, op6_quality_rules, op7_token_orc, op8_mix_sources, op9_piece_lattice, op10_exact_dedup, op12_lexical_search, op13_sampled_shards)}
 
 
 _EXACT = """
@@ -121,6 +125,24 @@ FROM f GROUP BY conv_id
 """
 
 
+_SEARCH = """
+WITH b AS (SELECT doc_id, row_number() OVER () AS row, unnest(regexp_extract_all(
+    translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM documents),
+i AS (SELECT DISTINCT number, item_id, term FROM (
+  SELECT row_number() OVER () AS number, item_id, unnest(regexp_extract_all(
+    translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM benchmark)),
+c AS (SELECT row, doc_id, term, count(*) AS tf FROM b GROUP BY ALL),
+d AS (SELECT row, count(*) AS n FROM b GROUP BY row),
+t AS (SELECT count(*) AS docs, sum(n)::BIGINT AS length FROM d),
+m AS (SELECT row, 10 + (90 * n * docs) // length AS m FROM d, t),
+w AS (SELECT term, floor(1000 * ln((2 * docs + 2)::DOUBLE / (2 * count(*) + 1)::DOUBLE))::BIGINT AS w FROM c, t GROUP BY term, docs),
+s AS (
+  SELECT number, item_id, row, doc_id, sum(w * ((1000000000 * tf) // (1000 * tf + 8 * m)))::BIGINT AS score
+  FROM i JOIN w USING (term) JOIN c USING (term) JOIN m USING (row) GROUP BY ALL HAVING score > 0),
+r AS (SELECT *, row_number() OVER (PARTITION BY number ORDER BY score DESC, doc_id NULLS FIRST)::INTEGER AS rank FROM s)
+SELECT item_id, rank, doc_id, score FROM r WHERE rank <= 10
+"""
+
 #: The order behind the ranges decides alone where a record goes, so the sample isn't needed here.
 _SHARDS = """
 WITH RECURSIVE b AS (
@@ -139,11 +161,11 @@ o AS (
   FROM d),
 g AS (SELECT *, min(start) OVER (PARTITION BY k) AS group_start, held * 40 <= 0.02 * total AS whole FROM o),
 s AS (
-  SELECT *, least(39, (CASE WHEN whole THEN 2 * group_start + held ELSE 2 * start + size END * 40) // (2 * total))::BIGINT AS shard FROM g)
+  SELECT *, least(39, (CASE WHEN whole THEN 2 * group_start + held ELSE 2 * start + size END * 40) // (2 * total))::INTEGER AS shard FROM g)
 SELECT doc_id, size::BIGINT AS size, text_crc32, 'bytes' AS law, shard,
-  row_number() OVER (PARTITION BY shard ORDER BY number) - 1 AS slot, NULL::BIGINT AS grown_shard FROM s
+  row_number() OVER (PARTITION BY shard ORDER BY number) - 1 AS slot, NULL::INTEGER AS grown_shard FROM s
 """
 
 
 def oracles() -> dict[str, str]:
-    return {"op4_chat_tree": _CHAT, "op10_exact_dedup": _EXACT, "op8_mix_sources": _MIX, "op13_sampled_shards": _SHARDS}
+    return {"op4_chat_tree": _CHAT, "op10_exact_dedup": _EXACT, "op8_mix_sources": _MIX, "op12_lexical_search": _SEARCH, "op13_sampled_shards": _SHARDS}

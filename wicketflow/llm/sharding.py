@@ -165,14 +165,15 @@ def assign(spark: SparkSession, records: DataFrame, shards: int) -> DataFrame:
     whole = groups.where(F.col("size") * shards <= SLACK * total).select("k", middle("start", "size").alias("shard")).collect() if cut else []
     settled = placed.withColumn("shard", F.coalesce(_by_number({r.k: r.shard for r in whole}, F.col("k")), "shard"))
     firsts = {r.shard: r.first for r in settled.groupBy("shard").agg(F.min("number").alias("first")).collect()}
-    return settled.withColumn("slot", F.col("number") - _by_number(firsts, F.col("shard"))).drop("start", "number", "k")
+    slot = F.col("number") - _by_number(firsts, F.col("shard"))
+    return settled.withColumn("slot", slot).withColumn("shard", F.col("shard").cast("int")).drop("start", "number", "k")
 
 
 def plan_shards(docs: DataFrame, shards: int = 40) -> DataFrame:
     """Per document: doc_id, size, text_crc32, law, shard, slot, grown_shard (null: this law moves rows when it grows)."""
     placed = assign(docs.sparkSession, text_records(with_row(docs.select("doc_id", "text"))), shards)
     return placed.select(
-        "doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("bigint").alias("grown_shard")
+        "doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard")
     )
 
 
