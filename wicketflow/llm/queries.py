@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from wicketflow.llm import chat_tree, decision_list, exact_dedup, html_extract, lexical_search, mixing, sentence_lattice, sharding, simhash, suffix_dedup, token_orc, toxicity
+from wicketflow.llm import chat_tree, conversation_trie, decision_list, exact_dedup, html_extract, lexical_search, mixing, sentence_lattice, sharding, simhash, suffix_dedup, token_orc, toxicity
 from wicketflow.llm.common import table
 
 
@@ -60,6 +60,10 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.mark_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op11_conversation_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return conversation_trie.prefix_trie_with_shared_heads(table(spark, sf_dir, "conversations"))
+
+
 def op12_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lexical_search.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
@@ -69,7 +73,7 @@ def op13_sampled_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_toxicity, op2_html_extract, op3_suffix_dedup, op4_chat_tree, op5_simhash, op6_quality_rules, op7_token_orc, op8_mix_sources, op9_piece_lattice, op10_exact_dedup, op12_lexical_search, op13_sampled_shards)}
+    return {f.__name__: f for f in (op1_toxicity, op2_html_extract, op3_suffix_dedup, op4_chat_tree, op5_simhash, op6_quality_rules, op7_token_orc, op8_mix_sources, op9_piece_lattice, op10_exact_dedup, op11_conversation_trie, op12_lexical_search, op13_sampled_shards)}
 
 
 _EXACT = """
@@ -125,6 +129,44 @@ FROM f GROUP BY conv_id
 """
 
 
+#: DuckDB has no CRC-32; the CTE `l` is its table of 256 numbers.
+_TRIE = """
+WITH RECURSIVE b AS (
+  SELECT range AS b, range::UBIGINT AS c, 0 AS k FROM range(256)
+  UNION ALL SELECT b, CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384::UBIGINT) ELSE c >> 1 END, k + 1 FROM b WHERE k < 8),
+l AS (SELECT list(c ORDER BY b) AS l FROM b WHERE k = 8),
+t AS (
+  SELECT conv_id, sha256(length(coalesce(role, '')) || ':' || coalesce(role, '') || coalesce(text, '')) AS digest, length(coalesce(text, '')) AS size, turn
+  FROM conversations WHERE conv_id IS NOT NULL),
+p AS (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, digest) - 1 AS place FROM t),
+c AS (
+  SELECT conv_id, conv_id - conv_id % 100 AS base, xor(list_reduce(
+      list_prepend(4294967295::UBIGINT, list_transform(regexp_extract_all(hex(encode(conv_id::VARCHAR)), '..'), lambda p: ('0x' || p)::UBIGINT)),
+      lambda c, x: xor(c >> 8, l[(xor(c, x) & 255)::BIGINT + 1])), 4294967295::UBIGINT)::BIGINT % 6 AS h
+  FROM (SELECT DISTINCT conv_id FROM t), l),
+r AS (
+  SELECT c.conv_id, 0 AS part, place, digest, size FROM c JOIN p ON p.conv_id = base AND place < h
+  UNION ALL SELECT c.conv_id, 1, place, digest, size FROM c JOIN p ON p.conv_id = c.conv_id AND place >= h),
+o AS (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY part, place) AS depth FROM r),
+m AS (
+  SELECT conv_id, depth, size, string_agg(digest, ',') OVER (PARTITION BY conv_id ORDER BY depth) AS path FROM o
+  UNION ALL SELECT conv_id, 0, 0, '' FROM c),
+e AS (SELECT conv_id, max(depth) AS last FROM m GROUP BY conv_id),
+n AS (
+  SELECT path, depth, any_value(size) AS size, min(conv_id) AS owner, count(*) AS n_convs,
+    sha256(coalesce(string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id) FILTER (depth = last), '')) AS ends_sha256
+  FROM m JOIN e USING (conv_id) GROUP BY path, depth),
+u AS (
+  SELECT n.*, q.owner AS above FROM n LEFT JOIN (SELECT m.conv_id, m.depth, n.owner FROM m JOIN n USING (path, depth)) q
+  ON q.conv_id = n.owner AND q.depth = n.depth - 1),
+k AS (SELECT above AS owner, depth - 1 AS depth, count(*) AS n_children FROM u WHERE depth > 0 GROUP BY ALL),
+f AS (SELECT u.*, coalesce(n_children, 0) AS n_children FROM u LEFT JOIN k USING (owner, depth))
+SELECT f.owner AS conv_id, f.depth::BIGINT AS depth, any_value(f.above) AS parent_conv_id, any_value(f.n_convs) AS n_convs, any_value(f.n_children) AS n_children,
+  count(*) FILTER (s.n_children = 0) AS n_leaves, sum((s.n_convs - 1) * s.size)::BIGINT AS saved_tokens, any_value(f.ends_sha256) AS ends_sha256
+FROM f JOIN m ON m.path = f.path AND m.depth = f.depth JOIN f s ON s.owner = m.conv_id AND s.depth >= f.depth
+GROUP BY f.owner, f.depth
+"""
+
 _SEARCH = """
 WITH b AS (SELECT doc_id, row_number() OVER () AS row, unnest(regexp_extract_all(
     translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM documents),
@@ -168,4 +210,4 @@ SELECT doc_id, size::BIGINT AS size, text_crc32, 'bytes' AS law, shard,
 
 
 def oracles() -> dict[str, str]:
-    return {"op4_chat_tree": _CHAT, "op10_exact_dedup": _EXACT, "op8_mix_sources": _MIX, "op12_lexical_search": _SEARCH, "op13_sampled_shards": _SHARDS}
+    return {"op4_chat_tree": _CHAT, "op10_exact_dedup": _EXACT, "op8_mix_sources": _MIX, "op11_conversation_trie": _TRIE, "op12_lexical_search": _SEARCH, "op13_sampled_shards": _SHARDS}
