@@ -96,5 +96,6 @@ def files() -> dict[str, object]:
 
 def write(folder) -> None:
     for name, content in files().items():
-        text = content if isinstance(content, str) else json.dumps(content)
+        # Some on one line, some over many, as files come.
+        text = content if isinstance(content, str) else json.dumps(content, indent=1 if name > "e08" else None)
         (folder / f"{name}.json").write_text(text)

@@ -2,13 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from wicketflow.constants import FULL_NAME_ROLES, REDUCED_NAME_ROLES
+from wicketflow.constants import FULL_NAME_ROLES, REDUCED_NAME_ROLES, SYNTHETIC_PREFIX
 from wicketflow.functions.columns import flag, percent, total
-from wicketflow.operators.identity import synthetic_count
 from wicketflow.operators.summaries import union_all
 
 # Roles whose missing names are part of the full listing.
@@ -27,45 +26,71 @@ def reduced_names_seen(deliveries: DataFrame) -> DataFrame:
     return player_names_seen(deliveries, REDUCED_NAME_ROLES, keep_missing=False)
 
 
-def player_id_issues(names: DataFrame, players: DataFrame) -> DataFrame:
-    """Names without an id or with more than one."""
-    ids = players.groupBy("player_name").agg(F.count_distinct("player_id").alias("ids"))
-    counted = names.join(ids, "player_name", "left").select(
-        "player_name", F.coalesce("ids", F.lit(0)).alias("id_count")
+def person_table(deliveries: DataFrame, players: DataFrame) -> DataFrame:
+    """One row per name and one per id, from one scan of the balls and one of the players.
+
+    ``kind`` (name or id), ``key``; for a name whether it is in the full and in the reduced listing and in how
+    many matches it batted and bowled; ``rows`` of ``players`` with it; ``others``, the ids of a name or the
+    names of an id there, sorted. All numbers about names and ids are filters on this table.
+    """
+    entries = F.inline(F.array(*[F.struct(F.lit(r).alias("role"), F.col(r).alias("name")) for r in FULL_NAME_ROLES]))
+    named, role = F.col("name").isNotNull(), F.col("role")
+    # One row per match and name first: a ball names five people, a match some thirty.
+    seen = deliveries.select("match_id", entries).groupBy("match_id", "name").agg(
+        F.bool_or(named | role.isin(*_ALWAYS_NAMED)).alias("full"),
+        F.bool_or(named & role.isin(*REDUCED_NAME_ROLES)).alias("reduced"),
+        F.bool_or(named & (role == "batter")).alias("batted"), F.bool_or(named & (role == "bowler")).alias("bowled"),
+    )
+    no = F.lit(False)
+    seen = seen.select(
+        F.lit("name").alias("kind"), F.col("name").alias("key"), "full", "reduced", "batted", "bowled", no.alias("listed"), F.lit(None).cast("string").alias("other")
+    )
+    flags = [no.alias(c) for c in ("full", "reduced", "batted", "bowled")]
+    sides = F.inline(
+        F.array(
+            F.struct(F.lit("name").alias("kind"), F.col("player_name").alias("key"), F.col("player_id").alias("other")),
+            F.struct(F.lit("id").alias("kind"), F.col("player_id").alias("key"), F.col("player_name").alias("other")),
+        )
+    )
+    listed = players.select(sides).select("kind", "key", *flags, F.lit(True).alias("listed"), "other")
+    return seen.unionByName(listed).groupBy("kind", "key").agg(
+        F.bool_or("full").alias("full"), F.bool_or("reduced").alias("reduced"),
+        F.count_if("batted").alias("matches_batted"), F.count_if("bowled").alias("matches_bowled"),
+        F.count_if("listed").alias("rows"), F.sort_array(F.collect_set("other")).alias("others"),
     )
-    return counted.where(F.col("id_count") != 1).orderBy(F.desc("id_count"), "player_name")
+
+
+def _id_count() -> Column:
+    """Ids of a name; a missing name has none."""
+    return F.when(F.col("key").isNull(), 0).otherwise(F.size("others"))
+
+
+def _names(persons: DataFrame, listing: str) -> DataFrame:
+    return persons.where((F.col("kind") == "name") & F.col(listing)).select(
+        F.col("key").alias("player_name"), _id_count().alias("id_count"), "others", "matches_batted", "matches_bowled"
+    )
+
+
+def player_id_issues(persons: DataFrame, listing: str = "full") -> DataFrame:
+    """Names of a listing (``full`` or ``reduced``) without an id or with more than one."""
+    issues = _names(persons, listing).where(F.col("id_count") != 1)
+    return issues.select("player_name", "id_count").orderBy(F.desc("id_count"), "player_name")
 
 
 def _listed(values: Column) -> Column:
     return F.array_join(F.sort_array(F.collect_set(values)), ", ")
 
 
-def multiple_ids(issues: DataFrame, players: DataFrame) -> DataFrame:
+def multiple_ids(persons: DataFrame) -> DataFrame:
     """The ids of names that have several."""
-    several = issues.where(F.col("id_count") > 1)
-    ids = players.join(several, "player_name", "left_semi").groupBy("player_name").agg(
-        _listed(F.col("player_id")).alias("player_ids")
-    )
-    return several.join(ids, "player_name").select("player_name", "id_count", "player_ids")
+    several = _names(persons, "full").where(F.col("id_count") > 1)
+    return several.select("player_name", "id_count", F.array_join("others", ", ").alias("player_ids"))
 
 
-def missing_id_matches(deliveries: DataFrame, issues: DataFrame) -> DataFrame:
+def missing_id_matches(persons: DataFrame) -> DataFrame:
     """For names without an id, the larger of their matches as batter and as bowler."""
-    missing = issues.where(F.col("id_count") == 0).select("player_name")
-    entries = F.inline(
-        F.array(*[F.struct(F.lit(r).alias("role"), F.col(r).alias("player_name")) for r in ("batter", "bowler")])
-    )
-    played = (
-        deliveries.select("match_id", entries).where(F.col("player_name").isNotNull()).distinct()
-        .groupBy("player_name")
-        .agg(
-            total(flag(F.col("role") == "batter")).alias("batted"),
-            total(flag(F.col("role") == "bowler")).alias("bowled"),
-        )
-    )
-    return missing.join(played, "player_name", "left").select(
-        "player_name", F.coalesce(F.greatest("batted", "bowled"), F.lit(0)).alias("matches_played")
-    )
+    missing = _names(persons, "full").where(F.col("id_count") == 0)
+    return missing.select("player_name", F.greatest("matches_batted", "matches_bowled").alias("matches_played"))
 
 
 def id_name_pairs(deliveries: DataFrame) -> DataFrame:
@@ -91,48 +116,42 @@ def ids_with_many_names(pairs: DataFrame) -> DataFrame:
 def name_variant_counts(pairs: DataFrame) -> DataFrame:
     """How often each name of such an id occurs; pairs are counted before they are compared."""
     counts = pairs.groupBy("player_id", "player_name").agg(F.count("*").alias("occurrence_count"))
-    return counts.join(ids_with_many_names(pairs).select("player_id"), "player_id", "left_semi")
+    names = F.count("player_name").over(Window.partitionBy("player_id"))
+    return counts.withColumn("names", names).where(F.col("names") > 1).drop("names")
 
 
-def player_consistency(deliveries: DataFrame, players: DataFrame) -> DataFrame:
-    """Overall numbers of the checks above: ``key, value``."""
-    names = player_names_seen(deliveries)
-    issues = player_id_issues(names, players)
-    number = lambda df, key, value: df.agg(F.lit(key).alias("key"), value.cast("double").alias("value"))
-    seen = F.count_distinct("player_name")
-    with_share = names.join(issues, "player_name", "left")
-    missing = total(flag(F.col("id_count") == 0))
-    several = total(flag(F.col("id_count") > 1))
-    # Names that are NULL match nothing in the join but are an issue without an id.
-    unnamed = total(flag(F.col("player_name").isNull()))
-    return union_all(
-        [
-            number(names, "total_unique_players", seen),
-            number(players, "total_players_with_ids", F.count_distinct("player_name")),
-            number(with_share, "players_missing_ids", missing + unnamed),
-            number(with_share, "players_with_multiple_ids", several),
-            number(ids_with_many_names(players), "ids_with_multiple_names", F.count("*")),
-            number(with_share, "missing_ids_pct", percent(missing + unnamed, seen)),
-            number(with_share, "multiple_ids_pct", percent(several, seen)),
-        ]
-    )
+def _numbers(row: DataFrame) -> DataFrame:
+    """The columns of a one-row result as ``key, value``."""
+    return row.select(F.inline(F.array(*[F.struct(F.lit(c).alias("key"), F.col(c).alias("value")) for c in row.columns])))
 
 
-def reduced_consistency(deliveries: DataFrame, players: DataFrame) -> DataFrame:
+def player_consistency(persons: DataFrame) -> DataFrame:
+    """Overall numbers of the checks above: ``key, value``."""
+    name, known = F.col("kind") == "name", F.col("key").isNotNull()
+    full, ids = name & F.col("full"), _id_count()
+    seen, missing, several = F.count_if(full & known), F.count_if(full & (ids == 0)), F.count_if(full & (ids > 1))
+    numbers = {
+        "total_unique_players": seen,
+        "total_players_with_ids": F.count_if(name & known & (F.col("rows") > 0)),
+        "players_missing_ids": missing,
+        "players_with_multiple_ids": several,
+        "ids_with_multiple_names": F.count_if(~name & (F.size("others") > 1)),
+        "missing_ids_pct": percent(missing, seen),
+        "multiple_ids_pct": percent(several, seen),
+    }
+    return _numbers(persons.agg(*[v.cast("double").alias(k) for k, v in numbers.items()]))
+
+
+def reduced_consistency(persons: DataFrame) -> DataFrame:
     """Names without an id, names with several ids and synthetic ids: ``key, value``."""
-    names = reduced_names_seen(deliveries)
-    known = players.where(F.col("player_id").isNotNull())
-    shared = players.groupBy("player_name").agg(F.count_distinct("player_id").alias("ids")).where(F.col("ids") > 1)
-    number = lambda df, key: df.agg(F.lit(key).alias("key"), F.count("*").alias("value"))
-    return union_all(
-        [
-            number(names.join(known, "player_name", "left_anti"), "players_missing_ids"),
-            number(shared, "players_with_multiple_ids"),
-            synthetic_count(players).select(
-                F.lit("synthetic_player_ids").alias("key"), F.col("synthetic_ids").alias("value")
-            ),
-        ]
-    )
+    name = F.col("kind") == "name"
+    synthetic = ~name & F.col("key").startswith(SYNTHETIC_PREFIX)
+    numbers = {
+        "players_missing_ids": F.count_if(name & F.col("reduced") & (F.size("others") == 0)),
+        "players_with_multiple_ids": F.count_if(name & (F.size("others") > 1)),
+        "synthetic_player_ids": F.coalesce(F.sum(F.when(synthetic, F.col("rows"))), F.lit(0)).cast("bigint"),
+    }
+    return _numbers(persons.agg(*[v.alias(k) for k, v in numbers.items()]))
 
 
 # Classes of text, the first that fits is taken.

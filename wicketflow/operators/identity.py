@@ -1,8 +1,9 @@
 """Player ids and names.
 
-A name is looked up in the registry of its own match, which sits in the same document, so most
-names need no join at all. Only names missing there are collected, resolved over all registries
-or numbered, and handed back per match.
+One pass over the documents writes a ledger: per match every name with its id in the registry of that
+match, or none, and how often the match uses it. The rows are made inside the document, without a
+shuffle. All that is asked about names comes from the ledger, which has some thirty rows a match: the
+ids of names missing in a registry, the numbers of names missing in all, the players.
 """
 
 from __future__ import annotations
@@ -19,13 +20,14 @@ GAPS = "gap_ids"
 _BUCKET_DIGITS = 3
 
 
-def _people() -> Column:
-    """Registry entries with an id."""
-    return F.map_filter("info.registry.people", lambda name, pid: pid.isNotNull())
+def registered() -> Column:
+    """The registry of a document: name to id, entries without an id left out."""
+    people = F.map_filter("info.registry.people", lambda name, pid: pid.isNotNull())
+    return F.coalesce(people, F.create_map().cast("map<string,string>"))
 
 
 def _names_used() -> Column:
-    """All names a document uses: player of the match and every role of every ball."""
+    """All names a document uses, with repeats, sorted: player of the match and every role of every ball."""
     balls = F.flatten(
         F.transform(
             F.coalesce(F.flatten(F.transform("innings", lambda i: F.coalesce(i["overs"], F.array()))), F.array()),
@@ -38,71 +40,95 @@ def _names_used() -> Column:
         F.get(F.get(b["wickets"], F.lit(0))["fielders"], F.lit(0))["name"],
     )
     pom = F.array(F.get("info.player_of_match", F.lit(0)))
-    return F.array_distinct(F.concat(pom, F.coalesce(F.flatten(F.transform(balls, named)), F.array())))
+    every = F.concat(pom, F.coalesce(F.flatten(F.transform(balls, named)), F.array()))
+    return F.sort_array(F.filter(every, lambda n: F.length(n) > 0))
 
 
-def registry(docs: DataFrame) -> DataFrame:
-    """Registry entries of all documents: ``match_id, date, name, player_id``."""
-    date = F.try_to_date(F.get("info.dates", F.lit(0)), "yyyy-M-d")
-    return docs.select("match_id", date.alias("date"), F.explode(_people()).alias("name", "player_id"))
+def ledger(docs: DataFrame) -> DataFrame:
+    """``match_id, date, name, player_id, times``: the registry entries and the names used of each match.
 
+    ``player_id`` is NULL where the registry has no id, ``times`` 0 where the match does not use the name.
+    """
+    date = F.try_to_date(F.get("info.dates", F.lit(0)), "yyyy-M-d")
+    rows = docs.select("match_id", date.alias("date"), registered().alias("people"), _names_used().alias("names"))
+    rows = rows.withColumn("used", F.array_distinct("names"))
+    # The names are sorted: those equal to one end where the next one starts.
+    starts = lambda name: F.coalesce(F.array_position("names", name), F.size("names").cast("bigint") + 1)
+    used = F.transform(
+        "used",
+        lambda n, k: F.struct(
+            n.alias("name"), F.try_element_at("people", n).alias("player_id"),
+            (starts(F.get("used", k + 1)) - starts(n)).alias("times"),
+        ),
+    )
+    others = F.transform(
+        F.array_except(F.map_keys("people"), F.col("used")),
+        lambda n: F.struct(n.alias("name"), F.try_element_at("people", n).alias("player_id"), F.lit(0).cast("bigint").alias("times")),
+    )
+    # The outer form: the other one filters on the size first and so computes the entries twice.
+    return rows.select("match_id", "date", F.inline_outer(F.concat(used, others))).where("name IS NOT NULL")
 
-def unregistered(docs: DataFrame) -> DataFrame:
-    """Names used in a match without an entry in its registry: ``match_id, name``."""
-    known = F.coalesce(F.map_keys(_people()), F.array().cast("array<string>"))
-    missing = F.array_except(_names_used(), known)
-    return docs.select("match_id", F.explode(missing).alias("name")).where(F.length("name") > 0)
 
+def spellings(names: DataFrame) -> DataFrame:
+    """A ledger added up by name and id: ``name, player_id, times, entries, last``.
 
-def known_ids(docs: DataFrame) -> DataFrame:
-    """Last known id of each name, by match date and match id."""
-    return registry(docs).groupBy("name").agg(
-        F.max_by("player_id", F.struct("date", "match_id")).alias("player_id")
+    ``entries`` counts the registries, ``last`` is the latest date and match. Names without an id in
+    their match are one row of a name, next to its ids from other matches.
+    """
+    return names.groupBy("name", "player_id").agg(
+        F.sum("times").alias("times"), F.count("player_id").alias("entries"), F.max(F.struct("date", "match_id")).alias("last")
     )
 
 
 def number_names(names: DataFrame) -> DataFrame:
-    """Synthetic ids for distinct names, numbered in the order of their digest.
+    """Synthetic ids for distinct names, numbered in the order of their digest; a name with a ``known`` id keeps that.
 
     The digest spreads the names evenly over 4096 buckets, so numbers are given inside a bucket
     and shifted by the size of the buckets before it. The only window over everything sees
     those 4096 counts.
     """
-    hashed = names.select("name", F.md5("name").alias("digest")).withColumn(
+    known = F.col("known") if "known" in names.columns else F.lit(None).cast("string")
+    hashed = names.select("name", known.alias("known"), F.md5("name").alias("digest")).withColumn(
         "bucket", F.substring("digest", 1, _BUCKET_DIGITS)
     )
     earlier = Window.orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
     offsets = (
-        hashed.groupBy("bucket").agg(F.count("*").alias("names"))
+        hashed.groupBy("bucket").agg(F.count_if(F.col("known").isNull()).alias("names"))
         .select("bucket", F.coalesce(F.sum("names").over(earlier), F.lit(0)).alias("offset"))
     )
-    inside = F.row_number().over(Window.partitionBy("bucket").orderBy("digest", "name"))
+    unnumbered = F.col("known").isNull()
+    inside = F.row_number().over(Window.partitionBy("bucket", unnumbered).orderBy("digest", "name"))
     number = F.lit(SYNTHETIC_START - 1) + F.col("offset") + F.col("at")
     return (
-        hashed.select("name", "bucket", inside.alias("at"))
+        hashed.select("name", "known", "bucket", inside.alias("at"))
         .join(offsets, "bucket")
-        .select("name", F.concat(F.lit(SYNTHETIC_PREFIX), number.cast("string")).alias("player_id"))
+        .select("name", F.coalesce("known", F.concat(F.lit(SYNTHETIC_PREFIX), number.cast("string"))).alias("player_id"))
     )
 
 
-def resolve_gaps(docs: DataFrame, missing: DataFrame | None = None) -> DataFrame:
-    """Ids for unregistered names: ``match_id, name, player_id``.
+def resolved_names(counted: DataFrame) -> DataFrame:
+    """Ids of the names that some match uses without an id: ``name, player_id``.
 
-    ``missing`` takes a stored result of :func:`unregistered`, to look through the documents once.
+    Such a name has the id of its latest registry entry anywhere, or else a number. ``counted`` is a
+    result of :func:`spellings`; one aggregation tells the two kinds apart.
     """
-    if missing is None:
-        missing = unregistered(docs)
-    names = missing.select("name").distinct()
-    known = known_ids(docs)
-    found = names.join(known, "name")
-    numbered = number_names(names.join(known, "name", "left_anti"))
-    return missing.join(found.unionByName(numbered), "name").select("match_id", "name", "player_id")
+    has_id = F.col("player_id").isNotNull()
+    told = counted.groupBy("name").agg(
+        F.max(F.when(has_id, F.struct("last", "player_id")))["player_id"].alias("known"), F.bool_or(~has_id).alias("missing")
+    )
+    return number_names(told.where("missing"))
 
 
-def gap_maps(resolved: DataFrame) -> DataFrame:
+def resolve_gaps(names: DataFrame, resolved: DataFrame) -> DataFrame:
+    """The names of a ledger that have no id in their match, with the one found: ``match_id, name, player_id``."""
+    missing = names.where("player_id IS NULL").select("match_id", "name")
+    return missing.join(resolved, "name").select("match_id", "name", "player_id")
+
+
+def gap_maps(gaps: DataFrame) -> DataFrame:
     """One map of name to id per match that has gaps; its size is bounded by the document's."""
     entries = F.map_from_entries(F.sort_array(F.collect_list(F.struct("name", "player_id"))))
-    return resolved.groupBy("match_id").agg(entries.alias(GAPS))
+    return gaps.groupBy("match_id").agg(entries.alias(GAPS))
 
 
 def with_gaps(docs: DataFrame, gaps: DataFrame) -> DataFrame:
@@ -114,41 +140,35 @@ def with_gaps(docs: DataFrame, gaps: DataFrame) -> DataFrame:
     return docs.join(gaps, "match_id", "left")
 
 
-def player_names(docs: DataFrame) -> DataFrame:
-    """Every name of every match with its id: registry entries and resolved gaps."""
-    return registry(docs).select("match_id", "name", "player_id").unionByName(resolve_gaps(docs))
+def player_names(names: DataFrame, resolved: DataFrame) -> DataFrame:
+    """Every name of every match with its id, its own or the one found: ``match_id, name, player_id``."""
+    listed = names.where("player_id IS NOT NULL").select("match_id", "name", "player_id")
+    return listed.unionByName(resolve_gaps(names, resolved))
 
 
-def resolve_ids(df: DataFrame, names: DataFrame, column: str = "name") -> DataFrame:
-    """Add ``player_id`` to rows that carry ``match_id`` and a name."""
-    lookup = names.select("match_id", F.col("name").alias(column), "player_id")
-    return df.join(lookup, ["match_id", column], "left")
+def resolve_ids(df: DataFrame, names: DataFrame, roles: tuple[str, ...] = ("name",)) -> DataFrame:
+    """The ids of the names in the columns ``roles``, in long form: the other columns, ``role, name, player_id``.
+
+    Roles are rows, so all of them meet ``names`` in one join; a row without a name in a role gives none.
+    """
+    others = [c for c in df.columns if c not in roles]
+    long = df.select(
+        *others, F.explode(F.array(*[F.struct(F.lit(r).alias("role"), F.col(r).alias("name")) for r in roles])).alias("at")
+    ).select(*others, "at.role", "at.name")
+    return long.where("name IS NOT NULL").join(names.select("match_id", "name", "player_id"), ["match_id", "name"], "left")
 
 
-def players(deliveries: DataFrame, matches: DataFrame, docs: DataFrame) -> DataFrame:
+def players(counted: DataFrame, resolved: DataFrame) -> DataFrame:
     """One row per player id with the most frequent name first and the other spellings joined.
 
     Appearances in deliveries and as player of the match count, and so does each registry
-    entry. Equal counts are ordered by name.
+    entry. Equal counts are ordered by name. ``counted`` is a result of :func:`spellings`.
     """
-    roles = [
-        ("batter_id", "batter"), ("bowler_id", "bowler"), ("non_striker_id", "non_striker"),
-        ("wicket_player_out_id", "wicket_player_out"), ("wicket_fielder_id", "wicket_fielder"),
-    ]
-    pairs = F.inline(
-        F.array(*[F.struct(F.col(i).alias("player_id"), F.col(n).alias("name")) for i, n in roles])
-    )
-    count = lambda df: df.where(F.col("player_id").isNotNull()).groupBy("player_id", "name").agg(
-        F.count("*").alias("times")
-    )
-    seen = count(deliveries.select(pairs))
-    awards = count(
-        matches.select(F.col("player_of_match_id").alias("player_id"), F.col("player_of_match").alias("name"))
-    )
-    listed = count(registry(docs).select("player_id", "name"))
+    found = resolved.withColumnRenamed("player_id", "found")
     counts = (
-        seen.unionByName(awards).unionByName(listed)
-        .groupBy("player_id", "name").agg(F.sum("times").alias("times"))
+        counted.join(found, "name", "left")
+        .groupBy(F.coalesce("player_id", "found").alias("player_id"), "name")
+        .agg(F.sum(F.col("times") + F.col("entries")).alias("times"))
     )
     ranked = F.transform(
         F.sort_array(F.collect_list(F.struct((-F.col("times")).alias("rank"), F.col("name").alias("name")))),

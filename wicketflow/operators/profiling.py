@@ -2,69 +2,93 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 
 from wicketflow.functions.columns import flag, percent, total
-from wicketflow.operators.summaries import share_of, top_k, union_all, value_counts
+from wicketflow.operators.summaries import share_of, union_all, value_counts
 from wicketflow.operators.unnest import event_part, first_date, parsed_date
 
-# Where the key sets of each level sit in a document.
-_LEVELS = {
-    "top": ("map<string,string>", ()),
-    "info": ("struct<info:map<string,string>>", ()),
-    "innings": ("struct<innings:array<map<string,string>>>", ("innings",)),
-    "over": ("struct<innings:array<struct<overs:array<map<string,string>>>>>", ("innings", "overs")),
-    "delivery": (
-        "struct<innings:array<struct<overs:array<struct<deliveries:array<map<string,string>>>>>>>",
-        ("innings", "overs", "deliveries"),
-    ),
-}
-LEVELS = tuple(_LEVELS)
-
-
-def _maps(raw: DataFrame, level: str) -> DataFrame:
-    """The objects of one level as maps of key to text, each document parsed once."""
-    schema, path = _LEVELS[level]
-    rows = raw.where(F.ltrim("raw").startswith("{")).select(F.from_json("raw", schema).alias("at"))
-    if level == "info":
-        return rows.select(F.col("at.info").alias("keys"))
-    for step in path:
-        rows = rows.select(F.explode(F.col(f"at.{step}")).alias("at"))
-    return rows.select(F.col("at").alias("keys"))
+LEVELS = ("top", "info", "innings", "over", "delivery")
+_OBJECT, _LIST = "map<string,variant>", "array<variant>"
 
 
-def schema_variants(raw: DataFrame, level: str) -> DataFrame:
-    """How often each set of keys occurs at one level of the documents."""
-    keys = F.array_join(F.array_sort(F.map_keys("keys")), ",")
-    return (
-        _maps(raw, level).where(F.col("keys").isNotNull())
-        .select(keys.alias("keys")).groupBy("keys").agg(F.count("*").alias("count"))
-        .select(F.lit(level).alias("level"), "keys", "count")
-    )
+def _parsed(raw: DataFrame) -> DataFrame:
+    """The texts as VARIANT, parsed once; NULL for a text that is not JSON.
+
+    A filter on the result would be moved in front of the parse and so parse twice.
+    """
+    return raw.where(F.ltrim("raw").startswith("{")).select(F.try_parse_json("raw").alias("doc"))
+
+
+def _part(value: Column, name: str, kind: str) -> Column:
+    """A member of a JSON object, NULL where it is missing or of another kind."""
+    return F.try_variant_get(value, f"$.{name}", kind)
+
+
+def _walk(doc: Column, visit, levels=LEVELS) -> Column:
+    """The lists that ``visit(level, object)`` gives for the objects of a document, one after the other.
+
+    The objects stay inside the row: only what ``visit`` makes of them is written out.
+    """
+    here = lambda level, value: [visit(level, value.try_cast(_OBJECT))] if level in levels else []
+
+    def inside(value, depth):
+        """What the objects in the list below ``value`` give; lists and levels below a document."""
+        name, level = (("innings", "innings"), ("overs", "over"), ("deliveries", "delivery"))[depth]
+        deeper = any(x in levels for x in LEVELS[depth + 3:])
+
+        def each(item):
+            parts = [F.coalesce(x, none) for x in here(level, item)] + ([inside(item, depth + 1)] if deeper else [])
+            return F.concat(*parts) if len(parts) > 1 else parts[0]
+
+        return F.coalesce(F.flatten(F.transform(_part(value, name, _LIST), each)), none)
+
+    none = F.slice(visit("top", F.create_map().cast(_OBJECT)), 1, 0)
+    found = [F.coalesce(x, none) for x in here("top", doc) + here("info", _part(doc, "info", "variant"))]
+    if any(x in levels for x in LEVELS[2:]):
+        found.append(inside(doc, 0))
+    return F.concat(*found) if len(found) > 1 else found[0]
+
+
+def _key_set(level: str, keys: Column) -> Column:
+    text = F.array_join(F.array_sort(F.map_keys(keys)), ",")
+    one = F.struct(F.lit(level).alias("level"), text.alias("keys"))
+    return F.when(keys.isNotNull(), F.array(one))
+
 
+def schema_variants(raw: DataFrame, *levels: str) -> DataFrame:
+    """How often each set of keys occurs at some levels of the documents, each parsed once and walked once."""
+    # The outer form: the other one filters on the size first and so walks the documents twice.
+    found = _parsed(raw).select(F.inline_outer(_walk(F.col("doc"), _key_set, levels))).where("level IS NOT NULL")
+    return found.groupBy("level", "keys").agg(F.count("*").alias("count"))
 
-def schema_profile(raw: DataFrame, levels=LEVELS) -> DataFrame:
-    return union_all([schema_variants(raw, level) for level in levels])
+
+def schema_profile(raw: DataFrame) -> DataFrame:
+    return schema_variants(raw, *LEVELS)
 
 
 def top_variants(variants: DataFrame, k: int = 5) -> DataFrame:
-    return top_k(variants, "count", k, "level", "keys")
+    """The ``k`` most frequent sets of keys of each level."""
+    ordered = Window.partitionBy("level").orderBy(F.desc("count"), "keys")
+    return variants.withColumn("at", F.row_number().over(ordered)).where(F.col("at") <= k).drop("at")
 
 
-def doc_structure(raw: DataFrame, docs: DataFrame) -> DataFrame:
-    """Outline of each document: keys, meta, innings, first team and its overs."""
-    first = F.get("innings", F.lit(0))
-    keys = raw.select("match_id", F.array_join(F.json_object_keys("raw"), ",").alias("top_level_keys"))
-    outline = docs.select(
-        "match_id",
-        F.to_json("meta").alias("meta"),
-        F.col("innings").isNotNull().alias("has_innings"),
-        F.coalesce(F.when(F.col("innings").isNotNull(), F.size("innings")), F.lit(0)).alias("innings_count"),
+def doc_structure(parsed: DataFrame) -> DataFrame:
+    """Outline of each document: keys, meta, innings, first team and its overs.
+
+    ``parsed`` has the text next to the document (``match_id, raw, doc, reason``), so nothing is joined.
+    """
+    innings = F.col("doc.innings")
+    first = F.get(innings, F.lit(0))
+    return parsed.where("reason IS NULL").select(
+        "match_id", F.array_join(F.json_object_keys("raw"), ",").alias("top_level_keys"),
+        F.to_json("doc.meta").alias("meta"),
+        innings.isNotNull().alias("has_innings"),
+        _size(innings).alias("innings_count"),
         first["team"].alias("first_innings_team"),
         F.when(first.isNotNull(), _size(first["overs"])).alias("first_innings_overs"),
     )
-    return keys.join(outline, "match_id")
 
 
 def match_type_counts(docs: DataFrame) -> DataFrame:
@@ -90,14 +114,10 @@ def field_presence(raw: DataFrame, threshold: float = 0.95) -> DataFrame:
     number of files, as it was first reported, and can pass 100. The totals travel as two
     marked fields, so one pass over the documents gives everything.
     """
-    schema, _ = _LEVELS["delivery"]
-    parsed = raw.where(F.ltrim("raw").startswith("{")).select(F.from_json("raw", schema)["innings"].alias("innings"))
-    empty = F.array().cast("array<string>")
-    per_delivery = lambda d: F.concat(F.array(F.lit("#delivery")), F.map_keys(d))
-    inside = lambda items, f: F.coalesce(F.flatten(F.transform(items, f)), empty)
-    fields = inside("innings", lambda i: inside(i["overs"], lambda o: inside(o["deliveries"], per_delivery)))
-    marked = F.concat(F.array(F.lit("#file")), fields)
-    counts = parsed.select(F.explode(marked).alias("field")).groupBy("field").agg(F.count("*").alias("deliveries"))
+    per_delivery = lambda _, keys: F.when(keys.isNotNull(), F.concat(F.array(F.lit("#delivery")), F.map_keys(keys)))
+    fields = _walk(F.col("doc"), per_delivery, ("delivery",))
+    marked = F.when(F.col("doc").isNotNull(), F.concat(F.array(F.lit("#file")), fields))
+    counts = _parsed(raw).select(F.explode_outer(marked).alias("field")).groupBy("field").agg(F.count("*").alias("deliveries"))
     everything = Window.partitionBy()
     total_of = lambda mark: F.max(F.when(F.col("field") == mark, F.col("deliveries"))).over(everything)
     shares = counts.select("*", total_of("#delivery").alias("all_deliveries"), total_of("#file").alias("files"))
@@ -227,33 +247,26 @@ def _type_name(schema: Column) -> Column:
     )
 
 
-def json_types(raw: DataFrame) -> DataFrame:
-    """Value types of the info fields and, one level deep, of the delivery fields."""
-    parsed = raw.where(F.ltrim("raw").startswith("{")).select(
-        F.from_json(
-            "raw",
-            "struct<info:map<string,variant>,"
-            " innings:array<struct<overs:array<struct<deliveries:array<map<string,variant>>>>>>>",
-        ).alias("doc")
-    )
-    entries = lambda df, c: df.select(F.explode(c).alias("field", "value")).select(
-        "field", "value", F.schema_of_variant("value").alias("schema")
+def _value_types(level: str, keys: Column) -> Column:
+    """Section, field and type of each member of an object, those of a ball's own objects too."""
+    section = "info" if level == "info" else "delivery"
+    row = lambda field, value: F.struct(
+        F.lit(section).alias("section"), field.alias("field"), _type_name(F.schema_of_variant(value)).alias("type")
     )
-    info = entries(parsed, F.col("doc.info"))
-    balls = (
-        parsed.select(F.explode("doc.innings.overs").alias("overs"))
-        .select(F.explode("overs.deliveries").alias("balls"))
-        .select(F.explode("balls").alias("ball"))
-    )
-    fields = entries(balls, F.col("ball"))
-    nested = fields.where(F.col("schema").startswith("OBJECT")).select(
-        "field", F.explode(F.col("value").cast("map<string,variant>")).alias("sub", "inner")
-    ).select(F.concat_ws(".", "field", "sub").alias("field"), F.schema_of_variant("inner").alias("schema"))
-    section = lambda df, name: df.select(F.lit(name).alias("section"), "field", _type_name(F.col("schema")).alias("type"))
-    return (
-        union_all([section(info, "info"), section(fields, "delivery"), section(nested, "delivery")])
-        .groupBy("section", "field", "type").agg(F.count("*").alias("count"))
+    plain = F.transform(F.map_entries(keys), lambda e: row(e["key"], e["value"]))
+    if level == "info":
+        return plain
+    inner = lambda e: F.transform(
+        F.map_entries(e["value"].try_cast(_OBJECT)), lambda x: row(F.concat_ws(".", e["key"], x["key"]), x["value"])
     )
+    nested = F.filter(F.transform(F.map_entries(keys), inner), lambda x: x.isNotNull())
+    return F.concat(plain, F.flatten(nested))
+
+
+def json_types(raw: DataFrame) -> DataFrame:
+    """Value types of the info fields and, one level deep, of the delivery fields."""
+    found = _parsed(raw).select(F.inline_outer(_walk(F.col("doc"), _value_types, ("info", "delivery")))).where("section IS NOT NULL")
+    return found.groupBy("section", "field", "type").agg(F.count("*").alias("count"))
 
 
 def suspicious_deliveries(deliveries: DataFrame, above: int = 7) -> DataFrame:
@@ -309,14 +322,27 @@ def outlier_overs(docs: DataFrame) -> DataFrame:
     return _over_sizes(docs).where(F.col("deliveries") > F.col("expected") + 2)
 
 
-def profile_summary(docs: DataFrame, meta: DataFrame, rejects: DataFrame) -> DataFrame:
-    """Files, files read, match types, matches with data and with innings."""
-    counts = [
-        docs.agg(F.lit("files_processed").alias("key"), F.count("*").alias("value")),
-        rejects.agg(F.lit("files_rejected").alias("key"), F.count("*").alias("value")),
-        docs.agg(F.lit("match_types").alias("key"), F.count_distinct("info.match_type").alias("value")),
-        meta.agg(F.lit("matches_with_data").alias("key"), F.count("*").alias("value")),
-        meta.agg(F.lit("matches_with_innings").alias("key"), total(flag(F.col("has_innings_data"))).alias("value")),
-    ]
-    files = union_all(counts[:2]).agg(F.lit("total_files").alias("key"), F.sum("value").alias("value"))
-    return union_all([files, *counts])
+def observe_profile(parsed: DataFrame) -> tuple[DataFrame, Observation]:
+    """``parsed`` (``doc, reason``) with counts that are taken while it is written.
+
+    Put it right before the write: counts of a later shuffle could include tasks that ran twice.
+    """
+    seen = Observation()
+    read = F.col("reason").isNull()
+    observed = parsed.observe(
+        seen, F.count("*").alias("total_files"), F.count_if(read).alias("files_processed"), F.count_if(~read).alias("files_rejected"),
+        F.collect_set(F.col("doc.info.match_type")).alias("match_types"),
+        F.count_if(_size(F.col("doc.innings")) > 0).alias("matches_with_innings"),
+    )
+    return observed, seen
+
+
+def profile_summary(spark: SparkSession, seen: Observation) -> DataFrame:
+    """Files, files read, match types, matches with data and with innings, once the observed table is written."""
+    found = seen.get
+    counts = {
+        **{k: found[k] for k in ("total_files", "files_processed", "files_rejected")},
+        "match_types": len(found["match_types"]), "matches_with_data": found["files_processed"],
+        "matches_with_innings": found["matches_with_innings"],
+    }
+    return spark.createDataFrame(list(counts.items()), "key string, value bigint")

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from wicketflow.constants import EXTRAS_KINDS
 from wicketflow.functions.columns import ident
-from wicketflow.operators.identity import GAPS, with_gaps
+from wicketflow.operators.identity import GAPS, registered, with_gaps
 
 
 def event_part(name: str) -> Column:
@@ -31,10 +31,13 @@ def parsed_date(text: Column) -> Column:
     return F.try_to_date(text, "yyyy-M-d")
 
 
-def player_id(name: Column) -> Column:
-    """Id of a name: from the registry of its match, else from the ids found for the gaps."""
-    registered = F.try_element_at("info.registry.people", name)
-    return F.when(F.length(name) > 0, F.coalesce(registered, F.try_element_at(GAPS, name)))
+def _ids() -> Column:
+    """All names of a document that have an id, from its registry or among the gaps; no name is in both."""
+    return F.map_concat(registered(), F.coalesce(GAPS, F.create_map().cast("map<string,string>")))
+
+
+def _id_of(name: Column) -> Column:
+    return F.when(F.length(name) > 0, F.try_element_at("ids", name))
 
 
 def matches(docs: DataFrame, gaps: DataFrame) -> DataFrame:
@@ -42,7 +45,7 @@ def matches(docs: DataFrame, gaps: DataFrame) -> DataFrame:
     info = lambda name: F.col(f"info.{name}")
     first = lambda name, k=0: F.get(f"info.{name}", F.lit(k))
     pom = first("player_of_match")
-    return with_gaps(docs, gaps).select(
+    return with_gaps(docs, gaps).withColumn("ids", _ids()).select(
         "match_id",
         parsed_date(first_date()).alias("date"),
         info("city"), info("venue"), info("match_type"), info("gender"), info("season"),
@@ -59,7 +62,7 @@ def matches(docs: DataFrame, gaps: DataFrame) -> DataFrame:
         info("outcome.by.wickets").alias("outcome_by_wickets"),
         info("outcome.method").alias("outcome_method"),
         pom.alias("player_of_match"),
-        player_id(pom).alias("player_of_match_id"),
+        _id_of(pom).alias("player_of_match_id"),
         first_date().alias("date_raw"),
     )
 
@@ -84,15 +87,13 @@ def innings(docs: DataFrame) -> DataFrame:
     )
 
 
-def _over_rows(docs: DataFrame, *carried: str) -> DataFrame:
-    per_innings = docs.select("match_id", *carried, F.posexplode("innings").alias("at", "inning"))
+def _over_rows(docs: DataFrame) -> DataFrame:
+    per_innings = docs.select("match_id", F.posexplode("innings").alias("at", "inning"))
     per_over = per_innings.select(
-        "match_id", *carried,
-        ident(F.col("match_id"), F.col("at") + 1).alias("innings_id"),
-        F.explode("inning.overs").alias("o"),
+        ident(F.col("match_id"), F.col("at") + 1).alias("innings_id"), F.explode("inning.overs").alias("o")
     )
     return per_over.select(
-        "match_id", *carried, "innings_id",
+        "innings_id",
         ident(F.col("innings_id"), F.col("o.over")).alias("over_id"),
         F.col("o.over").alias("over_number"),
         F.col("o.deliveries").alias("balls"),
@@ -124,32 +125,46 @@ def overs(docs: DataFrame) -> DataFrame:
     )
 
 
-def deliveries(docs: DataFrame, gaps: DataFrame) -> DataFrame:
-    """One row per ball. The first kind of extras and the first wicket of a ball are kept."""
-    per_ball = _over_rows(with_gaps(docs, gaps), "info", GAPS).select(
-        "match_id", "info", GAPS, "innings_id", "over_id", "over_number",
-        F.posexplode("balls").alias("at", "b"),
-    )
+def _ball(b: Column) -> Column:
+    """One ball as the row it becomes, ids included."""
     number = lambda c: F.coalesce(c, F.lit(0))
-    wicket = F.get("b.wickets", F.lit(0))
+    wicket = F.get(b["wickets"], F.lit(0))
     fielder = F.get(wicket["fielders"], F.lit(0))["name"]
-    extras = F.col("b.extras")
+    person = lambda c, name: (c.alias(name), _id_of(c).alias(f"{name}_id"))
+    return F.struct(
+        *person(b["batter"], "batter"), *person(b["bowler"], "bowler"), *person(b["non_striker"], "non_striker"),
+        number(b["runs"]["batter"]).alias("batter_runs"),
+        number(b["runs"]["extras"]).alias("extras"),
+        number(b["runs"]["total"]).alias("total_runs"),
+        F.get(F.map_keys(b["extras"]), F.lit(0)).alias("extras_type"),
+        number(F.get(F.map_values(b["extras"]), F.lit(0))).alias("extras_value"),
+        b["wickets"].isNotNull().cast("int").alias("is_wicket"),
+        *person(wicket["player_out"], "wicket_player_out"),
+        wicket["kind"].alias("wicket_kind"),
+        *person(fielder, "wicket_fielder"),
+    )
+
+
+def deliveries(docs: DataFrame, gaps: DataFrame) -> DataFrame:
+    """One row per ball. The first kind of extras and the first wicket of a ball are kept.
+
+    Balls are finished inside their document, where its names are at hand; what is exploded then carries
+    neither the registry nor the gaps.
+    """
+    finished = F.transform(
+        "innings",
+        lambda i: F.transform(i["overs"], lambda o: F.struct(o["over"].alias("over"), F.transform(o["deliveries"], _ball).alias("balls"))),
+    )
+    nested = with_gaps(docs, gaps).select("match_id", "innings", _ids().alias("ids")).select("match_id", finished.alias("innings"))
+    # The outer form: the other one filters on the size first and so finishes all balls twice.
+    per_innings = nested.select("match_id", F.posexplode_outer("innings").alias("at", "overs"))
+    per_over = per_innings.select("match_id", ident(F.col("match_id"), F.col("at") + 1).alias("innings_id"), F.explode("overs").alias("o"))
+    per_ball = per_over.select(
+        "match_id", "innings_id", ident(F.col("innings_id"), F.col("o.over")).alias("over_id"),
+        F.col("o.over").alias("over_number"), F.posexplode("o.balls").alias("at", "b"),
+    )
     return per_ball.select(
         ident(F.col("over_id"), F.col("at") + 1).alias("delivery_id"),
         "over_id", "innings_id", "match_id", "over_number",
-        (F.col("at") + 1).alias("ball_number"),
-        F.col("b.batter"), player_id(F.col("b.batter")).alias("batter_id"),
-        F.col("b.bowler"), player_id(F.col("b.bowler")).alias("bowler_id"),
-        F.col("b.non_striker"), player_id(F.col("b.non_striker")).alias("non_striker_id"),
-        number(F.col("b.runs.batter")).alias("batter_runs"),
-        number(F.col("b.runs.extras")).alias("extras"),
-        number(F.col("b.runs.total")).alias("total_runs"),
-        F.get(F.map_keys(extras), F.lit(0)).alias("extras_type"),
-        number(F.get(F.map_values(extras), F.lit(0))).alias("extras_value"),
-        F.col("b.wickets").isNotNull().cast("int").alias("is_wicket"),
-        wicket["player_out"].alias("wicket_player_out"),
-        player_id(wicket["player_out"]).alias("wicket_player_out_id"),
-        wicket["kind"].alias("wicket_kind"),
-        fielder.alias("wicket_fielder"),
-        player_id(fielder).alias("wicket_fielder_id"),
+        (F.col("at") + 1).alias("ball_number"), "b.*",
     )

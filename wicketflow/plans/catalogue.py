@@ -115,9 +115,10 @@ def _feature_queries() -> dict[str, Query]:
         "f16_over_cumulatives": _flat(
             _overs, "over_id", "cumulative_runs_in_innings", "cumulative_wickets_in_innings"
         ),
-        "f18_feature_sample": _flat(
-            lambda t: summaries.sample(_innings(t), 10, ("innings_id",)), *oracles.INNINGS_SAMPLE
-        ),
+        **{
+            name: _flat(lambda t, make=make, key=columns[0]: summaries.sample(make(t), 10, (key,)), *columns)
+            for make, (name, columns) in zip((_innings, _deliveries, _matches, _overs), oracles.SAMPLES.items())
+        },
         "f17_verify_features": _flat(lambda t: features.verify_features(_featured(t))),
     }
 
@@ -140,6 +141,13 @@ def _career_queries() -> dict[str, Query]:
     return out
 
 
+def _mart_listing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The columns of the mart with their types and the rows behind them."""
+    mart = {"player_match_stats": _mart(flat_tables(spark, sf_dir))}
+    rows = summaries.table_shape(mart).select("table", "rows")
+    return tidy(tables.catalog_schema(spark, mart).join(rows, "table"))
+
+
 def _mart_queries() -> dict[str, Query]:
     out = {
         key: _flat(_mart, *oracles._mart_columns(columns)) for key, columns in oracles.MART_QUERIES.items()
@@ -148,7 +156,8 @@ def _mart_queries() -> dict[str, Query]:
     out["m01_role_join_reduced"] = _flat(reduced)
     out["m04_player_team_reduced"] = _flat(reduced, "match_id", "player_id", "player_team")
     out["m02_group_sizes"] = _flat(lambda t: _mart(t).groupBy("match_id").agg(F.count("*").alias("players")))
-    out["m21_columns"] = _flat(lambda t: summaries.null_profile({"player_match_stats": _mart(t)}))
+    out["m21_columns"] = _mart_listing
+    out["m21_null_profile"] = _flat(lambda t: summaries.null_profile({"player_match_stats": _mart(t)}))
     out["m22_notable_performances"] = _flat(
         lambda t: match_stats.notable_performances(_mart(t)), *oracles._NOTABLE
     )
@@ -187,27 +196,45 @@ def _given(table: str, build: Callable[[DataFrame], DataFrame]) -> Query:
     return lambda spark, sf_dir: tidy(build(spark.read.parquet(f"{sf_dir}/{table}.parquet")))
 
 
-def _gaps(docs):
-    return identity.gap_maps(identity.resolve_gaps(docs))
+class _Names:
+    """What the job finds out about names, stored as the job stores it, from one pass over the documents."""
+
+    def __init__(self, docs: DataFrame):
+        self.docs, spark = docs, docs.sparkSession
+        self.ledger = stage(spark, identity.ledger(docs))
+        self.counted = stage(spark, identity.spellings(self.ledger))
+        self.resolved = stage(spark, identity.resolved_names(self.counted))
+
+    def gaps(self) -> DataFrame:
+        return identity.resolve_gaps(self.ledger, self.resolved)
+
+    def maps(self) -> DataFrame:
+        return stage(self.docs.sparkSession, identity.gap_maps(self.gaps()))
 
 
 def _unnested_matches(docs):
-    return unnest.matches(docs, _gaps(docs))
+    return unnest.matches(docs, _Names(docs).maps())
 
 
 def _unnested_deliveries(docs):
-    return unnest.deliveries(docs, _gaps(docs))
+    return unnest.deliveries(docs, _Names(docs).maps())
 
 
 def _unnested_players(docs):
-    return identity.players(_unnested_deliveries(docs), _unnested_matches(docs), docs)
+    found = _Names(docs)
+    return identity.players(found.counted, found.resolved)
+
 
+def _all_names(docs):
+    found = _Names(docs)
+    return identity.player_names(found.ledger, found.resolved)
 
-def _resolved_batters(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Batters of all deliveries by name, with their ids looked up in the names of the documents."""
-    docs = match_documents(spark, sf_dir)
-    balls = projection.table(spark, sf_dir, "n").select("delivery_id", "match_id", F.col("batter").alias("name"))
-    return tidy(identity.resolve_ids(balls, identity.player_names(docs)))
+
+def _resolved_roles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every role of all deliveries by name, with the ids looked up in the names of the documents."""
+    names = _all_names(match_documents(spark, sf_dir))
+    balls = projection.table(spark, sf_dir, "n").select("delivery_id", "match_id", *oracles.ROLES)
+    return tidy(identity.resolve_ids(balls, names, oracles.ROLES))
 
 
 def _unnest_queries() -> dict[str, Query]:
@@ -227,9 +254,9 @@ def _unnest_queries() -> dict[str, Query]:
         "u11_first_wicket": _documents(
             _unnested_deliveries, "delivery_id", "is_wicket", "wicket_player_out", "wicket_kind", "wicket_fielder"
         ),
-        "u12_player_names": _documents(identity.player_names),
-        "u12_resolve_gaps": _documents(identity.resolve_gaps),
-        "u12_resolve_ids": _resolved_batters,
+        "u12_player_names": _documents(_all_names),
+        "u12_resolve_gaps": _documents(lambda docs: _Names(docs).gaps()),
+        "u12_resolve_ids": _resolved_roles,
         "u13_players": _documents(_unnested_players),
         "u14_variant_stats": _documents(lambda docs: identity.player_variant_stats(_unnested_players(docs))),
         "u15_synthetic_count": _documents(lambda docs: identity.synthetic_count(_unnested_players(docs))),
@@ -240,22 +267,32 @@ def _on_meta(build, *columns):
     return _documents(lambda docs: build(profiling.match_metadata(docs)), *columns)
 
 
-def _profile_summary(docs):
-    raw = projection.raw_documents(docs)
-    return profiling.profile_summary(docs, profiling.match_metadata(docs), documents.rejects_of(documents.parse(raw)))
+def _profile_summary(raw):
+    """The numbers of a run, counted while the documents are written: texts that are broken or without innings among them."""
+    spark = raw.sparkSession
+    observed, seen = profiling.observe_profile(documents.parse(_with_odd(raw)))
+    stage(spark, observed.select("match_id", "doc", "reason"))
+    return profiling.profile_summary(spark, seen)
+
+
+def _described(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All columns of the deliveries and of the metadata."""
+    tables_ = {
+        "deliveries": flat_tables(spark, sf_dir)["deliveries"],
+        "metadata": profiling.match_metadata(match_documents(spark, sf_dir)),
+    }
+    return tidy(summaries.union_all([summaries.describe_all(df).withColumn("table", F.lit(k)) for k, df in tables_.items()]))
 
 
 def _profile_queries() -> dict[str, Query]:
     deliveries = lambda t: t["deliveries"]
     return {
-        "p01_doc_structure": _documents(
-            lambda docs: profiling.doc_structure(projection.raw_documents(docs), docs)
-        ),
+        "p01_doc_structure": _raw(lambda raw: profiling.doc_structure(documents.parse(raw))),
         "p02_schema_variants": _raw(profiling.schema_profile),
         "p02_schema_variants_props": _given(
             "events", lambda e: profiling.schema_variants(e.select(F.col("props").alias("raw")), "top")
         ),
-        "p03_top_variants": _raw(lambda raw: profiling.top_variants(profiling.schema_variants(raw, "info"))),
+        "p03_top_variants": _raw(lambda raw: profiling.top_variants(profiling.schema_profile(raw))),
         "p04_match_type_counts": _documents(profiling.match_type_counts),
         "p05_reject_report": _given(
             "documents",
@@ -267,7 +304,7 @@ def _profile_queries() -> dict[str, Query]:
         "p07_match_metadata": _on_meta(lambda meta: meta),
         "p07_short_metadata": _on_meta(profiling.short_metadata),
         "p08_document_totals": _on_meta(lambda meta: meta, "match_id", "total_overs_recorded", "total_deliveries"),
-        "p09_describe_all": _flat(lambda t: summaries.describe_all(deliveries(t).select(*oracles.DESCRIBED))),
+        "p09_describe_all": _described,
         "p10_null_profile": _on_meta(lambda meta: summaries.null_profile({"metadata": meta}, only_nulls=True)),
         "p11_empty_matches": _raw(
             lambda raw: profiling.empty_matches(
@@ -294,7 +331,7 @@ def _profile_queries() -> dict[str, Query]:
         "p22_runs_distribution": _flat(lambda t: profiling.runs_distribution_raw(deliveries(t))),
         "p23_over_stats_by_type": _documents(profiling.over_stats_by_type),
         "p24_outlier_overs": _documents(profiling.outlier_overs),
-        "p25_profile_summary": _documents(_profile_summary),
+        "p25_profile_summary": _raw(_profile_summary),
     }
 
 
@@ -312,28 +349,27 @@ def _on_schemas(build) -> Query:
     return run
 
 
-def _changed_ranges(diff, t):
-    """Changed columns with the range of their values."""
+def _with_ranges(diff, t):
+    """All columns, changed or not, with the range of their values where one is reported."""
     ranges = summaries.column_ranges(quality.retype_tables(t), oracles.RANGES)
-    return diff.where("changed").join(ranges, ["table", "column"])
+    return diff.join(ranges, ["table", "column"], "left")
 
 
 def _quality_queries() -> dict[str, Query]:
     d = lambda build: _flat(lambda t: build(t["deliveries"]))
     mio = lambda build: _flat(lambda t: build(t["matches"], t["innings"], t["overs"]))
     names = lambda n, p: consistency.player_names_seen(n)
-    issues = lambda n, p: consistency.player_id_issues(names(n, p), p)
     small = {"over_number": "tinyint", "ball_number": "tinyint", "worth": "tinyint"}
     worth = lambda x: x.withColumn("worth", F.col("total_runs") * 20)
-    reduced_issues = lambda n, p: consistency.player_id_issues(consistency.reduced_names_seen(n), p)
     pairs = lambda n, p: consistency.id_name_pairs(n)
+    persons = lambda build: _named(lambda n, p: build(consistency.person_table(n, p)))
     return {
         "q01_table_shape": _flat(summaries.table_shape),
         "q01_sample": d(lambda x: summaries.sample(x, 20, ("delivery_id",))),
         "q02_column_ranges": _flat(lambda t: summaries.column_ranges(t, oracles.RANGES)),
         "q03_retype": d(lambda x: quality.retype(worth(x), small).select("delivery_id", "worth", *list(small)[:2])),
         "q03_retype_losses": d(lambda x: quality.retype_losses(worth(x), small)),
-        "q04_schema_diff": _on_schemas(_changed_ranges),
+        "q04_schema_diff": _on_schemas(_with_ranges),
         "q05_conversion_summary": _on_schemas(
             lambda diff, t: quality.conversion_summary(diff, summaries.table_shape(t))
         ),
@@ -362,14 +398,14 @@ def _quality_queries() -> dict[str, Query]:
         "q21_over_length_factors": _flat(lambda t: quality.over_length_factors(t["overs"], t["deliveries"])),
         "q22_names_seen": _named(names),
         "q22_names_seen_reduced": _named(lambda n, p: consistency.reduced_names_seen(n)),
-        "q23_player_id_issues": _named(issues),
-        "q23_player_id_issues_reduced": _named(reduced_issues),
-        "q24_multiple_ids": _named(lambda n, p: consistency.multiple_ids(issues(n, p), p)),
-        "q25_missing_id_matches": _named(lambda n, p: consistency.missing_id_matches(n, issues(n, p))),
+        "q23_player_id_issues": persons(consistency.player_id_issues),
+        "q23_player_id_issues_reduced": persons(lambda x: consistency.player_id_issues(x, "reduced")),
+        "q24_multiple_ids": persons(consistency.multiple_ids),
+        "q25_missing_id_matches": persons(consistency.missing_id_matches),
         "q26_ids_with_many_names": _named(lambda n, p: consistency.ids_with_many_names(pairs(n, p))),
         "q27_name_variant_counts": _named(lambda n, p: consistency.name_variant_counts(pairs(n, p))),
-        "q28_player_consistency": _named(consistency.player_consistency),
-        "q28_reduced_consistency": _named(consistency.reduced_consistency),
+        "q28_player_consistency": persons(consistency.player_consistency),
+        "q28_reduced_consistency": persons(consistency.reduced_consistency),
         "q29_text_health": _given("documents", lambda x: consistency.text_health({"documents": x})),
         "q30_text_health_issues": _given(
             "documents", lambda x: consistency.text_health_issues(consistency.text_health({"documents": x}))
@@ -403,16 +439,27 @@ def _written_if_absent(spark, folder, t):
 
 
 def _laid_out(spark, folder, t):
+    """Both tables whole, as they lie stored: the deliveries in their ranges, the matches by type."""
     tables.write_tables({k: t[k] for k in ("deliveries", "matches")}, folder, layout=tables.LAYOUT)
     stored = tables.read_tables(spark, folder, ("deliveries", "matches"))
-    tests = stored["matches"].where("match_type = 'Test'").select("match_id")
-    return stored["deliveries"].join(tests, "match_id", "left_semi").select("delivery_id", "total_runs")
+    return stored["deliveries"].join(stored["matches"].select("match_id", "match_type", "date"), "match_id")
+
+
+#: Buckets of the registered query; a job takes them from the size of its tables.
+_BUCKETS = 8
+
+
+def _bucketed(spark, folder, t):
+    """Balls and innings stored in buckets and joined, with the number of shuffles in the plan of the join."""
+    parts = {"innings": t["innings"].drop("match_id"), "deliveries": t["deliveries"]}
+    joined = tables.join_bucketed(spark, parts, folder, _BUCKETS)
+    plan = joined._jdf.queryExecution().executedPlan().toString()
+    return joined.withColumn("shuffles", F.lit(plan.count("Exchange")))
 
 
 def _mart_laid_out(spark, folder, t):
     tables.write_tables({"player_match_stats": _mart(t)}, folder, layout=tables.LAYOUT, distinct=False)
-    mart = tables.read_tables(spark, folder, ("player_match_stats",))["player_match_stats"]
-    return mart.where("player_team = 'T0'").select("match_id", "player_id", "runs_scored")
+    return tables.read_tables(spark, folder, ("player_match_stats",))["player_match_stats"]
 
 
 def _schema_listing(spark, folder, t):
@@ -423,9 +470,25 @@ def _schema_listing(spark, folder, t):
     return tables.catalog_schema(spark, stored).join(rows, "table")
 
 
+def _through_csv(spark, folder, df):
+    """What a table is after a way through CSV files."""
+    df = tidy(df)
+    reports.write_csv(df, folder)
+    return reports.read_csv(spark, folder, df.schema)
+
+
 def _csv(spark, folder, t):
-    reports.write_csv(t["overs"].select("over_id", "total_runs", "wickets"), folder)
-    return spark.read.option("header", True).schema("over_id string, total_runs bigint, wickets bigint").csv(folder)
+    return _through_csv(spark, folder, t["overs"])
+
+
+def _profile_csv(build: Callable[[DataFrame], DataFrame]) -> Query:
+    """One of the CSV outputs of the job, on the metadata of the documents."""
+
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        meta = profiling.match_metadata(match_documents(spark, sf_dir))
+        return tidy(_through_csv(spark, shared_folder(spark), build(meta)))
+
+    return run
 
 
 def _report(spark, folder, t):
@@ -454,14 +517,27 @@ def _with_odd(raw: DataFrame) -> DataFrame:
     )
 
 
+def _match_files(spark: SparkSession, sf_dir: str) -> str:
+    """A folder with a JSON file for each odd text, as the job finds it."""
+    folder = shared_folder(spark)
+    documents.write_raw(_with_odd(projection.raw_documents(match_documents(spark, sf_dir))), folder)
+    return folder
+
+
+def _read_matches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return tidy(profiling.match_metadata(documents.read_matches(spark, _match_files(spark, sf_dir))))
+
+
+def _read_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every file with the start of its text, and what became of it."""
+    folder = _match_files(spark, sf_dir)
+    rejects = documents.read_rejects(spark, folder).select("match_id", "reason")
+    files = documents.read_raw(spark, folder).join(rejects, "match_id", "left")
+    return tidy(files.select("match_id", F.substring("raw", 1, 2).alias("start"), F.coalesce("reason", F.lit("read")).alias("outcome")))
+
+
 def _reader_queries() -> dict[str, Query]:
-    read = lambda raw: documents.parse(_with_odd(raw))
-    return {
-        "s01_read_matches": _raw(lambda raw: profiling.match_metadata(documents.documents_of(read(raw)).where("NOT endswith(match_id, '-empty')"))),
-        "s02_read_raw": _raw(
-            lambda raw: read(raw).groupBy(F.coalesce("reason", F.lit("read")).alias("outcome")).agg(F.count("*").alias("files"))
-        ),
-    }
+    return {"s01_read_matches": _read_matches, "s02_read_raw": _read_raw}
 
 
 def _sink_queries() -> dict[str, Query]:
@@ -471,7 +547,11 @@ def _sink_queries() -> dict[str, Query]:
         "s06_layout": _stored(_laid_out),
         "m23_mart_layout": _stored(_mart_laid_out),
         "s10_catalog_schema": _stored(_schema_listing),
+        "s06_bucketed_join": _stored(_bucketed),
         "s07_csv": _stored(_csv),
+        "s07_metadata_csv": _profile_csv(lambda meta: meta),
+        "s07_similar_venues_csv": _profile_csv(lambda meta: similarity.similar_names(meta, "venue", 0.85, lower=True)),
+        "s07_issues_csv": _profile_csv(profiling.quality_issues),
         "s08_report": _stored(_report),
     }
 

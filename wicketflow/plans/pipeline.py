@@ -14,7 +14,7 @@ from wicketflow.operators import (
     careers, consistency, features, identity, match_stats, profiling, quality, similarity, summaries, unnest,
 )
 from wicketflow.sources import reports
-from wicketflow.sources.documents import documents_of, parse, read_raw, rejects_of
+from wicketflow.sources.documents import documents_of, double_files, parse, read_raw, reject_messages, rejects_of
 from wicketflow.sources.tables import FEATURE_LAYOUT, LAYOUT, catalog_schema, read_tables, write_tables
 
 
@@ -27,11 +27,15 @@ def ingest(spark: SparkSession, source: str, out: str) -> DataFrame:
     """Parse the JSON files once; one write holds the documents and the rejected files.
 
     Equal files of one match come once, so the tables made from documents need no search for
-    duplicates.
+    duplicates; they are found by name and digest, no text is shuffled. The numbers of the run are
+    counted while the documents are written.
     """
-    parsed = parse(read_raw(spark, source)).dropDuplicates(["match_id", "raw"])
-    split = parsed.select("match_id", "doc", "reason", F.when(F.col("reason").isNotNull(), F.col("raw")).alias("raw"))
+    doubles = _store(spark, double_files(spark, source), f"{out}/double_files")
+    parsed = parse(read_raw(spark, source, skip=doubles))
+    observed, seen = profiling.observe_profile(parsed)
+    split = observed.select("match_id", "doc", "reason", F.when(F.col("reason").isNotNull(), F.col("raw")).alias("raw"))
     split.withColumn("ok", F.col("reason").isNull()).write.mode("overwrite").partitionBy("ok").parquet(f"{out}/files")
+    _store(spark, profiling.profile_summary(spark, seen), f"{out}/profile/summary")
     return read_documents(spark, out)
 
 
@@ -57,7 +61,7 @@ def profile(spark: SparkSession, out: str) -> None:
     reports.write_csv(profiling.quality_issues(meta), f"{out}/profile/matches_with_issues_csv")
     rejects = read_rejected(spark, out)
     sections = [
-        reports.report(profiling.profile_summary(docs, meta, rejects), "profile", "key", "value"),
+        reports.report(spark.read.parquet(f"{out}/profile/summary"), "profile", "key", "value"),
         reports.report(profiling.reject_report(rejects), "rejects", "key", "value"),
         reports.report(profiling.empty_matches(meta), "empty_matches", "match_id", "match_type"),
         reports.report(summaries.null_profile({"metadata": meta}, only_nulls=True), "nulls", "column", "null_count", "null_percentage"),
@@ -68,26 +72,31 @@ def profile(spark: SparkSession, out: str) -> None:
     reports.write_report(summaries.union_all(sections), f"{out}/profile/report")
 
 
+def store_names(spark: SparkSession, out: str) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:
+    """The ledger of names, its sums by spelling, the ids found for gaps, and the latter as one map per match."""
+    names = _store(spark, identity.ledger(read_documents(spark, out)), f"{out}/names")
+    counted = _store(spark, identity.spellings(names), f"{out}/name_spellings")
+    resolved = _store(spark, identity.resolved_names(counted), f"{out}/resolved_names")
+    gaps = _store(spark, identity.gap_maps(identity.resolve_gaps(names, resolved)), f"{out}/name_gap_maps")
+    return names, counted, resolved, gaps
+
+
 def unnest_tables(spark: SparkSession, out: str) -> dict[str, DataFrame]:
-    """The five tables as they come from the documents.
+    """The five tables as they come from the documents, which are read once for the names and once for each table.
 
-    The ids of unregistered names are stored first: the planner then knows how large they are
-    when it joins them with the documents.
+    What is found out about names is stored first: the planner then knows how large it is when it
+    joins it with the documents.
     """
     docs = read_documents(spark, out)
-    missing = _store(spark, identity.unregistered(docs), f"{out}/unregistered_names")
-    resolved = _store(spark, identity.resolve_gaps(docs, missing), f"{out}/name_gaps")
-    gaps = _store(spark, identity.gap_maps(resolved), f"{out}/name_gap_maps")
+    _, counted, resolved, gaps = store_names(spark, out)
     raw = {
         "matches": unnest.matches(docs, gaps),
         "innings": unnest.innings(docs),
         "overs": unnest.overs(docs),
         "deliveries": unnest.deliveries(docs, gaps),
+        "players": identity.players(counted, resolved),
     }
     write_tables(raw, f"{out}/unnested", distinct=False)
-    stored = read_tables(spark, f"{out}/unnested", tuple(raw))
-    people = identity.players(stored["deliveries"], stored["matches"], docs)
-    write_tables({"players": people}, f"{out}/unnested")
     return read_tables(spark, f"{out}/unnested")
 
 
@@ -117,6 +126,7 @@ def check_tables(spark: SparkSession, out: str) -> None:
     t = read_tables(spark, f"{out}/tables")
     diff = spark.read.parquet(f"{out}/quality/schema_diff")
     shape = summaries.table_shape(t)
+    persons = _store(spark, consistency.person_table(t["deliveries"], t["players"]), f"{out}/quality/persons")
     sections = [
         reports.report(shape, "tables", "table", "rows", "columns"),
         reports.report(
@@ -140,7 +150,7 @@ def check_tables(spark: SparkSession, out: str) -> None:
             quality.overs_exceeded_count(t["matches"], t["innings"], t["overs"]), "validation"
         ),
         reports.report(quality.over_length_dist(t["overs"]), "over_lengths", "num_deliveries", "over_count", "percentage"),
-        reports.report(consistency.reduced_consistency(t["deliveries"], t["players"]), "players", "key", "value"),
+        reports.report(consistency.reduced_consistency(persons), "players", "key", "value"),
         reports.report(
             consistency.text_health(t).withColumn("at", F.concat_ws(".", "table", "column", "class")),
             "text", "at", "values", "percentage",

@@ -2,12 +2,18 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+import json
+from collections.abc import Iterator
+from urllib.parse import unquote
+
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from wicketflow.schema import document_schema
 
+_CORRUPT = "_corrupt_record"
 _NUMBERS = (T.IntegerType, T.LongType, T.DoubleType)
 
 
@@ -45,26 +51,79 @@ def _typed(value: Column, kind: T.DataType) -> Column:
 
 
 def _match_id(file_name: Column) -> Column:
-    return F.regexp_extract(file_name, r"^([^.]*)", 1)
+    """The name up to the first dot. Names of files come with their special characters encoded."""
+    decoded = F.url_decode(F.replace(file_name, F.lit("+"), F.lit("%2B")))
+    return F.regexp_extract(decoded, r"^([^.]*)", 1)
+
+
+_FILES = "*.json"
+
+
+def _hadoop(spark: SparkSession, path: str):
+    """The file system of a path and a function that makes paths of it."""
+    make = spark._jvm.org.apache.hadoop.fs.Path
+    return make(path).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), make
 
 
-def read_raw(spark: SparkSession, path: str) -> DataFrame:
-    """Whole files of a directory as text: ``match_id, raw``; ``match_id`` is the file name up to the dot."""
-    files = spark.read.option("wholetext", True).option("pathGlobFilter", "*.json").text(path)
-    return files.select(_match_id(F.col("_metadata.file_name")).alias("match_id"), F.col("value").alias("raw"))
+def write_raw(raw: DataFrame, path: str) -> None:
+    """Each row of ``match_id, raw`` as a file ``<match_id>.json`` of a new folder. The ids are distinct.
+
+    The texts are written by the tasks; the driver only gives the files their names.
+    """
+    spark = raw.sparkSession
+    parts = f"{path}/_parts"
+    raw.select("match_id", F.col("raw").alias("value")).write.partitionBy("match_id").text(parts)
+    files, make = _hadoop(spark, path)
+    for folder in files.listStatus(make(parts)):
+        name = folder.getPath().getName()
+        if name.startswith("match_id="):
+            for part in files.listStatus(folder.getPath()):
+                if part.getPath().getName().startswith("part-"):
+                    files.rename(part.getPath(), make(make(path), unquote(name.removeprefix("match_id=")) + ".json"))
+    files.delete(make(parts), True)
+
+
+def read_raw(spark: SparkSession, path: str, skip: DataFrame | None = None) -> DataFrame:
+    """Whole files of a directory as text: ``match_id, raw``; ``match_id`` is the file name up to the dot.
+
+    ``skip`` takes a stored result of :func:`double_files`.
+    """
+    files = spark.read.text(path, wholetext=True, pathGlobFilter=_FILES)
+    named = files.select(_match_id(F.col("_metadata.file_name")).alias("match_id"), F.col("value").alias("raw"), F.col("_metadata.file_path").alias("path"))
+    if skip is not None:
+        named = named.join(skip, "path", "left_anti")
+    return named.select("match_id", "raw")
+
+
+def double_files(spark: SparkSession, path: str) -> DataFrame:
+    """Paths of files that equal another file of the same match, the first one by path aside.
+
+    Only file names and digests are shuffled. Matches with one file, by the listing, need no digest.
+    """
+    listed = spark.read.format("binaryFile").option("pathGlobFilter", _FILES).load(path)
+    several = listed.select(_match_id(F.col("_metadata.file_name")).alias("match_id")).groupBy("match_id").agg(F.count("*").alias("files"))
+    texts = spark.read.text(path, wholetext=True, pathGlobFilter=_FILES).select(
+        _match_id(F.col("_metadata.file_name")).alias("match_id"), F.col("_metadata.file_path").alias("path"), F.sha2("value", 256).alias("digest")
+    )
+    known = texts.join(several.where("files > 1").select("match_id"), "match_id", "left_semi")
+    same = Window.partitionBy("match_id", "digest").orderBy("path")
+    return known.withColumn("at", F.row_number().over(same)).where("at > 1").select("path")
 
 
 def parse(raw: DataFrame) -> DataFrame:
     """``match_id, raw, doc, reason``: the document, or why the text is none.
 
     Only text that is not JSON, or not a JSON object, is rejected. A field of an unexpected type
-    costs at most that field.
+    costs at most that field. A second look is taken only at texts that the parser finds fault with.
     """
-    value = F.try_parse_json("raw")
-    reason = F.when(value.isNull(), "not JSON").when(~F.ltrim("raw").startswith("{"), "not a JSON object")
-    parsed = raw.select("match_id", "raw", F.from_json("raw", _as_text(document_schema())).alias("text"), reason.alias("reason"))
+    schema = _as_text(document_schema()).add(_CORRUPT, "string")
+    is_object = F.ltrim("raw").startswith("{")
+    parsed = raw.select("match_id", "raw", F.from_json("raw", schema, {"columnNameOfCorruptRecord": _CORRUPT}).alias("text"))
+    fault = F.col(f"text.{_CORRUPT}").isNotNull() | F.col("text").isNull() | ~is_object
+    reason = F.when(fault, F.when(F.try_parse_json("raw").isNull(), "not JSON").when(~is_object, "not a JSON object"))
+    known = parsed.withColumn("reason", reason)
     doc = F.when(F.col("reason").isNull(), _typed(F.col("text"), document_schema()))
-    return parsed.select("match_id", "raw", doc.alias("doc"), "reason")
+    return known.select("match_id", "raw", doc.alias("doc"), "reason")
 
 
 def documents_of(parsed: DataFrame) -> DataFrame:
@@ -85,3 +144,22 @@ def read_matches(spark: SparkSession, path: str) -> DataFrame:
 def read_rejects(spark: SparkSession, path: str) -> DataFrame:
     """Files that are no match document, with their text and the reason."""
     return rejects_of(parse(read_raw(spark, path)))
+
+
+def reject_messages(rejects: DataFrame) -> DataFrame:
+    """Rejected texts with where and why they fail to parse: ``match_id, record, reason, message``.
+
+    Only rejected files, which are few, go through Python.
+    """
+
+    def explain(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            messages = []
+            for record in batch.column("record").to_pylist():
+                try:
+                    messages.append(f"an object was expected, not {type(json.loads(record or '')).__name__}")
+                except (ValueError, RecursionError) as error:
+                    messages.append(str(error))
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(messages, pa.string())], names=["match_id", "record", "reason", "message"])
+
+    return rejects.select("match_id", "record", "reason").mapInArrow(explain, "match_id string, record string, reason string, message string")

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
@@ -11,6 +11,12 @@ def write_csv(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").option("header", True).option("emptyValue", '""').csv(path)
 
 
+def read_csv(spark: SparkSession, path: str, schema) -> DataFrame:
+    """What :func:`write_csv` wrote: an empty field is NULL, a quoted empty one an empty text."""
+    # No field holds the character that stands for NULL here.
+    return spark.read.option("header", True).option("nullValue", "\0").option("emptyValue", "").schema(schema).csv(path)
+
+
 def report(df: DataFrame, section: str, key: str, *values: str) -> DataFrame:
     """Rows of a report in long form: ``section, key, value``."""
     pairs = F.inline(
