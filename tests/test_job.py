@@ -31,6 +31,28 @@ def test_outputs_are_written(spark, built):
     assert profile["total_files"] == "24" and profile["files_rejected"] == "1" and profile["matches_with_innings"] == "22"
 
 
+def test_results_of_all_checks_are_stored(spark, built):
+    out, t = built
+    read = lambda name: spark.read.parquet(f"{out}/{name}")
+    sets = {(r.level, r["keys"]): r["count"] for r in read("profile/key_sets").collect()}
+    assert sets["top", "info,innings,meta"] == 22 and sets["top", "info,meta"] == 1 and sets["delivery", "batter,bowler,non_striker"] == 1
+    presence = {r.field: r for r in read("profile/field_presence").collect()}
+    balls = t["deliveries"].count()
+    assert presence["batter"].deliveries == balls and presence["runs"].deliveries == balls - 1 and presence["batter"].percentage == 100.0
+    types = {(r.section, r.field, r.type) for r in read("profile/value_types").collect()}
+    assert {("delivery", "runs.total", "int"), ("info", "event", "str"), ("info", "event", "dict"), ("info", "registry", "dict")} <= types
+    (message,) = read("profile/rejected_files").collect()
+    assert message.match_id == "e02" and "line 1 column" in message.message
+    long = {r.over_id: r.num_deliveries for r in read("quality/long_overs").collect()}
+    assert long == {"e18_1_248": 19}
+    names = {r.key: r.value for r in read("quality/name_consistency").collect()}
+    # Each spelling counts as a name here; only primary names are in the table of players.
+    assert names["players_missing_ids"] == 1 and {r.player_name for r in read("quality/matches_of_unknown_names").collect()} == {"Mister A3"}
+    assert {r.player_id for r in read("quality/ids_with_many_names").collect()} == {"id-A3"}
+    for name in ("runs_description", "run_shares", "extras_counts", "match_overs", "over_length_factors", "similar_venues", "name_variants"):
+        read(f"quality/{name}").collect()
+
+
 def test_retyped_columns(built):
     _, t = built
     types = dict(t["deliveries"].dtypes)

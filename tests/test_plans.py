@@ -81,6 +81,17 @@ def test_texts_are_parsed_once(docs, build):
     assert scans(build(projection.raw_documents(docs))) == 1
 
 
+def test_one_walk_answers_all(docs):
+    raw = projection.raw_documents(docs)
+    found = profiling.raw_profile(raw)
+    assert plan_of(found).count("parseJson") == 1 and scans(found) == 1
+    found = stage(raw.sparkSession, found)
+    rows = lambda df: sorted(map(tuple, df.select(sorted(df.columns)).collect()))
+    assert rows(profiling.variants_of(found)) == rows(profiling.schema_profile(raw))
+    assert rows(profiling.types_of(found)) == rows(profiling.json_types(raw))
+    assert rows(profiling.presence_of(found)) == rows(profiling.field_presence(raw))
+
+
 def test_outline_joins_nothing(docs):
     out = profiling.doc_structure(documents.parse(projection.raw_documents(docs)))
     assert "Join" not in plan_of(out) and scans(out) == 1

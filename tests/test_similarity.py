@@ -77,9 +77,19 @@ def test_no_hot_key(spark, size, threshold):
 
     rng = random.Random(size)
     names = sorted({"".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(size)) for _ in range(4000)})
-    df = spark.createDataFrame([(n, n) for n in names], "name string, text string")
+    df = spark.createDataFrame(list(enumerate(names)), "id bigint, text string")
     keys = _signatures(df, threshold, 3).where("len = low AND len = high").groupBy("low", "high", "token").agg(
         F.sum(F.when(F.col("side") != 1, 1).otherwise(0)).alias("a"), F.sum(F.when(F.col("side") != 0, 1).otherwise(0)).alias("b")
     )
     met, largest = keys.agg(F.sum(F.col("a") * F.col("b")), F.max("b")).first()
     assert largest < 0.1 * len(names) and met < 0.35 * len(names) ** 2
+
+
+def test_keys_carry_no_text_and_grow_with_the_edits(spark):
+    from wicketflow.operators.similarity import _signatures
+
+    df = spark.createDataFrame([(k, "".join(random.Random(k).choices("abcdefghij", k=40))) for k in range(50)], "id bigint, text string")
+    for threshold, most in ((0.9, 13), (0.8, 25), (0.6, 17 + 153)):
+        keys = _signatures(df, threshold, 3)
+        assert not any(t == "string" for _, t in keys.dtypes)
+        assert keys.count() <= 50 * most

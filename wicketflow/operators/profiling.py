@@ -269,6 +269,48 @@ def json_types(raw: DataFrame) -> DataFrame:
     return found.groupBy("section", "field", "type").agg(F.count("*").alias("count"))
 
 
+def raw_profile(raw: DataFrame) -> DataFrame:
+    """All that is asked about the texts, from one parse and one walk: ``kind, level, name, type, count``.
+
+    ``keys`` counts the key sets of a level, ``member`` the members of info and balls by type, ``nested`` the
+    members of a ball's own objects.
+    """
+    none = F.lit(None).cast("string")
+    entry = lambda kind, level, name, type_: F.struct(kind.alias("kind"), level.alias("level"), name.alias("name"), type_.alias("type"))
+
+    def visit(level, keys):
+        sets = F.transform(_key_set(level, keys), lambda x: entry(F.lit("keys"), x["level"], x["keys"], none))
+        if level not in ("info", "delivery"):
+            return sets
+        kind = lambda x: F.when(F.map_contains_key(keys, x["field"]), "member").otherwise("nested")
+        return F.concat(sets, F.transform(_value_types(level, keys), lambda x: entry(kind(x), x["section"], x["field"], x["type"])))
+
+    found = _parsed(raw).select(F.inline_outer(_walk(F.col("doc"), visit))).where("kind IS NOT NULL")
+    return found.groupBy("kind", "level", "name", "type").agg(F.count("*").alias("count"))
+
+
+def variants_of(profile: DataFrame) -> DataFrame:
+    """As :func:`schema_profile`, from a stored :func:`raw_profile`."""
+    return profile.where("kind = 'keys'").select("level", F.col("name").alias("keys"), "count")
+
+
+def types_of(profile: DataFrame) -> DataFrame:
+    """As :func:`json_types`, from a stored :func:`raw_profile`."""
+    return profile.where("kind <> 'keys'").select(F.col("level").alias("section"), F.col("name").alias("field"), "type", "count")
+
+
+def presence_of(profile: DataFrame, threshold: float = 0.95) -> DataFrame:
+    """As :func:`field_presence`, from a stored :func:`raw_profile`."""
+    objects = lambda level: F.sum(F.when((F.col("kind") == "keys") & (F.col("level") == level), F.col("count")))
+    totals = profile.agg(objects("delivery").alias("all_deliveries"), objects("top").alias("files")).first()
+    fields = profile.where("kind = 'member' AND level = 'delivery'").groupBy(F.col("name").alias("field")).agg(F.sum("count").alias("deliveries"))
+    every, files = F.lit(totals.all_deliveries), F.lit(totals.files)
+    return fields.select(
+        "field", "deliveries", percent(F.col("deliveries"), every).alias("percentage"), percent(F.col("deliveries"), files).alias("files_percentage"),
+        (F.col("deliveries") / every >= threshold).alias("required"),
+    )
+
+
 def suspicious_deliveries(deliveries: DataFrame, above: int = 7) -> DataFrame:
     """Balls whose total is more than ``above``."""
     return deliveries.where(F.col("total_runs") > above).select(

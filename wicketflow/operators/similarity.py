@@ -3,14 +3,17 @@
 Comparing all pairs is avoided by a prefix filter on q-grams. If two strings differ by few
 edits, all but a few of their q-grams survive, so among the rarest q-grams of each (as many as
 the edits can destroy, plus one) at least one is shared. Strings meet only on such rare
-q-grams, on their two lengths and on nearby positions, and the edit distance is tested inside
-the join, so no unchecked pair is ever written out. Two bit masks, of the q-grams and of the
-characters of a name, turn most pairs away before their distance is computed. No filter loses a
-pair.
+q-grams, on their two lengths and on nearby positions. Two bit masks, of the q-grams and of the
+characters of a name, turn most pairs away where they meet. No filter loses a pair.
 
 Where the allowed edits could destroy every q-gram (short strings, low thresholds) strings meet on
 segments instead: the shorter one is cut into one segment more than there are edits, so one segment
-is left whole and stands in the longer one, moved by no more places than there are edits.
+is left whole and stands in the longer one. Of the edits before the k-th segment there are k at most
+and behind it the others at most, or an earlier or later segment is whole too; so the k-th one is only
+looked for at the few places that both sides allow.
+
+Names get numbers, and keys carry these and the masks, but no text. What has met is made distinct as
+pairs of numbers; only then are the texts joined and the edit distances computed, each once.
 """
 
 from __future__ import annotations
@@ -18,6 +21,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from wicketflow.scratch import stage
+
 _SLACK = 1e-9
 
 # Lengths from here on count as one when asking whether a length occurs at all.
@@ -43,8 +48,10 @@ _SIZE = "(low DIV (edits + 1) + int(k >= edits + 1 - low % (edits + 1)))"
 _START = "(k * (low DIV (edits + 1)) + greatest(0, k - (edits + 1 - low % (edits + 1))))"
 _KEY = "named_struct('token', xxhash64('segment', k, substring(text, {at} + 1, {size})), 'at', 0, 'side', {side})"
 _SEGMENTS = f"transform(sequence(0, edits), k -> {_KEY.format(at=_START, size=_SIZE, side=0)})"
+_FROM = f"greatest({_START} - k, {_START} + high - low - (edits - k))"
+_TO = f"least({_START} + k, {_START} + high - low + (edits - k))"
 _PLACES = (
-    f"flatten(transform(sequence(0, edits), k -> transform(filter(sequence({_START} - edits, {_START} + edits), "
+    f"flatten(transform(sequence(0, edits), k -> transform(filter(if({_FROM} <= {_TO}, sequence({_FROM}, {_TO}), array()), "
     f"p -> p >= 0 AND p + {_SIZE} <= high), p -> {_KEY.format(at='p', size=_SIZE, side=1)})))"
 )
 
@@ -60,23 +67,27 @@ def _mask(numbers: Column, how: str) -> Column:
     return F.aggregate(F.transform(numbers, bit), F.lit(0).cast("bigint"), join)
 
 
+def _numbered(df: DataFrame, column: str, lower: bool) -> DataFrame:
+    """The distinct values of a column with the text to compare and a number, stored: all that follows goes by the number."""
+    names = df.where(F.col(column).isNotNull()).select(F.col(column).alias("name")).distinct()
+    text = F.lower("name") if lower else F.col("name")
+    return stage(df.sparkSession, names.select("name", text.alias("text"), F.monotonically_increasing_id().alias("id")))
+
+
 def _signatures(names: DataFrame, threshold: float, q: int) -> DataFrame:
     """Rare q-grams, or segments, of each name for each length a partner can have: the keys to meet on."""
     length = F.length("text")
     starts = F.sequence(F.lit(1), F.greatest(length - (q - 1), F.lit(1)))
-    grams = names.select(
-        "name", "text", F.posexplode(F.transform(starts, lambda k: F.substring("text", k, q))).alias("at", "gram")
-    )
     # A q-gram is replaced by one of 65536 numbers, which bounds the table of frequencies.
     # Two q-grams with one number can only add candidates, which are tested anyway.
-    numbered = grams.select(
-        "name", "text", "at", F.pmod(F.xxhash64("gram"), F.lit(1 << 16)).cast("int").alias("token")
-    )
-    frequency = numbered.groupBy("token").agg(F.count("*").alias("uses"))
+    token = lambda k: F.pmod(F.xxhash64(F.substring("text", k, q)), F.lit(1 << 16)).cast("int")
+    tokens = names.select("id", "text", F.transform(starts, token).alias("tokens"))
+    grams = tokens.select("id", F.posexplode("tokens").alias("at", "token"))
+    frequency = grams.groupBy("token").agg(F.count("*").alias("uses"))
     ranked = (
-        numbered.join(F.broadcast(frequency), "token")
-        .groupBy("name", "text")
-        .agg(F.sort_array(F.collect_list(F.struct("uses", "token", "at"))).alias("grams"))
+        grams.join(F.broadcast(frequency), "token")
+        .groupBy("id").agg(F.sort_array(F.collect_list(F.struct("uses", "token", "at"))).alias("grams"))
+        .join(names.select("id", "text"), "id")
     )
     # Lengths that no name has need no keys. At most 65536 lengths are told apart.
     lengths = names.select(F.least(length, F.lit(_LONGEST)).alias("there")).distinct()
@@ -87,7 +98,7 @@ def _signatures(names: DataFrame, threshold: float, q: int) -> DataFrame:
     )
     low, high = F.least("len", "other"), F.greatest("len", "other")
     keyed = spread.select(
-        "name", "text", "grams", "len", "other", low.alias("low"), high.alias("high"),
+        "id", "text", "grams", "len", "other", low.alias("low"), high.alias("high"),
         _edits(high, threshold).alias("edits"),
     )
     keyed = keyed.select(
@@ -103,7 +114,7 @@ def _signatures(names: DataFrame, threshold: float, q: int) -> DataFrame:
     )
     keys = F.when(F.col("left_over") <= 0, F.array_distinct(segments)).otherwise(rare)
     return keyed.select(
-        "name", "text", "low", "high", "edits", "len", "differing",
+        "id", "low", "high", "edits", "len", "differing",
         _mask(F.transform("grams", lambda g: g["token"]), "or").alias("gram_mask"),
         _mask(F.transform(F.split("text", ""), lambda c: F.pmod(F.xxhash64(c), F.lit(64)).cast("int")), "xor").alias("char_mask"),
         F.inline(keys),
@@ -125,35 +136,27 @@ def similar_names(
     """
     if not 0.5 < threshold <= 1.0:
         raise ValueError("threshold must be above 0.5 and at most 1")
-    names = df.where(F.col(column).isNotNull()).select(F.col(column).alias("name")).distinct()
-    names = names.select("name", (F.lower("name") if lower else F.col("name")).alias("text"))
-    signatures = _signatures(names, threshold, q)
+    names = _numbered(df, column, lower)
+    signatures = stage(df.sparkSession, _signatures(names, threshold, q))
 
-    # A merge join: signatures are many more than names, so the planner's estimate from the
-    # names must not lead to a broadcast, and a hot key can be split at run time.
+    # A merge join: a hot key can be split at run time.
     left, right = signatures.alias("a").hint("merge"), signatures.alias("b")
     a, b = (lambda c: F.col(f"a.{c}")), (lambda c: F.col(f"b.{c}"))
     met = (
         (a("low") == b("low")) & (a("high") == b("high")) & (a("token") == b("token"))
         & (a("len") == a("low")) & (b("len") == b("high")) & (a("side") != 1) & (b("side") != 0)
-    )
-    likely = (
-        F.when(a("low") == a("high"), a("name") < b("name")).otherwise(F.lit(True))
+        & ((a("low") < a("high")) | (a("id") < b("id")))
         & (F.abs(a("at") - b("at")) <= a("edits"))
         & (F.bit_count(a("char_mask").bitwiseXOR(b("char_mask"))) <= 2 * a("edits"))
         & (F.bit_count(a("gram_mask").bitwiseXOR(b("gram_mask"))) <= a("differing"))
     )
-    # The bounded distance stops early and is -1 beyond the bound. It sits behind the cheap tests
-    # in one expression: as separate conditions, the optimizer would be free to put it first.
-    distance = F.when(likely, F.expr("levenshtein(a.text, b.text, a.edits)"))
-    ordered = lambda c: [
-        F.when(a("name") < b("name"), a(c)).otherwise(b(c)).alias(f"{c}1"),
-        F.when(a("name") < b("name"), b(c)).otherwise(a(c)).alias(f"{c}2"),
-    ]
-    near = left.join(right, met).withColumn("distance", distance).where(F.col("distance") >= 0)
-    pairs = near.select(*ordered("name"), "distance", a("high").alias("longer")).distinct()
+    pairs = left.join(right, met).select(a("id").alias("id1"), b("id").alias("id2"), a("edits").alias("edits"), a("high").alias("longer")).distinct()
+    side = lambda k: names.select(F.col("id").alias(f"id{k}"), F.col("name").alias(f"n{k}"), F.col("text").alias(f"t{k}"))
+    compared = pairs.join(side(1), "id1").join(side(2), "id2")
+    # The bounded distance stops early and is -1 beyond the bound.
+    near = compared.withColumn("distance", F.expr("levenshtein(t1, t2, edits)")).where("distance >= 0")
     similarity = F.lit(1.0) - F.col("distance").cast("double") / F.col("longer")
-    scored = pairs.select("name1", "name2", similarity.alias("similarity"))
+    scored = near.select(F.least("n1", "n2").alias("name1"), F.greatest("n1", "n2").alias("name2"), similarity.alias("similarity"))
     s = F.col("similarity")
     return scored.where((s > threshold) & (s < 1.0) if strict else s >= threshold)
 

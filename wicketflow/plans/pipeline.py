@@ -51,10 +51,23 @@ def read_rejected(spark: SparkSession, out: str) -> DataFrame:
     return rejects_of(_read_files(spark, out, False))
 
 
-def profile(spark: SparkSession, out: str) -> None:
-    """CSV outputs on the documents: metadata, similar venues, matches with issues."""
+def profile(spark: SparkSession, source: str, out: str) -> None:
+    """Tables, CSV outputs and a report on the documents and on the texts they come from."""
     docs = read_documents(spark, out)
+    texts = read_raw(spark, source, skip=spark.read.parquet(f"{out}/double_files"))
+    raw = _store(spark, profiling.raw_profile(texts), f"{out}/profile/raw")
     meta = _store(spark, profiling.match_metadata(docs), f"{out}/profile/metadata")
+    results = {
+        "key_sets": profiling.variants_of(raw),
+        "value_types": profiling.types_of(raw),
+        "field_presence": profiling.presence_of(raw),
+        "metadata_description": summaries.describe_all(meta),
+        "completeness_by_type": profiling.completeness_by_type(meta),
+        "over_stats_by_type": profiling.over_stats_by_type(docs),
+        "outlier_overs": profiling.outlier_overs(docs),
+        "rejected_files": reject_messages(read_rejected(spark, out)),
+    }
+    stored = {name: _store(spark, df, f"{out}/profile/{name}") for name, df in results.items()}
     venues = similarity.similar_names(meta, "venue", 0.9, lower=True)
     reports.write_csv(meta, f"{out}/profile/metadata_csv")
     reports.write_csv(venues.orderBy(F.desc("similarity"), "name1", "name2"), f"{out}/profile/similar_venues_csv")
@@ -63,11 +76,17 @@ def profile(spark: SparkSession, out: str) -> None:
     sections = [
         reports.report(spark.read.parquet(f"{out}/profile/summary"), "profile", "key", "value"),
         reports.report(profiling.reject_report(rejects), "rejects", "key", "value"),
+        reports.report(stored["rejected_files"], "messages", "match_id", "message"),
         reports.report(profiling.empty_matches(meta), "empty_matches", "match_id", "match_type"),
         reports.report(summaries.null_profile({"metadata": meta}, only_nulls=True), "nulls", "column", "null_count", "null_percentage"),
         reports.report(profiling.matches_per_year(meta), "years", "year", "matches"),
         reports.report(summaries.value_counts(meta, "venue", 20), "top_venues", "venue", "count"),
         reports.report(summaries.value_counts(meta, "teams", 20), "top_teams", "teams", "count"),
+        reports.report(profiling.top_variants(stored["key_sets"]).withColumn("at", F.concat_ws(":", "level", "keys")), "key_sets", "at", "count"),
+        reports.report(stored["field_presence"], "fields", "field", "deliveries", "percentage", "required"),
+        reports.report(stored["completeness_by_type"], "completeness", "match_type", *[c for c in stored["completeness_by_type"].columns if c != "match_type"]),
+        reports.report(stored["over_stats_by_type"], "overs", "match_type", "count", "mean", "std", "min", "max"),
+        reports.single_row_report(profiling.registry_stats(meta), "registry"),
     ]
     reports.write_report(summaries.union_all(sections), f"{out}/profile/report")
 
@@ -121,12 +140,45 @@ def retype_stored(spark: SparkSession, out: str) -> dict[str, DataFrame]:
     return read_tables(spark, f"{out}/tables")
 
 
+def check_rows(spark: SparkSession, t: dict[str, DataFrame], persons: DataFrame, out: str) -> None:
+    """The results of the checks that are more than a few numbers, a table each under ``quality``."""
+    d, m, i, o = (t[k] for k in ("deliveries", "matches", "innings", "overs"))
+    pairs = consistency.id_name_pairs(d)
+    results = {
+        "runs_description": summaries.describe_runs(d),
+        "run_shares": profiling.run_share(d),
+        "total_run_counts": profiling.runs_distribution_raw(d),
+        "suspicious_deliveries": profiling.suspicious_deliveries(d),
+        "invalid_runs": quality.invalid_runs(d),
+        "batter_run_counts": quality.batter_run_dist(d),
+        "run_outliers": quality.run_outliers(d),
+        "high_totals": quality.high_totals(d),
+        "extras_counts": quality.extras_dist(d),
+        "match_overs": quality.match_overs_stats(m, i, o),
+        "overs_exceeded": quality.overs_exceeded(m, i, o),
+        "over_lengths_by_type": quality.over_length_by_type(o, i, m),
+        "over_length_factors": quality.over_length_factors(o, d),
+        "long_overs": quality.long_overs(o, i, m),
+        "venue_counts": summaries.value_counts(m, "venue"),
+        "similar_venues": similarity.similar_names_with_counts(m, "venue", 0.8),
+        "name_issues": consistency.player_id_issues(persons),
+        "names_with_many_ids": consistency.multiple_ids(persons),
+        "matches_of_unknown_names": consistency.missing_id_matches(persons),
+        "ids_with_many_names": consistency.ids_with_many_names(pairs),
+        "name_variants": consistency.name_variant_counts(pairs),
+        "name_consistency": consistency.player_consistency(persons),
+    }
+    for name, df in results.items():
+        df.write.mode("overwrite").parquet(f"{out}/quality/{name}")
+
+
 def check_tables(spark: SparkSession, out: str) -> None:
     """Quality report on the stored tables."""
     t = read_tables(spark, f"{out}/tables")
     diff = spark.read.parquet(f"{out}/quality/schema_diff")
     shape = summaries.table_shape(t)
     persons = _store(spark, consistency.person_table(t["deliveries"], t["players"]), f"{out}/quality/persons")
+    check_rows(spark, t, persons, out)
     sections = [
         reports.report(shape, "tables", "table", "rows", "columns"),
         reports.report(
@@ -182,7 +234,7 @@ def build_features(spark: SparkSession, out: str, variant: str = "full") -> dict
 def run(spark: SparkSession, source: str, out: str, variant: str = "full") -> dict[str, DataFrame]:
     """From a folder of match files to features and mart under ``out``."""
     ingest(spark, source, out)
-    profile(spark, out)
+    profile(spark, source, out)
     unnest_tables(spark, out)
     retype_stored(spark, out)
     check_tables(spark, out)
