@@ -5,10 +5,12 @@ import zlib
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from conftest_llm import rows_of
 
 from wicketflow.llm import chat_tree, sentence_lattice, token_orc
+from wicketflow.scratch import shared_folder
 
 WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
 PIECES = public_tokenizers.path("piece_bpe_32k.model")
@@ -123,8 +125,27 @@ def test_chunks_give_the_ids_of_the_whole_text():
     parts = ["it's", "I'LL", "don't", "Straße", "ÉCOLE", "é́", "é", " ", " ", "\x1c", "\x0b", "²", "½", "日本", "<|endoftext|>", "<|", "--!!", "12a3", "İ", "ΣΑΣ", "​", "ﬁ", "\n"]
     texts = ["".join(rng.choice(parts) + rng.choice(["", " "]) for _ in range(rng.randint(0, 12))) for _ in range(400)]
     for k in range(0, 400, 20):
-        for text, ids in zip(texts[k : k + 20], encoder.encode(texts[k : k + 20])):
-            assert np.frombuffer(ids, "<i4").tolist() == tool.encode(text, add_special_tokens=False).ids, repr(text)
+        some = texts[k : k + 20]
+        for text, ids, ended in zip(some, encoder.encode(pa.array(some)).to_pylist(), encoder.encode(pa.array(some), 1).to_pylist()):
+            assert ids == tool.encode(text, add_special_tokens=False).ids and ended == [*ids, 1], repr(text)
+    assert encoder.encode(pa.array([], pa.string()), 1).to_pylist() == []
+    assert encoder.encode(pa.array([None, "", "  "]), 1).to_pylist() == [[1], [1], [1]]
+
+
+def test_starts_are_places_in_the_files(spark):
+    """Rows of one doc_id with different texts: each start is where the row's ids lie."""
+    rows = [(5, "word " * k) for k in (1, 9, 3, 30, 2)] + [(None, "a b"), (None, "c"), (7, None), (1, "\x1c tied text"), (7, "x")]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(3)
+    folder = f"{shared_folder(spark)}/tokens"
+    token_orc.write_tokens(docs, folder, WORD_BPE, partitions=3)
+    stored = token_orc.read_tokens(spark, folder).select("doc_id", "place", "tokens", "_metadata.file_name").collect()
+    stored.sort(key=lambda r: (int(r.file_name.split("-")[1]), r.place))
+    ids = [i for r in stored for i in r.tokens]
+    assert [r.doc_id for r in stored] == [None, None, 1, 5, 5, 5, 5, 5, 7, 7]
+    got = token_orc.token_index(spark, folder).collect()
+    assert len(got) == len(rows) and {r.start for r in got} == {sum(len(s.tokens) for s in stored[:k]) for k in range(len(rows))}
+    for r in got:
+        assert zlib.crc32(np.array(ids[r.start : r.start + r.n_tokens], "<u4").tobytes()) == r.ids_crc32
 
 
 def test_files_hold_bloom_filters_and_row_groups(spark, docs, tmp_path):

@@ -6,14 +6,16 @@ columns are stored in run-length encoded streams, each file has row indexes, and
 filter and min/max statistics per row group, so that a lookup reads single row groups and a scan can
 read stripes in parallel. `read_tokens` and `find_document` read the files back.
 
-Encoding goes through the tokenizers library. Most of a text repeats words seen before, so ids are
-looked up per white-space chunk; new chunks are cut at the tokenizer's own pattern and handed to the
+Encoding goes through the tokenizers library. Most of a text repeats words seen before, so texts are
+split at white space and their chunks numbered some documents at a time, by Arrow; ids are looked up once
+for each distinct chunk and gathered with numpy. New chunks are cut at the tokenizer's own pattern and handed to the
 library in one batch. This holds for chunks of ASCII and simple Latin letters, on which normalisation is
 lower-casing; every other chunk goes through the whole tokenizer, and a text with white space or marks
 that may tie chunks together goes through it in one piece.
 
 Defined cases: null counts as empty; an empty text has the end id only; null doc_ids come first in the
-order; repeated rows each get their place (in any order, as they are equal in id, by digest of the text); an empty table gives an
+order; repeated rows each get their place (rows of one doc_id by a hash of the text; the place in the file is stored
+and is what `start` is summed up by); an empty table gives an
 empty folder that reads back as no rows; other columns are not looked at.
 """
 
@@ -27,6 +29,7 @@ from functools import cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -91,17 +94,38 @@ class ChunkEncoder:
         for c, e in zip(odd, self.whole.encode_batch(odd, add_special_tokens=False)):
             self.chunks[c] = np.array(e.ids, "<i4").tobytes()
 
-    def encode(self, texts: list[str]) -> list[bytes]:
-        table = self.chunks
+    def encode(self, texts: pa.Array, end_id: int | None = None) -> pa.ListArray:
+        """Ids of each text (null: empty), each followed by `end_id` if one is given."""
+        texts = pc.fill_null(texts.cast(pa.large_string()), "")
+        tied = pc.match_substring_regex(texts, _TIES.pattern).to_numpy(zero_copy_only=False)
+        # A tied text is one chunk of its own, numbered behind the others.
+        lists = pc.ascii_split_whitespace(pc.if_else(pa.array(tied), "", texts) if tied.any() else texts)
+        bounds = lists.offsets.to_numpy()
+        coded = lists.values.slice(bounds[0], bounds[-1] - bounds[0]).dictionary_encode()
+        bounds = (bounds - bounds[0]).astype(np.int64)
+        chunks, table = coded.dictionary.to_pylist(), self.chunks
         table.turn()
-        cut = [None if _TIES.search(t) else t.split() for t in texts]
-        met = set().union(*[c for c in cut if c])
-        self._learn(table.missing(met))
-        find = table.__getitem__
-        return [
-            np.array(self.whole.encode(t, add_special_tokens=False).ids, "<i4").tobytes() if c is None else b"".join(map(find, c))
-            for t, c in zip(texts, cut)
-        ]
+        self._learn([c for c in table.missing(set(chunks)) if c])
+        found = [table[c] if c else b"" for c in chunks]
+        whole = np.flatnonzero(tied)
+        found += [np.array(e.ids, "<i4").tobytes() for e in self.whole.encode_batch(texts.take(pa.array(whole)).to_pylist(), add_special_tokens=False)]
+        found.append(b"" if end_id is None else end_id.to_bytes(4, "little"))
+        ids = np.frombuffer(b"".join(found), "<i4")
+        sizes = np.array([len(f) // 4 for f in found], np.int64)
+        ends = np.cumsum(sizes)
+        # All chunks in order, behind each text its whole (if tied) and the end.
+        order = coded.indices.to_numpy(zero_copy_only=False).astype(np.int64)
+        behind = np.concatenate([bounds[1:][whole], bounds[1:]])
+        extra = np.concatenate([len(chunks) + np.arange(len(whole)), np.full(len(texts), len(found) - 1)])
+        by_text = np.argsort(np.concatenate([2 * whole, 2 * np.arange(len(texts)) + 1]), kind="stable")
+        order = np.insert(order, behind[by_text], extra[by_text])
+        taken = sizes[order]
+        upto = np.cumsum(taken)
+        place = np.arange(upto[-1] if len(upto) else 0) + np.repeat(ends[order] - upto, taken)
+        per_text = np.zeros(len(texts) + 1, np.int64)
+        last = bounds[1:] + 1 + np.arange(len(texts)) + np.cumsum(tied)
+        per_text[1:] = upto[last - 1] if len(upto) else 0
+        return pa.ListArray.from_arrays(pa.array(per_text.astype(np.int32)), pa.array(ids[place]))
 
 
 @cache
@@ -112,34 +136,33 @@ def encoder(path: str) -> ChunkEncoder:
 
 def _encode(path: str, end_id: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tool, end = encoder(path), end_id.to_bytes(4, "little")
+        tool, place = encoder(path), 0
         for batch in batches:
             # Some documents at a time, which bounds the room of texts and ids.
             for k in range(0, batch.num_rows, 1024):
                 part = batch.slice(k, 1024)
-                texts = [t or "" for t in part.column("text").to_pylist()]
-                ids = [i + end for i in tool.encode(texts)]
-                offsets = np.concatenate([[0], np.cumsum([len(i) // 4 for i in ids])]).astype(np.int32)
-                tokens = pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.frombuffer(b"".join(ids), "<i4")))
-                yield pa.RecordBatch.from_arrays([part.column("doc_id"), tokens], names=["doc_id", "tokens"])
+                tokens = tool.encode(part.column("text"), end_id)
+                places = pa.array(np.arange(place, place + part.num_rows))
+                place += part.num_rows
+                yield pa.RecordBatch.from_arrays([part.column("doc_id"), places, tokens], names=["doc_id", "place", "tokens"])
 
     return run
 
 
 def write_tokens(docs: DataFrame, folder: str, tokenizer: str, end_id: int = END_ID, partitions: int | None = None) -> None:
-    """Write doc_id and tokens of each document, in ascending doc_id order over the files."""
+    """Write doc_id, place in its file and tokens of each document, in ascending doc_id order over the files."""
     narrow = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text")
     # Null ids and repeated ids may be many: the hash of the text lets a range end inside them.
     keyed = narrow.withColumn("tie", F.xxhash64("text"))
     order = ["doc_id", "tie"]
     n = partitions or int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     placed = keyed.repartitionByRange(n, *order).sortWithinPartitions(*order).select("doc_id", "text")
-    encoded = placed.mapInArrow(_encode(tokenizer, end_id), "doc_id bigint, tokens array<int>")
+    encoded = placed.mapInArrow(_encode(tokenizer, end_id), "doc_id bigint, place bigint, tokens array<int>")
     encoded.write.options(**_ORC).orc(folder)
 
 
 def read_tokens(spark: SparkSession, folder: str) -> DataFrame:
-    return spark.read.schema("doc_id bigint, tokens array<int>").orc(folder)
+    return spark.read.schema("doc_id bigint, place bigint, tokens array<int>").orc(folder)
 
 
 def find_document(spark: SparkSession, folder: str, doc_id: int) -> DataFrame:
@@ -153,8 +176,8 @@ def _summary(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         values, offsets = lists.values.to_numpy().astype("<u4"), lists.offsets.to_numpy()
         crc = [zlib.crc32(values[a:b].tobytes()) for a, b in zip(offsets[:-1].tolist(), offsets[1:].tolist())]
         yield pa.RecordBatch.from_arrays(
-            [batch.column("doc_id"), batch.column("file"), pa.array(np.diff(offsets).astype(np.int64)), pa.array(crc, pa.int64())],
-            names=["doc_id", "file", "n_tokens", "ids_crc32"],
+            [batch.column("doc_id"), batch.column("file"), batch.column("place"), pa.array(np.diff(offsets).astype(np.int64)), pa.array(crc, pa.int64())],
+            names=["doc_id", "file", "place", "n_tokens", "ids_crc32"],
         )
 
 
@@ -163,13 +186,15 @@ def token_index(spark: SparkSession, folder: str) -> DataFrame:
 
     Starts are summed up inside each file, whose size is bounded, and over the files' totals.
     """
-    read = read_tokens(spark, folder).select("doc_id", "tokens", F.element_at(F.split("_metadata.file_name", "-"), 2).alias("file"))
+    # Files are numbered by the task that wrote them, in the order of their ranges.
+    number = F.element_at(F.split("_metadata.file_name", "-"), 2).cast("bigint")
+    read = read_tokens(spark, folder).select("doc_id", "place", "tokens", number.alias("file"))
     # Stored, for the ids are read once for both uses.
-    docs = stage(spark, read.mapInArrow(_summary, "doc_id bigint, file string, n_tokens bigint, ids_crc32 bigint"))
+    docs = stage(spark, read.mapInArrow(_summary, "doc_id bigint, file bigint, place bigint, n_tokens bigint, ids_crc32 bigint"))
     totals = docs.groupBy("file").agg(F.sum("n_tokens").alias("n"))
     earlier = Window.orderBy("file").rowsBetween(Window.unboundedPreceding, -1)
     starts = totals.select("file", F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("base"))
-    inside = Window.partitionBy("file").orderBy(F.col("doc_id").asc_nulls_first(), "ids_crc32", "n_tokens").rowsBetween(Window.unboundedPreceding, -1)
+    inside = Window.partitionBy("file").orderBy("place").rowsBetween(Window.unboundedPreceding, -1)
     placed = docs.withColumn("before", F.coalesce(F.sum("n_tokens").over(inside), F.lit(0)))
     return placed.join(starts, "file").select("doc_id", (F.col("base") + F.col("before")).alias("start"), "n_tokens", "ids_crc32")
 
