@@ -12,7 +12,8 @@ from wicketflow import constants
 from wicketflow.operators import (
     careers, consistency, features, identity, match_stats, profiling, quality, similarity, summaries, unnest,
 )
-from wicketflow.plans import oracles, projection
+from wicketflow.constants import RETYPE_SPEC
+from wicketflow.plans import oracles, pipeline, projection
 from wicketflow.scratch import shared_folder, stage
 from wicketflow.sources import documents, reports, tables
 
@@ -491,10 +492,19 @@ def _profile_csv(build: Callable[[DataFrame], DataFrame]) -> Query:
     return run
 
 
-def _report(spark, folder, t):
-    counts = summaries.table_shape(t)
-    reports.write_report(reports.report(counts, "rows", "table", "rows"), folder)
-    return spark.read.schema("section string, key string, value string").json(folder)
+def _report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The whole quality report, written and read back; values that are numbers as numbers."""
+    t = flat_tables(spark, sf_dir)
+    balls, players = (projection.table(spark, sf_dir, n) for n in ("nd", "np"))
+    unfit = summaries.union_all([
+        quality.unfit_values(t[name], spec).withColumn("table", F.lit(name)) for name, spec in RETYPE_SPEC.items()
+    ])
+    sections = pipeline.quality_sections(t, _schemas(spark, t), unfit, consistency.person_table(balls, players))
+    folder = shared_folder(spark)
+    reports.write_report(summaries.union_all(sections), folder)
+    rows = spark.read.schema("section string, key string, value string").json(folder)
+    number = F.col("value").try_cast("double")
+    return tidy(rows.select("section", "key", number.alias("number"), F.when(number.isNull(), F.col("value")).alias("text")))
 
 
 def _with_odd(raw: DataFrame) -> DataFrame:
@@ -552,7 +562,7 @@ def _sink_queries() -> dict[str, Query]:
         "s07_metadata_csv": _profile_csv(lambda meta: meta),
         "s07_similar_venues_csv": _profile_csv(lambda meta: similarity.similar_names(meta, "venue", 0.85, lower=True)),
         "s07_issues_csv": _profile_csv(profiling.quality_issues),
-        "s08_report": _stored(_report),
+        "s08_report": _report,
     }
 
 

@@ -647,7 +647,6 @@ _S = {
     "s07_metadata_csv": _docs("SELECT * FROM meta", big=_META_WHOLE),
     "s07_similar_venues_csv": _docs(_similar("meta", "venue", 0.85, True), dbl="similarity"),
     "s07_issues_csv": _docs("SELECT * FROM meta WHERE total_deliveries<10 OR team1_players<11 OR team2_players<11 OR registry_count<22", big=_META_WHOLE),
-    "s08_report": _shape(" UNION ALL ".join(f"SELECT 'rows' AS section, '{t}.rows' AS key, CAST(count(*) AS VARCHAR) AS value FROM {s}" for t, s in _SOURCES.items())),
 }
 
 _M["m21_null_profile"] = _shape(_nulls("mart", "player_match_stats", MART_COLUMNS), extra=_mart(True), big="null_count total_rows", dbl="null_percentage")
@@ -693,5 +692,35 @@ _M["m21_columns"] = _shape(
 )
 
 
+
+
+def _section(name: str, sql: str, key: str, *values: str, where: str = "") -> list[str]:
+    """One section of a report from the SQL form of the result it shows."""
+    label = lambda v: f"concat_ws('.', {key}, '{v}')" if key else f"'{v}'"
+    return [f"SELECT '{name}' AS section, {label(v)} AS key, CAST({v} AS VARCHAR) AS value FROM ({sql}) r {where}" for v in values]
+
+
+_AT = '"table", "column"'
+_TEXT_VALUES = " UNION ALL ".join(
+    f"SELECT '{t}' AS \"table\", '{c}' AS \"column\", 'ascii' AS class, count({c}) AS values, 100.0 AS percentage FROM {_SOURCES[t]}"
+    for t, cs in _COLUMNS.items() for c in cs if c not in _TYPES[t]
+)
+_REPORT = " UNION ALL ".join([
+    *_section("tables", _Q["q01_table_shape"], '"table"', "rows", "columns"),
+    *_section("ranges", _Q["q02_column_ranges"], _AT, "min_value", "max_value"),
+    *_section("nulls", _Q["q07_null_profile"], _AT, "null_count", "null_percentage", where="WHERE null_count>0"),
+    f"SELECT 'conversions', 'type_conversions', CAST(count(*) FILTER (changed) AS VARCHAR) FROM ({_Q['q04_schema_diff']}) r",
+    *_section("storage", _Q["q06_storage_estimate"], '"table"', "bytes_before", "bytes_after", "savings_pct"),
+    *_section("validation", _Q["q10_invalid_runs_count"], "", "count_invalid"),
+    *_section("validation", _Q["q11_seven_run_share"], "", "count_7_runs", "total_deliveries", "percentage"),
+    *_section("validation", _Q["q13_overs_exceeded_count"], "", "matches_exceeded"),
+    *_section("over_lengths", _Q["q14_over_length_dist"], "num_deliveries", "over_count", "percentage"),
+    *_section("players", _Q["q28_reduced_consistency"], "key", "value"),
+    *_section("text", _shape(_TEXT_VALUES), f"{_AT}, class", "values", "percentage", where="WHERE values>0"),
+    f"SELECT * FROM ({_Q['q31_summary']}) r",
+])
+_S["s08_report"] = f"SELECT section, key, round(TRY_CAST(value AS DOUBLE), 6) AS number, CASE WHEN TRY_CAST(value AS DOUBLE) IS NULL THEN value END AS text FROM ({_REPORT}) z"
+
+
 def oracles() -> dict[str, str]:
     return {**_F, **_L, **_M, **_U, **_P, **_Q, **_S}

@@ -172,44 +172,35 @@ def check_rows(spark: SparkSession, t: dict[str, DataFrame], persons: DataFrame,
         df.write.mode("overwrite").parquet(f"{out}/quality/{name}")
 
 
-def check_tables(spark: SparkSession, out: str) -> None:
-    """Quality report on the stored tables."""
-    t = read_tables(spark, f"{out}/tables")
-    diff = spark.read.parquet(f"{out}/quality/schema_diff")
+def quality_sections(t: dict[str, DataFrame], diff: DataFrame, unfit: DataFrame, persons: DataFrame) -> list[DataFrame]:
+    """The sections of the quality report on the tables ``t``, as rows ``section, key, value``."""
     shape = summaries.table_shape(t)
-    persons = _store(spark, consistency.person_table(t["deliveries"], t["players"]), f"{out}/quality/persons")
-    check_rows(spark, t, persons, out)
-    sections = [
+    at = lambda df, *columns: df.withColumn("at", F.concat_ws(".", *columns))
+    lost = unfit.groupBy("table", "column", "type").agg(F.count("*").alias("lost"))
+    return [
         reports.report(shape, "tables", "table", "rows", "columns"),
-        reports.report(
-            summaries.column_ranges(t, RANGE_SPEC).withColumn("at", F.concat_ws(".", "table", "column")),
-            "ranges", "at", "min_value", "max_value",
-        ),
-        reports.report(
-            summaries.null_profile(t, only_nulls=True).withColumn("at", F.concat_ws(".", "table", "column")),
-            "nulls", "at", "null_count", "null_percentage",
-        ),
+        reports.report(at(summaries.column_ranges(t, RANGE_SPEC), "table", "column"), "ranges", "at", "min_value", "max_value"),
+        reports.report(at(summaries.null_profile(t, only_nulls=True), "table", "column"), "nulls", "at", "null_count", "null_percentage"),
         reports.single_row_report(diff.agg(F.count_if("changed").alias("type_conversions")), "conversions"),
-        reports.report(
-            spark.read.parquet(f"{out}/quality/unfit_values").groupBy("table", "column", "type").agg(F.count("*").alias("lost"))
-            .withColumn("at", F.concat_ws(".", "table", "column")),
-            "unfit_values", "at", "type", "lost",
-        ),
+        reports.report(at(lost, "table", "column"), "unfit_values", "at", "type", "lost"),
         reports.report(quality.storage_estimate(diff, shape), "storage", "table", "bytes_before", "bytes_after", "savings_pct"),
         reports.single_row_report(quality.invalid_runs_count(t["deliveries"]), "validation"),
         reports.single_row_report(quality.seven_run_share(t["deliveries"]), "validation"),
-        reports.single_row_report(
-            quality.overs_exceeded_count(t["matches"], t["innings"], t["overs"]), "validation"
-        ),
+        reports.single_row_report(quality.overs_exceeded_count(t["matches"], t["innings"], t["overs"]), "validation"),
         reports.report(quality.over_length_dist(t["overs"]), "over_lengths", "num_deliveries", "over_count", "percentage"),
         reports.report(consistency.reduced_consistency(persons), "players", "key", "value"),
-        reports.report(
-            consistency.text_health(t).withColumn("at", F.concat_ws(".", "table", "column", "class")),
-            "text", "at", "values", "percentage",
-        ),
+        reports.report(at(consistency.text_health(t), "table", "column", "class"), "text", "at", "values", "percentage"),
         quality.summary(t),
     ]
-    reports.write_report(summaries.union_all(sections), f"{out}/quality/report")
+
+
+def check_tables(spark: SparkSession, out: str) -> None:
+    """Quality report on the stored tables, and the results of the checks as tables."""
+    t = read_tables(spark, f"{out}/tables")
+    persons = _store(spark, consistency.person_table(t["deliveries"], t["players"]), f"{out}/quality/persons")
+    check_rows(spark, t, persons, out)
+    diff, unfit = (spark.read.parquet(f"{out}/quality/{name}") for name in ("schema_diff", "unfit_values"))
+    reports.write_report(summaries.union_all(quality_sections(t, diff, unfit, persons)), f"{out}/quality/report")
 
 
 def build_features(spark: SparkSession, out: str, variant: str = "full") -> dict[str, DataFrame]:
