@@ -143,8 +143,8 @@ def test_repeats_in_shared_passages(spark, monkeypatch):
     texts += [make(30) + "x" * 1200, "x" * 500, make(900)]
     table = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
     want = [(k, *x) for k, x in enumerate(plain_repeats(texts, 400))]
-    for hot in (500, 2):  # 2: nearly every anchor goes the way of hot ones
-        monkeypatch.setattr(suffix_dedup, "_HOT", hot)
+    for block in (1 << 20, 3000, 1):  # 1: every anchor is divided to its end
+        monkeypatch.setattr(suffix_dedup, "_BLOCK", block)
         got = suffix_dedup.remove_repeats(table).collect()
         assert sorted((g.doc_id, g.n_bytes, g.n_removed, g.n_spans, g.kept_sha256) for g in got) == want
 

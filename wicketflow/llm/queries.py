@@ -19,7 +19,8 @@ def op2_html_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op3_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return suffix_dedup.remove_repeats(table(spark, sf_dir, "documents")).drop("removed")
+    done = suffix_dedup.remove_repeats(table(spark, sf_dir, "documents")).drop("removed")
+    return done.withColumn("n_kept", done["n_bytes"] - done["n_removed"])
 
 
 #: A conversation whose texts consist of control strings.

@@ -14,10 +14,12 @@ or another. Each start of such a string ("window") is dealt to one place where a
    (suffixes sorted to the depth `length`) and intervals are extended backward, breadth first: each round
    finds the boundaries with the next common prefix length, and rounds stop at `length`. Neighbours without
    a boundary by then share a window.
-4. An anchor with more than `_HOT` different contexts is not gathered in one task: its windows are counted
-   by digest with map-side combine. Equal windows stand alike to their anchor, so the bytes that
-   32, then 4 neighbouring windows share are counted first; only windows whose shared bytes repeat are counted
-   one by one.
+4. Contexts of one anchor that hold more than a block are divided first, by binary descent over the places
+   where the anchor can stand in a window. All windows of a half share the bytes around the anchor that every
+   window with such a place holds; only contexts in which these agree stay together. Contexts that agree in
+   all bytes of their windows of a half repeat there, and one of them stands for them further on. Groups are
+   halved until they fit a block, which goes to the transform, or until all their contexts agree. So a
+   context gives two rows a level at most, and no task gathers a hot anchor.
 
 What was found for a context goes to all its documents, and the spans are united in each document. Texts
 cross the network twice, compressed.
@@ -31,7 +33,7 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
-from functools import cache
+from functools import cache, reduce
 
 import numpy as np
 import pyarrow as pa
@@ -45,11 +47,7 @@ from wicketflow.scratch import stage
 
 LENGTH = 400
 _GRAM = 64
-_HOT = 500
 _BLOCK = 1 << 20
-#: Windows counted together at first, and then.
-_STRIDES = (32, 4, 1)
-_STRIDE = _STRIDES[0]
 #: An odd multiplier and the constants of a mixing step; any would do.
 _BASE = 0x9E3779B97F4A7C15
 _MIX = 0xD6E8FEB86659FD93
@@ -134,43 +132,39 @@ def _pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([batch.column(ROW), batch.column("doc_id"), pa.array(packed, pa.binary())], names=["row", "doc_id", "packed"])
 
 
-def _groups(many: int, place: int) -> list[tuple[int, int]]:
-    """A context's windows in groups [from, to) that lie alike to the anchor, whatever the context."""
-    cuts = sorted({0, many, *range(place % _STRIDE, many, _STRIDE)})
-    return list(zip(cuts, cuts[1:]))
+_PART = [("anchor", pa.int64()), ("low", pa.int64()), ("high", pa.int64()), ("w1", pa.int64()), ("w2", pa.int64()), ("f1", pa.int64()), ("f2", pa.int64()),
+         ("row", pa.int64()), ("first", pa.int64()), ("at", pa.int64()), ("many", pa.int64()), ("place", pa.int64()), ("bytes", pa.binary())]
+_PARTS = pa.schema(_PART)
+_PARTS_DDL = ", ".join(f"{n} {'binary' if n == 'bytes' else 'bigint'}" for n, _ in _PART)
+
+
+def _part_batches(rows: Iterator[tuple]) -> Iterator[pa.RecordBatch]:
+    out, size = [], 0
+    for row in rows:
+        out.append(row)
+        size += len(row[-1])
+        if size > 16 * _BLOCK:
+            yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*out), _PARTS)], schema=_PARTS)
+            out, size = [], 0
+    if out:
+        yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*out), _PARTS)], schema=_PARTS)
 
 
 def _cut(length: int):
-    """Bytes of the wanted contexts; of those with a hot anchor a row per group of windows, with the digest of
-    the bytes that all windows a group can have would share."""
-    schema = pa.schema([("anchor", pa.int64()), ("row", pa.int64()), ("first", pa.int64()), ("bytes", pa.binary()),
-                        ("w1", pa.int64()), ("w2", pa.int64()), ("at", pa.int64()), ("many", pa.int32()), ("low", pa.int64())])
+    """Bytes of the wanted contexts, each one part with all places of the anchor, from 0 to `length - _GRAM`."""
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def rows(batches):
         unpack = zstandard.ZstdDecompressor().decompress
         for batch in batches:
-            out = []
             for row, packed, wanted in zip(*[batch.column(n).to_pylist() for n in ("row", "packed", "wanted")]):
                 data = unpack(packed)
                 for x in wanted:
                     first, many = x["first"], x["many"]
                     part = data[first : first + many + length - 1]
-                    if not x["hot"]:
-                        out.append((x["anchor"], row, first, part, None, None, None, None, None))
-                        continue
-                    place = _anchor_place(part, length)
-                    for a, b in _groups(many, place):
-                        # The whole group of this place begins at a multiple of the stride before the anchor.
-                        low = a - (a - place) % _STRIDE
-                        core = part[low + _STRIDE - 1 : low + length]
-                        out.append((x["anchor"], row, first, part[a : b - 1 + length], *_digest(core), a, b - a, low))
-                if len(out) > 20_000:
-                    yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*out), schema)], schema=schema)
-                    out = []
-            if out:
-                yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*out), schema)], schema=schema)
+                    place = _anchor_place(part, length) if x["hot"] else None
+                    yield x["anchor"], 0, length - _GRAM + 1, None, None, None, None, row, first, 0, many, place, part
 
-    return run
+    return lambda batches: _part_batches(rows(batches))
 
 
 def _anchor_place(part: bytes, length: int) -> int:
@@ -179,28 +173,25 @@ def _anchor_place(part: bytes, length: int) -> int:
     return int(np.argmin(h >> np.uint64(32)))
 
 
-def _split(length: int, stride: int):
-    """Groups of windows cut to smaller ones, likewise; with a stride of 1 to the windows themselves."""
-    schema = pa.schema([("anchor", pa.int64()), ("row", pa.int64()), ("first", pa.int64()), ("bytes", pa.binary()),
-                        ("w1", pa.int64()), ("w2", pa.int64()), ("at", pa.int64()), ("many", pa.int32()), ("low", pa.int64())])
+def _halve(length: int):
+    """Each part as two, by the place of the anchor in a window, with the digests of what all windows of that
+    half would share (w) and of all bytes of the part (f). Windows of a part are numbered by context."""
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def rows(batches):
+        names = ("anchor", "low", "high", "row", "first", "at", "many", "place", "bytes")
         for batch in batches:
-            out = []
-            names = ("anchor", "row", "first", "bytes", "at", "many", "low")
-            for anchor, row, first, data, at, many, low in zip(*[batch.column(n).to_pylist() for n in names]):
-                a = at
-                while a < at + many:
-                    start = a - (a - low) % stride
-                    b = min(start + stride, at + many)
-                    core = data[start + stride - 1 - at : start + length - at]
-                    kept = data[a - at : b - 1 + length - at] if stride > 1 else None
-                    out.append((anchor, row, first, kept, *_digest(core), a, b - a, start))
-                    a = b
-            if out:
-                yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*out), schema)], schema=schema)
+            for anchor, low, high, row, first, at, many, place, data in zip(*[batch.column(n).to_pylist() for n in names]):
+                middle = (low + high) // 2
+                for x, y in ((low, middle), (middle, high)):
+                    # The window j has the anchor at place - j.
+                    a, b = max(at, place - y + 1), min(at + many, place - x + 1)
+                    if a < b:
+                        part = data[a - at : b - 1 - at + length]
+                        core = data[place - x - at : place - y + 1 + length - at]
+                        whole = b"%d %d " % (place - a, place - b) + part
+                        yield anchor, x, y, *_digest(core), *_digest(whole), row, first, a, b - a, place, part
 
-    return run
+    return lambda batches: _part_batches(rows(batches))
 
 
 def sort_suffixes(text: np.ndarray, depth: int) -> np.ndarray:
@@ -296,26 +287,30 @@ def _runs(flags: np.ndarray) -> list[list[int]]:
     return edges.reshape(-1, 2).tolist()
 
 
+_FOUND = "row bigint, first bigint, found array<array<bigint>>"
+
+
 def _expand(length: int):
-    """Contexts come sorted by anchor; blocks end between anchors, so equal windows are in one block."""
+    """Parts come sorted by group; blocks end between groups, so equal windows are in one block."""
     schema = pa.schema([("row", pa.int64()), ("first", pa.int64()), ("found", pa.list_(pa.list_(pa.int64())))])
+    names = ("anchor", "low", "w1", "w2", "row", "first", "at", "bytes")
 
     def solve(block):
-        flags = repeated_windows([b for _, _, b in block], length)
-        out = [(row, first, _runs(f)) for (row, first, _), f in zip(block, flags) if f.any()]
+        flags = repeated_windows([b for *_, b in block], length)
+        out = [(row, first, [[a + at, b + at] for a, b in _runs(f)]) for (row, first, at, _), f in zip(block, flags) if f.any()]
         return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*out), schema)], schema=schema) if out else None
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         block, size, last = [], 0, None
         for batch in batches:
-            for anchor, row, first, data in zip(*[batch.column(n).to_pylist() for n in ("anchor", "row", "first", "bytes")]):
-                if size >= _BLOCK and anchor != last:
+            for *group, row, first, at, data in zip(*[batch.column(n).to_pylist() for n in names]):
+                if size >= _BLOCK and group != last:
                     done = solve(block)
                     if done is not None:
                         yield done
                     block, size = [], 0
-                block.append((row, first, data))
-                size, last = size + len(data), anchor
+                block.append((row, first, at, data))
+                size, last = size + len(data), group
         if block:
             done = solve(block)
             if done is not None:
@@ -324,6 +319,35 @@ def _expand(length: int):
     return run
 
 
+def _by_transform(parts: DataFrame, length: int) -> DataFrame:
+    group = ("anchor", "low", "w1", "w2")
+    ordered = parts.repartition(*group).sortWithinPartitions(*group, "row", "first")
+    return ordered.mapInArrow(_expand(length), _FOUND)
+
+
+def _descend(spark, parts: DataFrame, length: int) -> list[DataFrame]:
+    """What is found in the contexts of anchors that hold more than a block."""
+    group, kind = ["anchor", "low", "w1", "w2"], ["f1", "f2"]
+    found = []
+    while parts.take(1):
+        halves = stage(spark, parts.mapInArrow(_halve(length), _PARTS_DDL))
+        kinds = halves.groupBy(*group, *kind).agg(
+            F.count("*").alias("copies"), F.min(F.struct("row", "first")).alias("one"), F.max(F.length("bytes")).alias("size")
+        )
+        groups = kinds.groupBy(*group).agg(F.count("*").alias("kinds"), F.sum("size").alias("held"))
+        # Kinds that are alone with their core repeat nowhere, or as a whole.
+        open_ = kinds.join(groups.where("kinds > 1"), group).select(*group, *kind, "one", (F.col("held") > _BLOCK).alias("hot"))
+        open_ = stage(spark, open_)
+        copied = kinds.where("copies > 1").select(*group, *kind)
+        span = F.array(F.array("at", F.col("at") + F.col("many")))
+        found.append(halves.join(copied, [*group, *kind], "left_semi").select("row", "first", span.alias("found")))
+        ones = open_.select(*group, "one.row", "one.first", "hot")
+        going = halves.join(ones, [*group, "row", "first"])
+        found.append(_by_transform(going.where("NOT hot"), length))
+        parts = stage(spark, going.where("hot").select(*[n for n, _ in _PART]))
+    return found
+
+
 def repeated_spans(docs: DataFrame, packed: DataFrame, length: int = LENGTH) -> DataFrame:
     """row, spans: byte intervals [start, end) of a document that are covered by repeated windows."""
     spark = docs.sparkSession
@@ -333,31 +357,17 @@ def repeated_spans(docs: DataFrame, packed: DataFrame, length: int = LENGTH) ->
     kinds = repeated.groupBy("anchor", "c1", "c2").agg(
         F.count("*").alias("copies"), F.min(F.struct("row", "first", "many")).alias("one")
     )
-    different = kinds.groupBy("anchor").agg(F.count("*").alias("kinds")).filter("kinds > 1")
+    size = F.col("one.many").cast("bigint") + (length - 1)
+    different = kinds.groupBy("anchor").agg(F.count("*").alias("kinds"), F.sum(size).alias("held")).filter("kinds > 1")
     kinds = stage(spark, kinds.join(different, "anchor", "left").select(
-        "anchor", "c1", "c2", "copies", "one.row", "one.first", "one.many", (F.coalesce("kinds", F.lit(1))).alias("kinds")
+        "anchor", "c1", "c2", "copies", "one.row", "one.first", "one.many",
+        F.coalesce("kinds", F.lit(1)).alias("kinds"), (F.col("held") > _BLOCK).alias("hot"),
     ))
-    wanted = kinds.filter("kinds > 1").groupBy("row").agg(
-        F.collect_list(F.struct("first", "many", "anchor", (F.col("kinds") > _HOT).alias("hot"))).alias("wanted")
-    )
-    cut = stage(spark, packed.join(wanted, "row").select("row", "packed", "wanted").mapInArrow(
-        _cut(length), "anchor bigint, row bigint, first bigint, bytes binary, w1 bigint, w2 bigint, at bigint, many int, low bigint"
-    ))
-    ordered = (
-        cut.filter("w1 IS NULL").select("anchor", "row", "first", "bytes")
-        .repartition("anchor").sortWithinPartitions("anchor", "row", "first")
-    )
-    found = ordered.mapInArrow(_expand(length), "row bigint, first bigint, found array<array<bigint>>")
-    groups = cut.filter("w1 IS NOT NULL")
-    twice = lambda df, *keys: df.join(df.groupBy(*keys).agg(F.count("*").alias("n")).filter("n > 1").select(*keys), list(keys), "left_semi")
-    kind = "anchor bigint, row bigint, first bigint, bytes binary, w1 bigint, w2 bigint, at bigint, many int, low bigint"
-    windows = groups
-    for stride in _STRIDES[1:]:
-        windows = twice(windows, "anchor", "w1", "w2").drop("w1", "w2").mapInArrow(_split(length, stride), kind)
-    hot = twice(windows, "anchor", "w1", "w2").groupBy("row", "first").agg(
-        F.collect_list(F.array(F.col("at"), F.col("at") + 1)).alias("found")
-    )
-    verdicts = kinds.join(found.unionByName(hot), ["row", "first"], "left").select(
+    wanted = kinds.filter("kinds > 1").groupBy("row").agg(F.collect_list(F.struct("first", "many", "anchor", "hot")).alias("wanted"))
+    cut = stage(spark, packed.join(wanted, "row").select("row", "packed", "wanted").mapInArrow(_cut(length), _PARTS_DDL))
+    found = [_by_transform(cut.filter("place IS NULL"), length), *_descend(spark, cut.filter("place IS NOT NULL"), length)]
+    found = reduce(DataFrame.unionByName, found).groupBy("row", "first").agg(F.flatten(F.collect_list("found")).alias("found"))
+    verdicts = kinds.join(found, ["row", "first"], "left").select(
         "anchor", "c1", "c2",
         F.when(F.col("copies") > 1, F.array(F.array(F.lit(0).cast("bigint"), F.col("many").cast("bigint")))).otherwise(F.col("found")).alias("found"),
     ).filter("found IS NOT NULL")
