@@ -1,7 +1,10 @@
 """Main text of web pages by gradient-boosted trees over DOM nodes.
 
-A tolerant parser turns a page into nodes; each element gets features of its tag, its class, id and role
-tokens, its depth, its subtree (text and link density, words a block) and its siblings. Boosted trees
+A tolerant parser turns a page into nodes; each element gets features of its tag, its attribute tokens, its
+depth, its subtree (text and link density, words a block) and its siblings (how many there are, and how many
+are built alike). The tokens of class, id and role are hashed; what a token says is learned from the labels,
+as the log-odds of nodes that carry it, so no list of names is needed and a name that is met on wrappers of
+articles as well says little. Boosted trees
 (depth-limited regression trees on binned features, logistic loss; trained here) give each node log-odds
 of being part of the article.
 
@@ -9,9 +12,10 @@ Decoding is hierarchical: a node that is dropped takes its whole subtree with it
 programming finds the choice of highest total log-odds under that rule, so no kept node lies inside a
 dropped one. Scripts, styles, forms' controls and the head never hold text.
 
-Training takes a bounded sample of pages (`SAMPLE_PAGES`). Semantic tags label them; each page is also
+Training takes a bounded sample of pages (`SAMPLE_PAGES`). Semantic tags alone label them; each page is also
 laid out anew in several ways (sections without semantic tags, menus, sidebars, notices, adverts, forms,
-comments, made of texts of the sample), where the labels are known from the construction. The model is
+comments, made of texts of the sample; with telling, misleading or meaningless names, names of other parts on
+the body and on wrappers, parts in a table), where the labels are known from the construction. The model is
 small and goes to the tasks with the function.
 
 Defined cases: null and empty pages give an empty text; text outside any element counts as text of the
@@ -24,8 +28,11 @@ from __future__ import annotations
 import html
 import random
 import re
+import zlib
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -41,7 +48,7 @@ RAW = frozenset(["script", "style", "textarea", "title", "noscript", "template",
 #: Of these, elements that hold markup: one that is never closed holds nothing.
 RAW_MARKUP = frozenset(["noscript", "template", "svg"])
 NO_TEXT = RAW | frozenset(["head", "select", "option", "button", "input", "object", "canvas"])
-INLINE = frozenset("a abbr b bdi bdo cite code data del dfn em font i ins kbd label mark q s samp small span strong sub sup time tt u var".split())
+INLINE = frozenset("a abbr b bdi bdo cite code data del dfn em font i img ins kbd label mark q s samp small span strong sub sup time tt u var wbr".split())
 CLOSED_BY = {
     "p": frozenset("address article aside blockquote div dl fieldset footer form h1 h2 h3 h4 h5 h6 header hr main nav ol p pre section table ul".split()),
     "li": frozenset(["li"]), "dt": frozenset(["dt", "dd"]), "dd": frozenset(["dt", "dd"]), "tr": frozenset(["tr"]),
@@ -134,8 +141,8 @@ def parse(page: str) -> list[Node]:
         tokens: tuple[str, ...] = ()
         if "=" in token:
             tokens = tuple(
-                w.lower() for name, *value in _ATTRIBUTE.findall(token) if name.lower() in ("class", "id", "role", "itemprop")
-                for w in _ATTRIBUTE_WORD.findall("".join(value))
+                t for name, *value in _ATTRIBUTE.findall(token) if name.lower() in ("class", "id", "role", "itemprop")
+                for word in "".join(value).lower().split() for t in attribute_tokens(word)
             )
         nodes.append(Node(tag, open_[-1], len(open_), tokens))
         nodes[open_[-1]].children.append(len(nodes) - 1)
@@ -148,21 +155,41 @@ def parse(page: str) -> list[Node]:
     return nodes
 
 
-#: Words in class, id and role attributes that often name a part of a page.
-CONTENT_WORDS = frozenset("article articlebody body content entry main maincontent post story text".split())
-BOILER_WORDS = frozenset(
-    "ad ads advert advertisement aside banner bar breadcrumb breadcrumbs comment comments consent cookie disqus footer form header "
-    "links login masthead menu menubar modal nav navbar navigation newsletter notice popup promo promoted recommended related reply "
-    "respond search share sharing sidebar signup skip social sponsor sponsored subscribe tags toolbar topbar widget".split()
-)
+#: Bins that attribute tokens are hashed to.
+TOKEN_BINS = 2048
+
+
+@lru_cache(1 << 14)
+def attribute_tokens(word: str) -> tuple[str, ...]:
+    """The parts of a name, and the whole name where it has several."""
+    parts = tuple(_ATTRIBUTE_WORD.findall(word))
+    return (*parts, word) if len(parts) > 1 else parts
+
+
+@lru_cache(1 << 14)
+def _bin(token: str) -> int:
+    return zlib.crc32(token.encode()) % TOKEN_BINS
+
+
+def token_odds(examples: list[list[Node]], doubt: float = 4.0) -> np.ndarray:
+    """Log-odds that a node with a token is part of the article, by bin; rare tokens stay close to 0."""
+    kept, all_ = np.zeros(TOKEN_BINS), np.zeros(TOKEN_BINS)
+    for nodes in examples:
+        # A page counts a token once for each label, however often a part repeats.
+        for b, label in {(_bin(t), x.label) for x in nodes for t in x.tokens}:
+            all_[b] += 1
+            kept[b] += label
+    return np.log((kept + doubt) / (all_ - kept + doubt))
+
+
 TAGS = (
     "article main section div p nav header footer aside form ul ol li table td h1 h2 h3 blockquote pre a span b figure body #root".split()
 )
 _TAG_CODE = {t: k + 1 for k, t in enumerate(TAGS)}
 FEATURES = (
-    "is_content_tag", "is_boiler_tag", "is_heading", "is_paragraph", "is_list", "is_container", "tag_code", "content_words", "boiler_words",
-    "above_content", "above_boiler", "depth", "place", "siblings", "characters", "share_of_page", "link_share", "links", "blocks",
-    "words_a_block", "controls", "share_of_parent", "before_share", "after_share", "longest_block", "own_characters", "stops",
+    "is_content_tag", "is_boiler_tag", "is_heading", "is_paragraph", "is_list", "is_container", "tag_code", "lowest_token", "highest_token",
+    "above_content", "above_boiler", "above_lowest_token", "alike", "parent_alike", "parts", "depth", "place", "siblings", "characters", "share_of_page", "link_share", "links", "blocks",
+    "words_a_block", "controls", "share_of_parent", "parent_share", "parent_link_share", "parent_words_a_block", "parent_stops", "before_share", "after_share", "longest_block", "own_characters", "stops",
 )
 _CONTENT_TAGS, _BOILER_TAGS = frozenset(["article", "main"]), frozenset(["nav", "header", "footer", "aside", "form", "menu", "dialog"])
 _HEADINGS, _PARAGRAPHS = frozenset(["h1", "h2", "h3"]), frozenset(["p", "blockquote", "pre"])
@@ -170,8 +197,8 @@ _LISTS, _CONTAINERS = frozenset(["ul", "ol", "li", "table"]), frozenset(["div",
 _CONTROLS = frozenset(["input", "button", "select", "textarea", "label"])
 
 
-def features(nodes: list[Node]) -> np.ndarray:
-    """One row of FEATURES per node."""
+def features(nodes: list[Node], odds: np.ndarray) -> np.ndarray:
+    """One row of FEATURES per node; `odds` is a result of `token_odds`."""
     n = len(nodes)
     own, linked, links, blocks, controls, stops = ([0.0] * n for _ in range(6))
     for k, node in enumerate(nodes):
@@ -200,26 +227,33 @@ def features(nodes: list[Node]) -> np.ndarray:
         if longest[k] > longest[up]:
             longest[up] = longest[k]
     page = total[0] or 1.0
-    siblings = [0] * n
-    for node in nodes[1:]:
-        siblings[node.parent] += 1
-    above, seen, out = [(0, 0)] * n, [0] * n, []
+    siblings, parts = [0] * n, [()] * n
+    for k in range(n - 1, 0, -1):
+        siblings[nodes[k].parent] += 1
+        if nodes[k].tag not in VOID:
+            parts[nodes[k].parent] += (nodes[k].tag,)
+    # Elements of one parent with the same tag and the same child tags, if they have any.
+    shapes = [(x.parent, x.tag, frozenset(p)) for x, p in zip(nodes, parts)]
+    many = Counter(x for x, p in zip(shapes, parts) if p)
+    alike = [many[x] if p else 0 for x, p in zip(shapes, parts)]
+    above, seen, out = [(0, 0, 0.0)] * n, [0] * n, []
     for k, node in enumerate(nodes):
-        tag, tokens, up = node.tag, node.tokens, max(node.parent, 0)
-        content = sum([w in CONTENT_WORDS for w in tokens]) if tokens else 0
-        boiler = sum([w in BOILER_WORDS for w in tokens]) if tokens else 0
+        tag, up = node.tag, max(node.parent, 0)
+        said = [odds[_bin(t)] for t in node.tokens] or (0.0,)
+        least, most = min(said), max(said)
         is_content, is_boiler = tag in _CONTENT_TAGS, tag in _BOILER_TAGS
         place, beside = seen[up], siblings[up] or 1
-        over = above[up] if k else (0, 0)
+        over = above[up] if k else (0, 0, 0.0)
         if k:
             seen[up] += 1
         chars = total[k]
         out.append((
-            is_content, is_boiler, tag in _HEADINGS, tag in _PARAGRAPHS, tag in _LISTS, tag in _CONTAINERS, _TAG_CODE.get(tag, 0), content, boiler,
-            over[0], over[1], node.depth, place, beside, chars, chars / page, linked[k] / (chars or 1), links[k], blocks[k], chars / (blocks[k] or 1),
-            controls[k], chars / (total[up] or 1), place / beside, (beside - place) / beside, longest[k], own[k], stops[k] / (chars or 1) * 100,
+            is_content, is_boiler, tag in _HEADINGS, tag in _PARAGRAPHS, tag in _LISTS, tag in _CONTAINERS, _TAG_CODE.get(tag, 0), least, most,
+            over[0], over[1], over[2], alike[k], alike[up] if k else 0, len(parts[k]), node.depth, place, beside, chars, chars / page, linked[k] / (chars or 1), links[k], blocks[k], chars / (blocks[k] or 1),
+            controls[k], chars / (total[up] or 1), total[up] / page, linked[up] / (total[up] or 1), total[up] / (blocks[up] or 1), stops[up] / (total[up] or 1) * 100, place / beside, (beside - place) / beside, longest[k], own[k], stops[k] / (chars or 1) * 100,
         ))
-        above[k] = (over[0] + (is_content or content > 0), over[1] + (is_boiler or boiler > 0))
+        # What holds most of the page says little about its parts.
+        above[k] = (over[0] + is_content, over[1] + is_boiler, over[2] if chars > page / 2 else min(over[2], least))
     return np.array(out, float)
 
 
@@ -244,37 +278,61 @@ class BoostedTrees:
         return out
 
 
-def boost(x: np.ndarray, y: np.ndarray, weight: np.ndarray, trees: int = 40, depth: int = 4, rate: float = 0.2, bins: int = 32, least: float = 4.0) -> BoostedTrees:
+@dataclass
+class PageModel:
+    """The trees, and what attribute tokens say."""
+
+    trees: BoostedTrees
+    odds: np.ndarray
+
+    def score(self, pages: list[list[Node]]) -> list[np.ndarray]:
+        """Log-odds of the nodes of each page; the trees run over all of them at once."""
+        rows = [features(p, self.odds) for p in pages]
+        scores = np.split(self.trees.score(np.concatenate(rows)), np.cumsum([len(r) for r in rows])[:-1])
+        return [_even(p, s) for p, s in zip(pages, scores)]
+
+
+def _even(nodes: list[Node], scores: np.ndarray) -> np.ndarray:
+    """Paragraphs of one parent with the same tag and attributes are judged together, by their mean."""
+    groups: dict[tuple, list[int]] = {}
+    for k, x in enumerate(nodes):
+        if x.tag in _PARAGRAPHS:
+            groups.setdefault((x.parent, x.tag, x.tokens), []).append(k)
+    for group in groups.values():
+        if len(group) > 1:
+            scores[group] = scores[group].mean()
+    return scores
+
+
+def boost(x: np.ndarray, y: np.ndarray, weight: np.ndarray, trees: int = 60, depth: int = 5, rate: float = 0.2, bins: int = 32, least: float = 4.0) -> BoostedTrees:
     """Newton boosting on the logistic loss with histograms over quantile bins."""
     cuts = [np.unique(np.quantile(x[:, f], np.linspace(0, 1, bins + 1)[1:-1])) for f in range(x.shape[1])]
     codes = np.stack([np.searchsorted(c, x[:, f], side="left") for f, c in enumerate(cuts)], axis=1)
     prior = np.clip(np.average(y, weights=weight), 1e-3, 1 - 1e-3)
     base = float(np.log(prior / (1 - prior)))
     score = np.full(len(y), base)
-    size = 2 ** (depth + 1) - 1
+    size, n, wide = 2 ** (depth + 1) - 1, x.shape[1], max(len(c) for c in cuts) + 1
+    # Bins without a cut behind them are no place to divide at.
+    able = np.arange(wide)[None, :] < np.array([len(c) for c in cuts])[:, None]
+    place = np.arange(n) * wide + codes
     feature, cut, value = np.zeros((trees, size), np.int64), np.full((trees, size), np.inf), np.zeros((trees, size))
     for t in range(trees):
         p = 1 / (1 + np.exp(-score))
         g, h = weight * (y - p), weight * p * (1 - p) + 1e-9
+        wide_g, wide_h = np.repeat(g, n), np.repeat(h, n)
         at = np.zeros(len(y), np.int64)
-        for node in range(2**depth - 1):
-            rows = np.flatnonzero(at == node)
-            if not len(rows):
-                continue
-            best = (1e-6, 0, np.inf)
-            whole_g, whole_h = g[rows].sum(), h[rows].sum()
-            for f in range(x.shape[1]):
-                if not len(cuts[f]):
-                    continue
-                sg = np.cumsum(np.bincount(codes[rows, f], g[rows], len(cuts[f]) + 1))[:-1]
-                sh = np.cumsum(np.bincount(codes[rows, f], h[rows], len(cuts[f]) + 1))[:-1]
-                gain = sg**2 / (sh + 1) + (whole_g - sg) ** 2 / (whole_h - sh + 1) - whole_g**2 / (whole_h + 1)
-                gain[(sh < least / 4) | (whole_h - sh < least / 4)] = -1
-                k = int(np.argmax(gain))
-                if gain[k] > best[0]:
-                    best = (gain[k], f, cuts[f][k])
-            feature[t, node], cut[t, node] = best[1], best[2]
-            at[rows] = 2 * node + 1 + (x[rows, best[1]] > best[2])
+        for level in range(depth):
+            first, many = 2**level - 1, 2**level
+            bins = (place + ((at - first) * (n * wide))[:, None]).ravel()
+            sg, sh = (np.bincount(bins, w, many * n * wide).reshape(many, n, wide).cumsum(axis=2) for w in (wide_g, wide_h))
+            whole_g, whole_h = sg[:, :1, -1:], sh[:, :1, -1:]
+            gain = sg**2 / (sh + 1) + (whole_g - sg) ** 2 / (whole_h - sh + 1) - whole_g**2 / (whole_h + 1)
+            gain[~(able[None] & (sh >= least / 4) & (whole_h - sh >= least / 4))] = -1
+            best = gain.reshape(many, -1).argmax(axis=1)
+            for k in np.flatnonzero(gain.reshape(many, -1).max(axis=1) > 1e-6):
+                f, c = divmod(int(best[k]), wide)
+                feature[t, first + k], cut[t, first + k] = f, cuts[f][c]
+            at = 2 * at + 1 + (x[np.arange(len(y)), feature[t, at]] > cut[t, at])
         leaf_g, leaf_h = np.bincount(at, g, size), np.bincount(at, h, size)
         value[t] = rate * leaf_g / (leaf_h + 1)
         score += value[t, at]
@@ -324,13 +382,13 @@ def main_text(nodes: list[Node], kept: list[bool]) -> str:
 
 
 def _labelled(nodes: list[Node]) -> bool:
-    """Label a page by its semantic tags; False if it has none."""
+    """Label a page by its semantic tags alone; False if it has none."""
     if not any(x.tag in _CONTENT_TAGS for x in nodes):
         return False
     for k, x in enumerate(nodes):
         up = nodes[x.parent].label if k else 0
         own = x.tag in _CONTENT_TAGS or up == 1
-        x.label = int(own and x.tag not in _BOILER_TAGS and x.tag not in NO_TEXT and not any(w in BOILER_WORDS for w in x.tokens))
+        x.label = int(own and x.tag not in _BOILER_TAGS and x.tag not in NO_TEXT)
     _lift(nodes)
     return True
 
@@ -348,29 +406,68 @@ def _words(rng: random.Random, pool: list[str], least: int, most: int) -> str:
     return html.escape(" ".join(words[a : a + rng.randint(least, most)]))
 
 
+def _shorter(rng: random.Random, block: str) -> str:
+    words = block.split()
+    return " ".join(words[: rng.randint(3, 40)])
+
+
+#: Names that page templates give to the body and to wrappers, around the name of any part.
+_AROUND = ("has-{}", "with-{}", "no-{}", "{}-right", "{}-left", "{}-fixed", "{}-image", "{}-open", "page-{}", "is-{}", "{}", "hide-{}", "single {}", "{}-layout")
+_PARTS = {
+    "nav": ("menu", "nav", "navbar", "navigation", "main-menu"), "header": ("header", "masthead", "site-header", "topbar", "banner"),
+    "notice": ("cookie-notice", "notice", "consent", "banner", "gdpr"), "ad": ("ad", "ads", "advert", "sponsored", "promo"),
+    "side": ("sidebar", "related", "widget", "sidebar-right", "aside"), "form": ("search", "newsletter", "subscribe", "signup"),
+    "footer": ("footer", "site-footer", "bottom footer", "colophon"), "comments": ("comments", "comment-list", "replies", "responses", "discussion"),
+    "share": ("share", "social", "tags", "share-links"), "article": ("content", "main-content", "post entry", "article-body", "story", "post"),
+}
+
+
 def _layout(rng: random.Random, blocks: list[str], pool: list[str]) -> tuple[str, str]:
     """A page laid out anew, boilerplate marked with data-b; the marks are taken off before training."""
     w = lambda a, b: _words(rng, pool, a, b)
-    wrap = lambda tag, names, inner: f'<{tag}{" class=" + chr(34) + rng.choice(names) + chr(34) if names else ""} data-b>{inner}</{tag}>'
+    # How the page names its parts: tellingly, by meaningless names, or not at all.
+    naming = rng.choice(["telling"] * 5 + ["neutral"] * 2 + ["none"])
+    neutral = {part: f"{rng.choice('ckxtq')}{rng.choice(['', '-', '_'])}{chr(97 + rng.randrange(26))}{rng.randrange(100)}" for part in _PARTS}
+    named = lambda part: rng.choice(_PARTS[part]) if naming == "telling" else neutral[part] if naming == "neutral" else ""
+    attribute = lambda name: f' {rng.choice(["class", "class", "class", "id"])}="{name}"' if name else ""
+    wrap = lambda part, tags, inner: f"<{(tag := rng.choice(tags))}{attribute(named(part))} data-b>{inner}</{tag}>"
+    # A name of any part around what holds the article: it says nothing.
+    misnamed = lambda: " ".join(rng.choice(_AROUND).format(rng.choice(_PARTS[rng.choice(list(_PARTS))]).split()[0]) for _ in range(rng.randint(1, 3)))
+    around = lambda: attribute(misnamed()) if rng.random() < 0.5 else ""
     item = lambda: f'<li><a href="/x">{w(1, 3)}</a></li>'
     menu = lambda: "<ul>" + "".join(item() for _ in range(rng.randint(3, 9))) + "</ul>"
     para = lambda a, b: f"<p>{w(a, b)}</p>"
-    comment = lambda: f"<div><b>{w(1, 2)}</b>{para(4, 40)}<a href='#r'>{w(1, 1)}</a></div>"
+
+    def comments():
+        # Of one page all comments are built alike: who, when, what, links.
+        who, each = rng.choice(["b", "strong", "h4", "span"]), rng.choice(["div", "li", "div", "article"])
+        when, links = rng.random() < 0.5, rng.random() < 0.6
+        one = lambda: (
+            f"<{each}><{who}>{w(1, 2)}</{who}>" + (f"<span>{rng.randint(1, 28)}.{rng.randint(1, 12)}.2020</span>" if when else "")
+            + "".join(para(4, 40) for _ in range(rng.choice([1, 1, 1, 2]))) + (f"<a href='#r'>{w(1, 1)}</a>" if links else "") + f"</{each}>"
+        )
+        inner = "".join(one() for _ in range(rng.randint(1, 6)))
+        return f"<h3>{w(1, 2)}</h3>" + (f"<ul>{inner}</ul>" if each == "li" else inner)
+
     parts = {
-        "nav": lambda: wrap(rng.choice(["nav", "div"]), ["menu", "nav", "navbar", "navigation", ""], menu()),
-        "header": lambda: wrap(rng.choice(["header", "div"]), ["header", "masthead", "site-header", "topbar"], f"<a href='/'>{w(1, 4)}</a><span>{w(2, 8)}</span>"),
-        "notice": lambda: wrap(rng.choice(["div", "p", "section"]), ["cookie-notice", "notice", "consent", "banner"], w(5, 30) + f"<a href='/p'>{w(1, 2)}</a>"),
-        "ad": lambda: wrap(rng.choice(["div", "aside", "p"]), ["ad", "ads", "advert", "sponsored", "promo"], w(4, 30)),
-        "side": lambda: wrap(rng.choice(["aside", "div"]), ["sidebar", "related", "widget"], f"<h3>{w(1, 3)}</h3>" + rng.choice([menu, lambda: para(5, 40)])()),
-        "form": lambda: wrap("form", ["search", "newsletter", "subscribe"], f"<label>{w(1, 4)}</label><input name=q><button>{w(1, 1)}</button>" + para(3, 20)),
-        "footer": lambda: wrap(rng.choice(["footer", "div"]), ["footer", "site-footer", "bottom footer"], f"&copy; {w(1, 4)} &middot; {w(3, 25)}" + rng.choice(["", menu()])),
-        "comments": lambda: wrap(rng.choice(["section", "div"]), ["comments", "comment-list", "disqus", "replies comments"], f"<h3>{w(1, 2)}</h3>" + "".join(comment() for _ in range(rng.randint(1, 6)))),
-        "share": lambda: wrap("div", ["share", "social", "tags"], "".join(f"<a href='/s'>{w(1, 1)}</a>" for _ in range(rng.randint(2, 6)))),
+        "nav": lambda: wrap("nav", ["nav", "div", "ul"], menu()),
+        "header": lambda: wrap("header", ["header", "div"], f"<a href='/'>{w(1, 4)}</a><span>{w(2, 8)}</span>"),
+        "notice": lambda: wrap("notice", ["div", "p", "section"], w(5, 30) + rng.choice([f"<a href='/p'>{w(1, 2)}</a>", f"<button>{w(1, 1)}</button>"])),
+        "ad": lambda: wrap("ad", ["div", "aside", "p"], w(4, 30)),
+        "side": lambda: wrap("side", ["aside", "div"], f"<h3>{w(1, 3)}</h3>" + rng.choice([menu, lambda: para(5, 40)])()),
+        "form": lambda: wrap("form", ["form"], f"<label>{w(1, 4)}</label><input name=q><button>{w(1, 1)}</button>" + para(3, 20)),
+        "footer": lambda: wrap("footer", ["footer", "div"], f"&copy; {w(1, 4)} &middot; {w(3, 25)}" + rng.choice(["", menu()])),
+        "comments": lambda: wrap("comments", ["section", "div"], comments()),
+        "share": lambda: wrap("share", ["div"], "".join(f"<a href='/s'>{w(1, 1)}</a>" for _ in range(rng.randint(2, 6)))),
     }
     make = lambda names, p: "".join(parts[x]() for x in names if rng.random() < p)
     body = []
     for k, block in enumerate(blocks):
         tag = "h1" if k == 0 and rng.random() < 0.8 else rng.choice(["p", "p", "p", "p", "h2", "blockquote"]) if len(block) < 200 else "p"
+        if tag in ("h1", "h2") and rng.random() < 0.6:
+            block = " ".join(block.split()[: rng.randint(1, 10)])
+        if k and rng.random() < 0.06:
+            body.append(f"<{(heading := rng.choice(['h2', 'h3', 'h4']))}>{w(1, 7)}</{heading}>")
         text = html.escape(block)
         if rng.random() < 0.15 and " " in text:
             a, b = text.split(" ", 1)
@@ -378,14 +475,21 @@ def _layout(rng: random.Random, blocks: list[str], pool: list[str]) -> tuple[str
         body.append(f"<{tag}>{text}</{tag}>")
         if rng.random() < 0.08:
             body.append(parts[rng.choice(["ad", "share", "side", "form", "notice"])]())
-    names = rng.choice(['', ' class="content"', ' id="main-content"', ' class="post entry"', ' class="c1"', ' class="article-body"'])
     tag = rng.choice(["article", "main", "div", "div", "div", "section"])
-    article = f"<{tag}{names}>{''.join(body)}{make(['comments', 'share'], 0.2)}</{tag}>"
-    if rng.random() < 0.4:
-        article = f"<div class='wrap'>{article}{make(['side', 'comments'], 0.5)}</div>"
-    before = make(rng.sample(["nav", "header", "notice", "ad", "form"], 5), 0.6)
-    after = make(rng.sample(["side", "ad", "comments", "share", "form", "notice"], 6), 0.35) + make(["footer"], 0.85)
-    return f"<html><head><title>{w(2, 6)}</title></head><body>{before}{article}{after}</body></html>", tag
+    name = rng.choice([named("article"), named("article"), "", misnamed(), f"{named('article')} {misnamed()}"]).strip()
+    article = f"<{tag}{attribute(name)}>{''.join(body)}{make(['comments', 'share'], 0.2)}</{tag}>"
+    side, tail = make(rng.sample(["side", "ad"], 2), 0.45), make(rng.sample(["comments", "share", "form", "notice"], 4), 0.35)
+    before, footer = make(rng.sample(["nav", "header", "notice", "ad", "form"], 5), 0.6), make(["footer"], 0.85)
+    if rng.random() < 0.15:
+        cells = [f"<td data-b>{make(['nav', 'side'], 0.8)}</td>", f"<td{around()}>{article}</td>", f"<td data-b>{side}</td>"]
+        rng.shuffle(cells)
+        middle = f"<table><tr><td colspan=3 data-b>{before}</td></tr><tr>{''.join(cells)}</tr><tr><td colspan=3 data-b>{tail}{footer}</td></tr></table>"
+    else:
+        middle = article + tail if rng.random() < 0.5 else rng.choice([article + side + tail, side + article + tail])
+        for _ in range(rng.choice([0, 0, 1, 1, 2])):
+            middle = f"<div{around()}>{middle}</div>"
+        middle = f"{before}{middle}{footer}" if rng.random() < 0.7 else f"<div{around()}>{before}{middle}{footer}</div>"
+    return f"<html><head><title>{w(2, 6)}</title></head><body{around()}>{middle}</body></html>", tag
 
 
 def _marked(page: str) -> list[Node]:
@@ -401,7 +505,7 @@ def _marked(page: str) -> list[Node]:
     return nodes
 
 
-def training_nodes(pages: list[str], layouts: int = 3, seed: int = 5) -> list[list[Node]]:
+def training_nodes(pages: list[str], layouts: int = 5, seed: int = 5) -> list[list[Node]]:
     """Labelled pages: those with semantic tags as they are, and all of them laid out anew."""
     rng = random.Random(seed)
     parsed = [parse(p) for p in pages]
@@ -420,47 +524,55 @@ def training_nodes(pages: list[str], layouts: int = 3, seed: int = 5) -> list[li
     out = list(labelled)
     for blocks in texts:
         for _ in range(layouts):
-            some = blocks if rng.random() < 0.6 else [blocks[0]] + rng.sample(blocks, rng.randint(1, len(blocks)))
+            # Whole articles, some of their blocks, and a few short ones: pages differ in length.
+            many = rng.choice([len(blocks)] * 2 + [rng.randint(1, len(blocks)), rng.randint(1, min(8, len(blocks)))])
+            a = rng.randint(0, len(blocks) - many)
+            some = [blocks[0], *blocks[max(1, a) : a + many]]
+            if rng.random() < 0.3:
+                some = [_shorter(rng, b) for b in some]
             out.append(_marked(_layout(rng, some, pool)[0]))
     return out
 
 
-def train(pages: list[str]) -> BoostedTrees | None:
+def train(pages: list[str]) -> PageModel | None:
     examples = training_nodes([p for p in pages if p])
     if not examples:
         return None
-    # Elements without any text have nothing to decide.
-    rows = [(features(nodes), np.array([x.label for x in nodes])) for nodes in examples]
+    # The trees see each page with odds learned from the other half, as they will see pages not seen before.
+    halves = [examples[::2], examples[1::2]]
+    rows = []
+    for own, other in zip(halves, halves[::-1]):
+        odds = token_odds(other)
+        rows += [(features(nodes, odds), np.array([x.label for x in nodes])) for nodes in own]
     x = np.concatenate([f for f, _ in rows])
     y = np.concatenate([label for _, label in rows]).astype(float)
+    # Elements without any text have nothing to decide.
     some = x[:, FEATURES.index("characters")] > 0
     x, y = x[some], y[some]
     weight = np.minimum(np.log1p(x[:, FEATURES.index("characters")]), 6.0) / 3
-    return boost(x, y, weight)
+    return PageModel(boost(x, y, weight), token_odds(examples))
 
 
-def extract(page: str | None, model: BoostedTrees) -> str:
+def extract(page: str | None, model: PageModel) -> str:
     if not page:
         return ""
     nodes = parse(page)
-    return main_text(nodes, decode(nodes, model.score(features(nodes))))
+    return main_text(nodes, decode(nodes, model.score([nodes])[0]))
 
 
-def _extract(model: BoostedTrees):
+def _extract(model: PageModel):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for k in range(0, batch.num_rows, 64):  # the trees run over many pages' nodes at once
+            for k in range(0, batch.num_rows, 64):
                 part = batch.slice(k, 64)
                 pages = [parse(p or "") for p in part.column("html").to_pylist()]
-                rows = [features(p) for p in pages]
-                scores = np.split(model.score(np.concatenate(rows)), np.cumsum([len(r) for r in rows])[:-1])
-                texts = [main_text(p, decode(p, s)) for p, s in zip(pages, scores)]
+                texts = [main_text(p, decode(p, s)) for p, s in zip(pages, model.score(pages))]
                 yield pa.RecordBatch.from_arrays([part.column("page_id"), part.column("url"), pa.array(texts, pa.string())], names=["page_id", "url", "text"])
 
     return run
 
 
-def fit(pages: DataFrame, rows: int = SAMPLE_PAGES) -> BoostedTrees | None:
+def fit(pages: DataFrame, rows: int = SAMPLE_PAGES) -> PageModel | None:
     """Train on at most `rows` pages, those with the smallest hashes.
 
     Row numbers are picked first, from hashes below a bound that leaves some three times as many, so
@@ -475,7 +587,7 @@ def fit(pages: DataFrame, rows: int = SAMPLE_PAGES) -> BoostedTrees | None:
     return train([r["html"] for r in sorted(found, key=lambda r: (r["hash"], r[ROW]))])
 
 
-def extract_pages(pages: DataFrame, model: BoostedTrees | None = None) -> DataFrame:
+def extract_pages(pages: DataFrame, model: PageModel | None = None) -> DataFrame:
     """Per page: page_id, url, text, n_chars."""
     model = model or fit(pages)
     narrow = pages.select(F.col("page_id").cast("bigint").alias("page_id"), "url", "html")
