@@ -31,7 +31,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def with_row(df: DataFrame) -> DataFrame:
-    """Number the rows; the same input files give the same numbers in every pass over them."""
+    """Number the rows; the same input files give the same numbers in every pass over them.
+
+    Behind a shuffle nothing fixes the order, so a table that does not come straight from files is to be stored
+    before it is given to an operator that passes over it more than once.
+    """
     if ROW in df.columns:
         raise ValueError(f"{ROW} is a reserved column name")
     return df.withColumn(ROW, F.monotonically_increasing_id())
