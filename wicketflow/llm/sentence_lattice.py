@@ -6,7 +6,9 @@ segmentations backward; since the Viterbi scores are exact, it meets complete se
 of their scores and visits little more than these.
 
 A text is cut where no piece of the vocabulary spans the cut, which changes no segmentation: the n best
-of the whole follow from the n best of the cuts. Cuts repeat, so workers keep a bounded table of them.
+of the whole follow from the n best of the cuts. Cuts repeat, so workers keep a bounded table of them. Only
+in the n - 1 cuts whose second best loses least can one of the n best depart from the best, so the forward
+pass finds the two best scores of each cut, and the search runs in those cuts alone.
 
 A space is put first, as the model's format asks, and U+2581 in its pieces is read as a space. A character
 without a piece of its own gets an edge at the lowest score less 10, which emits its UTF-8 bytes as byte
@@ -43,27 +45,31 @@ Segmentation = tuple[float, tuple[int, ...]]
 
 
 class Cut:
-    """One part of a text: ids of its best segmentation, scores of its n best, ids of the others where wanted."""
+    """One part of a text: its best segmentation with its score, what the second best loses, and, once they are
+    wanted, the n best.
 
-    __slots__ = ("ids", "loss", "others", "scores")
+    `names` are the ids as decimal numbers joined by spaces, `read` what they decode to.
+    """
+
+    __slots__ = ("ids", "loss", "names", "ranked", "read", "score", "size", "text")
 
-    def __init__(self, ranked: list[Segmentation], keep: bool):
-        self.ids = ranked[0][1]
-        self.scores = tuple([s for s, _ in ranked])
-        self.loss = ranked[0][0] - ranked[1][0] if len(ranked) > 1 else inf
-        self.others = tuple([i for _, i in ranked[1:]]) if keep else None
+    def __init__(self, text: str, score: float, loss: float, ids: tuple[int, ...], names: bytes, read: bytes):
+        self.text, self.score, self.loss, self.ids = text, score, loss, ids
+        self.size, self.names, self.read, self.ranked = len(ids), names, read, None
 
 
-def choices(parts: list[Cut], n: int) -> list[tuple[float, dict[int, int]]]:
+def choices(parts: list[Cut], n: int, search) -> list[tuple[float, dict[int, int]]]:
     """Scores of the n best choices of one segmentation per part, and where they depart from the best.
 
+    `search(part)` gives the n best of a part.
+
     A choice that departs in a part outside the n - 1 with the least loss has n choices before it, so
     only these parts are searched.
     """
     losses = [p.loss for p in parts]
-    base = sum([p.scores[0] for p in parts])
+    base = sum([p.score for p in parts])
     open_ = [k for k in heapq.nsmallest(n - 1, range(len(parts)), key=losses.__getitem__) if losses[k] < inf]
-    loss = [[parts[k].scores[0] - s for s in parts[k].scores] for k in open_]
+    loss = [[parts[k].score - s for s, _ in search(parts[k])] for k in open_]
     start = (0,) * len(open_)
     heap, seen, out = [(0.0, start)], {start}, []
     while heap and len(out) < n:
@@ -81,7 +87,7 @@ def choices(parts: list[Cut], n: int) -> list[tuple[float, dict[int, int]]]:
 def joined(parts: list[Cut], departs: dict[int, int]) -> tuple[int, ...]:
     ids = [p.ids for p in parts]
     for k, c in departs.items():
-        ids[k] = parts[k].others[c - 1]
+        ids[k] = parts[k].ranked[c][1]
     return tuple(chain.from_iterable(ids))
 
 
@@ -104,12 +110,14 @@ class PieceModel:
                 spaced = piece.replace(_SPACE, " ")
                 self.pieces[spaced] = (k, model.get_score(k))
                 self.octets.append(spaced.encode())
-        # Every beginning of a piece, with the piece's id and score where it is one.
-        self.starts: dict[str, tuple[tuple[int, ...], float] | None] = {}
+        # A tree of the pieces' characters: by character, what follows and the piece that ends there, as ids and score.
+        self.tree: dict[str, list] = {}
         for piece, (k, score) in self.pieces.items():
-            for end in range(1, len(piece)):
-                self.starts.setdefault(piece[:end], None)
-            self.starts[piece] = ((k,), score)
+            following = self.tree
+            for c in piece:
+                node = following.setdefault(c, [{}, None])
+                following = node[0]
+            node[1] = ((k,), score)
         # Neighbouring characters that some piece joins, as one number per pair: a small table for the
         # first characters of Unicode, a sorted list for all others.
         pairs = {(ord(p[k]), ord(p[k + 1])) for p in self.pieces for k in range(len(p) - 1)}
@@ -122,31 +130,66 @@ class PieceModel:
         self.names = [b"%d" % k for k in range(len(self.octets))]
         self.fallback = min(s for _, s in self.pieces.values()) - 10
         self.cached = cached
-        self.tables: dict[tuple[int, bool], Recent] = {}
+        self.tables: dict[int, Recent] = {}
 
     def lattice(self, text: str):
         """For each place the pieces that end there (start, score, ids), and the best score up to it."""
-        size, known, low = len(text), self.starts, -inf
+        size, tree, low = len(text), self.tree, -inf
         ending: list[list[tuple[int, float, tuple[int, ...]]]] = [[] for _ in range(size + 1)]
         best = [0.0] + [low] * size
         for a in range(size):
-            so_far = best[a]
-            alone = False
-            for b in range(a + 1, size + 1):
-                found = known.get(text[a:b], low)
-                if found is low:
+            so_far, node, b = best[a], tree, a
+            for c in text[a:]:
+                step = node.get(c)
+                if step is None:
                     break  # no piece starts like this
+                b += 1
+                node, found = step
                 if found is not None:
                     ids, score = found
                     ending[b].append((a, score, ids))
                     if so_far + score > best[b]:
                         best[b] = so_far + score
-                    alone = alone or b == a + 1
-            if not alone:
+            if not (ending[a + 1] and ending[a + 1][-1][0] == a):
                 ending[a + 1].append((a, self.fallback, tuple([self.byte_ids[o] for o in text[a].encode()])))
                 best[a + 1] = max(best[a + 1], so_far + self.fallback)
         return ending, best
 
+    def two_best(self, text: str) -> tuple[float, float, tuple[int, ...]]:
+        """Scores of the best and the second best segmentation of an escaped text (-inf if there is one only), ids of the best."""
+        size, tree, low = len(text), self.tree, -inf
+        best, second = [0.0] + [low] * size, [low] * (size + 1)
+        back: list[tuple[int, tuple[int, ...]]] = [(0, ())] * (size + 1)
+        for a in range(size):
+            first, next_, node, b, alone = best[a], second[a], tree, a, False
+            for c in text[a:]:
+                step = node.get(c)
+                if step is None:
+                    break
+                b += 1
+                node, found = step
+                if found is not None:
+                    ids, score = found
+                    alone = alone or b == a + 1
+                    total = first + score
+                    if total > best[b]:
+                        second[b] = max(best[b], next_ + score)
+                        best[b], back[b] = total, (a, ids)
+                    elif total > second[b]:
+                        second[b] = total
+            if not alone:
+                b, total = a + 1, first + self.fallback
+                if total > best[b]:
+                    second[b] = max(best[b], next_ + self.fallback)
+                    best[b], back[b] = total, (a, tuple([self.byte_ids[o] for o in text[a].encode()]))
+                elif total > second[b]:
+                    second[b] = total
+        path, at = [], size
+        while at:
+            at, ids = back[at]
+            path.append(ids)
+        return best[size], second[size], tuple(chain.from_iterable(path[::-1]))
+
     def search(self, text: str, n: int) -> list[Segmentation]:
         """The n best segmentations of an escaped text: forward Viterbi, then backward A-star.
 
@@ -194,11 +237,16 @@ class PieceModel:
             joined_[odd] = self.far[at] == pairs
         return (np.flatnonzero(~joined_) + 1).tolist()
 
-    def cuts(self, text: str, n: int, keep: bool) -> list[Cut]:
+    def ranked(self, cut: Cut, n: int) -> list[Segmentation]:
+        if cut.ranked is None:
+            cut.ranked = self.search(cut.text, n)
+        return cut.ranked
+
+    def cuts(self, text: str, n: int) -> list[Cut]:
         """A text that is not empty, as parts whose segmentations don't depend on each other."""
-        table = self.tables.get((n, keep))
+        table = self.tables.get(n)
         if table is None:
-            table = self.tables[n, keep] = Recent(self.cached)
+            table = self.tables[n] = Recent(self.cached)
         table.turn()
         escaped = " " + text
         places = self._places(escaped)
@@ -207,46 +255,67 @@ class PieceModel:
             piece = escaped[a:b]
             cut = table.get(piece) or table.recall(piece)
             if cut is None:
-                cut = Cut(self.search(piece, n), keep)
-                table[piece] = cut
+                cut = table[piece] = self._cut(piece, n)
             out.append(cut)
         return out
 
+    def _cut(self, piece: str, n: int) -> Cut:
+        score, next_, ids = self.two_best(piece)
+        ranked = None
+        if score == next_:  # of equal scores the search decides which comes first
+            ranked = self.search(piece, n)
+            ids = ranked[0][1]
+        cut = Cut(piece, score, score - next_, ids, self.named(ids), self.read(ids))
+        cut.ranked = ranked
+        return cut
+
+    def _choices(self, parts: list[Cut], n: int) -> list[tuple[float, dict[int, int]]]:
+        return choices(parts, n, lambda cut: self.ranked(cut, n))
+
     def nbest(self, text: str | None, n: int = NBEST) -> list[Segmentation]:
         if not text:
             return [(0.0, ())]
-        parts = self.cuts(text, n, True)
-        return [(s, joined(parts, d)) for s, d in choices(parts, n)]
+        parts = self.cuts(text, n)
+        return [(s, joined(parts, d)) for s, d in self._choices(parts, n)]
 
     def nbest_scores(self, text: str | None, n: int = NBEST) -> tuple[tuple[int, ...], list[float]]:
         """Ids of the best segmentation, scores of the n best."""
         if not text:
             return (), [0.0]
-        parts = self.cuts(text, n, False)
-        return joined(parts, {}), [s for s, _ in choices(parts, n)]
+        parts = self.cuts(text, n)
+        return joined(parts, {}), [s for s, _ in self._choices(parts, n)]
 
     def nbest_digests(self, text: str | None, n: int = NBEST) -> list[tuple[float, int, str, bytes]]:
         """Of the n best: score, number of ids, SHA-256 of the ids joined by spaces, the text that the ids decode to.
 
-        The ids of the best are looked up once; the others are the best with the parts that depart put in.
+        All is joined from what the parts keep; the others are the best with the parts that depart put in.
         """
-        parts = self.cuts(text, n, True) if text else []
-        best = list(chain.from_iterable([p.ids for p in parts]))
-        names, octets = [list(map(found.__getitem__, best)) for found in (self.names, self.octets)]
+        if not text:
+            return [(0.0, 0, hashlib.sha256(b"").hexdigest(), b"")]
+        parts = self.cuts(text, n)
+        names, reads, size = [p.names for p in parts], [p.read for p in parts], sum([p.size for p in parts])
+        best = b"".join(reads)[1:]
         out = []
-        for score, departs in choices(parts, n) if text else [(0.0, {})]:
-            own, read = names, octets
+        for score, departs in self._choices(parts, n):
+            own, read, more = names, best, 0
             if departs:
-                own, read = names.copy(), octets.copy()
-                for k in sorted(departs, reverse=True):
-                    a = sum([len(p.ids) for p in parts[:k]])
-                    b, ids = a + len(parts[k].ids), parts[k].others[departs[k] - 1]
-                    own[a:b], read[a:b] = map(self.names.__getitem__, ids), map(self.octets.__getitem__, ids)
-            out.append((score, len(own), hashlib.sha256(b" ".join(own)).hexdigest(), b"".join(read)[1:]))
+                own, other = names.copy(), {}
+                for k, c in departs.items():
+                    ids = parts[k].ranked[c][1]
+                    own[k], other[k], more = self.named(ids), self.read(ids), more + len(ids) - parts[k].size
+                if any(reads[k] != r for k, r in other.items()):
+                    read = b"".join([other.get(k, r) for k, r in enumerate(reads)])[1:]
+            out.append((score, size + more, hashlib.sha256(b" ".join(own)).hexdigest(), read))
         return out
 
+    def named(self, ids) -> bytes:
+        return b" ".join(map(self.names.__getitem__, ids))
+
+    def read(self, ids) -> bytes:
+        return b"".join(map(self.octets.__getitem__, ids))
+
     def decode(self, ids) -> str:
-        return b"".join(map(self.octets.__getitem__, ids))[1:].decode()
+        return self.read(ids)[1:].decode()
 
 
 @cache
