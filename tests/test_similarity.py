@@ -93,3 +93,24 @@ def test_keys_carry_no_text_and_grow_with_the_edits(spark):
         keys = _signatures(df, threshold, 3)
         assert not any(t == "string" for _, t in keys.dtypes)
         assert keys.count() <= 50 * most
+
+
+def test_numbered_names_meet_in_proportion(spark):
+    """Names that differ in a number alone: what meets grows with the names, not with their square."""
+    from pyspark.sql import functions as F
+
+    from wicketflow.operators.similarity import _signatures
+
+    met = {}
+    for size in (500, 4000):
+        df = spark.createDataFrame([(k, f"customer#{k:09d}") for k in range(size)], "id bigint, text string")
+        uses = _signatures(df, 0.9, 3).groupBy("low", "high", "token").agg(F.count("*").alias("n"))
+        met[size] = uses.agg(F.sum(F.col("n") * F.col("n"))).first()[0]
+    assert met[4000] < 2 * 8 * met[500]
+
+
+def test_one_edit_between_names_of_any_length(spark):
+    names = sorted(set(_names(5, letters="ab", count=300, longest=12)))
+    df = spark.createDataFrame([(n,) for n in names], "name string")
+    found = {(r.name1, r.name2) for r in similar_names(df, "name", 0.88).collect()}
+    assert found == {(a, b) for a, b in itertools.combinations(names, 2) if _score(a, b) >= 0.88 - 1e-9}

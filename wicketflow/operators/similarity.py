@@ -12,6 +12,10 @@ is left whole and stands in the longer one. Of the edits before the k-th segment
 and behind it the others at most, or an earlier or later segment is whole too; so the k-th one is only
 looked for at the few places that both sides allow.
 
+Short strings with one edit between them meet on what is left without one character: of equal lengths that
+is the same character's place on both sides, otherwise the shorter one stands whole. Such a key is shared by
+a handful of strings, however many start or end alike, so what meets grows with the strings.
+
 Names get numbers, and keys carry these and the masks, but no text. What has met is made distinct as
 pairs of numbers; only then are the texts joined and the edit distances computed, each once.
 """
@@ -55,6 +59,18 @@ _PLACES = (
     f"p -> p >= 0 AND p + {_SIZE} <= high), p -> {_KEY.format(at='p', size=_SIZE, side=1)})))"
 )
 
+# Keys of one edit: side 2 where the lengths are equal (the place belongs to the key), else the whole shorter
+# string (side 0) and the longer one without each of its characters (side 1).
+_REST = "concat(substring(text, 1, p), substring(text, p + 2))"
+_REST_KEY = "named_struct('token', xxhash64('{kind}', {what}), 'at', 0, 'side', {side})"
+_WITHOUT = (
+    f"CASE WHEN low = high THEN transform(sequence(0, high - 1), p -> {_REST_KEY.format(kind='same', what=f'p, {_REST}', side=2)}) "
+    f"WHEN len = low THEN array({_REST_KEY.format(kind='whole', what='text', side=0)}) "
+    f"ELSE transform(sequence(0, high - 1), p -> {_REST_KEY.format(kind='whole', what=_REST, side=1)}) END"
+)
+# Longest string that gives a key for each of its characters.
+_SHORT = 64
+
 
 def _mask(numbers: Column, how: str) -> Column:
     """64 bits of a list of numbers: which ones occur (``or``), or occur an odd number of times.
@@ -112,7 +128,8 @@ def _signatures(names: DataFrame, threshold: float, q: int) -> DataFrame:
         F.when(F.col("len") == F.col("low"), F.expr(_SEGMENTS)).otherwise(none),
         F.when(F.col("len") == F.col("high"), F.expr(_PLACES)).otherwise(none),
     )
-    keys = F.when(F.col("left_over") <= 0, F.array_distinct(segments)).otherwise(rare)
+    one_edit = (F.col("edits") == 1) & (F.col("high") <= _SHORT)
+    keys = F.when(one_edit, F.array_distinct(F.expr(_WITHOUT))).when(F.col("left_over") <= 0, F.array_distinct(segments)).otherwise(rare)
     return keyed.select(
         "id", "low", "high", "edits", "len", "differing",
         _mask(F.transform("grams", lambda g: g["token"]), "or").alias("gram_mask"),
