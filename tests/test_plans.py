@@ -171,6 +171,52 @@ def test_written_files_are_read_back(spark, tmp_path):
     assert documents.read_matches(spark, str(tmp_path / "x")).select("match_id", "info.match_type").collect() == [("a b", "T20")]
 
 
+def test_files_get_their_names_in_the_tasks(spark, tmp_path, monkeypatch):
+    """The driver handles no single file; ids without a name have the one of a partitioned writer."""
+    monkeypatch.setattr(documents, "unquote", None)
+    rows = [(f"m{k}", f"{{{k}") for k in range(30)] + [(None, None)]
+    documents.write_raw(spark.createDataFrame(rows, "match_id string, raw string").repartition(4), str(tmp_path / "x"))
+    found = {p.name: p.read_text() for p in (tmp_path / "x").iterdir()}
+    assert found == {**{f"{k}.json": f"{v}\n" for k, v in rows[:-1]}, "__HIVE_DEFAULT_PARTITION__.json": "\n"}
+
+
+def test_whole_texts_are_not_shuffled_to_tell_their_outcome(spark):
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        text = plan_of(catalogue.queries()["s02_read_raw"](spark, SF_DIR))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert "Exchange" in text and text.index("Exchange") < text.index("substring(")
+
+
+def test_lines_of_a_match_are_dealt_once(spark):
+    """Numbering, over, innings and document go by the match: the balls are shuffled for none of them again."""
+    text = plan_of(projection.documents(spark, SF_DIR))
+    assert not re.search(r"Exchange hashpartitioning\((l_orderkey|innings_id|match_id#\d+, innings_id)", text)
+    assert len(re.findall(r"Exchange hashpartitioning\(m#\d+, \d+\), REPARTITION_BY_NUM", text)) == 1
+    named = plan_of(projection.table(spark, SF_DIR, "nd"))
+    assert len(re.findall(r"(?:Join|Window) ", named)) == 2
+
+
+def test_roles_meet_the_names_of_a_match_in_one_row(spark):
+    """As a join of every role would: several ids of a name give several rows, an unknown name one."""
+    balls = spark.createDataFrame([("b1", "m1", "A", "B"), ("b2", "m1", None, "C"), ("b3", None, "A", None)], "ball string, match_id string, x string, y string")
+    names = spark.createDataFrame(
+        [("m1", "A", "a1"), ("m1", "A", "a2"), ("m1", "B", None), ("m1", None, "n"), (None, "A", "q"), ("m2", "C", "c")],
+        "match_id string, name string, player_id string",
+    )
+    out = identity.resolve_ids(balls, names, ("x", "y"))
+    assert out.columns == ["match_id", "name", "ball", "role", "player_id"]
+    assert sorted(map(str, map(tuple, out.collect()))) == sorted(map(str, [
+        ("m1", "A", "b1", "x", "a1"), ("m1", "A", "b1", "x", "a2"), ("m1", "B", "b1", "y", None),
+        ("m1", "C", "b2", "y", None), (None, "A", "b3", "x", None),
+    ]))
+    # The rows are not multiplied in front of a shuffle.
+    text = plan_of(out)
+    assert 0 <= text.find("Generate explode(") < text.find("Join")
+
+
 def test_rejects_say_why(spark):
     raw = spark.createDataFrame([("a", "{"), ("b", "[1]"), ("c", ""), ("d", None), ("e", "{}")], "match_id string, raw string")
     told = {r.match_id: r.message for r in documents.reject_messages(documents.rejects_of(documents.parse(raw))).collect()}

@@ -149,13 +149,22 @@ def player_names(names: DataFrame, resolved: DataFrame) -> DataFrame:
 def resolve_ids(df: DataFrame, names: DataFrame, roles: tuple[str, ...] = ("name",)) -> DataFrame:
     """The ids of the names in the columns ``roles``, in long form: the other columns, ``role, name, player_id``.
 
-    Roles are rows, so all of them meet ``names`` in one join; a row without a name in a role gives none.
+    The names of a match are one map, so a row of ``df`` meets them once, before its roles become rows; a row
+    without a name in a role gives none.
     """
     others = [c for c in df.columns if c not in roles]
-    long = df.select(
-        *others, F.explode(F.array(*[F.struct(F.lit(r).alias("role"), F.col(r).alias("name")) for r in roles])).alias("at")
-    ).select(*others, "at.role", "at.name")
-    return long.where("name IS NOT NULL").join(names.select("match_id", "name", "player_id"), ["match_id", "name"], "left")
+    # A list for each name: a name with several ids gives several rows, as a join would.
+    found = names.where("match_id IS NOT NULL AND name IS NOT NULL").groupBy("match_id", "name").agg(
+        F.collect_list(F.struct("player_id")).alias("found")
+    )
+    known = found.groupBy("match_id").agg(F.map_from_entries(F.collect_list(F.struct("name", "found"))).alias("known"))
+    look_up = [
+        F.struct(F.lit(r).alias("role"), F.col(r).alias("name"), F.try_element_at("known", F.col(r)).alias("found")) for r in roles
+    ]
+    named = F.filter(F.array(*look_up), lambda x: x["name"].isNotNull())
+    long = df.join(known, "match_id", "left").select(*others, F.explode(named).alias("at"))
+    each = long.select(*others, "at.role", "at.name", F.explode_outer("at.found").alias("one"))
+    return each.select("match_id", "name", *[c for c in others if c != "match_id"], "role", F.col("one.player_id").alias("player_id"))
 
 
 def players(counted: DataFrame, resolved: DataFrame) -> DataFrame:
