@@ -76,3 +76,16 @@ def test_each_stage_on_its_predecessor(spark, tmp_path):
 
 def test_run(spark):
     assert corpus_pipeline.run(spark, SF_DIR).count() > 0
+
+
+def test_cuts_of_the_pipeline_keep_ids_alone():
+    """What only digests need takes no room in the worker that encodes."""
+    import public_tokenizers
+
+    from wicketflow.llm.sentence_lattice import PieceModel
+
+    model = PieceModel(public_tokenizers.path("piece_bpe_32k.model"))
+    text = "some words, some more words"
+    first = model.nbest(text)
+    assert all(c.names is None and c.read is None for t in model.tables.values() for c in t.values())
+    assert [(s, len(i)) for s, i in first] == [(s, k) for s, k, _, _ in model.nbest_digests(text)]

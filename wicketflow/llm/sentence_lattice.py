@@ -48,12 +48,12 @@ class Cut:
     """One part of a text: its best segmentation with its score, what the second best loses, and, once they are
     wanted, the n best.
 
-    `names` are the ids as decimal numbers joined by spaces, `read` what they decode to.
+    `names` are the ids as decimal numbers joined by spaces, `read` what they decode to; both are kept only for digests.
     """
 
     __slots__ = ("ids", "loss", "names", "ranked", "read", "score", "size", "text")
 
-    def __init__(self, text: str, score: float, loss: float, ids: tuple[int, ...], names: bytes, read: bytes):
+    def __init__(self, text: str, score: float, loss: float, ids: tuple[int, ...], names: bytes | None, read: bytes | None):
         self.text, self.score, self.loss, self.ids = text, score, loss, ids
         self.size, self.names, self.read, self.ranked = len(ids), names, read, None
 
@@ -130,7 +130,7 @@ class PieceModel:
         self.names = [b"%d" % k for k in range(len(self.octets))]
         self.fallback = min(s for _, s in self.pieces.values()) - 10
         self.cached = cached
-        self.tables: dict[int, Recent] = {}
+        self.tables: dict[tuple[int, bool], Recent] = {}
 
     def lattice(self, text: str):
         """For each place the pieces that end there (start, score, ids), and the best score up to it."""
@@ -242,11 +242,11 @@ class PieceModel:
             cut.ranked = self.search(cut.text, n)
         return cut.ranked
 
-    def cuts(self, text: str, n: int) -> list[Cut]:
-        """A text that is not empty, as parts whose segmentations don't depend on each other."""
-        table = self.tables.get(n)
+    def cuts(self, text: str, n: int, told: bool = False) -> list[Cut]:
+        """A text that is not empty, as parts whose segmentations don't depend on each other; with names and readings if `told`."""
+        table = self.tables.get((n, told))
         if table is None:
-            table = self.tables[n] = Recent(self.cached)
+            table = self.tables[n, told] = Recent(self.cached)
         table.turn()
         escaped = " " + text
         places = self._places(escaped)
@@ -255,17 +255,18 @@ class PieceModel:
             piece = escaped[a:b]
             cut = table.get(piece) or table.recall(piece)
             if cut is None:
-                cut = table[piece] = self._cut(piece, n)
+                cut = table[piece] = self._cut(piece, n, told)
             out.append(cut)
         return out
 
-    def _cut(self, piece: str, n: int) -> Cut:
+    def _cut(self, piece: str, n: int, told: bool) -> Cut:
         score, next_, ids = self.two_best(piece)
         ranked = None
         if score == next_:  # of equal scores the search decides which comes first
             ranked = self.search(piece, n)
             ids = ranked[0][1]
-        cut = Cut(piece, score, score - next_, ids, self.named(ids), self.read(ids))
+        names, read = (self.named(ids), self.read(ids)) if told else (None, None)
+        cut = Cut(piece, score, score - next_, ids, names, read)
         cut.ranked = ranked
         return cut
 
@@ -292,7 +293,7 @@ class PieceModel:
         """
         if not text:
             return [(0.0, 0, hashlib.sha256(b"").hexdigest(), b"")]
-        parts = self.cuts(text, n)
+        parts = self.cuts(text, n, told=True)
         names, reads, size = [p.names for p in parts], [p.read for p in parts], sum([p.size for p in parts])
         best = b"".join(reads)[1:]
         out = []
@@ -334,13 +335,15 @@ def _encode(path: str, n: int, keep: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = piece_model(path)
         for batch in batches:
-            for k in range(0, batch.num_rows, 128):
-                part = batch.slice(k, 128)
+            # Few documents at a time: their ids are lists of numbers here, n of them for each.
+            step = 32 if keep else 128
+            for k in range(0, batch.num_rows, step):
+                part = batch.slice(k, step)
                 texts = part.column("text").to_pylist()
                 if keep:
                     found = [model.nbest(t, n) for t in texts]
                     best, scores = [f[0][1] for f in found], [[s for s, _ in f] for f in found]
-                    others = [[list(i) for _, i in f[1:]] for f in found]
+                    others = [[i for _, i in f[1:]] for f in found]
                 else:
                     best, scores = zip(*[model.nbest_scores(t, n) for t in texts])
                     others = [None] * len(texts)
