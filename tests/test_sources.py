@@ -111,3 +111,11 @@ def test_no_machine_local_folder_on_a_cluster():
             base_folder(None, master)
         assert base_folder("hdfs://shared/x/", master) == "hdfs://shared/x"
     assert base_folder(None, "local[4]") == base_folder(None, "local")
+
+
+def test_buckets_grow_with_the_table(spark, tmp_path):
+    spark.range(200000).selectExpr("id", "md5(string(id)) AS x").write.parquet(str(tmp_path / "t"))
+    stored = spark.read.parquet(str(tmp_path / "t"))
+    size = sum(p.stat().st_size for p in (tmp_path / "t").glob("*.parquet"))
+    assert tables.buckets_for(stored, 8) == 8
+    assert size // 100_000 <= tables.buckets_for(stored, 8, size=100_000) <= size // 100_000 + 1

@@ -82,6 +82,15 @@ def write_tables(
             write(f"{path}/{name}")
 
 
+# Bytes of a stored table that make a bucket, whose rows one task sorts and joins.
+_BUCKET_BYTES = 16 << 20
+
+
+def buckets_for(stored: DataFrame, least: int, size: int = _BUCKET_BYTES) -> int:
+    """As many buckets as the size of a stored table asks for, so that a bucket does not grow with the table."""
+    return max(least, -(-int(stored._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()) // size))
+
+
 def save_bucketed(df: DataFrame, table: str, path: str, buckets: int, column: str = "innings_id") -> None:
     """Save as a catalog table bucketed on a join key, so that joins on it need no shuffle.
 
