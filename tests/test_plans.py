@@ -5,8 +5,11 @@ import re
 
 import pytest
 
+from pyspark.sql import functions as F
+
 import match_files
-from wicketflow.operators import consistency, identity, profiling, unnest
+from wicketflow.operators import consistency, identity, profiling, summaries, unnest
+from wicketflow.operators.player_innings import player_innings
 from wicketflow.plans import catalogue, pipeline, projection
 from wicketflow.scratch import stage
 from wicketflow.sources import documents, reports, tables
@@ -199,6 +202,31 @@ def test_lines_of_a_match_are_dealt_once(spark):
     assert len(re.findall(r"(?:Join|Window) ", named)) == 2
 
 
+def test_flat_tables_number_the_lines_once(spark):
+    """The balls are numbered where their match was dealt to; matches and innings are made of distinct numbers, not of lines."""
+    assert not re.search(r"Exchange hashpartitioning\(l_orderkey", plan_of(projection.table(spark, SF_DIR, "d")))
+    for name, numbers in (("m", 1), ("i", 2)):
+        keys = re.findall(r"HashAggregate\(keys=\[([^\]]*)\]", plan_of(projection.table(spark, SF_DIR, name)))
+        assert len(keys[-1].split(", ")) == numbers
+    t = catalogue.flat_tables(spark, SF_DIR)
+    for name in ("overs", "players"):
+        assert t[name].count() == projection.table(spark, SF_DIR, name[0]).count() == t[name].distinct().count()
+
+
+def test_overs_of_a_bowler_do_not_multiply_the_rows(spark):
+    """A row per innings and bowler meets in the shuffle for 64 overs; over numbers may be any."""
+    numbers = [*range(-70, 200), *range(0, 5), None]
+    rows = [("m", "i", n, 1, 0, 0, None, k % 9 == 0, "caught", "x" if k % 9 else "ace", "b", "ace") for k, n in enumerate(numbers)]
+    ball = "match_id string, innings_id string, over_number int, ball_number int, batter_runs int, total_runs int, extras_type string," \
+        " is_wicket boolean, wicket_kind string, wicket_player_out_id string, batter_id string, bowler_id string"
+    balls = spark.createDataFrame(rows, ball).withColumn("non_striker_id", F.lit(None).cast("string")).withColumn("wicket_fielder_id", F.lit(None).cast("string"))
+    found = player_innings(balls)
+    told = {r.player_id: r for r in found.collect()}
+    assert told["ace"].overs_bowled == 270 and told["b"].overs_bowled == 0 and told["ace"].dismissal_type == "caught"
+    assert told["ace"].balls_bowled == len(numbers)
+    assert "overs_from" in plan_of(found) and "over_bowled" not in plan_of(found)
+
+
 def test_roles_meet_the_names_of_a_match_in_one_row(spark):
     """As a join of every role would: several ids of a name give several rows, an unknown name one."""
     balls = spark.createDataFrame([("b1", "m1", "A", "B"), ("b2", "m1", None, "C"), ("b3", None, "A", None)], "ball string, match_id string, x string, y string")
