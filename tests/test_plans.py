@@ -227,6 +227,12 @@ def test_overs_of_a_bowler_do_not_multiply_the_rows(spark):
     assert "overs_from" in plan_of(found) and "over_bowled" not in plan_of(found)
 
 
+@pytest.mark.parametrize("name", ["p01_doc_structure", "p11_empty_matches", "p18_json_types", "s02_read_raw"])
+def test_filters_neither_write_nor_parse_texts(spark, name):
+    text = plan_of(catalogue.queries()[name](spark, SF_DIR))
+    assert not [line for line in text.splitlines() if re.search(r"\bFilter ", line) and re.search("from_json|StructsToJson", line)]
+
+
 def test_roles_meet_the_names_of_a_match_in_one_row(spark):
     """As a join of every role would: several ids of a name give several rows, an unknown name one."""
     balls = spark.createDataFrame([("b1", "m1", "A", "B"), ("b2", "m1", None, "C"), ("b3", None, "A", None)], "ball string, match_id string, x string, y string")

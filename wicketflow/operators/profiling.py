@@ -234,9 +234,9 @@ def quality_issues(meta: DataFrame) -> DataFrame:
     )
 
 
-def _type_name(schema: Column) -> Column:
-    """Plain name of a JSON type as given by ``schema_of_variant``."""
-    return (
+def _type_name(value: Column) -> Column:
+    """Plain name of a JSON value's type as given by ``schema_of_variant``, which is asked once."""
+    name = lambda schema: (
         F.when(schema.startswith("OBJECT"), "dict")
         .when(schema.startswith("ARRAY"), "list")
         .when(schema == "STRING", "str")
@@ -245,13 +245,14 @@ def _type_name(schema: Column) -> Column:
         .when(schema == "VOID", "NoneType")
         .otherwise("float")
     )
+    return F.get(F.transform(F.array(F.schema_of_variant(value)), name), F.lit(0))
 
 
 def _value_types(level: str, keys: Column) -> Column:
     """Section, field and type of each member of an object, those of a ball's own objects too."""
     section = "info" if level == "info" else "delivery"
     row = lambda field, value: F.struct(
-        F.lit(section).alias("section"), field.alias("field"), _type_name(F.schema_of_variant(value)).alias("type")
+        F.lit(section).alias("section"), field.alias("field"), _type_name(value).alias("type")
     )
     plain = F.transform(F.map_entries(keys), lambda e: row(e["key"], e["value"]))
     if level == "info":
