@@ -233,6 +233,16 @@ def test_filters_neither_write_nor_parse_texts(spark, name):
     assert not [line for line in text.splitlines() if re.search(r"\bFilter ", line) and re.search("from_json|StructsToJson", line)]
 
 
+def test_values_are_counted_in_the_batch_they_are_read_in(spark):
+    """No table of all distinct values in front of the shuffle; odd values count as they did."""
+    df = spark.createDataFrame([("a", True, 1), ("a", None, 2), (None, False, 3), ("", True, 3)], "s string, b boolean, n int").withColumn("e", F.lit(None).cast("string"))
+    found = {r.column: r for r in summaries.describe_all(df).collect()}
+    assert set(found) == {"s", "b", "n"}
+    assert tuple(found["s"])[:5] == ("s", 3, 2, "a", 2) and tuple(found["b"])[:5] == ("b", 3, 2, "true", 2)
+    assert not re.search(r"partial_count[^\n]*\n[^\n]*(Filter|Generate)", plan_of(summaries.describe_all(df)))
+    assert "MapInArrow" in plan_of(summaries.describe_all(df))
+
+
 def test_roles_meet_the_names_of_a_match_in_one_row(spark):
     """As a join of every role would: several ids of a name give several rows, an unknown name one."""
     balls = spark.createDataFrame([("b1", "m1", "A", "B"), ("b2", "m1", None, "C"), ("b3", None, "A", None)], "ball string, match_id string, x string, y string")

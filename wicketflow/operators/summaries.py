@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from functools import reduce
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -121,16 +123,34 @@ def _describe_numbers(df: DataFrame, columns: list[str]) -> DataFrame:
     return _long(row, entries)
 
 
+# Bytes of a stored table that make a task of its counted values, and most tasks where the size is a guess.
+_TASK_BYTES, _MOST_TASKS = 4 << 20, 2000
+
+
+def _counted_texts(df: DataFrame, columns: list[str]) -> DataFrame:
+    """How often each value of each column occurs: ``column, value, n``.
+
+    A batch of rows is counted where it is read, so a frequent value is one row of each batch, and a column of distinct
+    values fills no table in front of the shuffle. Counts meet in as many parts as the size of the table asks for.
+    """
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for name, values in zip(columns, batch.columns):
+                found = values.drop_null().value_counts()
+                names = pa.array([name] * len(found), pa.string())
+                yield pa.RecordBatch.from_arrays([names, found.field(0).cast(pa.string()), found.field(1)], names=["column", "value", "n"])
+
+    texts = df.select(*[F.col(c).cast("string").alias(f"c{k}") for k, c in enumerate(columns)])
+    counted = texts.mapInArrow(count, "column string, value string, n bigint")
+    stored = int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
+    parts = max(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), min(-(-stored // _TASK_BYTES), _MOST_TASKS))
+    return counted.repartition(parts, "column", "value").groupBy("column", "value").agg(F.sum("n").alias("n"))
+
+
 def _describe_texts(df: DataFrame, columns: list[str]) -> DataFrame:
-    values = F.inline(
-        F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).cast("string").alias("value")) for c in columns])
-    )
-    counts = (
-        df.select(values).where(F.col("value").isNotNull())
-        .groupBy("column", "value").agg(F.count("*").alias("n"))
-    )
     none = F.lit(None).cast("double")
-    return counts.groupBy("column").agg(
+    return _counted_texts(df, columns).groupBy("column").agg(
         F.sum("n").alias("count"),
         F.count("*").alias("unique"),
         F.min_by("value", F.struct(-F.col("n"), F.col("value"))).alias("top"),
