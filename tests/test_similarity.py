@@ -114,3 +114,66 @@ def test_one_edit_between_names_of_any_length(spark):
     df = spark.createDataFrame([(n,) for n in names], "name string")
     found = {(r.name1, r.name2) for r in similar_names(df, "name", 0.88).collect()}
     assert found == {(a, b) for a, b in itertools.combinations(names, 2) if _score(a, b) >= 0.88 - 1e-9}
+
+
+def _by_sql(names, threshold):
+    import duckdb
+    import pyarrow as pa
+
+    names = pa.table({"t": names})
+    pairs = duckdb.sql("SELECT a.t AS x, b.t AS y, levenshtein(a.t, b.t) AS d, greatest(length(a.t), length(b.t)) AS h FROM names a JOIN names b ON a.t < b.t").fetchall()
+    return {(x, y): 1.0 - d / h for x, y, d, h in pairs if 1.0 - d / h > threshold}
+
+
+def _urls(count):
+    rng = random.Random(7)
+    ends = ["", "/", ".html", "#top", "?page=2&ref=x", "?utm_source=feed"]
+    return sorted({f"https://{rng.choice(['blog.', ''])}site.example.net/{rng.choice(['en', 'de'])}/{rng.randrange(99999)}{rng.choice(ends)}" for _ in range(count)})
+
+
+def test_names_of_one_kind_are_not_stored_for_each_key(spark, monkeypatch):
+    """URLs of a site share their q-grams: what is stored and shuffled are names, not keys and pairs."""
+    from wicketflow.operators import edit_blocks, similarity
+
+    stored = []
+
+    def counting(spark, df, keep=similarity.stage):
+        stored.append(out := keep(spark, df))
+        return out
+
+    monkeypatch.setattr(similarity, "stage", counting)
+    monkeypatch.setattr(edit_blocks, "_BLOCK", 150)
+    names = _urls(700)
+    df = spark.createDataFrame([(n,) for n in names for _ in range(1 + (n < names[99]))], "url string")
+    rows = similar_names_with_counts(df, "url", 0.8).collect()
+    wanted = _by_sql(names, 0.8)
+    assert len(wanted) > 10 * len(names) and len(rows) == len(wanted)
+    assert {(r.name1, r.name2): r.similarity for r in rows} == pytest.approx(wanted)
+    assert all((r.count1, r.count2) == (1 + (r.name1 < names[99]), 1 + (r.name2 < names[99])) for r in rows)
+    assert sum(t.count() for t in stored) <= 3 * len(names)
+
+
+def test_names_that_share_few_grams_meet_on_keys(spark):
+    from wicketflow.operators.similarity import _crowded
+
+    rng = random.Random(3)
+    letters = [chr(k) for k in range(40, 120)]
+    names = {"".join(rng.choices(letters, k=rng.randint(26, 32))) for _ in range(3000)}
+    names = sorted(names | {n[:5] + "!" + n[6:-1] for n in sorted(names)[::20]})
+    assert _crowded(spark.createDataFrame(list(enumerate(names)), "id bigint, text string"), 0.8, 3) is None
+    found = {(r.name1, r.name2) for r in similar_names(spark.createDataFrame([(n,) for n in names], "t string"), "t", 0.8, strict=True).collect()}
+    assert found == _by_sql(names, 0.8).keys() and len(found) >= 150
+
+
+def test_blocks_of_long_and_odd_strings(spark, monkeypatch):
+    from wicketflow.operators import edit_blocks
+
+    monkeypatch.setattr(edit_blocks, "_BLOCK", 40)
+    rng = random.Random(11)
+    names = ["".join(rng.choices("ab", k=rng.choice([30, 63, 64, 65, 127, 128, 129, 200]))) for _ in range(90)]
+    names = sorted({*names, *(n[:20] + "xyz" + n[20:] for n in names), *(n[3:] for n in names)})
+    found = {(r.name1, r.name2): r.similarity for r in similar_names(spark.createDataFrame([(n,) for n in names], "t string"), "t", 0.8, strict=True).collect()}
+    assert found == pytest.approx(_by_sql(names, 0.8))
+    odd = ["", "é", "naïve", "語の名前", "語名前", "\U0001f3cf ball", "ball", "naive", "語" * 70]
+    got = [list(d) for d in edit_blocks.Columns(odd).distances(sorted(odd))]
+    assert got == [[_levenshtein(a, b) for b in odd] for a in sorted(odd)]

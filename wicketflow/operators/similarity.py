@@ -16,15 +16,23 @@ Short strings with one edit between them meet on what is left without one charac
 is the same character's place on both sides, otherwise the shorter one stands whole. Such a key is shared by
 a handful of strings, however many start or end alike, so what meets grows with the strings.
 
+Where names are so alike that even their rarest q-grams are shared by many (URLs of a site), a name would meet others
+far more often than there are others, and the pairs that met would be what fills the disk. Then the names whose
+partners would be found by q-grams are compared block by block instead (`edit_blocks`), which gives the same pairs
+and shuffles no pair.
+
 Names get numbers, and keys carry these and the masks, but no text. What has met is made distinct as
 pairs of numbers; only then are the texts joined and the edit distances computed, each once.
 """
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from wicketflow.operators.edit_blocks import near_pairs
 from wicketflow.scratch import stage
 
 _SLACK = 1e-9
@@ -70,6 +78,8 @@ _WITHOUT = (
 )
 # Longest string that gives a key for each of its characters.
 _SHORT = 64
+# What meets on a key and is made distinct costs as much as so many comparisons in a block.
+_MEETING = 64
 
 
 def _mask(numbers: Column, how: str) -> Column:
@@ -84,14 +94,14 @@ def _mask(numbers: Column, how: str) -> Column:
 
 
 def _numbered(df: DataFrame, column: str, lower: bool) -> DataFrame:
-    """The distinct values of a column with the text to compare and a number, stored: all that follows goes by the number."""
-    names = df.where(F.col(column).isNotNull()).select(F.col(column).alias("name")).distinct()
+    """The distinct values of a column with the text to compare, the number of rows and a number of their own, stored: all that follows goes by that."""
+    names = df.where(F.col(column).isNotNull()).groupBy(F.col(column).alias("name")).agg(F.count("*").alias("n"))
     text = F.lower("name") if lower else F.col("name")
-    return stage(df.sparkSession, names.select("name", text.alias("text"), F.monotonically_increasing_id().alias("id")))
+    return stage(df.sparkSession, names.select("name", text.alias("text"), "n", F.monotonically_increasing_id().alias("id")))
 
 
-def _signatures(names: DataFrame, threshold: float, q: int) -> DataFrame:
-    """Rare q-grams, or segments, of each name for each length a partner can have: the keys to meet on."""
+def _ranked(names: DataFrame, q: int) -> DataFrame:
+    """Each name with its q-grams, the rarest first."""
     length = F.length("text")
     starts = F.sequence(F.lit(1), F.greatest(length - (q - 1), F.lit(1)))
     # A q-gram is replaced by one of 65536 numbers, which bounds the table of frequencies.
@@ -100,11 +110,41 @@ def _signatures(names: DataFrame, threshold: float, q: int) -> DataFrame:
     tokens = names.select("id", "text", F.transform(starts, token).alias("tokens"))
     grams = tokens.select("id", F.posexplode("tokens").alias("at", "token"))
     frequency = grams.groupBy("token").agg(F.count("*").alias("uses"))
-    ranked = (
+    return (
         grams.join(F.broadcast(frequency), "token")
         .groupBy("id").agg(F.sort_array(F.collect_list(F.struct("uses", "token", "at"))).alias("grams"))
         .join(names.select("id", "text"), "id")
     )
+
+
+def _by_grams(low: Column, high: Column, threshold: float, q: int) -> Column:
+    """Whether names of these lengths meet on q-grams: more of them stay than the edits can destroy, and it is not one edit between short ones."""
+    edits = _edits(high, threshold)
+    return (low - (q - 1) - edits * q > 0) & ~((edits == 1) & (high <= _SHORT))
+
+
+def _crowded(names: DataFrame, threshold: float, q: int) -> DataFrame | None:
+    """The names that have partners by q-grams, if they would meet others too often on these, else None."""
+    lengths = names.select(F.length("text").alias("len")).distinct()
+    both = lengths.select("len", F.explode(_partner_lengths(F.col("len"), threshold)).alias("other"))
+    there = both.join(lengths.withColumnRenamed("len", "other"), "other", "left_semi")
+    wide = there.where(_by_grams(F.least("len", "other"), F.greatest("len", "other"), threshold, q)).select("len").distinct()
+    if wide.isEmpty():
+        return None
+    some = names.join(wide, F.length("text") == F.col("len"), "left_semi")
+    lost = _edits(F.length("text"), threshold) * q
+    uses = F.aggregate(F.slice("grams", F.lit(1), lost + 1), F.lit(0).cast("bigint"), lambda n, g: n + g["uses"])
+    meets, count = _ranked(some, q).agg(F.avg(uses), F.count("*")).first()
+    return some if meets * _MEETING > count else None
+
+
+def _signatures(names: DataFrame, threshold: float, q: int, grams: bool = True) -> DataFrame:
+    """Rare q-grams, or segments, of each name for each length a partner can have: the keys to meet on.
+
+    Without `grams` the keys of names that would meet on q-grams are left out.
+    """
+    length = F.length("text")
+    ranked = _ranked(names, q)
     # Lengths that no name has need no keys. At most 65536 lengths are told apart.
     lengths = names.select(F.least(length, F.lit(_LONGEST)).alias("there")).distinct()
     spread = (
@@ -113,6 +153,8 @@ def _signatures(names: DataFrame, threshold: float, q: int) -> DataFrame:
         .join(F.broadcast(lengths), "there", "left_semi")
     )
     low, high = F.least("len", "other"), F.greatest("len", "other")
+    if not grams:
+        spread = spread.where(~_by_grams(low, high, threshold, q))
     keyed = spread.select(
         "id", "text", "grams", "len", "other", low.alias("low"), high.alias("high"),
         _edits(high, threshold).alias("edits"),
@@ -145,16 +187,25 @@ def similar_names(
     lower: bool = False,
     strict: bool = False,
     q: int = 3,
+    counts: bool = False,
 ) -> DataFrame:
     """Pairs of distinct values of a column that are similar: ``name1, name2, similarity``.
 
     The similarity is ``1 - edit distance / longer length``. ``lower`` compares in lower case.
     ``strict`` wants it above the threshold and below 1, otherwise it may equal the threshold.
+    With ``counts`` each name comes with its number of rows, ``count1, count2``.
     """
     if not 0.5 < threshold <= 1.0:
         raise ValueError("threshold must be above 0.5 and at most 1")
-    names = _numbered(df, column, lower)
-    signatures = stage(df.sparkSession, _signatures(names, threshold, q))
+    scored = _scored(_numbered(df, column, lower), threshold, q)
+    s = F.col("similarity")
+    found = scored.where((s > threshold) & (s < 1.0) if strict else s >= threshold)
+    return found if counts else found.select("name1", "name2", "similarity")
+
+
+def _met(names: DataFrame, threshold: float, q: int, grams: bool) -> DataFrame:
+    """Pairs that met on a key and are within the edits of their lengths."""
+    signatures = stage(names.sparkSession, _signatures(names, threshold, q, grams))
 
     # A merge join: a hot key can be split at run time.
     left, right = signatures.alias("a").hint("merge"), signatures.alias("b")
@@ -168,21 +219,37 @@ def similar_names(
         & (F.bit_count(a("gram_mask").bitwiseXOR(b("gram_mask"))) <= a("differing"))
     )
     pairs = left.join(right, met).select(a("id").alias("id1"), b("id").alias("id2"), a("edits").alias("edits"), a("high").alias("longer")).distinct()
-    side = lambda k: names.select(F.col("id").alias(f"id{k}"), F.col("name").alias(f"n{k}"), F.col("text").alias(f"t{k}"))
+    side = lambda k: names.select(F.col("id").alias(f"id{k}"), F.col("name").alias(f"name{k}"), F.col("text").alias(f"t{k}"), F.col("n").alias(f"n{k}"))
     compared = pairs.join(side(1), "id1").join(side(2), "id2")
     # The bounded distance stops early and is -1 beyond the bound.
     near = compared.withColumn("distance", F.expr("levenshtein(t1, t2, edits)")).where("distance >= 0")
+    return near.select("name1", "name2", "n1", "n2", "longer", "distance")
+
+
+def _in_blocks(names: DataFrame, threshold: float, q: int) -> DataFrame:
+    """The pairs that q-grams would find, from blocks."""
+
+    def allowed(low: int, high: int) -> int:
+        edits = math.floor((1.0 - threshold) * high + _SLACK)
+        return edits if low - (q - 1) - edits * q > 0 and not (edits == 1 and high <= _SHORT) else -1
+
+    return near_pairs(names, names.count(), allowed)
+
+
+def _scored(names: DataFrame, threshold: float, q: int) -> DataFrame:
+    """Pairs within the edits of their lengths with their similarity, the lesser name first, and the rows of each."""
+    crowded = _crowded(names, threshold, q)
+    near = _met(names, threshold, q, crowded is None)
+    if crowded is not None:
+        near = near.unionByName(_in_blocks(crowded, threshold, q))
     similarity = F.lit(1.0) - F.col("distance").cast("double") / F.col("longer")
-    scored = near.select(F.least("n1", "n2").alias("name1"), F.greatest("n1", "n2").alias("name2"), similarity.alias("similarity"))
-    s = F.col("similarity")
-    return scored.where((s > threshold) & (s < 1.0) if strict else s >= threshold)
+    ordered = F.col("name1") <= F.col("name2")
+    return near.select(
+        F.least("name1", "name2").alias("name1"), F.greatest("name1", "name2").alias("name2"), similarity.alias("similarity"),
+        F.when(ordered, F.col("n1")).otherwise(F.col("n2")).alias("count1"), F.when(ordered, F.col("n2")).otherwise(F.col("n1")).alias("count2"),
+    )
 
 
 def similar_names_with_counts(df: DataFrame, column: str, threshold: float = 0.8) -> DataFrame:
     """Similar but not equal values, each with its number of rows."""
-    pairs = similar_names(df, column, threshold, strict=True)
-    counts = df.where(F.col(column).isNotNull()).groupBy(column).agg(F.count("*").alias("n"))
-    for k in ("1", "2"):
-        side = counts.select(F.col(column).alias(f"name{k}"), F.col("n").alias(f"count{k}"))
-        pairs = pairs.join(side, f"name{k}")
-    return pairs.select("name1", "name2", "similarity", "count1", "count2")
+    return similar_names(df, column, threshold, strict=True, counts=True)
