@@ -235,3 +235,19 @@ def test_pipeline_returns_all_segmentations(spark, model):
     table = spark.createDataFrame([(1, "several pieces here", "en", "a", 1)], "doc_id bigint, text string, lang string, source string, n_chars bigint")
     (got,) = corpus_pipeline.encode_pieces(spark, table, "").collect()
     assert [tuple(got.ids), *map(tuple, got.alternatives)] == [i for _, i in model.nbest("several pieces here", 3)]
+
+
+def test_known_and_new_chunks_of_a_batch_give_the_library_ids():
+    """Plain words, mixed chunks, special marks, other scripts and tied texts, met for the first time and again, in small tables."""
+    import public_tokenizers
+    import pyarrow as pa
+
+    from wicketflow.llm.token_orc import ChunkEncoder
+
+    tool = ChunkEncoder(public_tokenizers.path("word_bpe_49k.json"), cached=5)
+    texts = [None, "", "  ", "Word word WORD's", "a1b2 <|x|> É語 k", "tied text here", "word a1b2 new\nline", "Word tied text"]
+    wanted = [tool.whole.encode(t or "", add_special_tokens=False).ids for t in texts]
+    for _ in range(3):
+        for end in (None, 1):
+            assert tool.encode(pa.array(texts, pa.string()), end).to_pylist() == [w + [1] * (end or 0) for w in wanted]
+    assert tool.encode(pa.array([], pa.string()), 1).to_pylist() == []

@@ -8,7 +8,7 @@ read stripes in parallel. `read_tokens` and `find_document` read the files back.
 
 Encoding goes through the tokenizers library. Most of a text repeats words seen before, so texts are
 split at white space and their chunks numbered some documents at a time, by Arrow; ids are looked up once
-for each distinct chunk and gathered with numpy. New chunks are cut at the tokenizer's own pattern and handed to the
+for each distinct chunk and laid out by Arrow. New chunks are cut at the tokenizer's own pattern and handed to the
 library in one batch. This holds for chunks of ASCII and simple Latin letters, on which normalisation is
 lower-casing; every other chunk goes through the whole tokenizer, and a text with white space or marks
 that may tie chunks together goes through it in one piece.
@@ -84,12 +84,15 @@ class ChunkEncoder:
 
     def _learn(self, chunks: list[str]) -> None:
         self.parts.turn()
-        known, odd = self.parts, [c for c in chunks if "<|" in c or not _PLAIN.fullmatch(c)]
-        apart = set(odd)
-        plain = [c for c in chunks if c not in apart] if odd else chunks
-        cut = [_PIECES.findall(c.lower()) for c in plain]
-        self._encode_parts(known.missing(set().union(*cut)))
-        for c, parts in zip(plain, cut):
+        known, words, mixed, odd = self.parts, [], [], []
+        for c in chunks:
+            kind = words if c.isascii() and c.isalpha() else odd if "<|" in c or not _PLAIN.fullmatch(c) else mixed
+            kind.append(c)
+        # Letters alone are one piece.
+        lowered, cut = [c.lower() for c in words], [_PIECES.findall(c.lower()) for c in mixed]
+        self._encode_parts(known.missing(set(lowered).union(*cut)))
+        self.chunks.update(zip(words, map(known.__getitem__, lowered)))
+        for c, parts in zip(mixed, cut):
             self.chunks[c] = known[parts[0]] if len(parts) == 1 else b"".join([known[p] for p in parts])
         for c, e in zip(odd, self.whole.encode_batch(odd, add_special_tokens=False)):
             self.chunks[c] = np.array(e.ids, "<i4").tobytes()
@@ -103,29 +106,30 @@ class ChunkEncoder:
         bounds = lists.offsets.to_numpy()
         coded = lists.values.slice(bounds[0], bounds[-1] - bounds[0]).dictionary_encode()
         bounds = (bounds - bounds[0]).astype(np.int64)
-        chunks, table = coded.dictionary.to_pylist(), self.chunks
+        # By way of numpy, which makes strings several times faster than a list of scalars.
+        chunks, table = coded.dictionary.to_numpy(zero_copy_only=False).tolist(), self.chunks
         table.turn()
-        self._learn([c for c in table.missing(set(chunks)) if c])
-        found = [table[c] if c else b"" for c in chunks]
+        found = [table.get(c) if c else b"" for c in chunks]
+        new = [k for k, f in enumerate(found) if f is None]
+        self._learn(table.missing({chunks[k] for k in new}))
+        for k in new:
+            found[k] = table[chunks[k]]
         whole = np.flatnonzero(tied)
         found += [np.array(e.ids, "<i4").tobytes() for e in self.whole.encode_batch(texts.take(pa.array(whole)).to_pylist(), add_special_tokens=False)]
         found.append(b"" if end_id is None else end_id.to_bytes(4, "little"))
-        ids = np.frombuffer(b"".join(found), "<i4")
-        sizes = np.array([len(f) // 4 for f in found], np.int64)
-        ends = np.cumsum(sizes)
         # All chunks in order, behind each text its whole (if tied) and the end.
         order = coded.indices.to_numpy(zero_copy_only=False).astype(np.int64)
         behind = np.concatenate([bounds[1:][whole], bounds[1:]])
         extra = np.concatenate([len(chunks) + np.arange(len(whole)), np.full(len(texts), len(found) - 1)])
         by_text = np.argsort(np.concatenate([2 * whole, 2 * np.arange(len(texts)) + 1]), kind="stable")
         order = np.insert(order, behind[by_text], extra[by_text])
-        taken = sizes[order]
-        upto = np.cumsum(taken)
-        place = np.arange(upto[-1] if len(upto) else 0) + np.repeat(ends[order] - upto, taken)
-        per_text = np.zeros(len(texts) + 1, np.int64)
-        last = bounds[1:] + 1 + np.arange(len(texts)) + np.cumsum(tied)
-        per_text[1:] = upto[last - 1] if len(upto) else 0
-        return pa.ListArray.from_arrays(pa.array(per_text.astype(np.int32)), pa.array(ids[place]))
+        # Arrow puts the bytes of the chunks one behind the other.
+        laid = pa.array(found, pa.large_binary()).take(pa.array(order))
+        upto = np.frombuffer(laid.buffers()[1], np.int64, len(laid) + 1, laid.offset * 8) // 4
+        ids = np.frombuffer(laid.buffers()[2] or b"", "<i4", int(upto[-1]))
+        per_text = np.zeros(len(texts) + 1, np.int32)
+        per_text[1:] = upto[bounds[1:] + 1 + np.arange(len(texts)) + np.cumsum(tied)]
+        return pa.ListArray.from_arrays(pa.array(per_text), pa.array(ids))
 
 
 @cache
