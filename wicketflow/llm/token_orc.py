@@ -38,6 +38,8 @@ from wicketflow.scratch import shared_folder, stage
 
 END_ID = 1
 _CACHED = 400_000
+#: Documents encoded at a time: the more, the fewer chunks are looked up again.
+_TEXTS = 2048
 _ORC = {
     "orc.create.index": "true",
     "orc.row.index.stride": "1000",
@@ -143,8 +145,8 @@ def _encode(path: str, end_id: int):
         tool, place = encoder(path), 0
         for batch in batches:
             # Some documents at a time, which bounds the room of texts and ids.
-            for k in range(0, batch.num_rows, 1024):
-                part = batch.slice(k, 1024)
+            for k in range(0, batch.num_rows, _TEXTS):
+                part = batch.slice(k, _TEXTS)
                 tokens = tool.encode(part.column("text"), end_id)
                 places = pa.array(np.arange(place, place + part.num_rows))
                 place += part.num_rows
