@@ -1,5 +1,6 @@
 """Similar pairs against a comparison of all pairs on small lists."""
 
+import functools
 import itertools
 import random
 
@@ -177,3 +178,64 @@ def test_blocks_of_long_and_odd_strings(spark, monkeypatch):
     odd = ["", "é", "naïve", "語の名前", "語名前", "\U0001f3cf ball", "ball", "naive", "語" * 70]
     got = [list(d) for d in edit_blocks.Columns(odd).distances(sorted(odd))]
     assert got == [[_levenshtein(a, b) for b in odd] for a in sorted(odd)]
+
+
+def _edits_allowed(low, high, threshold=0.8):
+    return int((1 - threshold) * high + 1e-9) if low else -1
+
+
+@pytest.mark.parametrize("few,rows,stays", [(64, 1 << 21, 0.9), (3, 1 << 21, 1.0), (64, 500, 0.3)])
+def test_bands_of_starts_and_ends(monkeypatch, few, rows, stays):
+    """Walked from one end or both, with columns left out early or late: the pairs and distances of all matrices."""
+    from wicketflow.operators import edit_blocks
+
+    monkeypatch.setattr(edit_blocks, "_FEW", few)
+    monkeypatch.setattr(edit_blocks, "_ROWS", rows)
+    monkeypatch.setattr(edit_blocks, "_STAYS", stays)
+    rng = random.Random(few)
+    many = [chr(k) for k in range(200, 500)]
+    texts = ["", *_urls(20), *_names(few, "ab", 20, 20)[:40], *("".join(rng.choices("ab", k=rng.randint(90, 150))) for _ in range(3)), *("".join(rng.choices(many, k=12)) for _ in range(300))][:110]
+    texts = sorted([*texts, *texts[:9], *(t[: len(t) // 2] + "x" + t[len(t) // 2 :] for t in texts)])
+    columns, far = texts[::-1], functools.cache(_levenshtein)
+    for threshold in (0.8, 0.6):
+        limit = lambda a, b: _edits_allowed(min(a, b), max(a, b), threshold)
+        found = {(k, at): d for k, close, fars in edit_blocks.Columns(columns).near(texts, limit) for at, d in zip(close.tolist(), fars.tolist())}
+        wanted = {}
+        for (k, a), (at, b) in itertools.product(enumerate(texts), enumerate(columns)):
+            if abs(len(a) - len(b)) <= limit(len(a), len(b)) and (d := far(*sorted((a, b)))) <= limit(len(a), len(b)):
+                wanted[k, at] = d
+        assert found == wanted and len(wanted) > len(texts)
+
+
+def test_columns_far_from_a_start_are_left_out(monkeypatch):
+    """URLs of many sites: most pairs of strings are settled by their first characters, and what strings start or end with alike is done once."""
+    from wicketflow.operators import edit_blocks
+
+    rng = random.Random(2)
+    sites = ["".join(rng.choices("abcdefghijklmnopqrstuvwxyz", k=14)) for _ in range(40)]
+    names = sorted({f"https://{rng.choice(sites)}.example.net/{rng.randrange(99999)}{rng.choice(['', '.html', '?utm_source=feed'])}" for _ in range(1500)})
+    cells = []
+
+    def counting(self, *given, advance=edit_blocks._Band._advanced):
+        cells.append((new := advance(self, *given)).size)
+        return new
+
+    monkeypatch.setattr(edit_blocks._Band, "_advanced", counting)
+    found = sum(len(close) for _, close, _ in edit_blocks.Columns(names).near(names, lambda a, b: _edits_allowed(min(a, b), max(a, b))))
+    assert found == 2 * len(_by_sql(names, 0.8 - 1e-9)) + len(names)
+    assert sum(cells) < 0.06 * sum(len(a) for a in names) * sum(len(b) for b in names)
+
+
+def test_equal_texts_of_crowded_names(spark, monkeypatch):
+    """In lower case names are alike; each pair comes once, the lesser name first with its rows, and blocks share no pair."""
+    from wicketflow.operators import edit_blocks
+
+    monkeypatch.setattr(edit_blocks, "_BLOCK", 90)
+    monkeypatch.setattr(edit_blocks, "_PAIRS", 500)
+    urls = _urls(160)
+    names = sorted({*urls, *(u.upper() for u in urls[::3]), *(u.title() for u in urls[::5]), "ab", "aB", "abcdefghi", "abcdefghj"})
+    rows = [(n,) for n in names for _ in range(1 + len(n) % 3)]
+    found = similar_names(spark.createDataFrame(rows, "t string"), "t", 0.8, lower=True, counts=True).collect()
+    wanted = {(a, b): s for a, b in itertools.combinations(names, 2) if (s := _score(a.lower(), b.lower())) >= 0.8}
+    assert {(r.name1, r.name2): r.similarity for r in found} == pytest.approx(wanted) and len(found) == len(wanted)
+    assert all((r.count1, r.count2) == (1 + len(r.name1) % 3, 1 + len(r.name2) % 3) for r in found)

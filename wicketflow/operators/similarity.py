@@ -123,12 +123,18 @@ def _by_grams(low: Column, high: Column, threshold: float, q: int) -> Column:
     return (low - (q - 1) - edits * q > 0) & ~((edits == 1) & (high <= _SHORT))
 
 
-def _crowded(names: DataFrame, threshold: float, q: int) -> DataFrame | None:
-    """The names that have partners by q-grams, if they would meet others too often on these, else None."""
+def _lengths(names: DataFrame, threshold: float, q: int, by_grams: bool) -> DataFrame:
+    """The lengths, of those there are, with a partner that is met on q-grams, or otherwise."""
     lengths = names.select(F.length("text").alias("len")).distinct()
     both = lengths.select("len", F.explode(_partner_lengths(F.col("len"), threshold)).alias("other"))
     there = both.join(lengths.withColumnRenamed("len", "other"), "other", "left_semi")
-    wide = there.where(_by_grams(F.least("len", "other"), F.greatest("len", "other"), threshold, q)).select("len").distinct()
+    met = _by_grams(F.least("len", "other"), F.greatest("len", "other"), threshold, q)
+    return there.where(met if by_grams else ~met).select("len").distinct()
+
+
+def _crowded(names: DataFrame, threshold: float, q: int) -> DataFrame | None:
+    """The names that have partners by q-grams, if they would meet others too often on these, else None."""
+    wide = _lengths(names, threshold, q, True)
     if wide.isEmpty():
         return None
     some = names.join(wide, F.length("text") == F.col("len"), "left_semi")
@@ -233,21 +239,26 @@ def _in_blocks(names: DataFrame, threshold: float, q: int) -> DataFrame:
         edits = math.floor((1.0 - threshold) * high + _SLACK)
         return edits if low - (q - 1) - edits * q > 0 and not (edits == 1 and high <= _SHORT) else -1
 
-    return near_pairs(names, names.count(), allowed)
+    return near_pairs(names, allowed)
 
 
 def _scored(names: DataFrame, threshold: float, q: int) -> DataFrame:
     """Pairs within the edits of their lengths with their similarity, the lesser name first, and the rows of each."""
     crowded = _crowded(names, threshold, q)
-    near = _met(names, threshold, q, crowded is None)
+    in_blocks, others = None, names
     if crowded is not None:
-        near = near.unionByName(_in_blocks(crowded, threshold, q))
+        in_blocks, rest = _in_blocks(crowded, threshold, q), _lengths(names, threshold, q, False)
+        if rest.isEmpty():
+            return in_blocks
+        others = names.join(rest, F.length("text") == F.col("len"), "left_semi")
+    near = _met(others, threshold, q, crowded is None)
     similarity = F.lit(1.0) - F.col("distance").cast("double") / F.col("longer")
     ordered = F.col("name1") <= F.col("name2")
-    return near.select(
+    scored = near.select(
         F.least("name1", "name2").alias("name1"), F.greatest("name1", "name2").alias("name2"), similarity.alias("similarity"),
         F.when(ordered, F.col("n1")).otherwise(F.col("n2")).alias("count1"), F.when(ordered, F.col("n2")).otherwise(F.col("n1")).alias("count2"),
     )
+    return scored if in_blocks is None else scored.unionByName(in_blocks)
 
 
 def similar_names_with_counts(df: DataFrame, column: str, threshold: float = 0.8) -> DataFrame:
