@@ -2,6 +2,7 @@
 
 import functools
 import itertools
+import math
 import random
 
 import pytest
@@ -239,3 +240,17 @@ def test_equal_texts_of_crowded_names(spark, monkeypatch):
     wanted = {(a, b): s for a, b in itertools.combinations(names, 2) if (s := _score(a.lower(), b.lower())) >= 0.8}
     assert {(r.name1, r.name2): r.similarity for r in found} == pytest.approx(wanted) and len(found) == len(wanted)
     assert all((r.count1, r.count2) == (1 + len(r.name1) % 3, 1 + len(r.name2) % 3) for r in found)
+
+
+def test_rounding_is_that_of_round(spark):
+    from pyspark.sql import functions as F
+
+    from wicketflow.plans.catalogue import _six_places
+
+    rng = random.Random(8)
+    numbers = [None, 0.0, -0.0, math.nan, math.inf, -math.inf, 1e300, -1e300, 5e-7, -5e-7, 1.5e-6, 0.1234565, -0.1234565, 99999.9999995, 123456.1234565, -1e-7, 4.35e15]
+    numbers += [1.0 - d / n for n in range(1, 60) for d in range(n)] + [k / 2**21 for k in range(-300, 300)]
+    numbers += [rng.uniform(-1, 1) * 10.0 ** rng.randint(-9, 9) for _ in range(3000)] + [round(rng.uniform(-9, 9), 6) + 5e-7 for _ in range(500)]
+    df = spark.createDataFrame([(x,) for x in numbers], "x double")
+    told = df.select(F.col("x").cast("string"), _six_places(F.col("x")).cast("string").alias("a"), F.round("x", 6).cast("string").alias("b"))
+    assert [r for r in told.collect() if r.a != r.b] == []

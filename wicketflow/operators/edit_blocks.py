@@ -130,7 +130,9 @@ class _Band:
 
     def _advanced(self, rows: np.ndarray, characters: list[tuple[int, str]], places: int, both: tuple[slice, slice, slice], alone: tuple[slice, slice]) -> np.ndarray:
         """New rows, each from the row of its parent, by a character of both (cells of the new row, of the parent's, codes) or of the string alone."""
-        new = np.zeros((places, len(characters), len(self.at)), self.kind)
+        new = np.empty((places, len(characters), len(self.at)), self.kind)
+        new[: both[0].start] = 0
+        new[both[0].stop :] = 0
         wins = {}
         for k, (parent, c) in enumerate(characters):
             if c not in wins:
@@ -143,7 +145,7 @@ class _Band:
         """Rows i + 1 of starts, each from the row i of its parent and a character."""
         (low, high), (first, last) = self.places(i), self.places(i + 1)
         begin = max(first, 1)
-        both = slice(begin - first, None), slice(begin - 1 - low, last - 1 - low), slice(begin - 1, last - 1)
+        both = slice(begin - first, last - first), slice(begin - 1 - low, last - 1 - low), slice(begin - 1, last - 1)
         new = self._advanced(rows, characters, last - first, both, (slice(0, high - first), slice(first - low, None)))
         _through(list(new))
         return new
@@ -217,7 +219,7 @@ def _pieces(texts: list[str]) -> Iterator[np.ndarray]:
     yield np.array(piece)
 
 
-def _compare(allowed: Callable[[int, int], int]) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+def _compare(allowed: Callable[[int, int], int], least: int = 0) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     def limit(size: int, other: int) -> int:
         return allowed(min(size, other), max(size, other))
 
@@ -248,9 +250,11 @@ def _compare(allowed: Callable[[int, int], int]) -> Callable[[Iterator[pa.Record
             one, other, distance, many = [], [], [], 0
             for k, close, far in Columns([texts[k] for k in at.tolist()]).near([texts[k] for k in left.tolist()], limit):
                 k, close = left[k], at[close]
-                if itself:
-                    once = ids[close] > ids[k]
-                    close, far = close[once], far[once]
+                if itself or least:
+                    pairs = far >= least
+                    if itself:
+                        pairs &= ids[close] > ids[k]
+                    close, far = close[pairs], far[pairs]
                 one.append(k)
                 other.append(close)
                 distance.append(far)
@@ -266,8 +270,8 @@ def _compare(allowed: Callable[[int, int], int]) -> Callable[[Iterator[pa.Record
     return run
 
 
-def near_pairs(names: DataFrame, allowed: Callable[[int, int], int]) -> DataFrame:
-    """Pairs of `names` (id, name, text, n) whose texts are within the edits allowed for their two lengths (-1: none), the lesser name first."""
+def near_pairs(names: DataFrame, allowed: Callable[[int, int], int], least: int = 0) -> DataFrame:
+    """Pairs of `names` (id, name, text, n) whose texts have the least distance or more and are within the edits allowed for their two lengths (-1: none), the lesser name first."""
     importable(names.sparkSession)
     count, letters = names.agg(F.count("*"), F.sum(F.length("text"))).first()
     block = max(1, min(_BLOCK, _LETTERS * count // max(1, letters or 0), max(_LEAST, math.ceil(count / _BLOCKS))))
@@ -280,4 +284,4 @@ def near_pairs(names: DataFrame, allowed: Callable[[int, int], int]) -> DataFram
     # The number is given, as few bytes are much work here: twice the groups, so that few of them meet in a task.
     tasks = min(_TASKS, blocks * (blocks + 1))
     dealt = first.unionByName(second).drop("own").repartition(tasks, "a", "b")
-    return dealt.groupBy("a", "b").applyInArrow(_compare(allowed), _SCHEMA)
+    return dealt.groupBy("a", "b").applyInArrow(_compare(allowed, least), _SCHEMA)

@@ -203,9 +203,7 @@ def similar_names(
     """
     if not 0.5 < threshold <= 1.0:
         raise ValueError("threshold must be above 0.5 and at most 1")
-    scored = _scored(_numbered(df, column, lower), threshold, q)
-    s = F.col("similarity")
-    found = scored.where((s > threshold) & (s < 1.0) if strict else s >= threshold)
+    found = _scored(_numbered(df, column, lower), threshold, q, strict)
     return found if counts else found.select("name1", "name2", "similarity")
 
 
@@ -232,22 +230,27 @@ def _met(names: DataFrame, threshold: float, q: int, grams: bool) -> DataFrame:
     return near.select("name1", "name2", "n1", "n2", "longer", "distance")
 
 
-def _in_blocks(names: DataFrame, threshold: float, q: int) -> DataFrame:
+def _in_blocks(names: DataFrame, threshold: float, q: int, strict: bool) -> DataFrame:
     """The pairs that q-grams would find, from blocks."""
 
     def allowed(low: int, high: int) -> int:
         edits = math.floor((1.0 - threshold) * high + _SLACK)
-        return edits if low - (q - 1) - edits * q > 0 and not (edits == 1 and high <= _SHORT) else -1
+        if low - (q - 1) - edits * q <= 0 or edits == 1 and high <= _SHORT:
+            return -1
+        # Similarities as they come out, so nothing is found that the threshold turns away.
+        while edits >= 0 and (1.0 - edits / high <= threshold if strict else 1.0 - edits / high < threshold):
+            edits -= 1
+        return edits
 
-    return near_pairs(names, allowed)
+    return near_pairs(names, allowed, int(strict))
 
 
-def _scored(names: DataFrame, threshold: float, q: int) -> DataFrame:
-    """Pairs within the edits of their lengths with their similarity, the lesser name first, and the rows of each."""
+def _scored(names: DataFrame, threshold: float, q: int, strict: bool) -> DataFrame:
+    """Similar pairs with their similarity, the lesser name first, and the rows of each."""
     crowded = _crowded(names, threshold, q)
     in_blocks, others = None, names
     if crowded is not None:
-        in_blocks, rest = _in_blocks(crowded, threshold, q), _lengths(names, threshold, q, False)
+        in_blocks, rest = _in_blocks(crowded, threshold, q, strict), _lengths(names, threshold, q, False)
         if rest.isEmpty():
             return in_blocks
         others = names.join(rest, F.length("text") == F.col("len"), "left_semi")
@@ -258,7 +261,9 @@ def _scored(names: DataFrame, threshold: float, q: int) -> DataFrame:
         F.least("name1", "name2").alias("name1"), F.greatest("name1", "name2").alias("name2"), similarity.alias("similarity"),
         F.when(ordered, F.col("n1")).otherwise(F.col("n2")).alias("count1"), F.when(ordered, F.col("n2")).otherwise(F.col("n1")).alias("count2"),
     )
-    return scored if in_blocks is None else scored.unionByName(in_blocks)
+    s = F.col("similarity")
+    found = scored.where((s > threshold) & (s < 1.0) if strict else s >= threshold)
+    return found if in_blocks is None else found.unionByName(in_blocks)
 
 
 def similar_names_with_counts(df: DataFrame, column: str, threshold: float = 0.8) -> DataFrame:
