@@ -254,3 +254,18 @@ def test_rounding_is_that_of_round(spark):
     df = spark.createDataFrame([(x,) for x in numbers], "x double")
     told = df.select(F.col("x").cast("string"), _six_places(F.col("x")).cast("string").alias("a"), F.round("x", 6).cast("string").alias("b"))
     assert [r for r in told.collect() if r.a != r.b] == []
+
+
+def test_blocks_do_not_shrink_with_the_partitions(spark, monkeypatch):
+    """More ranges than asked for: neighbours go together, so names are dealt to as many blocks as their number takes."""
+    from wicketflow.operators import edit_blocks
+
+    assert edit_blocks._numbers([(k, 10) for k in range(12)], 40) == [(k, k // 4) for k in range(12)]
+    assert edit_blocks._numbers([(0, 3), (2, 500), (3, 1), (5, 1)], 40) == [(0, 0), (2, 1), (3, 2), (5, 2)] and edit_blocks._numbers([], 9) == []
+    monkeypatch.setattr(edit_blocks, "_LEAST", 100)
+    monkeypatch.setattr(edit_blocks, "_BLOCK", 100)
+    monkeypatch.setattr(edit_blocks, "_RANGES", 50)
+    names = _urls(300)
+    df = spark.createDataFrame([(k, n, n, 1) for k, n in enumerate(names)], "id bigint, name string, text string, n bigint")
+    pairs = edit_blocks.near_pairs(df, lambda low, high: int(0.2 * high + 1e-9), 1)
+    assert {(r.name1, r.name2) for r in pairs.collect()} == _by_sql(names, 0.8 - 1e-9).keys()

@@ -12,6 +12,7 @@ from __future__ import annotations
 import math
 from collections import defaultdict
 from collections.abc import Callable, Iterator
+from itertools import accumulate
 from os.path import commonprefix
 
 import numpy as np
@@ -22,8 +23,8 @@ from pyspark.sql import functions as F
 from wicketflow.scratch import stage
 from wicketflow.session import importable
 
-#: Most strings and most characters of a block, the blocks a table is dealt to, and the strings of a block that are not made fewer for that.
-_BLOCK, _LETTERS, _BLOCKS, _LEAST = 8192, 1 << 21, 16, 512
+#: Most strings and most characters of a block, the blocks a table is dealt to, the strings of a block that are not made fewer for that, and ranges of a block.
+_BLOCK, _LETTERS, _BLOCKS, _LEAST, _RANGES = 8192, 1 << 21, 8, 512, 4
 #: Most tasks, cells of a matrix of characters and pairs of a batch.
 _TASKS, _CELLS, _PAIRS = 4096, 1 << 21, 1 << 16
 #: Strings with one start that are walked from both ends, and cells of their rows.
@@ -270,15 +271,26 @@ def _compare(allowed: Callable[[int, int], int], least: int = 0) -> Callable[[It
     return run
 
 
+def _numbers(ranges: list[tuple[int, int]], block: int) -> list[tuple[int, int]]:
+    """For each range, given with its rows, the block that its middle is in."""
+    ends = accumulate(n for _, n in ranges)
+    places = [int((end - n / 2) // block) for (_, n), end in zip(ranges, ends)]
+    numbers = {place: k for k, place in enumerate(dict.fromkeys(places))}
+    return [(r, numbers[place]) for (r, _), place in zip(ranges, places)]
+
+
 def near_pairs(names: DataFrame, allowed: Callable[[int, int], int], least: int = 0) -> DataFrame:
     """Pairs of `names` (id, name, text, n) whose texts have the least distance or more and are within the edits allowed for their two lengths (-1: none), the lesser name first."""
     importable(names.sparkSession)
     count, letters = names.agg(F.count("*"), F.sum(F.length("text"))).first()
     block = max(1, min(_BLOCK, _LETTERS * count // max(1, letters or 0), max(_LEAST, math.ceil(count / _BLOCKS))))
-    # Ranges come from a sample, so they are stored: both uses see the same blocks.
-    ranges = names.select("id", "name", "text", "n").repartitionByRange(max(1, math.ceil(count / block)), "text")
-    own = stage(names.sparkSession, ranges.withColumn("own", F.spark_partition_id()))
-    blocks = (own.agg(F.max("own")).first()[0] or 0) + 1
+    spark = names.sparkSession
+    # Ranges come from a sample, so they are stored: both uses see the same blocks, which are neighbouring ranges.
+    ranges = names.select("id", "name", "text", "n").repartitionByRange(max(1, math.ceil(_RANGES * count / block)), "text")
+    stored = stage(spark, ranges.withColumn("range", F.spark_partition_id()))
+    numbers = _numbers(sorted((r["range"], r["count"]) for r in stored.groupBy("range").count().collect()), block)
+    blocks = max([b for _, b in numbers], default=0) + 1
+    own = stored.join(F.broadcast(spark.createDataFrame(numbers, "range int, own int")), "range").drop("range")
     first = own.select("*", F.col("own").alias("a"), F.explode(F.sequence("own", F.lit(blocks - 1))).alias("b"), F.lit(False).alias("second"))
     second = own.where("own > 0").select("*", F.explode(F.sequence(F.lit(0), F.col("own") - 1)).alias("a"), F.col("own").alias("b"), F.lit(True).alias("second"))
     # The number is given, as few bytes are much work here: twice the groups, so that few of them meet in a task.
